@@ -51,48 +51,46 @@ def co_group_apply(
     block is empty only if the group has no right rows. Groups above
     ``rows_per_block`` are cut that way, so that no task holds a whole heavy group.
     """
-    counts = left.groupBy(*keys).agg(F.count("*").alias("_nl"))
-    rights = right.groupBy(*keys).agg(F.count("*").alias("_nr"))
-    blocks = counts.join(rights, list(keys), "left").select(
-        *keys,
-        _blocks("_nl", rows_per_block).alias("_lb"),
-        _blocks("_nr", rows_per_block).alias("_rb"),
+    left_own = _in_blocks(left, keys, "_lb", rows_per_block)
+    right_own = _in_blocks(right, keys, "_rb", rows_per_block)
+    # Only blocks that got rows, at most rows / rows_per_block of them per key.
+    left_taken = left_own.groupBy(*keys).agg(F.collect_set("_lb").alias("_taken"))
+    right_taken = right_own.groupBy(*keys).agg(F.collect_set("_rb").alias("_taken"))
+    first = F.array(F.lit(0).cast("bigint"))
+    left_blocks = left_own.join(right_taken, list(keys), "left").select(
+        *left_own.columns, F.explode(F.coalesce("_taken", first)).alias("_rb")
+    )
+    right_blocks = right_own.join(left_taken, list(keys), "inner").select(
+        *right_own.columns, F.explode("_taken").alias("_lb")
     )
-    left_blocks = _place(left, blocks, keys, own="_lb", other="_rb")
-    right_blocks = _place(right, blocks, keys, own="_rb", other="_lb")
     left_columns, right_columns = left.columns, right.columns
 
     def apply(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
         return function(a[left_columns], b[right_columns])
 
     by = [*keys, "_lb", "_rb"]
-    return (
-        left_blocks.groupBy(*by)
-        .cogroup(right_blocks.groupBy(*by))
-        .applyInPandas(apply, schema)
-    )
-
+    # Both sides may come from one table; fresh names keep their columns apart.
+    lefts = left_blocks.toDF(*left_blocks.columns).groupBy(*by)
+    rights = right_blocks.toDF(*right_blocks.columns).groupBy(*by)
+    return lefts.cogroup(rights).applyInPandas(apply, schema)
 
-def _blocks(count: str, rows_per_block: int):
-    parts = F.ceil(F.coalesce(F.col(count), F.lit(0)) / F.lit(rows_per_block))
-    return F.greatest(parts, F.lit(1)).cast("bigint")
 
-
-def _place(
-    df: DataFrame, blocks: DataFrame, keys: Sequence[str], own: str, other: str
+def _in_blocks(
+    df: DataFrame, keys: Sequence[str], name: str, rows_per_block: int
 ) -> DataFrame:
-    """Each row in one block of its own side, copied to every block of the other.
+    """Each row with its block of its group.
 
     Equal rows are counted and numbered, so that copies spread over the blocks and
     a rerun of a task places them as before.
     """
     columns = df.columns
-    counted = df.groupBy(*columns).agg(F.count("*").alias("_copies"))
-    copies = counted.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
-    placed = copies.join(blocks.withColumnsRenamed({own: "_own", other: "_other"}), list(keys))
+    copies = df.groupBy(*columns).agg(F.count("*").alias("_copies"))
+    sizes = copies.groupBy(*keys).agg(F.sum("_copies").alias("_rows"))
+    numbered = copies.select(
+        *columns, F.explode(F.sequence(F.lit(1), F.col("_copies"))).alias("_copy")
+    )
+    blocks = F.greatest(F.ceil(F.col("_rows") / F.lit(rows_per_block)), F.lit(1))
     number = F.xxhash64(*columns) + F.col("_copy")
-    return placed.select(
-        *columns,
-        F.pmod(number, F.col("_own")).alias(own),
-        F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_other") - 1)).alias(other),
+    return numbered.join(sizes, list(keys), "left").select(
+        *columns, F.coalesce(F.pmod(number, blocks), F.lit(0)).cast("bigint").alias(name)
     )
