@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -40,7 +40,7 @@ def co_group_apply(
     left: DataFrame,
     right: DataFrame,
     keys: Sequence[str],
-    function: Callable[[pd.DataFrame, pd.DataFrame], pd.DataFrame],
+    function: Callable[[pa.Table, pa.Table], pa.Table],
     schema: StructType | str,
     rows_per_block: int = ROWS_PER_BLOCK,
 ) -> DataFrame:
@@ -65,14 +65,19 @@ def co_group_apply(
     )
     left_columns, right_columns = left.columns, right.columns
 
-    def apply(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
-        return function(a[left_columns], b[right_columns])
+    def apply(a: pa.Table, b: pa.Table) -> pa.Table:
+        return function(a.select(left_columns), b.select(right_columns))
 
     by = [*keys, "_lb", "_rb"]
     # Both sides may come from one table; fresh names keep their columns apart.
-    lefts = left_blocks.toDF(*left_blocks.columns).groupBy(*by)
-    rights = right_blocks.toDF(*right_blocks.columns).groupBy(*by)
-    return lefts.cogroup(rights).applyInPandas(apply, schema)
+    lefts = left_blocks.toDF(*left_blocks.columns)
+    rights = right_blocks.toDF(*right_blocks.columns)
+    # The cost is in the calls, not in the bytes by which Spark would merge the
+    # partitions, so their number is kept.
+    parts = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    lefts = lefts.repartition(parts, *by).groupBy(*by)
+    rights = rights.repartition(parts, *by).groupBy(*by)
+    return lefts.cogroup(rights).applyInArrow(apply, schema)
 
 
 def _in_blocks(

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -272,10 +273,12 @@ def window_left(spark: SparkSession, sf: str) -> DataFrame:
     return _tagged(window_join(clicks, views, ["user_id"], "ts", DAY, "left"), "CoGroup")
 
 
-def _pairs_or_alone(clicks: pd.DataFrame, views: pd.DataFrame) -> pd.DataFrame:
-    if views.empty:
-        return clicks.assign(view=None)
-    return clicks.merge(views[["view"]], how="cross")
+def _pairs_or_alone(clicks: pa.Table, views: pa.Table) -> pa.Table:
+    n, m = clicks.num_rows, views.num_rows
+    if m == 0:
+        return clicks.append_column("view", pa.nulls(n, pa.int64()))
+    pairs = clicks.take(np.repeat(np.arange(n), m))
+    return pairs.append_column("view", views["view"].take(np.tile(np.arange(m), n)))
 
 
 def cogroup_apply(spark: SparkSession, sf: str) -> DataFrame:
