@@ -13,8 +13,12 @@ ROWS_PER_BLOCK = 100_000
 
 
 def in_window(df: DataFrame, time: str, size: str) -> DataFrame:
-    """Replace the time by ``window_end``, the end of its tumbling window."""
-    return df.withColumn("window_end", F.window(time, size)["end"]).drop(time)
+    """Replace the time by ``_window_time``, the last moment of its tumbling window.
+
+    Unlike the window's end that moment still carries a stream's watermark.
+    """
+    placed = df.withColumn("_window", F.window(time, size))
+    return placed.withColumn("_window_time", F.window_time("_window")).drop("_window", time)
 
 
 def window_join(
@@ -32,8 +36,10 @@ def window_join(
     """
     if how not in ("inner", "left"):
         raise ValueError("how must be inner or left")
-    on = [*keys, "window_end"]
-    return in_window(left, time, size).join(in_window(right, time, size), on, how)
+    on = [*keys, "_window_time"]
+    joined = in_window(left, time, size).join(in_window(right, time, size), on, how)
+    end = F.col("_window_time") + F.expr("INTERVAL 1 MICROSECOND")
+    return joined.withColumn("window_end", end).drop("_window_time")
 
 
 def co_group_apply(

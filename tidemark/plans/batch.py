@@ -253,7 +253,7 @@ def clicks_and_views(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame
     return clicks, views
 
 
-def _tagged(joined: DataFrame, tag: str) -> DataFrame:
+def tagged(joined: DataFrame, tag: str) -> DataFrame:
     return joined.select(
         F.lit(tag).alias("tag"),
         "user_id",
@@ -265,12 +265,12 @@ def _tagged(joined: DataFrame, tag: str) -> DataFrame:
 
 def window_inner(spark: SparkSession, sf: str) -> DataFrame:
     clicks, views = clicks_and_views(spark, sf)
-    return _tagged(window_join(clicks, views, ["user_id"], "ts", DAY), "JOIN")
+    return tagged(window_join(clicks, views, ["user_id"], "ts", DAY), "JOIN")
 
 
 def window_left(spark: SparkSession, sf: str) -> DataFrame:
     clicks, views = clicks_and_views(spark, sf)
-    return _tagged(window_join(clicks, views, ["user_id"], "ts", DAY, "left"), "CoGroup")
+    return tagged(window_join(clicks, views, ["user_id"], "ts", DAY, "left"), "CoGroup")
 
 
 def _pairs_or_alone(clicks: pa.Table, views: pa.Table) -> pa.Table:

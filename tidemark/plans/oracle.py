@@ -314,3 +314,19 @@ SELECT user_id AS doc_id, user_id, task_count, course_count,
 FROM p""",
     "upsert_snapshot": _LATEST_ROW,
 }
+
+# A replay ends with the result of its batch query.
+ORACLE_SQL.update(
+    {
+        "task_performance_replay": _PERFORMANCE,
+        "asof_replay": _ASOF,
+        "membership_replay": _MEMBERSHIP,
+        "membership_changelog_replay": _MEMBERSHIP,
+        "tumbling_sum_replay": ORACLE_SQL["tumbling_sum"],
+        "window_join_replay": ORACLE_SQL["window_join"],
+        "window_left_replay": ORACLE_SQL["window_left"],
+        "lookup_replay": _LOOKUP_LEFT,
+        "lookup_enrich_replay": _LOOKUP_ENRICH,
+        "running_state_replay": _TOTALS,
+    }
+)

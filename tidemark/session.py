@@ -44,13 +44,22 @@ def new_folder(spark: SparkSession, purpose: str) -> str:
     return f"{shared_base(spark).rstrip('/')}/tidemark/{purpose}-{uuid.uuid4().hex}"
 
 
+def file_system(spark: SparkSession, path: str):
+    """The Hadoop file system of a path, and the path in its terms."""
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop_path
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark._jvm
-    hadoop_path = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
+    fs, hadoop_path = file_system(spark, path)
     return fs.exists(hadoop_path)
 
 
+def make_folder(spark: SparkSession, path: str) -> None:
+    fs, hadoop_path = file_system(spark, path)
+    fs.mkdirs(hadoop_path)
+
+
 @contextmanager
 def session_conf(spark: SparkSession, settings: dict[str, str]):
     """Set session options for a while; a started stream keeps its own copy."""

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators.latest import finish_states, latest_rows, merge_states
-from tidemark.session import path_exists
+from tidemark.session import file_system, path_exists
 
 Combine = Callable[[DataFrame], DataFrame]
 
@@ -65,9 +65,7 @@ class BatchTable:
         self._drop_before(through)
 
     def _drop_before(self, batch_id: int) -> None:
-        jvm = self.spark._jvm
-        root = jvm.org.apache.hadoop.fs.Path(self.path)
-        fs = root.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        fs, root = file_system(self.spark, self.path)
         for status in fs.listStatus(root):
             name = status.getPath().getName()
             if name.startswith("batch_id=") and int(name.split("=")[1]) < batch_id:
