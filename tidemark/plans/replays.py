@@ -6,6 +6,8 @@ checkpoint with the next. The results equal those of the batch queries.
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,7 +19,7 @@ from tidemark.operators.keyed import parse_keyed
 from tidemark.operators.windowjoin import window_join
 from tidemark.operators.windows import tumbling_sum_with_start
 from tidemark.plans import batch, inputs
-from tidemark.session import ROCKSDB_PROVIDER, new_folder, session_conf
+from tidemark.session import new_folder, session_conf, stream_settings
 from tidemark.sinks.upsert import keyed_table, read_latest, state_table
 from tidemark.sources.lines import parse_lines
 from tidemark.sources.topics import parse_json
@@ -32,7 +34,6 @@ from tidemark.streaming.run import Feed, batch_writer, run_available, stretches,
 CUTS = ["2024-01-11 00:00:00", "2024-01-21 00:00:00"]
 # A row of this time closes every window before it.
 END = "2100-01-01 00:00:00"
-ROCKSDB = {"spark.sql.streaming.stateStore.providerClass": ROCKSDB_PROVIDER}
 
 
 def task_performance_replay(spark: SparkSession, sf: str) -> DataFrame:
@@ -77,25 +78,24 @@ def asof_replay(spark: SparkSession, sf: str) -> DataFrame:
         (order_feed, "2100-01-01 08:00:00,0,end of orders"),
         (rate_feed, "2100-01-01 08:00:00,end of rates,1"),
     ]
-    with session_conf(spark, ROCKSDB):
-        joined = asof_join_stream(
-            with_watermark(left, "o_rowtime"),
-            with_watermark(right, "r_rowtime"),
-            ["currency"],
-            "o_rowtime",
-            "r_rowtime",
-            "rate_id",
-        )
-        result, write = batch.amounts(joined), batch_writer(f"{folder}/result")
-        for some_orders, some_rates in zip(
-            stretches(orders, "ts", CUTS), stretches(rates, "ts", CUTS)
-        ):
-            order_feed.add(some_orders)
-            rate_feed.add(some_rates)
-            run_available(result, write, f"{folder}/checkpoint")
-        for feed, line in closing:
-            feed.add(_closing_row(spark).withColumn("value", F.lit(line)))
+    joined = asof_join_stream(
+        with_watermark(left, "o_rowtime"),
+        with_watermark(right, "r_rowtime"),
+        ["currency"],
+        "o_rowtime",
+        "r_rowtime",
+        "rate_id",
+    )
+    result, write = batch.amounts(joined), batch_writer(f"{folder}/result")
+    for some_orders, some_rates in zip(
+        stretches(orders, "ts", CUTS), stretches(rates, "ts", CUTS)
+    ):
+        order_feed.add(some_orders)
+        rate_feed.add(some_rates)
         run_available(result, write, f"{folder}/checkpoint")
+    for feed, line in closing:
+        feed.add(_closing_row(spark).withColumn("value", F.lit(line)))
+    run_available(result, write, f"{folder}/checkpoint")
     return _written(spark, f"{folder}/result", result)
 
 
@@ -246,23 +246,33 @@ def running_state_replay(spark: SparkSession, sf: str) -> DataFrame:
         "key STRING, split INT, running_count BIGINT, running_sum BIGINT",
         ["key", "split"],
     )
-    with session_conf(spark, ROCKSDB):
-        result = running_totals_stream(rows, "key", "value")
-        for part in stretches(lines, "ts", CUTS):
-            feed.add(part)
-            run_available(result, target.put, f"{folder}/checkpoint", "update")
+    result = running_totals_stream(rows, "key", "value")
+    for part in stretches(lines, "ts", CUTS):
+        feed.add(part)
+        run_available(result, target.put, f"{folder}/checkpoint", "update")
     return totals_over_splits(target.read())
 
 
+def _as_stream(query):
+    """The query under the settings that its streams should start with."""
+
+    @functools.wraps(query)
+    def run(spark: SparkSession, sf: str) -> DataFrame:
+        with session_conf(spark, stream_settings(spark)):
+            return query(spark, sf)
+
+    return run
+
+
 REPLAY_QUERIES = {
-    "task_performance_replay": task_performance_replay,
-    "asof_replay": asof_replay,
-    "membership_replay": membership_replay,
-    "membership_changelog_replay": membership_changelog_replay,
-    "tumbling_sum_replay": tumbling_sum_replay,
-    "window_join_replay": window_join_replay,
-    "window_left_replay": window_left_replay,
-    "lookup_replay": lookup_replay,
-    "lookup_enrich_replay": lookup_enrich_replay,
-    "running_state_replay": running_state_replay,
+    "task_performance_replay": _as_stream(task_performance_replay),
+    "asof_replay": _as_stream(asof_replay),
+    "membership_replay": _as_stream(membership_replay),
+    "membership_changelog_replay": _as_stream(membership_changelog_replay),
+    "tumbling_sum_replay": _as_stream(tumbling_sum_replay),
+    "window_join_replay": _as_stream(window_join_replay),
+    "window_left_replay": _as_stream(window_left_replay),
+    "lookup_replay": _as_stream(lookup_replay),
+    "lookup_enrich_replay": _as_stream(lookup_enrich_replay),
+    "running_state_replay": _as_stream(running_state_replay),
 }

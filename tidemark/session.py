@@ -8,9 +8,13 @@ from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
-ROCKSDB_PROVIDER = (
-    "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-)
+# State on the executors' disks, of which a micro-batch saves its changes only.
+ROCKSDB = {
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
 
 _local_base: str | None = None
 
@@ -60,6 +64,15 @@ def make_folder(spark: SparkSession, path: str) -> None:
     fs.mkdirs(hadoop_path)
 
 
+def stream_settings(spark: SparkSession) -> dict[str, str]:
+    """Options for streams with state: the RocksDB store, and no more partitions of
+    state than cores, as each partition writes files in every micro-batch.
+    """
+    asked = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    parts = min(asked, spark.sparkContext.defaultParallelism)
+    return {**ROCKSDB, "spark.sql.shuffle.partitions": str(parts)}
+
+
 @contextmanager
 def session_conf(spark: SparkSession, settings: dict[str, str]):
     """Set session options for a while; a started stream keeps its own copy."""

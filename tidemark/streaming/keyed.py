@@ -21,7 +21,7 @@ class RunningTotals(StatefulProcessor):
         count, total = self.totals.get() if self.totals.exists() else (0, 0)
         for chunk in rows:
             count += len(chunk)
-            total += int(chunk["_value"].sum())
+            total += int(chunk["number"].sum())
         self.totals.update((count, total))
         yield pd.DataFrame(
             {"key": [key[0]], "split": [key[1]], "running_count": [count], "running_sum": [total]}
@@ -31,7 +31,7 @@ class RunningTotals(StatefulProcessor):
         pass
 
 
-def running_totals_stream(df: DataFrame, key: str, value: str, splits: int = 8) -> DataFrame:
+def running_totals_stream(df: DataFrame, key: str, value: str, splits: int = 4) -> DataFrame:
     """``(key, split, running_count, running_sum)`` for the groups of each micro-batch.
 
     The rows of a key are dealt out to ``splits`` groups, so a heavy key does not rest
@@ -45,12 +45,13 @@ def running_totals_stream(df: DataFrame, key: str, value: str, splits: int = 8)
         .add("running_count", "long")
         .add("running_sum", "long")
     )
+    # Names with a leading underscore would not reach the processor.
     rows = df.select(
-        F.col(key).alias("_key"),
-        F.pmod(F.xxhash64(*df.columns), F.lit(splits)).cast("int").alias("_split"),
-        F.coalesce(F.col(value).cast("bigint"), F.lit(0)).alias("_value"),
+        F.col(key).alias("key"),
+        F.pmod(F.xxhash64(*df.columns), F.lit(splits)).cast("int").alias("split"),
+        F.coalesce(F.col(value).cast("bigint"), F.lit(0)).alias("number"),
     )
-    return rows.groupBy("_key", "_split").transformWithStateInPandas(
+    return rows.groupBy("key", "split").transformWithStateInPandas(
         statefulProcessor=RunningTotals(),
         outputStructType=output,
         outputMode="Update",
