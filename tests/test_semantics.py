@@ -211,13 +211,14 @@ class TestWindowJoin:
         )
         inner = window_join(left, right, ["k"], "t", "10 minutes")
         assert tuples(inner, "x", "y") == [("a", "p"), ("a", "q")]
-        outer = window_join(left, right, ["k"], "t", "10 minutes", "left")
-        assert tuples(outer, "x", "y") == [
-            ("a", "p"),
-            ("a", "q"),
-            ("b", None),
-            ("c", None),
-        ]
+        for splits in (1, 3):
+            outer = window_join(left, right, ["k"], "t", "10 minutes", "left", splits)
+            assert tuples(outer, "x", "y") == [
+                ("a", "p"),
+                ("a", "q"),
+                ("b", None),
+                ("c", None),
+            ]
         ends = {row.window_end for row in inner.collect()}
         assert ends == {at(10)}
 

@@ -60,6 +60,15 @@ class TestKeyedTable:
         assert (1, "v9", 9) in tuples(table.read())
 
 
+def test_compaction_by_count_keeps_the_result(spark, folder):
+    table = keyed_table(spark, folder, "k INT, v STRING, o INT", ["k"], ["o"], compact_every=2)
+    for i in range(6):
+        table.put(rows(spark, (1, f"v{i}", i), (10 + i, "only", i)), i)
+    assert tuples(table.read(), "k", "v") == [(1, "v5")] + [(10 + i, "only") for i in range(6)]
+    ids = {row.batch_id for row in table.batches().select("batch_id").collect()}
+    assert ids == {3, 4, 5}
+
+
 def test_states_of_batches_merge_to_the_latest(spark, folder):
     state = "STRUCT<o0: INT, value: STRING>"
     table = state_table(spark, folder, f"k INT, v {state}, o_min INT, o_max INT", ["k"], ["v"], ["o"])

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.functions.shape import once
 from tidemark.functions.times import epoch_ms_to_timestamp
 
 # Image field and the type of the flat column.
@@ -37,15 +38,17 @@ def flatten_changes_by_presence(
     A key that ``after`` holds with JSON null stays NULL, where
     :func:`flatten_changes` would take ``before``. Quoted numbers are accepted.
     """
-    message = F.from_json(
-        F.col(value),
-        "before MAP<STRING, STRING>, after MAP<STRING, STRING>, op STRING, ts_ms STRING",
+    message = once(
+        F.from_json(
+            F.col(value),
+            "before MAP<STRING, STRING>, after MAP<STRING, STRING>, op STRING, ts_ms STRING",
+        )
     )
     fields = [
         _present_field("_m.after", "_m.before", name).try_cast(kind).alias(name.lower())
         for name, kind in IMAGE_FIELDS.items()
     ]
-    return df.withColumn("_m", message).select(
+    return df.select(*keep, message.alias("_m")).select(
         *fields,
         F.col("_m.op").alias("op"),
         F.col("_m.ts_ms").try_cast("bigint").alias("ts_ms"),

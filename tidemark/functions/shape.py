@@ -24,6 +24,16 @@ def product(left: Column, right: Column) -> Column:
     return left.cast("bigint") * right.cast("bigint")
 
 
+def once(expression: Column) -> Column:
+    """The value of a costly expression, computed once per row.
+
+    Spark moves later filters, also those it infers from joins, in front of a plain
+    projection and repeats the projected expression there. It does not move them in
+    front of a generator such as ``stack``, here of one row.
+    """
+    return F.stack(F.lit(1), expression)
+
+
 def project_nested(df: DataFrame, **paths: str) -> DataFrame:
     """Select dotted paths under new names: ``project_nested(df, jid="info.id")``."""
     return df.select(*[F.col(path).alias(name) for name, path in paths.items()])

@@ -28,18 +28,29 @@ def window_join(
     time: str,
     size: str = "10 seconds",
     how: str = "inner",
+    splits: int = 1,
 ) -> DataFrame:
     """Pairs of the same keys and window; ``left`` also keeps rows without a partner.
 
     The result carries ``window_end``. On streams both sides need a watermark on
-    ``time``. In batch Spark splits heavy (key, window) groups of the sorted join.
+    ``time``. In batch Spark splits heavy (key, window) groups of the sorted join. On
+    streams it does not; there ``splits`` deals the left rows of a group out to so
+    many tasks, each of which gets the right rows.
     """
     if how not in ("inner", "left"):
         raise ValueError("how must be inner or left")
+    if splits < 1:
+        raise ValueError("splits must be at least 1")
     on = [*keys, "_window_time"]
+    if splits > 1:
+        number = F.pmod(F.xxhash64(*left.columns), F.lit(splits)).cast("int")
+        left = left.withColumn("_split", number)
+        everywhere = F.explode(F.sequence(F.lit(0), F.lit(splits - 1)))
+        right = right.withColumn("_split", everywhere)
+        on.append("_split")
     joined = in_window(left, time, size).join(in_window(right, time, size), on, how)
     end = F.col("_window_time") + F.expr("INTERVAL 1 MICROSECOND")
-    return joined.withColumn("window_end", end).drop("_window_time")
+    return joined.withColumn("window_end", end).drop("_window_time", "_split")
 
 
 def co_group_apply(

@@ -13,6 +13,7 @@ from tidemark.functions.shape import (
     align_to,
     name_by_position,
     nested_row,
+    once,
     product,
     project_nested,
     rename,
@@ -180,13 +181,13 @@ def orders_and_rates(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame
     return (
         orders.select(
             "event_id",
-            local_text_to_timestamp(F.col("o_time")).alias("o_rowtime"),
+            once(local_text_to_timestamp(F.col("o_time"))).alias("o_rowtime"),
             "o_amount",
             F.col("o_currency").alias("currency"),
         ),
         rates.select(
             F.col("event_id").alias("rate_id"),
-            local_text_to_timestamp(F.col("r_time")).alias("r_rowtime"),
+            once(local_text_to_timestamp(F.col("r_time"))).alias("r_rowtime"),
             "r_rate",
             F.col("r_currency").alias("currency"),
         ),

@@ -21,19 +21,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """A scan of fewer splits than cores, dealt out to all of them.
+def spread(df: DataFrame, by: str) -> DataFrame:
+    """A scan of fewer splits than cores, dealt out to all of them by a column.
 
     The JSON and text work below costs far more than moving the few rows of such a
     scan. A table of many splits is left as it is.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    return df.repartition(cores, by) if df.rdd.getNumPartitions() < cores else df
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events with ``ts`` as an instant and ``k`` out of the properties."""
-    df = spread(table(spark, sf_dir, "events"))
+    df = spread(table(spark, sf_dir, "events"), "event_id")
     return df.withColumn("ts", F.col("ts").cast("timestamp")).withColumn(
         "k", F.get_json_object("props", "$.k").cast("bigint")
     )
@@ -150,7 +150,8 @@ def link_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     items = spread(
         table(spark, sf_dir, "lineitem").select(
             "l_orderkey", "l_suppkey", "l_returnflag", "l_shipdate", "l_linenumber", "l_partkey"
-        )
+        ),
+        "l_partkey",
     )
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     df = items.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))

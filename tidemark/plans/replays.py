@@ -160,6 +160,7 @@ def _window_replay(spark: SparkSession, sf: str, how: str) -> DataFrame:
         "ts",
         batch.DAY,
         how,
+        splits=2,
     )
     write = batch_writer(f"{folder}/result")
     for some_clicks, some_views in zip(

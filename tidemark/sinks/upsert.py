@@ -22,18 +22,33 @@ class BatchTable:
     """Rows of micro-batches and the function that combines them.
 
     ``combine`` must give the same result however its input was combined before, and
-    keep the columns. It may use ``batch_id`` as the order of arrival.
+    keep the columns. It may use ``batch_id`` as the order of arrival. With
+    ``compact_every`` the finished batches are folded after so many of them; a read
+    that goes on in that moment may have to be repeated.
     """
 
-    def __init__(self, spark: SparkSession, path: str, schema: str, combine: Combine):
+    def __init__(
+        self,
+        spark: SparkSession,
+        path: str,
+        schema: str,
+        combine: Combine,
+        compact_every: int | None = None,
+    ):
+        if compact_every is not None and compact_every < 1:
+            raise ValueError("compact_every must be at least 1")
         self.spark = spark
         self.path = path
         self.schema = schema
         self.combine = combine
+        self.compact_every = compact_every
 
     def put(self, rows: DataFrame, batch_id: int) -> None:
         """Write the rows of one micro-batch, replacing an earlier try."""
-        self._write(self.combine(rows.withColumn("batch_id", F.lit(batch_id).cast("bigint"))), batch_id)
+        arrived = rows.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+        self._write(self.combine(arrived), batch_id)
+        if self.compact_every and batch_id > 0 and batch_id % self.compact_every == 0:
+            self.compact(through=batch_id - 1)
 
     def _write(self, rows: DataFrame, batch_id: int) -> None:
         (
@@ -60,6 +75,8 @@ class BatchTable:
         which would replace that partition. After the fold the older partitions
         change no result, so losing the job between the two steps does no harm.
         """
+        if not path_exists(self.spark, self.path):
+            return
         old = self.batches().filter(F.col("batch_id") <= through)
         self._write(self.combine(old), through)
         self._drop_before(through)
@@ -78,14 +95,17 @@ def keyed_table(
     schema: str,
     keys: Sequence[str],
     order: Sequence[str] = (),
+    compact_every: int | None = None,
 ) -> BatchTable:
     """One row per key: the newest by ``order``, then by batch.
 
     With no ``order`` a batch must hold one row per key, as an updating aggregate does.
     """
-    return BatchTable(
-        spark, path, schema, lambda rows: latest_rows(rows, keys, [*order, "batch_id"])
-    )
+
+    def combine(rows: DataFrame) -> DataFrame:
+        return latest_rows(rows, keys, [*order, "batch_id"])
+
+    return BatchTable(spark, path, schema, combine, compact_every)
 
 
 def state_table(
@@ -95,6 +115,7 @@ def state_table(
     keys: Sequence[str],
     values: Sequence[str],
     prefixes: Sequence[str] = (),
+    compact_every: int | None = None,
 ) -> BatchTable:
     """Mergeable latest-value states per key, see ``operators.latest``."""
 
@@ -102,7 +123,7 @@ def state_table(
         merged = merge_states(rows, keys, values, prefixes)
         return merged.withColumn("batch_id", F.lit(0).cast("bigint"))
 
-    return BatchTable(spark, path, schema, combine)
+    return BatchTable(spark, path, schema, combine, compact_every)
 
 
 def read_latest(

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from tidemark.functions.shape import once
 from tidemark.schemas import parse_ddl
 
 
@@ -22,17 +23,18 @@ def read_lines(spark: SparkSession, path: str, stream: bool = False) -> DataFram
     return reader.text(path)
 
 
-def _split(df: DataFrame, declared: StructType, value: str, separator: str):
-    # A regular expression class keeps separators like "|" literal.
-    parts = F.split(F.col(value), f"[{separator}]")
-    fields = []
-    broken = F.lit(False)
-    for position, field in enumerate(declared, start=1):
-        text = F.try_element_at(F.col("_parts"), F.lit(position))
-        typed = text.try_cast(field.dataType)
-        fields.append(typed.alias(field.name))
-        broken = broken | text.isNull() | typed.isNull()
-    return df.withColumn("_parts", parts), fields, broken
+def _typed(declared: StructType, value: str, separator: str):
+    """The typed fields by position in one nested row."""
+    if len(separator) != 1:
+        raise ValueError("the separator must be one character")
+    # Escaped where a regular expression would read it as an operator.
+    pattern = separator if separator.isalnum() or separator in ",;: \t" else f"\\{separator}"
+    parts = F.split(F.col(value), pattern)
+    fields = [
+        F.try_element_at(parts, F.lit(position)).try_cast(field.dataType).alias(field.name)
+        for position, field in enumerate(declared, start=1)
+    ]
+    return once(F.struct(*fields))
 
 
 def parse_lines(
@@ -52,14 +54,17 @@ def parse_lines(
     declared = parse_ddl(schema) if isinstance(schema, str) else schema
     if mode not in ("split", "failfast"):
         raise ValueError("mode must be split or failfast")
-    parts, fields, broken = _split(df, declared, value, separator)
+    parsed = df.select(
+        *keep, F.col(value).alias("_line"), _typed(declared, value, separator).alias("_m")
+    )
+    broken = F.lit(False)
+    for field in declared:
+        broken = broken | F.col(f"_m.`{field.name}`").isNull()
     if mode == "failfast":
-        message = F.concat(F.lit("bad line: "), F.coalesce(F.col(value), F.lit("NULL")))
-        checked = parts.withColumn(
-            "_parts", F.when(broken, F.raise_error(message)).otherwise(F.col("_parts"))
-        )
-        return checked.select(*keep, *fields)
+        message = F.concat(F.lit("bad line: "), F.coalesce("_line", F.lit("NULL")))
+        checked = F.when(broken, F.raise_error(message)).otherwise(F.col("_m"))
+        return parsed.select(*keep, checked.alias("_m")).select(*keep, "_m.*")
     return ParsedLines(
-        rows=parts.filter(~broken).select(*keep, *fields),
-        corrupt=parts.filter(broken).select(*keep, F.col(value).alias("_corrupt")),
+        rows=parsed.filter(~broken).select(*keep, "_m.*"),
+        corrupt=parsed.filter(broken).select(*keep, F.col("_line").alias("_corrupt")),
     )

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructType
 
+from tidemark.functions.shape import once
 from tidemark.schemas import parse_ddl
 
 # Start positions a caller may name and Spark's words for them.
@@ -71,7 +72,7 @@ def parse_json(
     """
     declared = parse_ddl(schema) if isinstance(schema, str) else schema
     if not lenient:
-        parsed = F.from_json(F.col(value), declared)
+        parsed = once(F.from_json(F.col(value), declared))
         return df.select(*keep, parsed.alias("_m")).select(*keep, "_m.*")
     as_text = StructType()
     for field in declared:
@@ -80,7 +81,7 @@ def parse_json(
         F.col(f"_m.`{field.name}`").try_cast(field.dataType).alias(field.name)
         for field in declared
     ]
-    parsed = F.from_json(F.col(value), as_text)
+    parsed = once(F.from_json(F.col(value), as_text))
     return df.select(*keep, parsed.alias("_m")).select(*keep, *columns)
 
 
@@ -88,13 +89,13 @@ def unwrap_envelope(
     df: DataFrame, value: str = "value", keep: Sequence[str] = ()
 ) -> DataFrame:
     """``{"value": "<text>"}`` to the inner text; without a value the row is dropped."""
-    inner = F.get_json_object(F.col(value), "$.value")
+    inner = once(F.get_json_object(F.col(value), "$.value"))
     return df.select(*keep, inner.alias("value")).filter(F.col("value").isNotNull())
 
 
 def unwrap_topic_envelope(df: DataFrame, value: str = "value") -> DataFrame:
     """``{"topic": t, "value": "<text>"}`` to the columns ``topic`` and ``value``."""
-    parsed = F.from_json(F.col(value), "topic STRING, value STRING")
+    parsed = once(F.from_json(F.col(value), "topic STRING, value STRING"))
     return (
         df.select(parsed.alias("_m"))
         .select("_m.topic", "_m.value")

@@ -7,7 +7,7 @@ is the changelog. Versions are never paired with versions.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark import schemas
@@ -33,79 +33,92 @@ class MembershipStream:
     """State of the join under one folder; ``on_batch`` is a ``foreachBatch`` sink.
 
     Messages have ``topic``, ``value`` and the text ``position`` that orders them.
+    The states are compacted after every ``compact_every`` micro-batches.
     """
 
-    def __init__(self, spark: SparkSession, folder: str):
+    def __init__(self, spark: SparkSession, folder: str, compact_every: int = 100):
         self.tables = {
-            topic: _table(spark, f"{folder}/{topic}", topic) for topic in _TABLES
+            topic: _table(spark, f"{folder}/{topic}", topic, compact_every)
+            for topic in _TABLES
         }
         self.changes_path = f"{folder}/changes"
         self._write_changes = batch_writer(self.changes_path)
 
     def on_batch(self, messages: DataFrame, batch_id: int) -> None:
-        # Three branches and the touched keys read the micro-batch.
+        # The three branches read the micro-batch once each.
         messages = messages.persist()
         try:
-            states = self._states(messages)
-            before = {topic: self._before(topic, batch_id) for topic in _TABLES}
-            for topic, rows in states.items():
-                self.tables[topic].put(rows, batch_id)
-            after = {topic: table.read() for topic, table in self.tables.items()}
-            touched = _touched(states, after[LINKS])
+            self._put(messages, batch_id)
+        finally:
+            messages.unpersist()
+        touched = self._touched(batch_id).persist()
+        try:
+            earlier = F.col("batch_id") < batch_id
             changes = changelog_diff(
-                _joined(before, touched), _joined(after, touched), ["uid", "cid"]
+                self._joined(touched, earlier), self._joined(touched), ["uid", "cid"]
             )
             self._write_changes(changes, batch_id)
         finally:
-            messages.unpersist()
+            touched.unpersist()
 
-    def _states(self, messages: DataFrame) -> dict[str, DataFrame]:
+    def _put(self, messages: DataFrame, batch_id: int) -> None:
         branches = route(messages, {topic: F.col("topic") == topic for topic in _TABLES})
-        states = {}
         for topic, (keys, values, schema) in _TABLES.items():
             rows = parse_branch(branches[topic], schema, keep=("position",))
-            states[topic] = latest_states(rows, keys, list(values), ["position"])
-        return states
-
-    def _before(self, topic: str, batch_id: int) -> DataFrame:
-        """The table without this batch, also when the batch is repeated."""
-        table = self.tables[topic]
-        earlier = table.batches().filter(F.col("batch_id") < batch_id)
-        return table.combine(earlier).drop("batch_id")
+            states = latest_states(rows, keys, list(values), ["position"])
+            self.tables[topic].put(states, batch_id)
+
+    def _touched(self, batch_id: int) -> DataFrame:
+        """Keys of the links whose user, class or own values came in this batch."""
+        new = {
+            topic: table.batches().filter(F.col("batch_id") == batch_id)
+            for topic, table in self.tables.items()
+        }
+        pairs = self.tables[LINKS].batches().select("uid", "cid")
+        return (
+            pairs.join(new[USERS].select("uid"), "uid", "left_semi")
+            .unionByName(pairs.join(new[CLASSES].select("cid"), "cid", "left_semi"))
+            .unionByName(new[LINKS].select("uid", "cid"))
+            .distinct()
+        )
+
+    def _joined(self, touched: DataFrame, which: Column | None = None) -> DataFrame:
+        """The joined rows of the touched links, from the batches asked for.
+
+        Only states of touched keys are combined; the rest is scanned and left.
+        """
+        plain = {}
+        for topic, (keys, values, _) in _TABLES.items():
+            table = self.tables[topic]
+            rows = table.batches() if which is None else table.batches().filter(which)
+            wanted = touched.select(*keys).distinct()
+            states = table.combine(rows.join(wanted, keys, "left_semi"))
+            plain[topic] = finish_states(states, keys, list(values))
+        return _three_way(plain)
 
     def current(self) -> DataFrame:
         """The joined table as of the last micro-batch."""
-        return _joined({topic: table.read() for topic, table in self.tables.items()})
+        return _three_way(
+            {
+                topic: finish_states(self.tables[topic].read(), keys, list(values))
+                for topic, (keys, values, _) in _TABLES.items()
+            }
+        )
 
 
-def _table(spark: SparkSession, path: str, topic: str) -> BatchTable:
+def _table(spark: SparkSession, path: str, topic: str, compact_every: int) -> BatchTable:
     keys, values, _ = _TABLES[topic]
     columns = [f"{key} BIGINT" for key in keys]
     columns += [f"{name} {_STATE.format(kind=kind)}" for name, kind in values.items()]
-    return state_table(spark, path, ", ".join(columns), keys, list(values))
-
-
-def _touched(states: dict[str, DataFrame], links: DataFrame) -> DataFrame:
-    """Keys of the links whose user, class or own values came in this batch."""
-    pairs = links.select("uid", "cid")
-    return (
-        pairs.join(states[USERS].select("uid"), "uid", "left_semi")
-        .unionByName(pairs.join(states[CLASSES].select("cid"), "cid", "left_semi"))
-        .unionByName(states[LINKS].select("uid", "cid"))
-        .distinct()
+    return state_table(
+        spark, path, ", ".join(columns), keys, list(values), compact_every=compact_every
     )
 
 
-def _joined(states: dict[str, DataFrame], only: DataFrame | None = None) -> DataFrame:
-    plain = {
-        topic: finish_states(states[topic], keys, list(values))
-        for topic, (keys, values, _) in _TABLES.items()
-    }
-    links = plain[LINKS]
-    if only is not None:
-        links = links.join(only, ["uid", "cid"], "left_semi")
+def _three_way(plain: dict[str, DataFrame]) -> DataFrame:
     return (
-        links.join(plain[USERS], "uid")
+        plain[LINKS]
+        .join(plain[USERS], "uid")
         .join(plain[CLASSES], "cid")
         .select("uid", "cid", "name", "age", "cname", "utype")
     )
