@@ -124,6 +124,7 @@ def test_asof_stream_waits_for_rates_and_keeps_old_ones(spark, folder):
             "ot",
             "rt",
             "r",
+            groups=3,
             splits=2,
         )
         for some_orders, some_rates in steps:

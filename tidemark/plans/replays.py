@@ -85,6 +85,8 @@ def asof_replay(spark: SparkSession, sf: str) -> DataFrame:
         "o_rowtime",
         "r_rowtime",
         "rate_id",
+        groups=4 * int(spark.conf.get("spark.sql.shuffle.partitions")),
+        splits=2,
     )
     result, write = batch.amounts(joined), batch_writer(f"{folder}/result")
     for some_orders, some_rates in zip(

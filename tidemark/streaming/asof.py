@@ -8,17 +8,16 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 
-import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.types import StructType
 
 # Keeps the microseconds, which the default text form of a timestamp cuts off.
 _JSON = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
-_STATE = "us LONG, arrival LONG, payload STRING"
-_COLUMNS = ["us", "arrival", "payload"]
+_STATE = "key STRING, us LONG, arrival LONG, payload STRING"
+_COLUMNS = ["key", "us", "arrival", "payload"]
 
 
 def asof_join_stream(
@@ -28,127 +27,134 @@ def asof_join_stream(
     left_time: str,
     right_time: str,
     arrival: str,
+    groups: int = 4096,
     splits: int = 4,
 ) -> DataFrame:
     """Inner as-of join of two streams that have watermarks on their times.
 
     ``arrival`` is a whole number of the right side; of two versions of one key and
-    time the larger wins. The left rows of a key are dealt out to ``splits`` groups
-    that each hold the versions, so a heavy key does not rest on one task. The session
-    must use the RocksDB state store.
+    time the larger wins. Keys share ``groups`` groups of state, so that one call
+    resolves the rows of many keys. The left rows of a key are dealt out to up to
+    ``splits`` of them, which each hold its versions, so a heavy key does not rest on
+    one task. Neither number may change while a checkpoint is in use. The session must
+    use the RocksDB state store.
     """
+    if groups < 1 or splits < 1:
+        raise ValueError("groups and splits must be at least 1")
+    key_types = StructType([left.schema[key] for key in keys])
     left_types = StructType([f for f in left.schema if f.name not in keys])
     right_types = StructType([f for f in right.schema if f.name not in keys])
-    number = F.pmod(F.xxhash64(*[c for c in left.columns]), F.lit(splits)).cast("int")
-    everywhere = F.explode(F.sequence(F.lit(0), F.lit(splits - 1)))
-    nothing = F.lit(0).cast("bigint")
-    line = _line(left, keys, left_time, False, nothing, left_types, number).unionByName(
-        _line(right, keys, right_time, True, F.col(arrival).cast("bigint"), right_types, everywhere)
-    )
-    key_types = [left.schema[key] for key in keys]
-    output = StructType(key_types).add("left", "string").add("right", "string")
-    matched = line.groupBy(*keys, "_split").transformWithStateInPandas(
-        statefulProcessor=_AsOf(list(keys)),
-        outputStructType=output,
+    one_of = F.pmod(F.xxhash64(*left.columns), F.lit(splits))
+    every = F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(splits - 1).cast("bigint")))
+
+    def line(df, time, is_version, arrival, types, split):
+        known = F.col(time).isNotNull()
+        for key in keys:
+            known = known & F.col(key).isNotNull()
+        rows = df.filter(known).select("*", split.alias("split"))
+        return rows.select(
+            F.col(time).alias("moment"),
+            F.pmod(F.xxhash64(*keys, "split"), F.lit(groups)).alias("group"),
+            F.to_json(F.struct(*keys), _JSON).alias("key"),
+            F.unix_micros(time).alias("us"),
+            F.lit(is_version).alias("is_version"),
+            arrival.alias("arrival"),
+            F.to_json(F.struct(*types.fieldNames()), _JSON).alias("payload"),
+        )
+
+    number = F.col(arrival).cast("bigint")
+    both = line(
+        left, left_time, False, F.lit(0).cast("bigint"), left_types, one_of
+    ).unionByName(line(right, right_time, True, number, right_types, every))
+    matched = both.groupBy("group").transformWithStateInPandas(
+        statefulProcessor=_AsOf(),
+        outputStructType="key STRING, left STRING, right STRING",
         outputMode="Append",
         timeMode="EventTime",
     )
-    unpacked = matched.select(
-        *keys,
+    return matched.select(
+        F.from_json("key", key_types, _JSON).alias("_k"),
         F.from_json("left", left_types, _JSON).alias("_l"),
         F.from_json("right", right_types, _JSON).alias("_r"),
-    )
-    return unpacked.select(*keys, "_l.*", "_r.*")
-
-
-def _line(
-    df: DataFrame,
-    keys: Sequence[str],
-    time: str,
-    is_version: bool,
-    arrival: Column,
-    payload: StructType,
-    split: Column,
-) -> DataFrame:
-    known = F.col(time).isNotNull()
-    for key in keys:
-        known = known & F.col(key).isNotNull()
-    return df.filter(known).select(
-        *keys,
-        F.col(time).alias("_time"),
-        F.unix_micros(time).alias("us"),
-        F.lit(is_version).alias("is_version"),
-        arrival.alias("arrival"),
-        F.to_json(F.struct(*payload.fieldNames()), _JSON).alias("payload"),
-        split.alias("_split"),
-    )
+    ).select("_k.*", "_l.*", "_r.*")
 
 
 class _AsOf(StatefulProcessor):
-    """Waiting left rows and versions of one key, resolved when the watermark moves."""
-
-    def __init__(self, keys: list[str]):
-        self.keys = keys
+    """Waiting left rows and versions of a group of keys."""
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.waiting = handle.getListState("waiting", _STATE)
         self.versions = handle.getListState("versions", _STATE)
+        # A group with several timers needs its states only once per micro-batch.
+        self.done: set = set()
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         for chunk in rows:
             is_version = chunk["is_version"].to_numpy(dtype=bool)
-            columns = [chunk[name].to_numpy() for name in _COLUMNS]
-            if is_version.any():
-                self.versions.appendList(_tuples(columns, is_version))
-            if not is_version.all():
-                self.waiting.appendList(_tuples(columns, ~is_version))
-                self._wake_at(int(columns[0][~is_version].min()))
+            _append(self.versions, chunk[is_version])
+            _append(self.waiting, chunk[~is_version])
+            self._wake_at(chunk["us"].min())
         return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        watermark = timerValues.getCurrentWatermarkInMs() * 1000
-        waiting = _rows(self.waiting)
-        due = [row for row in waiting if row[0] <= watermark]
-        if not due:
+        if key in self.done:
             return
-        # By time and arrival; the sort keeps the order of state for equal ones.
-        versions = sorted(_rows(self.versions), key=lambda row: row[:2])
-        moments = np.array([row[0] for row in versions], dtype="int64")
-        asked = np.array([row[0] for row in due], dtype="int64")
-        places = np.searchsorted(moments, asked, side="right") - 1
-        later = [row for row in waiting if row[0] > watermark]
-        _replace(self.waiting, later)
-        if later:
-            self._wake_at(min(row[0] for row in later))
-        # The newest version up to the watermark still answers later rows.
-        passed = int(np.searchsorted(moments, watermark, side="right"))
-        if passed > 1:
-            _replace(self.versions, versions[passed - 1 :])
-        answered = [(row[2], versions[i][2]) for row, i in zip(due, places) if i >= 0]
-        if answered:
-            result = {name: [part] * len(answered) for name, part in zip(self.keys, key)}
-            result["left"], result["right"] = map(list, zip(*answered))
-            yield pd.DataFrame(result)
+        self.done.add(key)
+        watermark = timerValues.getCurrentWatermarkInMs() * 1000
+        waiting, versions = _frame(self.waiting), _frame(self.versions)
+        held = len(versions)
+        # The sort is stable, so of equal ones the later in state is kept.
+        versions = versions.sort_values(["us", "arrival"], kind="stable")
+        versions = versions.drop_duplicates(["key", "us"], keep="last")
+        due = waiting["us"] <= watermark
+        if due.any():
+            found = pd.merge_asof(
+                waiting[due].sort_values("us", kind="stable"),
+                versions[["key", "us", "payload"]],
+                on="us",
+                by="key",
+                suffixes=("", "_right"),
+            ).dropna(subset="payload_right")
+            _replace(self.waiting, waiting[~due])
+            yield found[["key", "payload", "payload_right"]].set_axis(
+                ["key", "left", "right"], axis=1
+            )
+        # The newest version of a key up to the watermark still answers later rows.
+        passed = versions["us"] <= watermark
+        kept = pd.concat(
+            [versions[passed].drop_duplicates("key", keep="last"), versions[~passed]]
+        )
+        if len(kept) < held:
+            _replace(self.versions, kept)
+        later = pd.concat([waiting.loc[~due, "us"], versions.loc[~passed, "us"]])
+        if len(later):
+            self._wake_at(later.min())
 
     def close(self) -> None:
         pass
 
     def _wake_at(self, us: int) -> None:
-        self.handle.registerTimer(-(-us // 1000))
+        self.handle.registerTimer(-(-int(us) // 1000))
+
+
+def _frame(state) -> pd.DataFrame:
+    rows = list(state.get()) if state.exists() else []
+    frame = pd.DataFrame(rows, columns=_COLUMNS)
+    return frame.astype({"key": "object", "us": "int64", "arrival": "int64"})
 
 
-def _tuples(columns: list[np.ndarray], chosen: np.ndarray) -> list[tuple]:
-    us, arrival, payload = (column[chosen].tolist() for column in columns)
-    return list(zip(us, arrival, payload))
+def _tuples(frame: pd.DataFrame) -> list[tuple]:
+    return list(zip(*(frame[name].tolist() for name in _COLUMNS)))
 
 
-def _rows(state) -> list[tuple]:
-    return list(state.get()) if state.exists() else []
+def _append(state, frame: pd.DataFrame) -> None:
+    if len(frame):
+        state.appendList(_tuples(frame))
 
 
-def _replace(state, rows: list[tuple]) -> None:
-    if rows:
-        state.put(rows)
+def _replace(state, frame: pd.DataFrame) -> None:
+    if len(frame):
+        state.put(_tuples(frame))
     else:
         state.clear()

@@ -18,7 +18,7 @@ class RunningTotals(StatefulProcessor):
         self.totals = handle.getValueState("totals", "n LONG, s LONG")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        count, total = self.totals.get() if self.totals.exists() else (0, 0)
+        count, total = self.totals.get() or (0, 0)
         for chunk in rows:
             count += len(chunk)
             total += int(chunk["number"].sum())
@@ -31,7 +31,7 @@ class RunningTotals(StatefulProcessor):
         pass
 
 
-def running_totals_stream(df: DataFrame, key: str, value: str, splits: int = 4) -> DataFrame:
+def running_totals_stream(df: DataFrame, key: str, value: str, splits: int = 2) -> DataFrame:
     """``(key, split, running_count, running_sum)`` for the groups of each micro-batch.
 
     The rows of a key are dealt out to ``splits`` groups, so a heavy key does not rest
