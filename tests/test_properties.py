@@ -77,8 +77,10 @@ def test_asof_with_a_third_of_the_rows_in_one_key(spark):
     right = [("hot", rng.randrange(500)) for _ in range(60)]
     right += [(f"k{rng.randrange(40)}", rng.randrange(500)) for _ in range(200)]
     orders, rates = sides(spark, left, right)
-    sliced = asof_join(orders, rates, ["k"], "lt", "rt", arrival=["r"], rows_per_task=50)
-    assert pairs_of(sliced) == brute_force_asof(left, right)
+    expected = brute_force_asof(left, right)
+    for size in (50, 200):
+        sliced = asof_join(orders, rates, ["k"], "lt", "rt", arrival=["r"], rows_per_task=size)
+        assert pairs_of(sliced) == expected
 
 
 def test_slices_hold_no_more_than_asked_for(spark):
@@ -87,13 +89,20 @@ def test_slices_hold_no_more_than_asked_for(spark):
     rows += [("cold", i) for i in range(20)]
     points = spark.createDataFrame(rows, "k STRING, us BIGINT")
     slices = heavy_key_slices(points, ["k"], "us", rows_per_task=100)
-    assert [row.k for row in slices.collect()] == ["hot"]
+    assert slices.even
+    assert [row.k for row in slices.table.collect()] == ["hot"]
     placed = with_slice(points, slices, ["k"], "us").groupBy("k", "_slice").count()
     assert placed.agg(F.max("count")).first()[0] <= 100
     assert placed.filter("k = 'cold'").count() == 1
     assert heavy_key_slices(points, ["k"], "us", rows_per_task=1000) is None
 
 
+def test_copies_of_one_time_make_slices_uneven(spark):
+    points = spark.createDataFrame([("hot", 5)] * 50 + [("hot", 9)], "k STRING, us BIGINT")
+    assert not heavy_key_slices(points, ["k"], "us", rows_per_task=10).even
+    assert heavy_key_slices(points, ["k"], "us", rows_per_task=50).even
+
+
 @FEW
 @given(points=POINTS)
 def test_running_state_in_slices_equals_brute_force(spark, points):

@@ -43,21 +43,22 @@ def asof_join(
             *keys, _micros(right_time).alias("_us")
         )
     )
-    slices = heavy_key_slices(points, keys, "_us", rows_per_task, copies_count=False)
+    slices = heavy_key_slices(points, keys, "_us", rows_per_task)
     versions = with_slice(_versions(right, keys, right_time, arrival), slices, keys, "_us")
-    if slices is None:
-        probes = with_slice(_whole_probes(known, keys, left_time), None, keys, "_us")
-        found = _unpacked(_in_force(probes, versions, keys), how)
+    if slices is None or slices.even:
+        probes = with_slice(_whole_probes(known, keys, left_time), slices, keys, "_us")
+        carried = slices and _carried(probes, versions, keys, slices.table)
+        found = _unpacked(_in_force(probes, versions, keys, carried), how)
         return _with_unmatchable(found, left, keys, left_time, how)
-    # Copies of one key and time would stay together however thin the slice. So only
-    # the distinct points are resolved, and a plain join takes the answers back to
-    # the rows; Spark splits that join where it is skewed.
+    # Copies of one key and time stay together however thin the slice. So only the
+    # distinct points are resolved, and a plain join takes the answers back to the
+    # rows; Spark splits that join where it is skewed.
     distinct = known.select(*keys, F.col(left_time).alias("_time")).distinct()
     distinct = distinct.select(
         *keys, _micros("_time").alias("_us"), F.struct("_time").alias("_left")
     )
     probes = with_slice(distinct, slices, keys, "_us")
-    carried = _carried(probes, versions, keys, heavy=F.broadcast(slices.select(*keys)))
+    carried = _carried(probes, versions, keys, slices.table)
     found = _in_force(probes, versions, keys, carried).filter(F.col("_right").isNotNull())
     answers = found.select(*keys, F.col("_left._time").alias(left_time), "_right")
     joined = known.join(answers, [*keys, left_time], how)
@@ -142,6 +143,7 @@ def _carried(
 ) -> DataFrame:
     """For each slice that has probes, the last version of the slices before it."""
     if heavy is not None:
+        heavy = F.broadcast(heavy.select(*keys))
         probes = probes.join(heavy, list(keys), "left_semi")
         versions = versions.join(heavy, list(keys), "left_semi")
     last = versions.groupBy(*keys, "_slice").agg(

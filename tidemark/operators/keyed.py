@@ -32,7 +32,8 @@ def running_state(
 
     ``order`` starts with a time column and must be total. Keys above
     ``rows_per_task`` are cut into slices of time: each slice runs on its own and
-    starts from the totals of the slices before it.
+    starts from the totals of the slices before it. Rows of one key and microsecond
+    stay together.
     """
     time = order[0]
     rows = df.withColumn("_us", F.unix_micros(F.col(time).cast("timestamp")))
@@ -54,7 +55,7 @@ def running_state(
             .rowsBetween(Window.unboundedPreceding, -1)
         )
         totals = (
-            rows.join(F.broadcast(slices.select(key)), key, "left_semi")
+            rows.join(F.broadcast(slices.table.select(key)), key, "left_semi")
             .groupBy(key, "_slice")
             .agg(F.count("*").alias("_n"), F.sum(number).alias("_s"))
             .select(

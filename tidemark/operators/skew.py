@@ -3,12 +3,20 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from typing import NamedTuple
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 ROWS_PER_TASK = 5_000_000
-_REFINEMENTS = 40
+
+
+class Slices(NamedTuple):
+    """``table`` has ``(keys, _origin, _width)`` in microseconds. ``even`` says that
+    no slice holds more rows than asked for; else copies of one key and time do."""
+
+    table: DataFrame
+    even: bool
 
 
 def heavy_key_slices(
@@ -16,48 +24,44 @@ def heavy_key_slices(
     keys: Sequence[str],
     micros: str,
     rows_per_task: int = ROWS_PER_TASK,
-    copies_count: bool = True,
-) -> DataFrame | None:
-    """``(keys, _origin, _width)`` in microseconds for keys above ``rows_per_task``.
-
-    None where no key is that heavy. At most ``rows / rows_per_task`` keys can be,
-    which bounds the result. The width shrinks until no slice holds more rows than
-    asked for, or until a slice is one microsecond. Every pass is a count that is
-    combined before it is shuffled. Without ``copies_count`` rows of one key and time
-    count once when the width is chosen.
+) -> Slices | None:
+    """Slices for the keys above ``rows_per_task``, None where no key is that heavy.
+
+    At most ``rows / rows_per_task`` keys can be, which bounds the table. The width
+    starts at half the average need and shrinks, where time is crowded, until no slice
+    has more distinct times than rows asked for. Every pass counts, and combines the
+    counts before they are shuffled.
     """
+    points = points.select(*keys, micros)
+    spark = points.sparkSession
     counts = points.groupBy(*keys).agg(
         F.count("*").alias("_n"),
         F.min(micros).alias("_origin"),
         F.max(micros).alias("_end"),
     )
     span = F.col("_end") - F.col("_origin") + 1
-    parts = F.ceil(F.col("_n") / F.lit(rows_per_task))
-    first = F.greatest(F.call_function("div", span, parts), F.lit(1)).cast("bigint")
+    parts = F.ceil(F.col("_n") * 2 / F.lit(rows_per_task))
     heavy = counts.filter(F.col("_n") > rows_per_task).select(
-        *keys, "_origin", first.alias("_width")
+        *keys, "_origin", _at_least_one(F.call_function("div", span, parts)).alias("_width")
     )
     rows = heavy.collect()
     if not rows:
         return None
-    spark = points.sparkSession
     slices = spark.createDataFrame(rows, heavy.schema)
-    points = points.select(*keys, micros)
-    if not copies_count:
-        points = points.distinct()
-    for _ in range(_REFINEMENTS):
-        fullest = (
-            with_slice(points, slices, keys, micros, heavy_only=True)
-            .groupBy(*keys, "_origin", "_width", "_slice")
-            .agg(F.count("*").alias("_n"))
-            .groupBy(*keys, "_origin", "_width")
-            .agg(F.max("_n").alias("_n"))
-        )
+
+    def fits() -> bool:
+        fullest = _fullest(points, slices, keys, micros).agg(F.max("_n")).first()[0]
+        return fullest <= rows_per_task
+
+    if fits():
+        return Slices(slices, True)
+    times = points.distinct()
+    again = True
+    while again:
+        fullest = _fullest(times, slices, keys, micros)
         too_full = (F.col("_n") > rows_per_task) & (F.col("_width") > 1)
-        share = F.ceil(F.col("_n") / F.lit(rows_per_task))
-        narrower = F.greatest(
-            F.call_function("div", F.col("_width"), share), F.lit(1)
-        ).cast("bigint")
+        share = F.ceil(F.col("_n") * 2 / F.lit(rows_per_task))
+        narrower = _at_least_one(F.call_function("div", F.col("_width"), share))
         refined = fullest.select(
             *keys,
             "_origin",
@@ -65,24 +69,38 @@ def heavy_key_slices(
             too_full.alias("_again"),
         ).collect()
         slices = spark.createDataFrame([row[:-1] for row in refined], heavy.schema)
-        if not any(row["_again"] for row in refined):
-            break
-    return slices
+        again = any(row["_again"] for row in refined)
+    return Slices(slices, fits())
+
+
+def _at_least_one(number: Column) -> Column:
+    return F.greatest(number, F.lit(1)).cast("bigint")
+
+
+def _fullest(
+    points: DataFrame, slices: DataFrame, keys: Sequence[str], micros: str
+) -> DataFrame:
+    """Rows ``_n`` in the fullest slice of each heavy key."""
+    by = [*keys, "_origin", "_width"]
+    placed = points.join(F.broadcast(slices), list(keys)).withColumn(
+        "_slice", _place(micros)
+    )
+    per_slice = placed.groupBy(*by, "_slice").agg(F.count("*").alias("_n"))
+    return per_slice.groupBy(*by).agg(F.max("_n").alias("_n"))
+
+
+def _place(micros: str) -> Column:
+    offset = F.col(micros) - F.col("_origin")
+    return F.call_function("div", offset, F.col("_width"))
 
 
 def with_slice(
-    df: DataFrame,
-    slices: DataFrame | None,
-    keys: Sequence[str],
-    micros: str,
-    heavy_only: bool = False,
+    df: DataFrame, slices: Slices | None, keys: Sequence[str], micros: str
 ) -> DataFrame:
     """Add ``_slice``: the place on the time line of a heavy key, 0 for other keys."""
     if slices is None:
         return df.withColumn("_slice", F.lit(0).cast("bigint"))
     # The table of heavy keys is small by construction, see heavy_key_slices.
-    placed = df.join(F.broadcast(slices), list(keys), "inner" if heavy_only else "left")
-    offset = F.col(micros) - F.col("_origin")
-    place = F.coalesce(F.call_function("div", offset, F.col("_width")), F.lit(0))
-    placed = placed.withColumn("_slice", place.cast("bigint"))
-    return placed if heavy_only else placed.drop("_origin", "_width")
+    placed = df.join(F.broadcast(slices.table), list(keys), "left")
+    place = F.coalesce(_place(micros), F.lit(0)).cast("bigint")
+    return placed.withColumn("_slice", place).drop("_origin", "_width")
