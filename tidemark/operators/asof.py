@@ -27,14 +27,15 @@ def asof_join(
     right_time: str,
     arrival: Sequence[str] = (),
     how: str = "inner",
-    rows_per_task: int = ROWS_PER_TASK,
+    rows_per_task: int | None = ROWS_PER_TASK,
 ) -> DataFrame:
     """Left columns and the right columns of the version in force.
 
     ``arrival`` orders right rows of one key and time, the last one wins. ``inner``
     drops left rows before the first version, ``left`` keeps them. Both sides carry
     the key under the same names; a NULL key matches nothing. One counting pass over
-    keys and times runs at once to find keys above ``rows_per_task``.
+    keys and times runs at once to find keys above ``rows_per_task``; None says that
+    there are none and leaves it out.
     """
     _check(left, right, keys, how)
     known = left.filter(_all_known(keys, left_time))
@@ -43,23 +44,26 @@ def asof_join(
             *keys, _micros(right_time).alias("_us")
         )
     )
-    slices = heavy_key_slices(points, keys, "_us", rows_per_task)
-    versions = with_slice(_versions(right, keys, right_time, arrival), slices, keys, "_us")
+    slices = rows_per_task and heavy_key_slices(points, keys, "_us", rows_per_task)
+    versions = with_slice(_versions(right, keys, right_time), slices, keys, "_us")
     if slices is None or slices.even:
         probes = with_slice(_whole_probes(known, keys, left_time), slices, keys, "_us")
-        carried = slices and _carried(probes, versions, keys, slices.table)
-        found = _unpacked(_in_force(probes, versions, keys, carried), how)
+        carried = slices and _carried(probes, versions, keys, arrival, slices.table)
+        found = _unpacked(_in_force(probes, versions, keys, arrival, carried), how)
         return _with_unmatchable(found, left, keys, left_time, how)
     # Copies of one key and time stay together however thin the slice. So only the
-    # distinct points are resolved, and a plain join takes the answers back to the
-    # rows; Spark splits that join where it is skewed.
+    # distinct points and one version per point are resolved, and a plain join takes
+    # the answers back to the rows; Spark splits that join where it is skewed.
+    newest = F.max_by("_right", F.struct(*_arrival(arrival)))
+    versions = versions.groupBy(*keys, "_us", "_slice").agg(newest.alias("_right"))
     distinct = known.select(*keys, F.col(left_time).alias("_time")).distinct()
     distinct = distinct.select(
         *keys, _micros("_time").alias("_us"), F.struct("_time").alias("_left")
     )
     probes = with_slice(distinct, slices, keys, "_us")
-    carried = _carried(probes, versions, keys, slices.table)
-    found = _in_force(probes, versions, keys, carried).filter(F.col("_right").isNotNull())
+    carried = _carried(probes, versions, keys, arrival, slices.table)
+    found = _in_force(probes, versions, keys, arrival, carried)
+    found = found.filter(F.col("_right").isNotNull())
     answers = found.select(*keys, F.col("_left._time").alias(left_time), "_right")
     joined = known.join(answers, [*keys, left_time], how)
     joined = joined.select(*[F.col(f"`{c}`") for c in left.columns], "_right.*")
@@ -85,11 +89,11 @@ def asof_join_bucketed(
         raise ValueError("bucket_seconds must be at least 1")
     step = F.lit(bucket_seconds * 1_000_000)
     place = F.floor(F.col("_us") / step).cast("bigint")
-    versions = _versions(right, keys, right_time, arrival).withColumn("_slice", place)
+    versions = _versions(right, keys, right_time).withColumn("_slice", place)
     known = left.filter(_all_known(keys, left_time))
     probes = _whole_probes(known, keys, left_time).withColumn("_slice", place)
-    carried = _carried(probes, versions, keys)
-    found = _unpacked(_in_force(probes, versions, keys, carried), how)
+    carried = _carried(probes, versions, keys, arrival)
+    found = _unpacked(_in_force(probes, versions, keys, arrival, carried), how)
     return _with_unmatchable(found, left, keys, left_time, how)
 
 
@@ -114,19 +118,19 @@ def _all_known(keys: Sequence[str], time: str) -> Column:
     return known
 
 
-def _versions(
-    right: DataFrame, keys: Sequence[str], time: str, arrival: Sequence[str]
-) -> DataFrame:
-    """One version per key and time, packed into ``_right`` without the key."""
+def _versions(right: DataFrame, keys: Sequence[str], time: str) -> DataFrame:
+    """Right rows packed into ``_right`` without the key."""
     payload = F.struct(*[F.col(f"`{c}`") for c in right.columns if c not in keys])
-    order = F.struct(*[F.col(c) for c in arrival], payload) if arrival else payload
-    return (
-        right.filter(_all_known(keys, time))
-        .groupBy(*keys, _micros(time).alias("_us"))
-        .agg(F.max_by(payload, order).alias("_right"))
+    return right.filter(_all_known(keys, time)).select(
+        *keys, _micros(time).alias("_us"), payload.alias("_right")
     )
 
 
+def _arrival(arrival: Sequence[str]) -> list[Column]:
+    """Order of versions of one time. The whole row at the end makes it total."""
+    return [*[F.col(f"_right.`{name}`") for name in arrival], F.col("_right")]
+
+
 def _whole_probes(left: DataFrame, keys: Sequence[str], time: str) -> DataFrame:
     return left.select(
         *keys,
@@ -139,6 +143,7 @@ def _carried(
     probes: DataFrame,
     versions: DataFrame,
     keys: Sequence[str],
+    arrival: Sequence[str],
     heavy: DataFrame | None = None,
 ) -> DataFrame:
     """For each slice that has probes, the last version of the slices before it."""
@@ -147,7 +152,8 @@ def _carried(
         probes = probes.join(heavy, list(keys), "left_semi")
         versions = versions.join(heavy, list(keys), "left_semi")
     last = versions.groupBy(*keys, "_slice").agg(
-        F.max_by("_right", "_us").alias("_right"), F.lit(False).alias("_asks")
+        F.max_by("_right", F.struct("_us", *_arrival(arrival))).alias("_right"),
+        F.lit(False).alias("_asks"),
     )
     asks = (
         probes.select(*keys, "_slice")
@@ -170,6 +176,7 @@ def _in_force(
     probes: DataFrame,
     versions: DataFrame,
     keys: Sequence[str],
+    arrival: Sequence[str],
     carried: DataFrame | None = None,
 ) -> DataFrame:
     """Probes with the version in force in ``_right``, NULL before the first one."""
@@ -196,7 +203,7 @@ def _in_force(
             rows(carried, _CARRIED, before_all, no_left, F.col("_right"))
         )
     in_order = Window.partitionBy(*keys, "_slice").orderBy(
-        F.col("_us").asc_nulls_first(), "_place"
+        F.col("_us").asc_nulls_first(), "_place", *_arrival(arrival)
     )
     so_far = in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return line.withColumn(
