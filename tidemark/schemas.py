@@ -40,7 +40,6 @@ CLASS_LINE = "cid STRING, grade INT, subject INT"
 CLASS_USER_LINE = "uid STRING, cid STRING, role INT"
 ORDER_LINE = "o_time STRING, o_amount INT, o_currency STRING"
 RATE_LINE = "r_time STRING, r_currency STRING, r_rate INT"
-WIDE_READ = "rowkey STRING, info STRUCT<ett_user_id: STRING, dc_school_id: STRING>"
 WIDE_WRITE = "rowkey STRING, info STRUCT<uid: STRING, name: STRING, age: STRING>"
 CELLS = (
     "rowkey STRING, family STRING, qualifier STRING, value STRING, version BIGINT"
