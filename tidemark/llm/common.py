@@ -8,6 +8,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
+from tidemark.session import new_folder
+
+# A word, in the regular expressions of Java and Python alike.
+WORD = r"[^\x20\x09-\x0D]+"
+
 # A task works on a batch in blocks of about this many bytes of text, so that its
 # arrays stay small whatever the batch holds. A longer text is a block of its own.
 BLOCK_BYTES = 2_000_000
@@ -17,6 +22,14 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def shared_table(df: DataFrame, purpose: str) -> DataFrame:
+    """Write ``df`` to the shared folder and read it back: lineage ends here, and what
+    a lost executor held is read again instead of being made again."""
+    path = new_folder(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def text_bytes(column: pa.Array) -> list[bytes | None]:
     """The texts of an Arrow column as UTF-8 bytes."""
     return column.cast(pa.large_binary()).to_pylist()

@@ -6,8 +6,11 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidemark.llm.common import read_table
+from tidemark.llm.mixing import mix_sources, word_count
+from tidemark.llm.packing import pack
 from tidemark.llm.repetition import (
     LINE_CHARS_LIMIT,
     LINE_COUNT_LIMIT,
@@ -21,6 +24,16 @@ def op1_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repetition_signals(read_table(spark, sf_dir, "documents"))
 
 
+def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mix_sources(read_table(spark, sf_dir, "documents"))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken", "source", "repeats")
+
+
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = read_table(spark, sf_dir, "documents")
+    return pack(documents, word_count(F.col("text")), F.xxhash64("text"))
+
+
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("word_bpe_49k.json")
     return token_counts(read_table(spark, sf_dir, "documents"), path)
@@ -28,6 +41,8 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_repetition": op1_repetition,
+    "op3_mixing": op3_mixing,
+    "op6_packing": op6_packing,
     "op8_token_counts": op8_token_counts,
 }
 
@@ -85,4 +100,43 @@ SELECT *, NOT base_failed AND {_OP1_KEPT}
 FROM judged
 """
 
-LLM_ORACLE_SQL: dict[str, str] = {"op1_repetition": OP1_SQL}
+OP3_SQL = """
+WITH sized AS (
+    SELECT doc_id, source, md5('17:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS draw,
+        coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0) AS size
+    FROM documents),
+sources AS (
+    SELECT source, CAST(sum(size) AS BIGINT) AS source_size,
+        (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1 AS weight
+    FROM sized GROUP BY source),
+levels AS (
+    SELECT *, (SELECT sum(source_size) FROM sources)
+            - 3 * coalesce(sum(source_size) OVER (ahead ROWS BETWEEN UNBOUNDED PRECEDING
+                AND 1 PRECEDING), 0) AS rest,
+        sum(weight) OVER (ahead ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS open_weight
+    FROM sources WINDOW ahead AS (ORDER BY source_size / weight, source NULLS LAST)),
+judged AS (SELECT *, 3 * source_size * open_weight <= rest * weight AS clamped FROM levels),
+final AS (
+    SELECT rest, open_weight FROM judged WHERE NOT clamped
+    ORDER BY open_weight DESC LIMIT 1),
+targets AS (
+    SELECT source, source_size, CASE WHEN clamped THEN CAST(3 * source_size AS DOUBLE)
+        ELSE CAST(weight * (SELECT rest FROM final) AS DOUBLE)
+            / CAST((SELECT open_weight FROM final) AS DOUBLE) END AS target
+    FROM judged),
+placed AS (
+    SELECT s.*, source_size, target,
+        CASE WHEN source_size > 0 THEN CAST(floor(target / source_size) AS BIGINT) ELSE 0 END AS whole,
+        coalesce(sum(size) OVER (PARTITION BY s.source ORDER BY draw, doc_id NULLS FIRST, size
+            ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS ahead
+    FROM sized s JOIN targets t ON s.source IS NOT DISTINCT FROM t.source),
+taken AS (
+    SELECT *, whole + CASE WHEN target - whole * source_size > 0
+        AND 2 * ahead + size <= 2 * (target - whole * source_size) THEN 1 ELSE 0 END AS repeats
+    FROM placed)
+SELECT doc_id, size, source_size, target, CAST(repeats * size AS BIGINT) AS taken, source,
+    CAST(repeats AS BIGINT) AS repeats
+FROM taken
+"""
+
+LLM_ORACLE_SQL: dict[str, str] = {"op1_repetition": OP1_SQL, "op3_mixing": OP3_SQL}
