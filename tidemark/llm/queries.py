@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import read_table
 from tidemark.llm.mixing import mix_sources, word_count
 from tidemark.llm.packing import pack
+from tidemark.llm.pii import personal_data
 from tidemark.llm.repetition import (
     LINE_CHARS_LIMIT,
     LINE_COUNT_LIMIT,
@@ -39,11 +40,16 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(read_table(spark, sf_dir, "documents"), path)
 
 
+def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal_data(read_table(spark, sf_dir, "documents"))
+
+
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_repetition": op1_repetition,
     "op3_mixing": op3_mixing,
     "op6_packing": op6_packing,
     "op8_token_counts": op8_token_counts,
+    "op10_personal_data": op10_personal_data,
 }
 
 
