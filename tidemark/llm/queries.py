@@ -19,6 +19,7 @@ from tidemark.llm.repetition import (
     repetition_signals,
 )
 from tidemark.llm.token_counts import token_counts
+from tidemark.llm.toxicity import fit, toxicity_scores
 
 
 def op1_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -30,6 +31,11 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "source", "repeats")
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = read_table(spark, sf_dir, "documents")
+    return toxicity_scores(documents, fit(documents, read_table(spark, sf_dir, "labels")))
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = read_table(spark, sf_dir, "documents")
     return pack(documents, word_count(F.col("text")), F.xxhash64("text"))
@@ -47,6 +53,7 @@ def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_repetition": op1_repetition,
     "op3_mixing": op3_mixing,
+    "op5_toxicity": op5_toxicity,
     "op6_packing": op6_packing,
     "op8_token_counts": op8_token_counts,
     "op10_personal_data": op10_personal_data,
