@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.common import read_table
 from tidemark.llm.mixing import mix_sources, word_count
+from tidemark.llm.neardup import near_duplicates
 from tidemark.llm.packing import pack
 from tidemark.llm.pii import personal_data
 from tidemark.llm.repetition import (
@@ -46,6 +47,10 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(read_table(spark, sf_dir, "documents"), path)
 
 
+def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(read_table(spark, sf_dir, "documents"))
+
+
 def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return personal_data(read_table(spark, sf_dir, "documents"))
 
@@ -56,6 +61,7 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_toxicity": op5_toxicity,
     "op6_packing": op6_packing,
     "op8_token_counts": op8_token_counts,
+    "op9_near_duplicates": op9_near_duplicates,
     "op10_personal_data": op10_personal_data,
 }
 
