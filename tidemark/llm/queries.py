@@ -13,6 +13,7 @@ from tidemark.llm.mixing import mix_sources, word_count
 from tidemark.llm.neardup import near_duplicates
 from tidemark.llm.packing import pack
 from tidemark.llm.pii import personal_data
+from tidemark.llm.repair import token_files
 from tidemark.llm.repetition import (
     LINE_CHARS_LIMIT,
     LINE_COUNT_LIMIT,
@@ -27,6 +28,11 @@ def op1_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repetition_signals(read_table(spark, sf_dir, "documents"))
 
 
+def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    return token_files(read_table(spark, sf_dir, "documents"), path)
+
+
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mix_sources(read_table(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "source", "repeats")
@@ -57,6 +63,7 @@ def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_repetition": op1_repetition,
+    "op2_token_files": op2_token_files,
     "op3_mixing": op3_mixing,
     "op5_toxicity": op5_toxicity,
     "op6_packing": op6_packing,
