@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import read_table
 from tidemark.llm.mixing import mix_sources, word_count
 from tidemark.llm.neardup import near_duplicates
+from tidemark.llm.neighbours import nearest_neighbours
 from tidemark.llm.packing import pack
 from tidemark.llm.pii import personal_data
 from tidemark.llm.repair import token_files
@@ -38,6 +39,11 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "source", "repeats")
 
 
+def op4_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = read_table(spark, sf_dir, "embeddings")
+    return nearest_neighbours(vectors, vectors.filter("vec_id % 20 = 0"))
+
+
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = read_table(spark, sf_dir, "documents")
     return toxicity_scores(documents, fit(documents, read_table(spark, sf_dir, "labels")))
@@ -65,6 +71,7 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_repetition": op1_repetition,
     "op2_token_files": op2_token_files,
     "op3_mixing": op3_mixing,
+    "op4_neighbours": op4_neighbours,
     "op5_toxicity": op5_toxicity,
     "op6_packing": op6_packing,
     "op8_token_counts": op8_token_counts,
