@@ -145,3 +145,30 @@ def mix_sources(
         repeats.alias("repeats"),
         (repeats * F.col("size")).alias("taken"),
     )
+
+
+def mixed_documents(
+    documents: DataFrame, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text", **settings
+) -> DataFrame:
+    """The rows of ``documents`` as often as ``mix_sources`` takes them.
+
+    Takes its settings too. Rows of one id are told apart by source and size; where
+    these agree as well, they are interchangeable.
+    """
+    mixed = mix_sources(documents, id_col=id_col, source_col=source_col, text_col=text_col, **settings)
+    in_id = Window.partitionBy("_id").orderBy("_source", "_size")
+    mixed = mixed.select(
+        F.col(id_col).alias("_id"), F.col(source_col).alias("_source"), F.col("size").alias("_size"), "repeats"
+    )
+    mixed = mixed.withColumn("_nth", F.row_number().over(in_id)).filter("repeats > 0")
+    mixed = mixed.select(F.col("_id").alias("_mixed"), F.col("_nth").alias("_mixed_nth"), "repeats")
+    rows = documents.select(
+        F.struct(*[documents[name] for name in documents.columns]).alias("_row"),
+        documents[id_col].alias("_id"),
+        documents[source_col].alias("_source"),
+        word_count(documents[text_col]).alias("_size"),
+    )
+    rows = rows.withColumn("_nth", F.row_number().over(in_id))
+    same = F.col("_id").eqNullSafe(F.col("_mixed")) & (F.col("_nth") == F.col("_mixed_nth"))
+    rows = rows.join(mixed, same).withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("bigint"), "repeats")))
+    return rows.select("_row.*")

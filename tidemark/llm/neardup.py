@@ -70,18 +70,24 @@ def _node(hashes: np.ndarray) -> bytes | None:
     return hashlib.blake2b(hashes.tobytes(), digest_size=16).digest() if len(hashes) else None
 
 
+def _text_hash(text: bytes | None) -> int:
+    return 42 if text is None else xxhash.xxh64_intdigest(text, seed=42)
+
+
 def sketches(documents: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """``(id, n_shingles, _node, _sketch)``: the least ``SKETCH`` hashes of each set."""
+    """``(id, n_shingles, _hash, _node, _sketch)``: the least ``SKETCH`` hashes of each
+    set; ``_hash`` is Spark's xxhash64 of the text."""
 
     def work(texts: list[bytes | None]) -> dict[str, list]:
         sets = shingle_sets(texts)
         return {
             "n_shingles": list(map(len, sets)),
+            "_hash": np.array(list(map(_text_hash, texts)), dtype=np.uint64).view(np.int64),
             "_node": pa.array(list(map(_node, sets)), pa.binary()),
             "_sketch": _lists([s[:SKETCH] for s in sets]),
         }
 
-    fields = "n_shingles bigint, _node binary, _sketch array<bigint>"
+    fields = "n_shingles bigint, _hash bigint, _node binary, _sketch array<bigint>"
     return map_texts(documents, id_col, text_col, fields, work)
 
 
@@ -244,6 +250,22 @@ def near_duplicates(
     equal texts with an id, or null, and then they are kept. Ids may repeat, each row
     follows its own text. Other columns are ignored.
     """
+    return _near_duplicates(documents, id_col, text_col).drop("_hash")
+
+
+def without_near_duplicates(
+    documents: DataFrame, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """``documents`` without the rows that are not kept. Rows that agree in id and text
+    are one document and stay or go together."""
+    found = _near_duplicates(documents, id_col, text_col).filter(~F.col("kept"))
+    gone = found.select(F.col(id_col).alias("_gone"), F.col("_hash").alias("_gone_hash"))
+    same = documents[id_col].eqNullSafe(F.col("_gone"))
+    same &= F.xxhash64(documents[text_col]) == F.col("_gone_hash")
+    return documents.join(gone, same, "left_anti")
+
+
+def _near_duplicates(documents: DataFrame, id_col: str, text_col: str) -> DataFrame:
     own = shared_table(sketches(documents, id_col, text_col), "sketches")
     nodes = own.filter("_node IS NOT NULL").groupBy("_node").agg(
         F.min(id_col).alias("_rep"),
@@ -293,4 +315,4 @@ def near_duplicates(
     component = F.coalesce("component_id", F.col(id_col))
     out = out.withColumn("component_id", component)
     kept = F.coalesce(F.col(id_col) == F.col("component_id"), F.col("component_id").isNull())
-    return out.select(id_col, "n_shingles", "component_id", kept.alias("kept"))
+    return out.select(id_col, "n_shingles", "component_id", kept.alias("kept"), "_hash")

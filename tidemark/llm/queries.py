@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from tidemark.llm.common import read_table
 from tidemark.llm.mixing import mix_sources, word_count
 from tidemark.llm.neardup import near_duplicates
@@ -68,6 +69,7 @@ def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "pipeline": corpus_pipeline.run,
     "op1_repetition": op1_repetition,
     "op2_token_files": op2_token_files,
     "op3_mixing": op3_mixing,
