@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
@@ -30,6 +31,13 @@ def shared_table(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def release_shuffles(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of steps whose results are written: it does so
+    when the driver's garbage collector finds that nothing refers to them."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def text_bytes(column: pa.Array) -> list[bytes | None]:
     """The texts of an Arrow column as UTF-8 bytes."""
     return column.cast(pa.large_binary()).to_pylist()

@@ -22,6 +22,7 @@ from tidemark.llm.repetition import (
     NGRAM_LIMITS,
     repetition_signals,
 )
+from tidemark.llm.substrings import without_repeats
 from tidemark.llm.token_counts import token_counts
 from tidemark.llm.toxicity import fit, toxicity_scores
 
@@ -55,6 +56,11 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(documents, word_count(F.col("text")), F.xxhash64("text"))
 
 
+def op7_repeated_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cleaned = without_repeats(read_table(spark, sf_dir, "documents"))
+    return cleaned.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("word_bpe_49k.json")
     return token_counts(read_table(spark, sf_dir, "documents"), path)
@@ -76,6 +82,7 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_neighbours": op4_neighbours,
     "op5_toxicity": op5_toxicity,
     "op6_packing": op6_packing,
+    "op7_repeated_substrings": op7_repeated_substrings,
     "op8_token_counts": op8_token_counts,
     "op9_near_duplicates": op9_near_duplicates,
     "op10_personal_data": op10_personal_data,
