@@ -101,31 +101,44 @@ def nearest(
     """The k examples of largest cosine above 0, ties to the earlier; exact.
 
     Blocks are visited by their upper bound, the sum of the query's weights times the
-    block maxima, until no block left can reach the k-th best. ``skip`` is left out.
+    block maxima, a few at a time, until no block left can reach the k-th best. ``skip``
+    is left out.
     """
-    entries = [np.arange(index.starts[t], index.starts[t + 1]) for t in terms]
-    entry = np.concatenate([*entries, np.zeros(0, dtype=np.int64)]).astype(np.int64)
+    entries = [np.arange(index.starts[t], index.starts[t + 1]) for t in terms.tolist()]
+    entry = np.concatenate([*entries, np.zeros(0, dtype=np.int64)])
+    best_ids, best = np.zeros(0, dtype=np.int64), np.zeros(0)
+    if not len(entry):
+        return best_ids, best
     of_query = np.repeat(weights, [len(e) for e in entries])
     places, row = np.unique(index.blocks[entry], return_inverse=True)
     bounds = np.bincount(row, weights=of_query * index.maxima[entry], minlength=len(places))
-    by_block = np.argsort(row, kind="stable")
-    edges = np.searchsorted(row[by_block], np.arange(len(places) + 1))
-    best_ids, best = np.zeros(0, dtype=np.int64), np.zeros(0)
-    for b in np.argsort(-bounds, kind="stable"):
-        if len(best) == k and bounds[b] < best[-1] - 1e-9:
+    visit = np.argsort(-bounds, kind="stable")
+    bounds, places = bounds[visit], places[visit]
+    turn = np.empty(len(visit), dtype=np.int64)
+    turn[visit] = np.arange(len(visit))
+    turns = turn[row]
+    order = np.argsort(turns, kind="stable")
+    entry, of_query, turns = entry[order], of_query[order], turns[order]
+    done, step = 0, 8
+    while done < len(places):
+        least = best[-1] - 1e-9 if len(best) == k else 0.0
+        stop = min(done + step, int(np.searchsorted(-bounds, -least, side="right")))
+        if stop <= done:
             break
-        scores = np.zeros(BLOCK)
-        base = places[b] * BLOCK
-        for e in by_block[edges[b] : edges[b + 1]]:
-            own = slice(index.first[entry[e]], index.first[entry[e] + 1])
-            scores[index.examples[own] - base] += of_query[e] * index.weights[own]
-        if base <= skip < base + BLOCK:
-            scores[skip - base] = 0.0
+        low, high = np.searchsorted(turns, (done, stop))
+        own = entry[low:high]
+        sizes = index.first[own + 1] - index.first[own]
+        posting = np.repeat(index.first[own] - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum())
+        slot = np.repeat(turns[low:high] - done, sizes) * BLOCK + index.examples[posting] % BLOCK
+        values = np.repeat(of_query[low:high], sizes) * index.weights[posting]
+        scores = np.bincount(slot, weights=values, minlength=(stop - done) * BLOCK)
         hit = np.flatnonzero(scores)
-        all_ids = np.concatenate([best_ids, hit + base])
-        scores = np.concatenate([best, scores[hit]])
-        top = np.lexsort((all_ids, -np.round(scores, 9)))[:k]
-        best_ids, best = all_ids[top], scores[top]
+        ids = places[done + hit // BLOCK] * BLOCK + hit % BLOCK
+        scores = np.concatenate([best, scores[hit][ids != skip]])
+        ids = np.concatenate([best_ids, ids[ids != skip]])
+        top = np.lexsort((ids, -np.round(scores, 9)))[:k]
+        best_ids, best = ids[top], scores[top]
+        done, step = stop, 2 * step
     return best_ids, best
 
 
