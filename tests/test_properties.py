@@ -4,6 +4,7 @@ import random
 from collections import defaultdict
 from datetime import datetime, timedelta
 
+import pyarrow as pa
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
@@ -15,7 +16,7 @@ from tidemark.operators.keyed import running_state
 from tidemark.operators.membership import latest_membership
 from tidemark.operators.skew import heavy_key_slices, with_slice
 from tidemark.operators.windowjoin import co_group_apply
-from tidemark.plans.batch import _pairs_or_alone
+from tidemark.session import session_conf
 from tidemark.sinks.widecolumn import to_cells
 from tidemark.sources.widecolumn import read_rows
 
@@ -162,18 +163,40 @@ def test_cells_and_rows_are_inverse(spark):
     assert sorted(map(str, back.collect())) == sorted(map(str, rows.collect()))
 
 
-@pytest.mark.parametrize("block", [2, 1000])
-def test_co_group_in_blocks_equals_the_whole_group(spark, block):
-    left = [("hot", i) for i in range(7)] + [("cold", 0), ("alone", 1)]
+@pytest.mark.parametrize("batch", [2, 10_000])
+def test_co_group_gives_pairs_and_lone_rows(spark, batch):
+    left = [("hot", i) for i in range(7)] + [("cold", 0), ("alone", 1), (None, 5)]
     left += [("hot", 3)] * 3
-    right = [("hot", i) for i in range(5)] + [("cold", 9), ("right only", 1)]
+    right = [("hot", i) for i in range(5)] + [("cold", 9), ("right only", 1), (None, 7)]
     clicks = spark.createDataFrame(left, "k STRING, click BIGINT")
     views = spark.createDataFrame(right, "k STRING, view BIGINT")
-    result = co_group_apply(
-        clicks, views, ["k"], _pairs_or_alone, "k STRING, click BIGINT, view BIGINT", block
-    )
-    expected = []
-    for key, click in left:
-        partners = [view for k, view in right if k == key] or [None]
-        expected += [(key, click, view) for view in partners]
-    assert sorted(map(tuple, result.collect()), key=str) == sorted(expected, key=str)
+
+    def counted(pairs):
+        rows = pa.array([pairs.num_rows], pa.int64())
+        paired = pa.array([pairs["paired"].true_count], pa.int64())
+        return pa.RecordBatch.from_arrays([rows, paired], ["rows", "paired"])
+
+    with session_conf(spark, {"spark.sql.execution.arrow.maxRecordsPerBatch": str(batch)}):
+        result = co_group_apply(
+            clicks, views, ["k"], lambda pairs: pairs.drop_columns(["paired"]), "k STRING, click BIGINT, view BIGINT"
+        )
+        # A NULL key has no partner.
+        expected = []
+        for key, click in left:
+            partners = [view for k, view in right if k == key and k is not None] or [None]
+            expected += [(key, click, view) for view in partners]
+        assert sorted(map(tuple, result.collect()), key=str) == sorted(expected, key=str)
+        # A function that counts its rows counts the same ones however they are cut.
+        sums = co_group_apply(clicks, views, ["k"], counted, "rows BIGINT, paired BIGINT")
+        assert tuple(sums.groupBy().sum("rows", "paired").first()) == (len(expected), len(expected) - 2)
+
+
+def test_running_state_cuts_a_heavy_null_key(spark):
+    rows = [(None if i % 3 else "a", i, f"2024-01-01 00:{i % 60:02d}:{i // 60:02d}") for i in range(150)]
+    rows += [(None, 1, None), ("a", 1, None)]
+    df = spark.createDataFrame(rows, "key STRING, value INT, t STRING").withColumn("ts", F.col("t").cast("timestamp"))
+    for only in ("key IS NULL", "true"):
+        some = df.filter(only)
+        whole = running_state(some, "key", "value", ["ts", "value"])
+        cut = running_state(some, "key", "value", ["ts", "value"], rows_per_task=2)
+        assert sorted(map(str, cut.collect())) == sorted(map(str, whole.collect()))

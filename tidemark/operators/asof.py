@@ -148,7 +148,7 @@ def _carried(
 ) -> DataFrame:
     """For each slice that has probes, the last version of the slices before it."""
     if heavy is not None:
-        heavy = F.broadcast(heavy.select(*keys))
+        heavy = heavy.select(*keys)
         probes = probes.join(heavy, list(keys), "left_semi")
         versions = versions.join(heavy, list(keys), "left_semi")
     last = versions.groupBy(*keys, "_slice").agg(

@@ -54,19 +54,21 @@ def running_state(
             .orderBy("_slice")
             .rowsBetween(Window.unboundedPreceding, -1)
         )
+        heavy = slices.table.select(F.col(key).alias("_heavy"))
         totals = (
-            rows.join(F.broadcast(slices.table.select(key)), key, "left_semi")
+            rows.join(heavy, F.col(key).eqNullSafe(F.col("_heavy")), "left_semi")
             .groupBy(key, "_slice")
             .agg(F.count("*").alias("_n"), F.sum(number).alias("_s"))
             .select(
-                key,
-                "_slice",
+                F.col(key).alias("_key"),
+                F.col("_slice").alias("_at"),
                 F.sum("_n").over(before).alias("_count_before"),
                 F.sum("_s").over(before).alias("_sum_before"),
             )
         )
+        same = F.col(key).eqNullSafe(F.col("_key")) & (F.col("_slice") == F.col("_at"))
         zero = F.lit(0).cast("bigint")
-        running = running.join(totals, [key, "_slice"], "left").select(
+        running = running.join(totals, same, "left").select(
             *df.columns,
             (F.col("running_count") + F.coalesce("_count_before", zero)).alias(
                 "running_count"

@@ -6,9 +6,10 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tidemark.operators.latest import latest_by_key
-from tidemark.sources.widecolumn import row_layout
+from tidemark.sources.widecolumn import read_rows, row_layout
 
 
 def lookup_join(
@@ -57,6 +58,32 @@ def lookup_by_row_key(
     return lookup_join(rows, table, row_key, declared_key, how, fields)
 
 
+def lookup_in_cells(
+    rows: DataFrame,
+    cells: DataFrame,
+    schema: StructType | str,
+    row_key: str,
+    fields: dict[str, str],
+    families: Sequence[str] | None = None,
+    how: str = "inner",
+) -> DataFrame:
+    """Lookup in a table kept as cells, by the distinct keys of the rows.
+
+    Only the cells of keys that are asked for are put together to rows.
+    """
+    declared_key, _ = row_layout(schema)
+    asked = rows.select(F.col(row_key).alias("rowkey")).distinct()
+    asked_cells = cells.join(asked, "rowkey", "left_semi")
+    table = read_rows(asked_cells, schema, families)
+    return lookup_by_row_key(rows, table, row_key, [declared_key], fields, how)
+
+
+def asked_rows(rows: DataFrame, table: DataFrame, row_key: str, table_key: str) -> DataFrame:
+    """The rows of the table that the distinct keys of ``rows`` ask for."""
+    asked = rows.select(F.col(row_key).alias("_asked")).distinct()
+    return table.join(asked, F.col(table_key) == F.col("_asked"), "left_semi")
+
+
 def latest_enriched(
     rows: DataFrame,
     table: DataFrame,
@@ -106,7 +133,8 @@ def performance_by_ref(
         joined,
         ["user_ref"],
         [*fields, *totals],
-        order=["max_proctime"],
+        # The fields make the order total, so that all columns come from one row.
+        order=["max_proctime", *fields],
         times={"max_proctime": "t"},
     )
     return latest.drop("t_min").withColumnRenamed("t_max", "m_time")

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
@@ -41,7 +43,8 @@ def heavy_key_slices(
     )
     span = F.col("_end") - F.col("_origin") + 1
     parts = F.ceil(F.col("_n") * 2 / F.lit(rows_per_task))
-    heavy = counts.filter(F.col("_n") > rows_per_task).select(
+    timed = (F.col("_n") > rows_per_task) & F.col("_origin").isNotNull()
+    heavy = counts.filter(timed).select(
         *keys, "_origin", _at_least_one(F.call_function("div", span, parts)).alias("_width")
     )
     rows = heavy.collect()
@@ -82,13 +85,19 @@ def _fullest(
 ) -> DataFrame:
     """Rows ``_n`` in the fullest slice of each heavy key."""
     by = [*keys, "_origin", "_width"]
-    placed = points.join(F.broadcast(slices), list(keys)).withColumn(
-        "_slice", _place(micros)
-    )
+    placed = _null_safe_join(points, slices, keys, "inner").withColumn("_slice", _place(micros))
     per_slice = placed.groupBy(*by, "_slice").agg(F.count("*").alias("_n"))
     return per_slice.groupBy(*by).agg(F.max("_n").alias("_n"))
 
 
+def _null_safe_join(df: DataFrame, table: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
+    """Join on the keys, NULL being a key like any other. The table of heavy keys is a
+    local relation, whose size Spark knows."""
+    named = table.withColumnsRenamed({key: f"_heavy_{key}" for key in keys})
+    on = [F.col(key).eqNullSafe(F.col(f"_heavy_{key}")) for key in keys]
+    return df.join(named, reduce(and_, on), how).drop(*[f"_heavy_{key}" for key in keys])
+
+
 def _place(micros: str) -> Column:
     offset = F.col(micros) - F.col("_origin")
     return F.call_function("div", offset, F.col("_width"))
@@ -100,7 +109,6 @@ def with_slice(
     """Add ``_slice``: the place on the time line of a heavy key, 0 for other keys."""
     if slices is None:
         return df.withColumn("_slice", F.lit(0).cast("bigint"))
-    # The table of heavy keys is small by construction, see heavy_key_slices.
-    placed = df.join(F.broadcast(slices.table), list(keys), "left")
+    placed = _null_safe_join(df, slices.table, keys, "left")
     place = F.coalesce(_place(micros), F.lit(0)).cast("bigint")
     return placed.withColumn("_slice", place).drop("_origin", "_width")

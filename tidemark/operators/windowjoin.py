@@ -9,8 +9,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-ROWS_PER_BLOCK = 100_000
-
 
 def in_window(df: DataFrame, time: str, size: str) -> DataFrame:
     """Replace the time by ``_window_time``, the last moment of its tumbling window.
@@ -57,62 +55,17 @@ def co_group_apply(
     left: DataFrame,
     right: DataFrame,
     keys: Sequence[str],
-    function: Callable[[pa.Table, pa.Table], pa.Table],
+    function: Callable[[pa.RecordBatch], pa.RecordBatch],
     schema: StructType | str,
-    rows_per_block: int = ROWS_PER_BLOCK,
-) -> DataFrame:
-    """A function over the two sides of each key that the left side has.
-
-    The function must work on blocks: its result for a group is the union of its
-    results for every block of left rows with every block of right rows, and a right
-    block is empty only if the group has no right rows. Groups above
-    ``rows_per_block`` are cut that way, so that no task holds a whole heavy group.
-    """
-    left_own = _in_blocks(left, keys, "_lb", rows_per_block)
-    right_own = _in_blocks(right, keys, "_rb", rows_per_block)
-    # Only blocks that got rows, at most rows / rows_per_block of them per key.
-    left_taken = left_own.groupBy(*keys).agg(F.collect_set("_lb").alias("_taken"))
-    right_taken = right_own.groupBy(*keys).agg(F.collect_set("_rb").alias("_taken"))
-    first = F.array(F.lit(0).cast("bigint"))
-    left_blocks = left_own.join(right_taken, list(keys), "left").select(
-        *left_own.columns, F.explode(F.coalesce("_taken", first)).alias("_rb")
-    )
-    right_blocks = right_own.join(left_taken, list(keys), "inner").select(
-        *right_own.columns, F.explode("_taken").alias("_lb")
-    )
-    left_columns, right_columns = left.columns, right.columns
-
-    def apply(a: pa.Table, b: pa.Table) -> pa.Table:
-        return function(a.select(left_columns), b.select(right_columns))
-
-    by = [*keys, "_lb", "_rb"]
-    # Both sides may come from one table; fresh names keep their columns apart.
-    lefts = left_blocks.toDF(*left_blocks.columns)
-    rights = right_blocks.toDF(*right_blocks.columns)
-    # The cost is in the calls, not in the bytes by which Spark would merge the
-    # partitions, so their number is kept.
-    parts = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    lefts = lefts.repartition(parts, *by).groupBy(*by)
-    rights = rights.repartition(parts, *by).groupBy(*by)
-    return lefts.cogroup(rights).applyInArrow(apply, schema)
-
-
-def _in_blocks(
-    df: DataFrame, keys: Sequence[str], name: str, rows_per_block: int
 ) -> DataFrame:
-    """Each row with its block of its group.
+    """A function over the pairs of each key and the left rows without a partner.
 
-    Equal rows are counted and numbered, so that copies spread over the blocks and
-    a rerun of a task places them as before.
+    The function gets record batches with the keys, the other left columns, the other
+    right columns (NULL without a partner) and ``paired``. Batches are cut anywhere, so
+    it can neither see nor depend on how many rows a group has. A NULL key has no
+    partner. Spark splits heavy keys as in any join.
     """
-    columns = df.columns
-    copies = df.groupBy(*columns).agg(F.count("*").alias("_copies"))
-    sizes = copies.groupBy(*keys).agg(F.sum("_copies").alias("_rows"))
-    numbered = copies.select(
-        *columns, F.explode(F.sequence(F.lit(1), F.col("_copies"))).alias("_copy")
-    )
-    blocks = F.greatest(F.ceil(F.col("_rows") / F.lit(rows_per_block)), F.lit(1))
-    number = F.xxhash64(*columns) + F.col("_copy")
-    return numbered.join(sizes, list(keys), "left").select(
-        *columns, F.coalesce(F.pmod(number, blocks), F.lit(0)).cast("bigint").alias(name)
-    )
+    marked = right.withColumn("paired", F.lit(True))
+    joined = left.join(marked, list(keys), "left")
+    joined = joined.withColumn("paired", F.coalesce("paired", F.lit(False)))
+    return joined.mapInArrow(lambda batches: map(function, batches), schema)

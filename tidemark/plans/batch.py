@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-import numpy as np
+import zlib
+
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,13 +14,12 @@ from tidemark.functions.shape import (
     align_to,
     name_by_position,
     nested_row,
-    once,
     product,
     project_nested,
     rename,
     suffixed_key,
 )
-from tidemark.functions.times import epoch_ms_text, local_text_to_timestamp
+from tidemark.functions.times import epoch_ms_text
 from tidemark.operators.accumulate import average
 from tidemark.operators.asof import asof_join, asof_join_bucketed
 from tidemark.operators.changelog import apply_changelog, changelog_diff, inserts_only
@@ -27,13 +27,13 @@ from tidemark.operators.keyed import keyed_totals, parse_keyed, running_state
 from tidemark.operators.latest import latest_by_key, latest_rows
 from tidemark.operators.lookup import (
     latest_enriched,
-    lookup_by_row_key,
+    lookup_in_cells,
     lookup_join,
     performance_by_ref,
 )
 from tidemark.operators.membership import latest_membership, latest_membership_windowed
 from tidemark.operators.performance import task_performance, task_performance_recent
-from tidemark.operators.routing import parse_branch, route
+from tidemark.operators.routing import parse_branch, route_labelled
 from tidemark.operators.windowjoin import co_group_apply, window_join
 from tidemark.operators.windows import (
     tumbling_average,
@@ -47,10 +47,16 @@ from tidemark.sinks.search import documents
 from tidemark.sinks.upsert import keyed_table
 from tidemark.sinks.widecolumn import apply_to_cells, to_cells
 from tidemark.sources.catalog import read_table, register_parquet
-from tidemark.sources.lines import parse_lines, read_lines
-from tidemark.sources.topics import parse_json, unwrap_envelope, unwrap_topic_envelope
+from tidemark.sources.lines import ParsedLines, parse_lines, read_lines
+from tidemark.sources.topics import (
+    parse_json,
+    parse_json_checked,
+    unwrap_envelope,
+    unwrap_topic_envelope,
+)
 from tidemark.sources.widecolumn import read_rows
 
+LINE_ZONE = "+08:00"
 DAY = "1 day"
 DAY_SECONDS = 86_400
 WEEK = "7 days"
@@ -69,13 +75,15 @@ def cdc_flat(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def performance(spark: SparkSession, sf: str) -> DataFrame:
-    return inputs.naive(task_performance(flat_changes(spark, sf)), "max_proctime")
+    result = align_to(task_performance(flat_changes(spark, sf)), schemas.TASK_PERFORMANCE)
+    return inputs.naive(result, "max_proctime")
 
 
 def performance_recent(spark: SparkSession, sf: str) -> DataFrame:
     flat = flat_changes(spark, sf)
     newest = inputs.events(spark, sf).agg(F.max("ts")).scalar()
     recent = task_performance_recent(flat, newest, minutes=24 * 60)
+    recent = align_to(recent, schemas.TASK_PERFORMANCE)
     return inputs.naive(recent, "max_proctime")
 
 
@@ -98,29 +106,16 @@ def json_schema_projection(spark: SparkSession, sf: str) -> DataFrame:
 
 def route_counts(spark: SparkSession, sf: str) -> DataFrame:
     messages = unwrap_topic_envelope(inputs.activity_topics(spark, sf))
-    branches = route(
-        messages,
-        {
-            "clicks": F.col("topic") == "click",
-            "views": F.col("topic") == "view",
-            "no_signups": F.col("topic") != "signup",
-            "all": None,
-        },
+    edges = {
+        "clicks": F.col("topic") == "click",
+        "views": F.col("topic") == "view",
+        "no_signups": F.col("topic") != "signup",
+        "all": None,
+    }
+    rows = parse_branch(messages, "event_id BIGINT, user_id BIGINT, k INT", keep=("topic",))
+    return route_labelled(rows, edges).groupBy("branch").agg(
+        F.count("*").alias("n"), F.sum("k").alias("sum_k"), F.max("user_id").alias("max_user")
     )
-    schema = "event_id BIGINT, user_id BIGINT, k INT"
-    counted = [
-        parse_branch(rows, schema).agg(
-            F.lit(name).alias("branch"),
-            F.count("*").alias("n"),
-            F.sum("k").alias("sum_k"),
-            F.max("user_id").alias("max_user"),
-        )
-        for name, rows in branches.items()
-    ]
-    result = counted[0]
-    for more in counted[1:]:
-        result = result.unionByName(more)
-    return result
 
 
 def _measured_events(spark: SparkSession, sf: str) -> DataFrame:
@@ -171,27 +166,30 @@ def membership_latest_windowed(spark: SparkSession, sf: str) -> DataFrame:
     return latest_membership_windowed(*_branches(spark, sf), order=["position"], size=WEEK)
 
 
+def parsed_orders(lines: DataFrame) -> ParsedLines:
+    zones = {"o_time": LINE_ZONE}
+    return parse_lines(lines, schemas.ORDER_LINE, keep=("event_id",), zones=zones)
+
+
+def parsed_rates(lines: DataFrame) -> ParsedLines:
+    zones = {"r_time": LINE_ZONE}
+    return parse_lines(lines, schemas.RATE_LINE, keep=("event_id",), zones=zones)
+
+
+def as_orders(rows: DataFrame) -> DataFrame:
+    names = {"o_time": "o_rowtime", "o_currency": "currency"}
+    return rename(rows, names).select("event_id", "o_rowtime", "o_amount", "currency")
+
+
+def as_rates(rows: DataFrame) -> DataFrame:
+    names = {"event_id": "rate_id", "r_time": "r_rowtime", "r_currency": "currency"}
+    return rename(rows, names).select("rate_id", "r_rowtime", "r_rate", "currency")
+
+
 def orders_and_rates(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
-    orders = parse_lines(
-        inputs.order_lines(spark, sf), schemas.ORDER_LINE, keep=("event_id",)
-    ).rows
-    rates = parse_lines(
-        inputs.rate_lines(spark, sf), schemas.RATE_LINE, keep=("event_id",)
-    ).rows
-    return (
-        orders.select(
-            "event_id",
-            once(local_text_to_timestamp(F.col("o_time"))).alias("o_rowtime"),
-            "o_amount",
-            F.col("o_currency").alias("currency"),
-        ),
-        rates.select(
-            F.col("event_id").alias("rate_id"),
-            once(local_text_to_timestamp(F.col("r_time"))).alias("r_rowtime"),
-            "r_rate",
-            F.col("r_currency").alias("currency"),
-        ),
-    )
+    orders = parsed_orders(inputs.order_lines(spark, sf)).rows
+    rates = parsed_rates(inputs.rate_lines(spark, sf)).rows
+    return as_orders(orders), as_rates(rates)
 
 
 def amounts(joined: DataFrame) -> DataFrame:
@@ -219,8 +217,27 @@ def asof_amount_bucketed(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def local_time_parse(spark: SparkSession, sf: str) -> DataFrame:
-    orders, _ = orders_and_rates(spark, sf)
-    return orders.select("event_id", epoch_ms_text(F.col("o_rowtime")).alias("epoch_ms"))
+    rows = parsed_orders(inputs.time_lines(spark, sf)).rows
+    return rows.select("event_id", epoch_ms_text(F.col("o_time")).alias("epoch_ms"))
+
+
+def corrupt_orders(spark: SparkSession, sf: str) -> DataFrame:
+    """Lines whose time, amount or end is not what the schema declares."""
+    return parsed_orders(inputs.time_lines(spark, sf, broken=True)).corrupt
+
+
+def corrupt_messages(spark: SparkSession, sf: str) -> DataFrame:
+    """Messages that are no JSON, or hold another type than declared."""
+    messages = inputs.change_messages(spark, sf, broken=True)
+    corrupt = parse_json_checked(messages, schemas.CHANGE_EVENT, keep=("event_id",)).corrupt
+    return corrupt.select("event_id", (F.length("_corrupt") == 20).alias("cut"))
+
+
+def whole_messages(spark: SparkSession, sf: str) -> DataFrame:
+    """What parses of the same messages: with the corrupt ones, all of them."""
+    messages = inputs.change_messages(spark, sf, broken=True)
+    rows = parse_json_checked(messages, schemas.CHANGE_EVENT, keep=("event_id",)).rows
+    return rows.select("event_id", "op", "ts_ms")
 
 
 def _keyed_lines(spark: SparkSession, sf: str) -> DataFrame:
@@ -274,12 +291,8 @@ def window_left(spark: SparkSession, sf: str) -> DataFrame:
     return tagged(window_join(clicks, views, ["user_id"], "ts", DAY, "left"), "CoGroup")
 
 
-def _pairs_or_alone(clicks: pa.Table, views: pa.Table) -> pa.Table:
-    n, m = clicks.num_rows, views.num_rows
-    if m == 0:
-        return clicks.append_column("view", pa.nulls(n, pa.int64()))
-    pairs = clicks.take(np.repeat(np.arange(n), m))
-    return pairs.append_column("view", views["view"].take(np.tile(np.arange(m), n)))
+def _pairs_or_alone(pairs: pa.RecordBatch) -> pa.RecordBatch:
+    return pairs.select(["user_id", "day", "click", "view"])
 
 
 def cogroup_apply(spark: SparkSession, sf: str) -> DataFrame:
@@ -317,12 +330,8 @@ def lookup_inner(spark: SparkSession, sf: str) -> DataFrame:
     visits = _visits(spark, sf).withColumn("user_key", suffixed_key(F.col("rrr"), "_key"))
     cells = to_cells(inputs.customer_rows(spark, sf), F.lit(1))
     schema = f"{schemas.WIDE_WRITE}, market STRUCT<segment: STRING>"
-    joined = lookup_by_row_key(
-        visits,
-        read_rows(cells, schema, ["info"]),
-        "user_key",
-        ["rowkey"],
-        {"jid": "info.uid", "name": "info.name"},
+    joined = lookup_in_cells(
+        visits, cells, schema, "user_key", {"jid": "info.uid", "name": "info.name"}, ["info"]
     )
     return joined.select("event_id", "jid", "name")
 
@@ -449,17 +458,15 @@ def text_lines(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def catalog_select(spark: SparkSession, sf: str) -> DataFrame:
-    register_parquet(spark, "tidemark_customer", f"{sf}/customer.parquet")
+    path = f"{sf}/customer.parquet"
+    name = f"tidemark_customer_{zlib.crc32(path.encode())}"
+    register_parquet(spark, name, path)
     named = rename(
-        read_table(spark, "tidemark_customer"),
+        read_table(spark, name),
         {"c_custkey": "uid", "c_name": "name", "c_nationkey": "age"},
     )
-    segment = inputs.table(spark, sf, "customer").select("c_custkey", "c_mktsegment")
-    pairs = named.join(
-        name_by_position(segment, "other", "segment"), F.col("uid") == F.col("other")
-    )
-    chosen = pairs.filter(F.col("segment") == "MACHINERY")
-    return align_to(chosen, schemas.USER)
+    chosen = named.filter(F.col("c_mktsegment") == "MACHINERY")
+    return align_to(name_by_position(chosen.select("uid", "name", "age"), "uid", "name", "age"), schemas.USER)
 
 
 def running(spark: SparkSession, sf: str) -> DataFrame:
@@ -529,6 +536,9 @@ BATCH_QUERIES = {
     "changelog_roundtrip": changelog_roundtrip,
     "append_changelog": append_changelog,
     "csv_typed": csv_typed,
+    "corrupt_orders": corrupt_orders,
+    "corrupt_messages": corrupt_messages,
+    "whole_messages": whole_messages,
     "corrupt_rows": corrupt_rows,
     "text_lines": text_lines,
     "catalog_select": catalog_select,

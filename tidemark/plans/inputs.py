@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.functions.times import with_processing_time
 from tidemark.session import use_utc
 from tidemark.sources.topics import as_message
 
@@ -21,19 +22,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread(df: DataFrame, by: str) -> DataFrame:
-    """A scan of fewer splits than cores, dealt out to all of them by a column.
-
-    The JSON and text work below costs far more than moving the few rows of such a
-    scan. A table of many splits is left as it is.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, by) if df.rdd.getNumPartitions() < cores else df
-
-
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events with ``ts`` as an instant and ``k`` out of the properties."""
-    df = spread(table(spark, sf_dir, "events"), "event_id")
+    df = table(spark, sf_dir, "events")
     return df.withColumn("ts", F.col("ts").cast("timestamp")).withColumn(
         "k", F.get_json_object("props", "$.k").cast("bigint")
     )
@@ -51,12 +42,15 @@ def _operation() -> Column:
     return op
 
 
-def change_messages(spark: SparkSession, sf_dir: str, nulls: bool = False) -> DataFrame:
+def change_messages(
+    spark: SparkSession, sf_dir: str, nulls: bool = False, broken: bool = False
+) -> DataFrame:
     """Change-event JSON in ``value`` with its arrival in ``proctime``.
 
     Creates and reads have no ``before``, deletes no ``after``. Every seventh event
     lacks ``after.TASK_ID``: the key is missing, or JSON null with ``nulls``. The
-    ids of ``before`` differ, so taking the wrong image shows.
+    ids of ``before`` differ, so taking the wrong image shows. With ``broken``, every
+    13th message loses its end and every 17th has text for its time.
     """
     df = events(spark, sf_dir).withColumn("op", _operation())
     task = F.when(F.col("event_id") % 7 != 0, F.col("k"))
@@ -80,9 +74,14 @@ def change_messages(spark: SparkSession, sf_dir: str, nulls: bool = False) -> Da
         F.unix_millis("ts").alias("ts_ms"),
     )
     options = {"ignoreNullFields": "false" if nulls else "true"}
-    return df.select(
-        "event_id", F.to_json(message, options).alias("value"), F.col("ts").alias("proctime")
-    )
+    value = F.to_json(message, options)
+    if broken:
+        cut = F.substring(value, 1, 20)
+        wrong = F.regexp_replace(value, '"ts_ms":[0-9]+', '"ts_ms":"soon"')
+        value = F.when(F.col("event_id") % 17 == 0, wrong).otherwise(value)
+        value = F.when(F.col("event_id") % 13 == 0, cut).otherwise(value)
+    messages = df.select("event_id", value.alias("value"), "ts")
+    return with_processing_time(messages, at=F.col("ts")).drop("ts")
 
 
 def key_value_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -99,6 +98,18 @@ def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return df.select(line.alias("value"), "ts", "event_id")
 
 
+def time_lines(spark: SparkSession, sf_dir: str, broken: bool = False) -> DataFrame:
+    """All events as ``time,amount,currency`` lines at UTC+8. With ``broken``, every
+    13th has a time of another form and every 17th no currency."""
+    df = events(spark, sf_dir)
+    time, user = _wall_clock(), F.col("user_id").cast("string")
+    if broken:
+        time = F.when(F.col("event_id") % 13 == 0, F.translate(time, "-", "/")).otherwise(time)
+        user = F.when(F.col("event_id") % 17 != 0, user)
+    line = F.concat_ws(",", time, (F.col("event_id") % 100).cast("string"), user)
+    return df.select(line.alias("value"), "ts", "event_id")
+
+
 def rate_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Views as ``time,currency,rate`` lines at UTC+8."""
     df = events(spark, sf_dir).filter("event_type = 'view'")
@@ -147,11 +158,8 @@ def class_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def link_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line items with their orders as links of a user to a class."""
-    items = spread(
-        table(spark, sf_dir, "lineitem").select(
-            "l_orderkey", "l_suppkey", "l_returnflag", "l_shipdate", "l_linenumber", "l_partkey"
-        ),
-        "l_partkey",
+    items = table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_suppkey", "l_returnflag", "l_shipdate", "l_linenumber", "l_partkey"
     )
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     df = items.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))

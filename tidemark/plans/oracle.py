@@ -32,11 +32,11 @@ flat AS (
 _PERFORMANCE_COLUMNS = """
   COUNT(DISTINCT task_id) AS task_count,
   COUNT(DISTINCT course_id) AS course_count,
-  CAST(SUM(task_type) AS BIGINT) AS sum_task_type,
-  CAST(SUM(creteria_type) AS BIGINT) AS sum_creteria_type,
+  CAST(SUM(task_type) AS INTEGER) AS sum_task_type,
+  CAST(SUM(creteria_type) AS INTEGER) AS sum_creteria_type,
   CAST(SUM(c_time) AS BIGINT) AS sum_time,
-  CAST(SUM(CASE WHEN op = 'c' THEN 1 ELSE 0 END) AS BIGINT) AS sum_create,
-  CAST(SUM(CASE WHEN op <> 'c' THEN 1 ELSE 0 END) AS BIGINT) AS sum_other,
+  CAST(SUM(CASE WHEN op = 'c' THEN 1 ELSE 0 END) AS INTEGER) AS sum_create,
+  CAST(SUM(CASE WHEN op <> 'c' THEN 1 ELSE 0 END) AS INTEGER) AS sum_other,
   MAX(proctime) AS max_proctime"""
 
 _PERFORMANCE = f"""
@@ -239,7 +239,23 @@ FROM latest JOIN customer ON uid = c_custkey JOIN supplier ON cid = s_suppkey"""
     "asof_amount_bucketed": _ASOF,
     "local_time_parse": """
 SELECT event_id, CAST(epoch_us(date_trunc('second', ts)) // 1000 AS VARCHAR) AS epoch_ms
-FROM events WHERE event_type = 'click'""",
+FROM events""",
+    "corrupt_orders": """
+SELECT event_id, concat_ws(',',
+    replace(strftime(ts + INTERVAL 8 HOUR, '%Y-%m-%d %H:%M:%S'), '-',
+      CASE WHEN event_id % 13 = 0 THEN '/' ELSE '-' END),
+    CAST(event_id % 100 AS VARCHAR),
+    CASE WHEN event_id % 17 <> 0 THEN CAST(user_id AS VARCHAR) END) AS _corrupt
+FROM events WHERE event_id % 13 = 0 OR event_id % 17 = 0""",
+    "corrupt_messages": """
+SELECT event_id, event_id % 13 = 0 AS cut
+FROM events WHERE event_id % 13 = 0 OR event_id % 17 = 0""",
+    "whole_messages": f"""
+WITH {_EVENTS}
+SELECT event_id, ms AS ts_ms,
+       CASE event_type WHEN 'signup' THEN 'c' WHEN 'click' THEN 'u'
+                       WHEN 'view' THEN 'r' WHEN 'error' THEN 'd' END AS op
+FROM e WHERE event_id % 13 <> 0 AND event_id % 17 <> 0""",
     "keyed_passthrough": f"""
 WITH {_EVENTS}
 SELECT event_id, CAST(user_id AS VARCHAR) AS key, CAST(k AS INTEGER) AS value FROM e""",

@@ -11,10 +11,6 @@ CHANGE_EVENT = (
 CHANGE_EVENT_RAW_AFTER = (
     f"before STRUCT<{CHANGE_ROW}>, after STRING, op STRING, ts_ms BIGINT"
 )
-FLAT_EVENT = (
-    "user_id STRING, task_id BIGINT, course_id BIGINT, task_type INT, "
-    "creteria_type INT, c_time BIGINT, op STRING, ts_ms TIMESTAMP"
-)
 TASK_PERFORMANCE = (
     "user_id STRING, task_count BIGINT, course_count BIGINT, sum_task_type INT, "
     "sum_creteria_type INT, sum_time BIGINT, sum_create INT, sum_other INT, "
@@ -32,14 +28,10 @@ USER_PROFILE = (
     "user_id INT, user_name STRING, user_type STRING, user_comment STRING, "
     "c_time TIMESTAMP, m_time TIMESTAMP"
 )
-USER_COMMENT = "ref INT, name STRING, comment STRING"
-USER_ARRIVAL = "rrr INT, type STRING"
 KEY_VALUE_LINE = "key STRING, value INT"
 USER_LINE = "uid STRING, age INT, sex INT"
-CLASS_LINE = "cid STRING, grade INT, subject INT"
-CLASS_USER_LINE = "uid STRING, cid STRING, role INT"
-ORDER_LINE = "o_time STRING, o_amount INT, o_currency STRING"
-RATE_LINE = "r_time STRING, r_currency STRING, r_rate INT"
+ORDER_LINE = "o_time TIMESTAMP, o_amount INT, o_currency STRING"
+RATE_LINE = "r_time TIMESTAMP, r_currency STRING, r_rate INT"
 WIDE_WRITE = "rowkey STRING, info STRUCT<uid: STRING, name: STRING, age: STRING>"
 CELLS = (
     "rowkey STRING, family STRING, qualifier STRING, value STRING, version BIGINT"

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 from contextlib import contextmanager
@@ -30,7 +32,7 @@ def shared_base(spark: SparkSession) -> str:
     """The folder that every executor can reach.
 
     The cluster names it in ``spark.checkpoint.dir``. Only a local session may go
-    without, and then gets a temporary folder of its own.
+    without, and then gets a temporary folder of its own, which goes with the process.
     """
     global _local_base
     configured = spark.conf.get("spark.checkpoint.dir", None)
@@ -40,6 +42,7 @@ def shared_base(spark: SparkSession) -> str:
         raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
     if _local_base is None:
         _local_base = tempfile.mkdtemp(prefix="tidemark-")
+        atexit.register(shutil.rmtree, _local_base, ignore_errors=True)
     return _local_base
 
 
@@ -64,13 +67,13 @@ def make_folder(spark: SparkSession, path: str) -> None:
     fs.mkdirs(hadoop_path)
 
 
-def stream_settings(spark: SparkSession) -> dict[str, str]:
-    """Options for streams with state: the RocksDB store, and no more partitions of
-    state than cores, as each partition writes files in every micro-batch.
+def stream_settings() -> dict[str, str]:
+    """Options for streams with state: the RocksDB store.
+
+    The partitions of the state are the session's ``spark.sql.shuffle.partitions`` when
+    the stream first starts; its checkpoint keeps that number.
     """
-    asked = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    parts = min(asked, spark.sparkContext.defaultParallelism)
-    return {**ROCKSDB, "spark.sql.shuffle.partitions": str(parts)}
+    return dict(ROCKSDB)
 
 
 @contextmanager

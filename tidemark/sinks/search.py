@@ -22,10 +22,3 @@ def documents(df: DataFrame, keys: Sequence[str], separator: str = "_") -> DataF
     )
     body = F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns]))
     return df.select(doc_id.alias("doc_id"), body.alias("json"))
-
-
-def write_documents(
-    df: DataFrame, keys: Sequence[str], source: str, options: dict[str, str]
-) -> None:
-    """Hand the documents to any Spark sink format, such as an index connector."""
-    documents(df, keys).write.format(source).mode("append").options(**options).save()

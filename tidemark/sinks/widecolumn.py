@@ -44,8 +44,11 @@ class WriteOptions:
                 raise ValueError(f"{name} must be at least {least}")
 
 
-def to_cells(rows: DataFrame, version: Column) -> DataFrame:
-    """One cell per row and qualifier, the value as text; NULL values stay out."""
+def to_cells(rows: DataFrame, version: Column, deletes: bool = False) -> DataFrame:
+    """One cell per row and qualifier, the value as text.
+
+    NULL values stay out; with ``deletes`` they are cells without a value.
+    """
     key, families = row_layout(rows.schema)
     cells = [
         F.struct(
@@ -56,19 +59,21 @@ def to_cells(rows: DataFrame, version: Column) -> DataFrame:
         for family, declared in families.items()
         for field in declared
     ]
-    return (
-        rows.select(
-            F.col(key).cast("string").alias("rowkey"),
-            version.cast("bigint").alias("version"),
-            F.explode(F.array(*cells)).alias("_cell"),
-        )
-        .filter(F.col("_cell.value").isNotNull())
-        .select("rowkey", "_cell.family", "_cell.qualifier", "_cell.value", "version")
+    exploded = rows.select(
+        F.col(key).cast("string").alias("rowkey"),
+        version.cast("bigint").alias("version"),
+        F.explode(F.array(*cells)).alias("_cell"),
+    )
+    if not deletes:
+        exploded = exploded.filter(F.col("_cell.value").isNotNull())
+    return exploded.select(
+        "rowkey", "_cell.family", "_cell.qualifier", "_cell.value", "version"
     )
 
 
 def apply_to_cells(cells: DataFrame, changes: DataFrame, version: Column) -> DataFrame:
-    """Cells after add and retract rows: an add sets its cells, a retract drops the row.
+    """Cells after add and retract rows: an add sets its cells, and clears those whose
+    value is NULL in it; a retract drops the row.
 
     Where a row key is retracted and added again in one set of changes, the add holds.
     """
@@ -81,9 +86,10 @@ def apply_to_cells(cells: DataFrame, changes: DataFrame, version: Column) -> Dat
     )
     newest = F.max_by(F.struct("value", "version"), "version").alias("_cell")
     return (
-        kept.unionByName(to_cells(adds, version))
+        kept.unionByName(to_cells(adds, version, deletes=True))
         .groupBy(*CELL_KEY)
         .agg(newest)
+        .filter(F.col("_cell.value").isNotNull())
         .select(*CELL_KEY, "_cell.value", "_cell.version")
     )
 

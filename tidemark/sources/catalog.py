@@ -2,13 +2,25 @@
 
 from __future__ import annotations
 
+from urllib.parse import urlparse
+
 from pyspark.sql import DataFrame, SparkSession
 
 
 def register_parquet(spark: SparkSession, name: str, path: str) -> None:
-    """(Re-)declare a catalog table over existing files, without copying them."""
-    spark.sql(f"DROP TABLE IF EXISTS `{name}`")
-    spark.catalog.createTable(name, path=path, source="parquet")
+    """Declare a catalog table over existing files, without copying them.
+
+    A table of that name stays as it is: over the same files it is this one, over others
+    the name is taken.
+    """
+    if not spark.catalog.tableExists(name):
+        spark.catalog.createTable(name, path=path, source="parquet")
+        return
+    described = spark.sql(f"DESCRIBE TABLE EXTENDED `{name}`")
+    rows = described.filter("col_name = 'Location'").select("data_type").collect()
+    held = rows[0][0] if rows else None
+    if held is None or urlparse(held).path != urlparse(path).path:
+        raise ValueError(f"the catalog has another table {name}, at {held}")
 
 
 def read_table(spark: SparkSession, name: str, database: str | None = None) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tidemark.functions.shape import once
+from tidemark.functions.times import local_text_to_timestamp
 from tidemark.schemas import parse_ddl
 
 
@@ -23,17 +24,19 @@ def read_lines(spark: SparkSession, path: str, stream: bool = False) -> DataFram
     return reader.text(path)
 
 
-def _typed(declared: StructType, value: str, separator: str):
+def _typed(declared: StructType, value: str, separator: str, zones: dict[str, str]):
     """The typed fields by position in one nested row."""
     if len(separator) != 1:
         raise ValueError("the separator must be one character")
     # Escaped where a regular expression would read it as an operator.
     pattern = separator if separator.isalnum() or separator in ",;: \t" else f"\\{separator}"
     parts = F.split(F.col(value), pattern)
-    fields = [
-        F.try_element_at(parts, F.lit(position)).try_cast(field.dataType).alias(field.name)
-        for position, field in enumerate(declared, start=1)
-    ]
+    fields = []
+    for position, field in enumerate(declared, start=1):
+        text = F.try_element_at(parts, F.lit(position))
+        zone = zones.get(field.name)
+        typed = local_text_to_timestamp(text, zone) if zone else text.try_cast(field.dataType)
+        fields.append(typed.alias(field.name))
     return once(F.struct(*fields))
 
 
@@ -44,18 +47,20 @@ def parse_lines(
     separator: str = ",",
     keep: tuple[str, ...] = (),
     mode: str = "split",
+    zones: dict[str, str] | None = None,
 ) -> ParsedLines | DataFrame:
     """Lines to typed rows by position.
 
     ``split`` returns good rows and corrupt lines as two DataFrames.
     ``failfast`` returns the rows alone and fails the job on a bad line.
-    Extra fields at the end of a line are ignored.
+    Extra fields at the end of a line are ignored. ``zones`` names time fields that
+    hold wall-clock text of a zone; a time that cannot be read makes a bad line.
     """
     declared = parse_ddl(schema) if isinstance(schema, str) else schema
     if mode not in ("split", "failfast"):
         raise ValueError("mode must be split or failfast")
     parsed = df.select(
-        *keep, F.col(value).alias("_line"), _typed(declared, value, separator).alias("_m")
+        *keep, F.col(value).alias("_line"), _typed(declared, value, separator, zones or {}).alias("_m")
     )
     broken = F.lit(False)
     for field in declared:

@@ -7,10 +7,11 @@ Transport and parsing are apart: a reader yields a ``value`` text column (and
 from __future__ import annotations
 
 from collections.abc import Sequence
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from tidemark.functions.shape import once
 from tidemark.schemas import parse_ddl
@@ -85,6 +86,46 @@ def parse_json(
     return df.select(*keep, parsed.alias("_m")).select(*keep, *columns)
 
 
+class ParsedMessages(NamedTuple):
+    rows: DataFrame
+    corrupt: DataFrame
+
+
+def parse_json_checked(
+    df: DataFrame,
+    schema: StructType | str,
+    value: str = "value",
+    keep: Sequence[str] = (),
+    mode: str = "split",
+) -> ParsedMessages | DataFrame:
+    """JSON text to the declared columns, with the broken messages set apart.
+
+    A message is broken if it is no JSON object, or if a field holds another type than
+    declared; a field it lacks is NULL. ``split`` returns good rows and, with ``keep``,
+    the text of broken ones in ``_corrupt``: each message is in one of them.
+    ``failfast`` returns the rows alone and fails the job on a broken message.
+    """
+    if mode not in ("split", "failfast"):
+        raise ValueError("mode must be split or failfast")
+    declared = parse_ddl(schema) if isinstance(schema, str) else schema
+    marked = StructType([*declared.fields, StructField("_broken", StringType())])
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_broken"}
+    parsed = once(F.from_json(F.col(value), marked, options))
+    rows = df.select(*keep, F.col(value).alias("_text"), parsed.alias("_m"))
+    # An empty text gives no row at all, and no text for the broken one.
+    blank = F.col("_text").isNull() | (F.trim("_text") == "")
+    broken = blank | F.col("_m").isNull() | F.col("_m._broken").isNotNull()
+    names = [F.col(f"_m.`{field.name}`").alias(field.name) for field in declared]
+    if mode == "failfast":
+        message = F.concat(F.lit("bad message: "), F.coalesce("_text", F.lit("NULL")))
+        checked = F.when(broken, F.raise_error(message)).otherwise(F.col("_m"))
+        return rows.select(*keep, checked.alias("_m")).select(*keep, *names)
+    return ParsedMessages(
+        rows=rows.filter(~broken).select(*keep, *names),
+        corrupt=rows.filter(broken).select(*keep, F.col("_text").alias("_corrupt")),
+    )
+
+
 def unwrap_envelope(
     df: DataFrame, value: str = "value", keep: Sequence[str] = ()
 ) -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame
 
 from tidemark.operators.latest import latest_states
-from tidemark.operators.lookup import lookup_join
+from tidemark.operators.lookup import asked_rows, lookup_join
 from tidemark.sinks.upsert import BatchTable
 from tidemark.streaming.run import BatchSink
 
@@ -24,11 +24,13 @@ def lookup_sink(
 ) -> BatchSink:
     """A ``foreachBatch`` sink that joins the table of the moment and hands on the rows.
 
-    A change of the table affects later micro-batches only.
+    A change of the table affects later micro-batches only. Of the table, only rows
+    that the micro-batch's distinct keys ask for take part in the join.
     """
 
     def on_batch(rows: DataFrame, batch_id: int) -> None:
-        then(lookup_join(rows, load_table(), row_key, table_key, how, fields), batch_id)
+        table = asked_rows(rows, load_table(), row_key, table_key)
+        then(lookup_join(rows, table, row_key, table_key, how, fields), batch_id)
 
     return on_batch
 
