@@ -12,15 +12,22 @@ from tidemark.functions.times import epoch_ms_to_timestamp, local_text_to_epoch_
 from tidemark.operators.asof import asof_join
 from tidemark.operators.changelog import apply_changelog, changelog_diff
 from tidemark.operators.latest import latest_by_key, latest_rows
-from tidemark.operators.lookup import lookup_by_row_key, lookup_join
+from tidemark.operators.lookup import (
+    lookup_by_row_key,
+    lookup_in_cells,
+    lookup_join,
+    performance_by_ref,
+)
 from tidemark.operators.performance import task_performance
 from tidemark.operators.routing import parse_branch, route
 from tidemark.operators.windowjoin import window_join
 from tidemark.sinks.search import documents
 from tidemark.sinks.widecolumn import WriteOptions, apply_to_cells, to_cells
+from tidemark.sources.catalog import read_table, register_parquet
 from tidemark.sources.lines import parse_lines
 from tidemark.sources.topics import (
     parse_json,
+    parse_json_checked,
     topic_options,
     unwrap_envelope,
     unwrap_topic_envelope,
@@ -310,3 +317,86 @@ def test_document_needs_its_key(spark):
     assert documents(df.filter("n = 1"), ["user_id"]).first().doc_id == "u"
     with pytest.raises(Exception, match="whole key"):
         documents(df, ["user_id"]).collect()
+
+
+class TestBrokenRecords:
+    MESSAGES = ['{"id": 1, "n": 5}', '{"id": 2}', '{"id": 3, "n": "x"}', '{"id": 4', "", None, "[]", '{"id": null}']
+
+    def test_good_and_corrupt_messages_are_all_messages(self, spark):
+        df = spark.createDataFrame([(i, m) for i, m in enumerate(self.MESSAGES)], "i INT, value STRING")
+        parsed = parse_json_checked(df, "id INT, n INT", keep=("i",))
+        rows = sorted(tuple(r) for r in parsed.rows.collect())
+        assert rows[:2] == [(0, 1, 5), (1, 2, None)]
+        corrupt = {r["i"]: r["_corrupt"] for r in parsed.corrupt.collect()}
+        assert {2, 3, 4, 5} <= set(corrupt) and corrupt[3] == '{"id": 4'
+        assert sorted([i for i, *_ in rows] + list(corrupt)) == list(range(len(self.MESSAGES)))
+
+    def test_failfast_stops_at_a_broken_message(self, spark):
+        df = spark.createDataFrame([(m,) for m in self.MESSAGES[:2]], "value STRING")
+        assert parse_json_checked(df, "id INT, n INT", mode="failfast").count() == 2
+        broken = spark.createDataFrame([('{"id": ',)], "value STRING")
+        with pytest.raises(Exception, match="bad message"):
+            parse_json_checked(broken, "id INT, n INT", mode="failfast").collect()
+
+    def test_a_time_that_cannot_be_read_makes_a_corrupt_line(self, spark):
+        lines = ["2024-01-01 08:00:00,10,EUR", "2024/01/01 08:00:00,10,EUR", "2024-01-01 08:00:00,x,EUR", "2024-01-01 08:00:00,10"]
+        df = spark.createDataFrame([(line,) for line in lines], "value STRING")
+        zones = {"o_time": "+08:00"}
+        parsed = parse_lines(df, schemas.ORDER_LINE, zones=zones)
+        assert [str(r["o_time"]) for r in parsed.rows.collect()] == ["2024-01-01 00:00:00"]
+        assert sorted(r["_corrupt"] for r in parsed.corrupt.collect()) == sorted(lines[1:])
+        with pytest.raises(Exception, match="bad line"):
+            parse_lines(df, schemas.ORDER_LINE, mode="failfast", zones=zones).collect()
+
+
+def test_an_upsert_to_null_clears_the_cell(spark):
+    schema = "rowkey STRING, info STRUCT<name: STRING, age: STRING>"
+    old = spark.createDataFrame([("1", ("ann", "20")), ("2", ("bob", "30"))], schema)
+    new = spark.createDataFrame([("1", ("anna", None))], schema).withColumn("is_add", F.lit(True))
+    cells = apply_to_cells(to_cells(old, F.lit(1)), new, F.lit(2))
+    rows = sorted((r["rowkey"], r["info"]["name"], r["info"]["age"]) for r in read_rows(cells, schema).collect())
+    assert rows == [("1", "anna", None), ("2", "bob", "30")]
+
+
+def test_ties_in_a_lookup_keep_columns_of_one_row(spark):
+    totals = "task_count course_count sum_task_type sum_creteria_type sum_time sum_create sum_other".split()
+    at = "timestamp'2024-01-01 00:00:00'"
+    performance = spark.range(1).selectExpr("'u' AS user_id", *[f"1 AS {t}" for t in totals], f"{at} AS max_proctime")
+    users = spark.createDataFrame([("u", 1, 9), ("u", 2, 3)], "ref STRING, id INT, jid INT")
+    row = performance_by_ref(performance, users, "ref", {"user_id": "id", "jid": "jid"}).first()
+    assert (row["user_id"], row["jid"]) in [(1, 9), (2, 3)]
+
+
+def test_a_catalog_table_is_not_dropped(spark, folder):
+    for name in "ab":
+        spark.range(3).write.parquet(f"{folder}/{name}")
+    table = f"probe_{abs(hash(folder))}"
+    register_parquet(spark, table, f"{folder}/a")
+    register_parquet(spark, table, f"{folder}/a")
+    with pytest.raises(ValueError):
+        register_parquet(spark, table, f"{folder}/b")
+    assert read_table(spark, table).count() == 3
+
+
+def test_only_cells_of_asked_keys_are_put_together(spark):
+    rows = spark.createDataFrame([("1",), ("3",), (None,)], "k STRING")
+    schema = "rowkey STRING, info STRUCT<name: STRING>"
+    cells = to_cells(spark.createDataFrame([("1", ("a",)), ("2", ("b",))], schema), F.lit(1))
+    joined = lookup_in_cells(rows, cells, schema, "k", {"name": "info.name"}, how="left")
+    assert sorted(map(tuple, joined.collect()), key=str) == sorted([("1", "a"), ("3", None), (None, None)], key=str)
+    plan = joined._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("LeftSemi") > plan.index("Aggregate")
+
+
+def test_routes_come_out_of_one_read(spark, sf_dir):
+    from tidemark.plans import batch
+
+    plan = batch.route_counts(spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1
+
+
+def test_pairs_for_a_function_move_each_side_once(spark, sf_dir):
+    from tidemark.plans import batch
+
+    plan = batch.cogroup_apply(spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") <= 2 and "REPARTITION" not in plan
