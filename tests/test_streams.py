@@ -1,4 +1,4 @@
-"""Streams: repeated batches, compaction, late rows, refreshed lookups, options."""
+"""Streams: repeated batches, buckets, late rows, refreshed lookups, options."""
 
 from datetime import datetime
 
@@ -6,19 +6,21 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.operators.latest import latest_states
-from tidemark.session import session_conf, shared_base, stream_settings
+from tidemark.session import list_names, session_conf, shared_base, stream_settings
+from tidemark.sinks import upsert
 from tidemark.sinks.jdbc import merge_statement
-from tidemark.sinks.upsert import keyed_table, read_latest, state_table
+from tidemark.sinks.upsert import KEPT_VERSIONS, keyed_table, read_latest, state_table
 from tidemark.sources.jdbc import jdbc_read_options
 from tidemark.sources.lines import read_lines
-from tidemark.streaming.asof import asof_join_stream
+from tidemark.streaming.asof import AsofStream
+from tidemark.streaming.keyed import keyed_map_stream
 from tidemark.streaming.lookup import lookup_sink
 from tidemark.streaming.membership import MembershipStream
 from tidemark.streaming.performance import (
     first_sightings,
     streaming_performance_approximate,
 )
-from tidemark.streaming.run import Feed, batch_writer, run_available, with_watermark
+from tidemark.streaming.run import Feed, batch_writer, run_available
 
 
 def tuples(df, *names):
@@ -46,27 +48,42 @@ class TestKeyedTable:
         batch = rows(spark, (1, "a", 1))
         for _ in range(3):
             table.put(batch, 0)
-        assert table.batches().count() == 1
+        assert table.rows().count() == 1
 
-    def test_compaction_changes_nothing(self, spark, table):
-        for i in range(4):
+    def test_old_folders_go_and_the_result_stays(self, spark, table):
+        for i in range(5):
             table.put(rows(spark, (1, f"v{i}", i), (10 + i, "only", i)), i)
-        before = tuples(table.read())
-        table.compact(through=2)
-        assert tuples(table.read()) == before
-        ids = {row.batch_id for row in table.batches().select("batch_id").collect()}
-        assert ids == {2, 3}
-        table.put(rows(spark, (1, "v9", 9)), 3)
-        assert (1, "v9", 9) in tuples(table.read())
-
-
-def test_compaction_by_count_keeps_the_result(spark, folder):
-    table = keyed_table(spark, folder, "k INT, v STRING, o INT", ["k"], ["o"], compact_every=2)
-    for i in range(6):
-        table.put(rows(spark, (1, f"v{i}", i), (10 + i, "only", i)), i)
-    assert tuples(table.read(), "k", "v") == [(1, "v5")] + [(10 + i, "only") for i in range(6)]
-    ids = {row.batch_id for row in table.batches().select("batch_id").collect()}
-    assert ids == {3, 4, 5}
+        assert tuples(table.read(), "k", "v") == [(1, "v4")] + [(10 + i, "only") for i in range(5)]
+        assert len(list_names(spark, f"{table.path}/versions")) == KEPT_VERSIONS
+        named = set(table.version().values()) | set(table.version(before=4).values())
+        assert {n for n in list_names(spark, table.path) if n.startswith("batch-")} == named
+
+    def test_a_batch_of_one_key_touches_one_bucket(self, spark, table):
+        table.put(rows(spark, *[(k, "old", 1) for k in range(100)]), 0)
+        before = table.version()
+        assert len(before) == table.buckets
+        read = []
+        real = table.rows
+        table.rows = lambda buckets=None, before=None: (read.append(buckets), real(buckets, before))[1]
+        table.put(rows(spark, (7, "new", 2)), 1)
+        assert [len(buckets) for buckets in read] == [1]
+        after = table.version()
+        assert [b for b in after if after[b] != before[b]] == [str(read[0][0])]
+        assert (7, "new") in tuples(real().select("k", "v"))
+
+    def test_a_crash_before_the_switch_loses_nothing(self, spark, table, monkeypatch):
+        table.put(rows(spark, (1, "a", 1), (2, "b", 1)), 0)
+
+        def crash(*_):
+            raise OSError("lost")
+
+        with monkeypatch.context() as broken:
+            broken.setattr(upsert, "write_text", crash)
+            with pytest.raises(OSError):
+                table.put(rows(spark, (1, "c", 2)), 1)
+        assert tuples(table.read(), "k", "v") == [(1, "a"), (2, "b")]
+        table.put(rows(spark, (1, "c", 2)), 1)
+        assert tuples(table.read(), "k", "v") == [(1, "c"), (2, "b")]
 
 
 def test_states_of_batches_merge_to_the_latest(spark, folder):
@@ -116,25 +133,59 @@ def test_asof_stream_waits_for_rates_and_keeps_old_ones(spark, folder):
         # No newer rate: the one of an earlier step still holds. The last rows close.
         ([("x", at(30), 4), ("end", at(50), 9)], [("end2", at(50), 0)]),
     ]
-    with session_conf(spark, stream_settings(spark)):
-        joined = asof_join_stream(
-            with_watermark(orders.stream(), "ot"),
-            with_watermark(rates.stream(), "rt"),
-            ["c"],
-            "ot",
-            "rt",
-            "r",
-            groups=3,
-            splits=2,
-        )
-        for some_orders, some_rates in steps:
-            orders.add(spark.createDataFrame(some_orders, orders.schema))
-            rates.add(spark.createDataFrame(some_rates, rates.schema))
-            run_available(joined, batch_writer(f"{folder}/out"), f"{folder}/checkpoint")
+    state = AsofStream(
+        spark, f"{folder}/state", orders.schema, rates.schema, ["c"], "ot", "rt", "r", batch_writer(f"{folder}/out")
+    )
+    lines = state.lines(orders.stream(), rates.stream())
+    for some_orders, some_rates in steps:
+        orders.add(spark.createDataFrame(some_orders, orders.schema))
+        rates.add(spark.createDataFrame(some_rates, rates.schema))
+        run_available(lines, state.on_batch, f"{folder}/checkpoint")
     out = spark.read.parquet(f"{folder}/out")
     assert tuples(out, "o", "r") == [(2, 90), (3, 201), (4, 201)]
 
 
+def test_asof_stream_with_rows_out_of_order_late_and_repeated(spark, folder):
+    def at(minute):
+        return datetime(2024, 1, 1, 0, minute)
+
+    left = spark.createDataFrame([], "c STRING, ot TIMESTAMP, o INT").schema
+    right = spark.createDataFrame([], "c STRING, rt TIMESTAMP, r BIGINT").schema
+    state = AsofStream(
+        spark, f"{folder}/state", left, right, ["c"], "ot", "rt", "r", batch_writer(f"{folder}/out"), buckets=4
+    )
+
+    def batch(number, some_orders, some_rates):
+        lines = state.lines(spark.createDataFrame(some_orders, left), spark.createDataFrame(some_rates, right))
+        state.on_batch(lines, number)
+
+    batch(0, [("x", at(20), 1), ("x", at(4), 2), (None, at(1), 0)], [("x", at(9), 9), ("x", at(2), 2), ("y", None, 1)])
+    for _ in range(2):  # a micro-batch that is run again has one effect
+        batch(1, [("x", at(30), 3), ("y", at(40), 4)], [("x", at(18), 18), ("x", at(31), 31)])
+    # Late: the version of 9 is gone, that of 18 is the newest before the watermark of 31.
+    batch(2, [("x", at(10), 5), ("x", at(19), 6), ("z", at(59), 7)], [("z", at(59), 60)])
+    out = tuples(spark.read.parquet(f"{folder}/out"), "o", "r")
+    assert out == [(1, 18), (2, 2), (3, 18), (6, 18), (7, 60)]
+    untouched = state.tables["right"].version(before=2)
+    now = state.tables["right"].version()
+    assert any(now[b] == folder_ for b, folder_ in untouched.items())
+
+
+def test_keyed_map_returns_a_row_for_each_row(spark, folder):
+    feed = Feed(spark, f"{folder}/in", spark.createDataFrame([], "k STRING, v INT").schema)
+
+    def running(state, chunk):
+        total = (state or (0,))[0] + chunk["v"].cumsum()
+        return (int(total.iloc[-1]),), chunk.assign(total=total)[["k", "v", "total"]]
+
+    with session_conf(spark, stream_settings()):
+        result = keyed_map_stream(feed.stream(), "k", running, "total LONG", "k STRING, v INT, total LONG")
+        for part in ([("a", 1), ("b", 5)], [("a", 2), ("a", 2)]):
+            feed.add(spark.createDataFrame(part, feed.schema).coalesce(1))
+            run_available(result, batch_writer(f"{folder}/out"), f"{folder}/checkpoint")
+    assert tuples(spark.read.parquet(f"{folder}/out"), "k", "total") == [("a", 1), ("a", 3), ("a", 5), ("b", 5)]
+
+
 def test_lookup_sees_the_table_of_the_moment(spark, folder):
     feed = Feed(spark, f"{folder}/in", spark.createDataFrame([], "id INT, ref INT").schema)
     dim = {"rows": [(7, "old")]}

@@ -335,6 +335,15 @@ FROM p""",
 ORACLE_SQL.update(
     {
         "task_performance_replay": _PERFORMANCE,
+        "recent_performance_replay": f"""
+WITH {_FLAT},
+placed AS (
+  SELECT flat.*, make_timestamp((epoch_us(proctime) // 43200000000 + 2 - back) * 43200000000)
+    AS until
+  FROM flat, (VALUES (0), (1)) AS v(back)
+)
+SELECT user_id, until, {_PERFORMANCE_COLUMNS}
+FROM placed GROUP BY user_id, until""",
         "asof_replay": _ASOF,
         "membership_replay": _MEMBERSHIP,
         "membership_changelog_replay": _MEMBERSHIP,

@@ -15,24 +15,21 @@ from tidemark import schemas
 from tidemark.functions.cdc import flatten_changes
 from tidemark.functions.shape import align_to
 from tidemark.operators.changelog import apply_changelog
-from tidemark.operators.keyed import parse_keyed
+from tidemark.operators.keyed import keyed_totals, parse_keyed
 from tidemark.operators.windowjoin import window_join
 from tidemark.operators.windows import tumbling_sum_with_start
 from tidemark.plans import batch, inputs
 from tidemark.session import new_folder, session_conf, stream_settings
 from tidemark.sinks.upsert import keyed_table, read_latest, state_table
 from tidemark.sources.topics import parse_json
-from tidemark.streaming.asof import asof_join_stream
-from tidemark.streaming.keyed import running_totals_stream, totals_over_splits
+from tidemark.streaming.asof import AsofStream
 from tidemark.streaming.lookup import latest_sink, lookup_sink
 from tidemark.streaming.membership import MembershipStream
-from tidemark.streaming.performance import streaming_performance
+from tidemark.streaming.performance import recent_performance_stream, streaming_performance
 from tidemark.streaming.run import Feed, batch_writer, run_available, stretches, with_watermark
 
 # The events span January 2024.
 CUTS = ["2024-01-11 00:00:00", "2024-01-21 00:00:00"]
-# Part of the state's layout: a checkpoint can only be resumed with the same number.
-ASOF_GROUPS = 32
 # A row of this time closes every window before it.
 END = "2100-01-01 00:00:00"
 
@@ -56,6 +53,23 @@ def task_performance_replay(spark: SparkSession, sf: str) -> DataFrame:
     return inputs.naive(result, "max_proctime")
 
 
+def recent_performance_replay(spark: SparkSession, sf: str) -> DataFrame:
+    """The last day's performance, every half a day of arrivals."""
+    folder = new_folder(spark, "recent-performance")
+    messages = inputs.change_messages(spark, sf)
+    feed = Feed(spark, f"{folder}/topic", messages.schema)
+    arrived = with_watermark(feed.stream(), "proctime")
+    parsed = parse_json(arrived, schemas.CHANGE_EVENT, keep=("proctime",))
+    result = recent_performance_stream(flatten_changes(parsed), batch.DAY, "12 hours")
+    schema = f"until TIMESTAMP, {schemas.TASK_PERFORMANCE.replace(' INT', ' BIGINT')}"
+    target = keyed_table(spark, f"{folder}/result", schema, ["user_id", "until"])
+    for part in stretches(messages, "proctime", CUTS):
+        feed.add(part)
+        run_available(result, target.put, f"{folder}/checkpoint", "update")
+    rows = align_to(target.read(), f"until TIMESTAMP, {schemas.TASK_PERFORMANCE}")
+    return inputs.naive(rows, "until", "max_proctime")
+
+
 def asof_replay(spark: SparkSession, sf: str) -> DataFrame:
     folder = new_folder(spark, "asof")
     orders, rates = inputs.order_lines(spark, sf), inputs.rate_lines(spark, sf)
@@ -68,27 +82,29 @@ def asof_replay(spark: SparkSession, sf: str) -> DataFrame:
         (order_feed, "2100-01-01 08:00:00,0,end of orders"),
         (rate_feed, "2100-01-01 08:00:00,end of rates,1"),
     ]
-    joined = asof_join_stream(
-        with_watermark(left, "o_rowtime"),
-        with_watermark(right, "r_rowtime"),
+    write = batch_writer(f"{folder}/result")
+    state = AsofStream(
+        spark,
+        f"{folder}/state",
+        left.schema,
+        right.schema,
         ["currency"],
         "o_rowtime",
         "r_rowtime",
         "rate_id",
-        groups=ASOF_GROUPS,
-        splits=2,
+        lambda found, batch_id: write(batch.amounts(found), batch_id),
     )
-    result, write = batch.amounts(joined), batch_writer(f"{folder}/result")
+    lines = state.lines(left, right)
     for some_orders, some_rates in zip(
         stretches(orders, "ts", CUTS), stretches(rates, "ts", CUTS)
     ):
         order_feed.add(some_orders)
         rate_feed.add(some_rates)
-        run_available(result, write, f"{folder}/checkpoint")
+        run_available(lines, state.on_batch, f"{folder}/checkpoint")
     for feed, line in closing:
         feed.add(_closing_row(spark).withColumn("value", F.lit(line)))
-    run_available(result, write, f"{folder}/checkpoint")
-    return _written(spark, f"{folder}/result", result)
+    run_available(lines, state.on_batch, f"{folder}/checkpoint")
+    return spark.read.parquet(f"{folder}/result").select("event_id", "r_currency", "amount")
 
 
 def _closing_row(spark: SparkSession) -> DataFrame:
@@ -107,7 +123,9 @@ def _membership(spark: SparkSession, sf: str) -> MembershipStream:
     messages = inputs.membership_messages(spark, sf)
     feed = Feed(spark, f"{folder}/topics", messages.schema)
     state = MembershipStream(spark, f"{folder}/state")
-    early, late = F.col("position") < "1", F.col("position") >= "1997"
+    # Messages without a position come with the last part.
+    early = F.coalesce(F.col("position") < "1", F.lit(False))
+    late = F.coalesce(F.col("position") >= "1997", F.lit(True))
     for part in (early, ~early & ~late, late):
         feed.add(messages.filter(part))
         run_available(feed.stream(), state.on_batch, f"{folder}/checkpoint")
@@ -236,14 +254,14 @@ def running_state_replay(spark: SparkSession, sf: str) -> DataFrame:
     target = keyed_table(
         spark,
         f"{folder}/result",
-        "key STRING, split INT, running_count BIGINT, running_sum BIGINT",
-        ["key", "split"],
+        "key STRING, running_count BIGINT, running_sum BIGINT",
+        ["key"],
     )
-    result = running_totals_stream(rows, "key", "value")
+    result = keyed_totals(rows, "key", "value")
     for part in stretches(lines, "ts", CUTS):
         feed.add(part)
         run_available(result, target.put, f"{folder}/checkpoint", "update")
-    return totals_over_splits(target.read())
+    return target.read()
 
 
 def _as_stream(query):
@@ -259,6 +277,7 @@ def _as_stream(query):
 
 REPLAY_QUERIES = {
     "task_performance_replay": _as_stream(task_performance_replay),
+    "recent_performance_replay": _as_stream(recent_performance_replay),
     "asof_replay": _as_stream(asof_replay),
     "membership_replay": _as_stream(membership_replay),
     "membership_changelog_replay": _as_stream(membership_changelog_replay),

@@ -67,6 +67,42 @@ def make_folder(spark: SparkSession, path: str) -> None:
     fs.mkdirs(hadoop_path)
 
 
+def list_names(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder; none where there is no such folder."""
+    fs, root = file_system(spark, path)
+    return [s.getPath().getName() for s in fs.listStatus(root)] if fs.exists(root) else []
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    fs, file = file_system(spark, path)
+    stream = fs.open(file)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small file; it appears whole, under a name of its own until then."""
+    fs, file = file_system(spark, path)
+    beside = file.getParent().getParent()
+    unfinished = spark._jvm.org.apache.hadoop.fs.Path(beside, f"unfinished-{uuid.uuid4().hex}")
+    stream = fs.create(unfinished, True)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+    fs.mkdirs(file.getParent())
+    if not fs.rename(unfinished, file):
+        fs.delete(unfinished, False)
+        raise OSError(f"{path} is there already")
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    fs, hadoop_path = file_system(spark, path)
+    fs.delete(hadoop_path, True)
+
+
 def stream_settings() -> dict[str, str]:
     """Options for streams with state: the RocksDB store.
 

@@ -1,160 +1,137 @@
 """The event-time as-of join on streams.
 
-Left rows wait in state until the watermark has passed their time, when every version
-that can apply has arrived. Versions replaced before the watermark are dropped.
+Left rows wait until the watermark has passed their time, when every version that can
+apply has arrived. Both sides are kept in hash buckets of the key; a micro-batch reads
+the buckets of its keys and those with rows that have become due, joins the due rows
+like a batch, and rewrites these buckets.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+import json
+from collections.abc import Sequence
 
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.types import StructType
 
-# Keeps the microseconds, which the default text form of a timestamp cuts off.
-_JSON = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
-_STATE = "key STRING, us LONG, arrival LONG, payload STRING"
-_COLUMNS = ["key", "us", "arrival", "payload"]
-
-
-def asof_join_stream(
-    left: DataFrame,
-    right: DataFrame,
-    keys: Sequence[str],
-    left_time: str,
-    right_time: str,
-    arrival: str,
-    groups: int = 4096,
-    splits: int = 4,
-) -> DataFrame:
-    """Inner as-of join of two streams that have watermarks on their times.
-
-    ``arrival`` is a whole number of the right side; of two versions of one key and
-    time the larger wins. Keys share ``groups`` groups of state, so that one call
-    resolves the rows of many keys. The left rows of a key are dealt out to up to
-    ``splits`` of them, which each hold its versions, so a heavy key does not rest on
-    one task. Neither number may change while a checkpoint is in use. The session must
-    use the RocksDB state store.
-    """
-    if groups < 1 or splits < 1:
-        raise ValueError("groups and splits must be at least 1")
-    key_types = StructType([left.schema[key] for key in keys])
-    left_types = StructType([f for f in left.schema if f.name not in keys])
-    right_types = StructType([f for f in right.schema if f.name not in keys])
-    one_of = F.pmod(F.xxhash64(*left.columns), F.lit(splits))
-    every = F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(splits - 1).cast("bigint")))
-
-    def line(df, time, is_version, arrival, types, split):
-        known = F.col(time).isNotNull()
-        for key in keys:
-            known = known & F.col(key).isNotNull()
-        rows = df.filter(known).select("*", split.alias("split"))
-        return rows.select(
-            F.col(time).alias("moment"),
-            F.pmod(F.xxhash64(*keys, "split"), F.lit(groups)).alias("group"),
-            F.to_json(F.struct(*keys), _JSON).alias("key"),
-            F.unix_micros(time).alias("us"),
-            F.lit(is_version).alias("is_version"),
-            arrival.alias("arrival"),
-            F.to_json(F.struct(*types.fieldNames()), _JSON).alias("payload"),
-        )
-
-    number = F.col(arrival).cast("bigint")
-    both = line(
-        left, left_time, False, F.lit(0).cast("bigint"), left_types, one_of
-    ).unionByName(line(right, right_time, True, number, right_types, every))
-    matched = both.groupBy("group").transformWithStateInPandas(
-        statefulProcessor=_AsOf(),
-        outputStructType="key STRING, left STRING, right STRING",
-        outputMode="Append",
-        timeMode="EventTime",
-    )
-    return matched.select(
-        F.from_json("key", key_types, _JSON).alias("_k"),
-        F.from_json("left", left_types, _JSON).alias("_l"),
-        F.from_json("right", right_types, _JSON).alias("_r"),
-    ).select("_k.*", "_l.*", "_r.*")
-
-
-class _AsOf(StatefulProcessor):
-    """Waiting left rows and versions of a group of keys."""
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.waiting = handle.getListState("waiting", _STATE)
-        self.versions = handle.getListState("versions", _STATE)
-        # A group with several timers needs its states only once per micro-batch.
-        self.done: set = set()
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        for chunk in rows:
-            is_version = chunk["is_version"].to_numpy(dtype=bool)
-            _append(self.versions, chunk[is_version])
-            _append(self.waiting, chunk[~is_version])
-            self._wake_at(chunk["us"].min())
-        return iter(())
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        if key in self.done:
-            return
-        self.done.add(key)
-        watermark = timerValues.getCurrentWatermarkInMs() * 1000
-        waiting, versions = _frame(self.waiting), _frame(self.versions)
-        held = len(versions)
-        # The sort is stable, so of equal ones the later in state is kept.
-        versions = versions.sort_values(["us", "arrival"], kind="stable")
-        versions = versions.drop_duplicates(["key", "us"], keep="last")
-        due = waiting["us"] <= watermark
-        if due.any():
-            found = pd.merge_asof(
-                waiting[due].sort_values("us", kind="stable"),
-                versions[["key", "us", "payload"]],
-                on="us",
-                by="key",
-                suffixes=("", "_right"),
-            ).dropna(subset="payload_right")
-            _replace(self.waiting, waiting[~due])
-            yield found[["key", "payload", "payload_right"]].set_axis(
-                ["key", "left", "right"], axis=1
-            )
-        # The newest version of a key up to the watermark still answers later rows.
-        passed = versions["us"] <= watermark
-        kept = pd.concat(
-            [versions[passed].drop_duplicates("key", keep="last"), versions[~passed]]
-        )
-        if len(kept) < held:
-            _replace(self.versions, kept)
-        later = pd.concat([waiting.loc[~due, "us"], versions.loc[~passed, "us"]])
-        if len(later):
-            self._wake_at(later.min())
-
-    def close(self) -> None:
-        pass
-
-    def _wake_at(self, us: int) -> None:
-        self.handle.registerTimer(-(-int(us) // 1000))
-
-
-def _frame(state) -> pd.DataFrame:
-    rows = list(state.get()) if state.exists() else []
-    frame = pd.DataFrame(rows, columns=_COLUMNS)
-    return frame.astype({"key": "object", "us": "int64", "arrival": "int64"})
+from tidemark.operators.asof import asof_join
+from tidemark.operators.latest import latest_rows
+from tidemark.session import list_names, read_text, write_text
+from tidemark.sinks.upsert import BUCKETS, BucketTable
+from tidemark.streaming.run import BatchSink
 
 
-def _tuples(frame: pd.DataFrame) -> list[tuple]:
-    return list(zip(*(frame[name].tolist() for name in _COLUMNS)))
-
-
-def _append(state, frame: pd.DataFrame) -> None:
-    if len(frame):
-        state.appendList(_tuples(frame))
+class AsofStream:
+    """State of the join under one folder; ``on_batch`` is a ``foreachBatch`` sink.
 
+    The stream is :meth:`lines` of both sides. Matches, with the columns of
+    :func:`operators.asof.asof_join`, go to ``then``. The watermark is the lesser of the
+    newest times of the two sides, this micro-batch included, less ``delay_seconds``. A
+    left row that comes later is joined at once, to the versions still held: those above
+    the watermark and the newest of each key below it. Of two versions of one key and
+    time the one with the larger ``arrival`` wins. Rows without key or time are dropped.
+    """
 
-def _replace(state, frame: pd.DataFrame) -> None:
-    if len(frame):
-        state.put(_tuples(frame))
-    else:
-        state.clear()
+    def __init__(
+        self,
+        spark: SparkSession,
+        folder: str,
+        left: StructType,
+        right: StructType,
+        keys: Sequence[str],
+        left_time: str,
+        right_time: str,
+        arrival: str,
+        then: BatchSink,
+        delay_seconds: int = 0,
+        buckets: int = BUCKETS,
+    ):
+        self.spark, self.folder, self.then = spark, folder, then
+        self.keys, self.arrival = list(keys), arrival
+        self.times = {"left": left_time, "right": right_time}
+        self.columns = {"left": left.names, "right": right.names}
+        self.delay = delay_seconds * 1_000_000
+        self.tables = {
+            side: BucketTable(
+                spark,
+                f"{folder}/{side}",
+                ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema),
+                lambda rows: rows,
+                keys,
+                buckets,
+            )
+            for side, schema in (("left", left), ("right", right))
+        }
+
+    def lines(self, left: DataFrame, right: DataFrame) -> DataFrame:
+        """Both sides as one stream, each row with its ``_side``."""
+        left = left.withColumn("_side", F.lit("left"))
+        right = right.withColumn("_side", F.lit("right"))
+        return left.unionByName(right, allowMissingColumns=True)
+
+    def on_batch(self, lines: DataFrame, batch_id: int) -> None:
+        lines = lines.persist()
+        try:
+            self._join(lines, batch_id)
+        finally:
+            lines.unpersist()
+
+    def _join(self, lines: DataFrame, batch_id: int) -> None:
+        progress = self._progress(batch_id)
+        new = {side: self._own(lines, side) for side in self.tables}
+        newest = dict(progress["newest"])
+        for side, rows in new.items():
+            top = rows.agg(F.max(F.unix_micros(self.times[side]))).first()[0]
+            newest[side] = max((t for t in (newest.get(side), top) if t is not None), default=None)
+        known = [time for time in newest.values() if time is not None]
+        # Until both sides have come, nothing is due.
+        mark = min(known) - self.delay if len(known) == 2 else -(2**62)
+        waiting, versions = self.tables["left"], self.tables["right"]
+        touched = set(waiting.buckets_of(new["left"])) | set(versions.buckets_of(new["right"]))
+        touched |= {int(b) for b, time in progress["waiting"].items() if time <= mark}
+
+        held = {
+            side: table.rows(touched, before=batch_id).unionByName(
+                new[side].withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+            )
+            for side, table in self.tables.items()
+        }
+        passed = {side: F.unix_micros(self.times[side]) <= mark for side in held}
+        due = held["left"].filter(passed["left"]).drop("batch_id")
+        times = self.times["left"], self.times["right"]
+        found = asof_join(due, held["right"].drop("batch_id"), self.keys, *times, [self.arrival])
+        self.then(found, batch_id)
+
+        rest = held["left"].filter(~passed["left"])
+        waiting.switch(rest, touched, batch_id)
+        order = [self.times["right"], self.arrival, "batch_id"]
+        last = latest_rows(held["right"].filter(passed["right"]), self.keys, order)
+        last = last.select(*held["right"].columns)
+        versions.switch(last.unionByName(held["right"].filter(~passed["right"])), touched, batch_id)
+
+        # At most a time for each bucket.
+        first = F.min(F.unix_micros(self.times["left"])).alias("first")
+        rows = waiting.rows(touched).groupBy(waiting.bucket().alias("bucket")).agg(first).collect()
+        left_over = {b: t for b, t in progress["waiting"].items() if int(b) not in touched}
+        left_over |= {str(row["bucket"]): row["first"] for row in rows}
+        self._keep({"newest": newest, "waiting": left_over}, batch_id)
+
+    def _own(self, lines: DataFrame, side: str) -> DataFrame:
+        known = F.col(self.times[side]).isNotNull()
+        for key in self.keys:
+            known = known & F.col(key).isNotNull()
+        return lines.filter((F.col("_side") == side) & known).select(*self.columns[side])
+
+    def _progress(self, batch_id: int) -> dict:
+        """What the last micro-batch before this one left behind."""
+        names = sorted(list_names(self.spark, f"{self.folder}/progress"))
+        names = [name for name in names if int(name) < batch_id]
+        if not names:
+            return {"newest": {}, "waiting": {}}
+        return json.loads(read_text(self.spark, f"{self.folder}/progress/{names[-1]}"))
+
+    def _keep(self, progress: dict, batch_id: int) -> None:
+        name = f"{batch_id:020d}"
+        if name not in list_names(self.spark, f"{self.folder}/progress"):
+            write_text(self.spark, f"{self.folder}/progress/{name}", json.dumps(progress))

@@ -1,8 +1,12 @@
-"""Per-key state on streams."""
+"""Per-key state on streams, for a caller's function.
+
+Counts and sums need none of this: ``operators.keyed.keyed_totals`` is an updating
+aggregate.
+"""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -10,58 +14,50 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.types import StructType
 
+# (state or None, rows of the key) -> (state, one output row per row)
+KeyedFunction = Callable[[tuple | None, pd.DataFrame], tuple[tuple, pd.DataFrame]]
+
 
-class RunningTotals(StatefulProcessor):
-    """Count and sum of one key so far, kept in a value state."""
+class KeyedMap(StatefulProcessor):
+    """Runs the function on the rows of a key as they come, chunk by chunk."""
+
+    def __init__(self, function: KeyedFunction, state: str):
+        self.function, self.schema = function, state
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.totals = handle.getValueState("totals", "n LONG, s LONG")
+        self.state = handle.getValueState("state", self.schema)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        count, total = self.totals.get() or (0, 0)
+        state = self.state.get()
         for chunk in rows:
-            count += len(chunk)
-            total += int(chunk["number"].sum())
-        self.totals.update((count, total))
-        yield pd.DataFrame(
-            {"key": [key[0]], "split": [key[1]], "running_count": [count], "running_sum": [total]}
-        )
+            state, made = self.function(state, chunk)
+            if len(made) != len(chunk):
+                raise ValueError("the function must return a row for every row")
+            yield made
+        if state is not None:
+            self.state.update(state)
 
     def close(self) -> None:
         pass
 
 
-def running_totals_stream(df: DataFrame, key: str, value: str, splits: int = 2) -> DataFrame:
-    """``(key, split, running_count, running_sum)`` for the groups of each micro-batch.
+def keyed_map_stream(
+    df: DataFrame,
+    key: str,
+    function: KeyedFunction,
+    state: str,
+    output: StructType | str,
+) -> DataFrame:
+    """``function`` over the rows of each key with its state: a row out for each row in.
 
-    The rows of a key are dealt out to ``splits`` groups, so a heavy key does not rest
-    on one task; the totals of a key are the sums over its groups. The session must
-    use the RocksDB state store.
+    ``state`` and ``output`` are schemas; the function sees all columns of ``df``. A key
+    has one state and so one task: split it by the function's own means if it is heavy.
+    The session must use the RocksDB state store.
     """
-    output = (
-        StructType()
-        .add("key", df.schema[key].dataType)
-        .add("split", "integer")
-        .add("running_count", "long")
-        .add("running_sum", "long")
-    )
-    # Names with a leading underscore would not reach the processor.
-    rows = df.select(
-        F.col(key).alias("key"),
-        F.pmod(F.xxhash64(*df.columns), F.lit(splits)).cast("int").alias("split"),
-        F.coalesce(F.col(value).cast("bigint"), F.lit(0)).alias("number"),
-    )
-    return rows.groupBy("key", "split").transformWithStateInPandas(
-        statefulProcessor=RunningTotals(),
+    rows = df.withColumn("state_key", F.col(key))
+    return rows.groupBy("state_key").transformWithStateInPandas(
+        statefulProcessor=KeyedMap(function, state),
         outputStructType=output,
-        outputMode="Update",
+        outputMode="Append",
         timeMode="None",
     )
-
-
-def totals_over_splits(groups: DataFrame) -> DataFrame:
-    """``(key, running_count, running_sum)`` from the newest row of each group."""
-    return groups.groupBy("key").agg(
-        F.sum("running_count").alias("running_count"),
-        F.sum("running_sum").alias("running_sum"),
-    )

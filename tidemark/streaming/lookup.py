@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 
 from tidemark.operators.latest import latest_states
 from tidemark.operators.lookup import asked_rows, lookup_join
-from tidemark.sinks.upsert import BatchTable
+from tidemark.sinks.upsert import BucketTable
 from tidemark.streaming.run import BatchSink
 
 LoadTable = Callable[[], DataFrame]
@@ -36,7 +36,7 @@ def lookup_sink(
 
 
 def latest_sink(
-    target: BatchTable,
+    target: BucketTable,
     key: str,
     values: Sequence[str],
     order: Sequence[str],

@@ -7,14 +7,14 @@ is the changelog. Versions are never paired with versions.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark import schemas
 from tidemark.operators.changelog import changelog_diff
 from tidemark.operators.latest import finish_states, latest_states
-from tidemark.operators.routing import parse_branch, route
-from tidemark.sinks.upsert import BatchTable, state_table
+from tidemark.operators.routing import parse_branch
+from tidemark.sinks.upsert import BUCKETS, BucketTable, state_table
 from tidemark.streaming.run import batch_writer
 
 _STATE = "STRUCT<o0: STRING, value: {kind}>"
@@ -28,18 +28,28 @@ _TABLES = {
     LINKS: (["uid", "cid"], {"utype": "STRING"}, schemas.CLAZZ_USER),
 }
 
+LINKS_BY_CLASS = "links_by_class"
+# Name of a state to its topic and the key that its buckets go by.
+_STATES = {
+    USERS: (USERS, "uid"),
+    CLASSES: (CLASSES, "cid"),
+    LINKS: (LINKS, "uid"),
+    LINKS_BY_CLASS: (LINKS, "cid"),
+}
+
 
 class MembershipStream:
     """State of the join under one folder; ``on_batch`` is a ``foreachBatch`` sink.
 
-    Messages have ``topic``, ``value`` and the text ``position`` that orders them.
-    The states are compacted after every ``compact_every`` micro-batches.
+    Messages have ``topic``, ``value`` and the text ``position`` that orders them. States
+    are kept in hash buckets, the links twice, by user and by class. A micro-batch reads
+    and rewrites only the buckets of the keys that it touches.
     """
 
-    def __init__(self, spark: SparkSession, folder: str, compact_every: int = 100):
+    def __init__(self, spark: SparkSession, folder: str, buckets: int = BUCKETS):
         self.tables = {
-            topic: _table(spark, f"{folder}/{topic}", topic, compact_every)
-            for topic in _TABLES
+            name: _table(spark, f"{folder}/{name}", *columns, buckets)
+            for name, columns in _STATES.items()
         }
         self.changes_path = f"{folder}/changes"
         self._write_changes = batch_writer(self.changes_path)
@@ -47,52 +57,46 @@ class MembershipStream:
     def on_batch(self, messages: DataFrame, batch_id: int) -> None:
         # The three branches read the micro-batch once each.
         messages = messages.persist()
+        new = {topic: self._states(messages, topic).persist() for topic in _TABLES}
         try:
-            self._put(messages, batch_id)
+            for name, (topic, _) in _STATES.items():
+                self.tables[name].put(new[topic], batch_id)
+            touched = self._touched(new).persist()
+            try:
+                changes = changelog_diff(
+                    self._joined(touched, batch_id), self._joined(touched), ["uid", "cid"]
+                )
+                self._write_changes(changes, batch_id)
+            finally:
+                touched.unpersist()
         finally:
+            for states in new.values():
+                states.unpersist()
             messages.unpersist()
-        touched = self._touched(batch_id).persist()
-        try:
-            earlier = F.col("batch_id") < batch_id
-            changes = changelog_diff(
-                self._joined(touched, earlier), self._joined(touched), ["uid", "cid"]
-            )
-            self._write_changes(changes, batch_id)
-        finally:
-            touched.unpersist()
 
-    def _put(self, messages: DataFrame, batch_id: int) -> None:
-        branches = route(messages, {topic: F.col("topic") == topic for topic in _TABLES})
-        for topic, (keys, values, schema) in _TABLES.items():
-            rows = parse_branch(branches[topic], schema, keep=("position",))
-            states = latest_states(rows, keys, list(values), ["position"])
-            self.tables[topic].put(states, batch_id)
+    def _states(self, messages: DataFrame, topic: str) -> DataFrame:
+        keys, values, schema = _TABLES[topic]
+        own = messages.filter(F.col("topic") == topic)
+        rows = parse_branch(own, schema, keep=("position",))
+        return latest_states(rows, keys, list(values), ["position"])
 
-    def _touched(self, batch_id: int) -> DataFrame:
+    def _touched(self, new: dict[str, DataFrame]) -> DataFrame:
         """Keys of the links whose user, class or own values came in this batch."""
-        new = {
-            topic: table.batches().filter(F.col("batch_id") == batch_id)
-            for topic, table in self.tables.items()
-        }
-        pairs = self.tables[LINKS].batches().select("uid", "cid")
-        return (
-            pairs.join(new[USERS].select("uid"), "uid", "left_semi")
-            .unionByName(pairs.join(new[CLASSES].select("cid"), "cid", "left_semi"))
-            .unionByName(new[LINKS].select("uid", "cid"))
-            .distinct()
-        )
-
-    def _joined(self, touched: DataFrame, which: Column | None = None) -> DataFrame:
-        """The joined rows of the touched links, from the batches asked for.
-
-        Only states of touched keys are combined; the rest is scanned and left.
-        """
+        touched = new[LINKS].select("uid", "cid")
+        for name, topic, key in ((LINKS, USERS, "uid"), (LINKS_BY_CLASS, CLASSES, "cid")):
+            table, keys = self.tables[name], new[topic].select(key)
+            links = table.rows(table.buckets_of(keys)).select("uid", "cid")
+            touched = touched.unionByName(links.join(keys, key, "left_semi"))
+        return touched.distinct()
+
+    def _joined(self, touched: DataFrame, before: int | None = None) -> DataFrame:
+        """The joined rows of the touched links, as they are or were before a batch."""
         plain = {}
         for topic, (keys, values, _) in _TABLES.items():
             table = self.tables[topic]
-            rows = table.batches() if which is None else table.batches().filter(which)
             wanted = touched.select(*keys).distinct()
-            states = table.combine(rows.join(wanted, keys, "left_semi"))
+            rows = table.rows(table.buckets_of(touched), before).drop("batch_id")
+            states = rows.join(wanted, keys, "left_semi")
             plain[topic] = finish_states(states, keys, list(values))
         return _three_way(plain)
 
@@ -106,12 +110,14 @@ class MembershipStream:
         )
 
 
-def _table(spark: SparkSession, path: str, topic: str, compact_every: int) -> BatchTable:
+def _table(
+    spark: SparkSession, path: str, topic: str, bucket_by: str, buckets: int
+) -> BucketTable:
     keys, values, _ = _TABLES[topic]
     columns = [f"{key} BIGINT" for key in keys]
     columns += [f"{name} {_STATE.format(kind=kind)}" for name, kind in values.items()]
     return state_table(
-        spark, path, ", ".join(columns), keys, list(values), compact_every=compact_every
+        spark, path, ", ".join(columns), keys, list(values), bucket_by=[bucket_by], buckets=buckets
     )
 
 

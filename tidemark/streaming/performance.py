@@ -11,7 +11,7 @@ from tidemark.operators.performance import measures
 
 
 def first_sightings(
-    events: DataFrame, key: str, values: dict[str, str], others: Sequence[str]
+    events: DataFrame, key: str | Sequence[str], values: dict[str, str], others: Sequence[str]
 ) -> DataFrame:
     """The events, followed by one row for the first sighting of each (key, value).
 
@@ -19,13 +19,14 @@ def first_sightings(
     and 0 elsewhere, so its plain sum is the exact distinct count, which Spark can
     keep up on a stream. The state is spread over (key, value), not over keys.
     """
+    keys = [key] if isinstance(key, str) else list(key)
     zero = {counter: F.lit(0) for counter in values.values()}
-    result = events.select(key, *others, *[c.alias(n) for n, c in zero.items()])
+    result = events.select(*keys, *others, *[c.alias(n) for n, c in zero.items()])
     for value, counter in values.items():
-        seen = events.filter(F.col(value).isNotNull()).dropDuplicates([key, value])
+        seen = events.filter(F.col(value).isNotNull()).dropDuplicates([*keys, value])
         counters = {**zero, counter: F.lit(1)}
         empty = [F.lit(None).cast(events.schema[name].dataType).alias(name) for name in others]
-        row = seen.select(key, *empty, *[c.alias(n) for n, c in counters.items()])
+        row = seen.select(*keys, *empty, *[c.alias(n) for n, c in counters.items()])
         result = result.unionByName(row)
     return result
 
@@ -47,6 +48,27 @@ def streaming_performance(events: DataFrame) -> DataFrame:
     )
 
 
+def recent_performance_stream(
+    events: DataFrame, size: str = "5 minutes", slide: str = "1 minute"
+) -> DataFrame:
+    """The same for the last ``size`` of arrivals, brought up to date every ``slide``.
+
+    One row per user and sliding window of ``proctime``, whose end is ``until``. With a
+    watermark on ``proctime``, windows that it has passed leave the state.
+    """
+    measured = ["task_type", "creteria_type", "c_time", "op", "proctime"]
+    placed = events.withColumn("window", F.window("proctime", size, slide))
+    rows = first_sightings(
+        placed, ["user_id", "window"], {"task_id": "new_task", "course_id": "new_course"}, measured
+    )
+    totals = rows.groupBy("user_id", "window").agg(
+        F.sum("new_task").alias("task_count"),
+        F.sum("new_course").alias("course_count"),
+        *measures(),
+    )
+    return totals.select(F.col("window.end").alias("until"), *totals.columns).drop("window")
+
+
 def streaming_performance_approximate(events: DataFrame) -> DataFrame:
     """The same with approximate distinct counts, whose state has a fixed size per user."""
     return events.groupBy("user_id").agg(

@@ -73,10 +73,11 @@ class Feed:
 
 
 def stretches(df: DataFrame, time: str, cuts: Sequence[str]) -> list[DataFrame]:
-    """The rows before the first cut, between the cuts, and from the last one on."""
+    """The rows before the first cut, between the cuts, and from the last one on; rows
+    without a time are among the last."""
     moments = [F.lit(cut).cast("timestamp") for cut in cuts]
     parts = [df.filter(F.col(time) < moments[0])]
     for start, end in zip(moments, moments[1:]):
         parts.append(df.filter((F.col(time) >= start) & (F.col(time) < end)))
-    parts.append(df.filter(F.col(time) >= moments[-1]))
+    parts.append(df.filter((F.col(time) >= moments[-1]) | F.col(time).isNull()))
     return parts
