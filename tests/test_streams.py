@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tidemark.operators.latest import latest_states
 from tidemark.session import list_names, session_conf, shared_base, stream_settings
 from tidemark.sinks import upsert
-from tidemark.sinks.jdbc import merge_statement
+from tidemark.sinks.jdbc import duplicate_key_statement, merge_statement
 from tidemark.sinks.upsert import KEPT_VERSIONS, keyed_table, read_latest, state_table
 from tidemark.sources.jdbc import jdbc_read_options
 from tidemark.sources.lines import read_lines
@@ -265,6 +265,14 @@ class TestJdbc:
         with pytest.raises(ValueError):
             merge_statement("t1", "s1", ["id"], ["other"])
 
+    def test_duplicate_key_statement(self):
+        assert duplicate_key_statement("t1", "s1", ["id", "name"], ["id"]) == (
+            "INSERT INTO t1 (`id`, `name`) SELECT `id`, `name` FROM s1"
+            " ON DUPLICATE KEY UPDATE `name` = VALUES(`name`)"
+        )
+        with pytest.raises(ValueError):
+            duplicate_key_statement("t1", "s1", ["id"], [])
+
     def test_read_in_ranges(self):
         options = jdbc_read_options("jdbc:x", "t", "id INT", partition=("id", 0, 100, 8))
         assert options["numPartitions"] == "8"

@@ -26,6 +26,26 @@ def merge_statement(
     )
 
 
+def duplicate_key_statement(
+    target: str, staging: str, columns: Sequence[str], keys: Sequence[str]
+) -> str:
+    """The same for a MySQL-like database; ``target`` needs a unique index on the keys."""
+    missing = [key for key in keys if key not in columns]
+    if missing or not keys:
+        raise ValueError(f"the keys must be among the columns, missing: {missing}")
+    names = ", ".join(f"`{name}`" for name in columns)
+    rest = [name for name in columns if name not in keys] or list(keys)
+    update = ", ".join(f"`{name}` = VALUES(`{name}`)" for name in rest)
+    return (
+        f"INSERT INTO {target} ({names}) SELECT {names} FROM {staging}"
+        f" ON DUPLICATE KEY UPDATE {update}"
+    )
+
+
+# Dialects and the statement that moves staged rows over in each.
+DIALECTS = {"standard": merge_statement, "mysql": duplicate_key_statement}
+
+
 def upsert_jdbc(
     df: DataFrame,
     url: str,
@@ -34,6 +54,7 @@ def upsert_jdbc(
     keys: Sequence[str],
     flush_rows: int = 1000,
     properties: dict[str, str] | None = None,
+    dialect: str = "standard",
 ) -> None:
     """Write ``df`` (one row per key) to ``staging`` in parallel, then merge it.
 
@@ -42,6 +63,8 @@ def upsert_jdbc(
     """
     if flush_rows < 1:
         raise ValueError("flush_rows must be at least 1")
+    if dialect not in DIALECTS:
+        raise ValueError(f"dialect must be one of {sorted(DIALECTS)}")
     options = {"batchsize": str(flush_rows), "truncate": "true", **(properties or {})}
     (
         df.write.format("jdbc")
@@ -49,7 +72,7 @@ def upsert_jdbc(
         .options(url=url, dbtable=staging, **options)
         .save()
     )
-    _execute(df, url, merge_statement(target, staging, df.columns, keys), properties or {})
+    _execute(df, url, DIALECTS[dialect](target, staging, df.columns, keys), properties or {})
 
 
 def _execute(df: DataFrame, url: str, statement: str, properties: dict[str, str]) -> None:
