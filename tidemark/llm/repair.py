@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import struct
 import zlib
+from array import array
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -20,12 +21,20 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import text_bytes
-from tidemark.llm.token_counts import MEMO_CHARS, MEMO_PIECES, byte_batches, load_tokenizer, pieces_of, whole
+from tidemark.llm.token_counts import (
+    MEMO_CHARS,
+    MEMO_PIECES,
+    byte_batches,
+    leading_space_pieces,
+    load_tokenizer,
+    pieces_of,
+    whole,
+)
 from tidemark.session import new_folder
 
 SHARD_IDS = 1_000_000
 LEAST_USES = 4  # a rule pays for its two symbols and its length from here on
-ROUNDS = 8
+ROUNDS = 3
 MAGIC = b"TMRP"
 _HEAD = struct.Struct("<4sBxxxIIII")  # magic, symbol bytes, terminals, rules, documents, symbols
 
@@ -44,50 +53,54 @@ def build_grammar(
 ) -> Grammar:
     """Replace frequent pairs round by round, the most frequent first.
 
-    In a round every pair found ``least`` times gets a rank by its count. A place is
-    replaced if no overlapping pair has a better rank, so that replaced places never
-    touch. Pairs do not cross documents. Symbols stay within two bytes as long as the
-    token ids do.
+    In a round the most frequent pairs, of those found ``least`` times, get ranks by
+    their counts; the rounds share the symbols that are left to name. A place is replaced
+    if no overlapping pair has a better rank, so that replaced places never touch. Pairs
+    do not cross documents. Symbols stay within two bytes as long as the token ids do.
     """
     terminals = int(ids.max(initial=0)) + 1
-    limit = 2**16 if terminals < 2**16 - 256 else 2**31
-    symbols = ids.astype(np.int64)
+    short = terminals < 2**16 - 256
+    limit, shift, kind = (2**16, 16, np.uint32) if short else (2**31, 32, np.uint64)
+    symbols = ids.astype(kind)
     last = np.zeros(len(ids), dtype=bool)
     ends = np.cumsum(sizes)
     last[ends[sizes > 0] - 1] = True
     left, right, lengths = [], [], []
     size_of = np.ones(terminals, dtype=np.int64)
-    for _ in range(rounds):
+    for turn in range(rounds):
         base = len(size_of)
-        if len(symbols) < 2 or base >= limit:
+        share = (limit - base) // (rounds - turn)
+        if len(symbols) < 2 or share < 1:
             break
-        pairs = (symbols[:-1] << 32) | symbols[1:]
-        pairs[last[:-1]] = -1
-        places = np.arange(len(pairs))
-        kinds, kind, counts = np.unique(pairs, return_inverse=True, return_counts=True)
-        frequent = (counts >= least) & (kinds >= 0)
-        order = np.argsort(np.where(frequent, -counts, 1), kind="stable")
-        rank = np.empty(len(kinds), dtype=np.int64)
-        rank[order] = np.arange(len(kinds))
-        none = len(kinds)
-        rank[~frequent] = none
-        ranks = np.concatenate([[none], rank[kind], [none]])
-        here = ranks[1:-1]
-        chosen = (here < none) & (here < ranks[:-2]) & (here <= ranks[2:])
+        pairs = (symbols[:-1] << kind(shift)) | symbols[1:]
+        ranked = np.sort(pairs[~last[:-1]])
+        edges = np.flatnonzero(np.concatenate([[True], ranked[1:] != ranked[:-1]]))
+        counts = np.diff(np.append(edges, len(ranked)))
+        frequent = np.flatnonzero(counts >= least)
+        best = frequent[np.argsort(-counts[frequent], kind="stable")[:share]]
+        if not len(best):
+            break
+        none = len(best)
+        by_key = np.argsort(best)
+        known = ranked[edges[best[by_key]]]
+        place = np.minimum(np.searchsorted(known, pairs), none - 1)
+        here = np.where((known[place] == pairs) & ~last[:-1], by_key[place], none)
+        beside = np.concatenate([[none], here, [none]])
+        chosen = (here < none) & (here < beside[:-2]) & (here <= beside[2:])
         uses = np.bincount(here[chosen], minlength=none + 1)
-        good = np.flatnonzero(uses[:none] >= least)[: limit - base]
+        good = np.flatnonzero(uses[:none] >= least)
         if not len(good):
             break
         name = np.full(none + 1, -1, dtype=np.int64)
         name[good] = base + np.arange(len(good))
         names = name[here]
-        at = places[chosen & (names >= 0)]
-        rules = kinds[order[good]]
-        left.append(rules >> 32)
-        right.append(rules & 0xFFFFFFFF)
+        at = np.flatnonzero(chosen & (names >= 0))
+        rules = ranked[edges[best[good]]].astype(np.int64)
+        left.append(rules >> shift)
+        right.append(rules & ((1 << shift) - 1))
         size_of = np.concatenate([size_of, size_of[left[-1]] + size_of[right[-1]]])
         lengths.append(size_of[base:])
-        symbols[at] = names[at]
+        symbols[at] = names[at].astype(kind)
         last[at] = last[at + 1]
         keep = np.ones(len(symbols), dtype=bool)
         keep[at + 1] = False
@@ -100,7 +113,7 @@ def build_grammar(
     per_document[sizes > 0] = np.diff(stops, prepend=0)
     starts = np.concatenate([[0], np.cumsum(per_document)])
     joined = [np.concatenate(x or none_yet) for x in (left, right, lengths)]
-    return Grammar(terminals, *joined, starts, symbols)
+    return Grammar(terminals, *joined, starts, symbols.astype(np.int64))
 
 
 def pack_grammar(grammar: Grammar) -> bytes:
@@ -170,10 +183,27 @@ def read_ids(data: bytes, document: int, start: int = 0, stop: int | None = None
     return expand(grammar, symbols[first : last + 1])[start - before : stop - before]
 
 
+# The characters by which byte-level tokenizers write bytes: printable ones stand for
+# themselves, the others follow from 256 on.
+_PRINTABLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
+_OTHERS = [byte for byte in range(256) if byte not in _PRINTABLE]
+BYTE_LETTERS = {byte: byte for byte in _PRINTABLE} | {
+    byte: 256 + place for place, byte in enumerate(_OTHERS)
+}
+
+
+def one_word(piece: str) -> bool:
+    """Whether a piece is a run of Latin letters, with a blank before it or not: one
+    word for the byte-level rules, whatever their version of Unicode."""
+    body = piece[1:] if piece[:1] == " " else piece
+    return body.isalpha() and max(body) < "\u0250"
+
+
 class Encoder:
     """Token ids of texts as little-endian 32-bit integers, by a tokenizers file.
 
-    Texts are cut where it is safe; pieces met before are looked up.
+    Texts are cut where it is safe; pieces met before are looked up. Pieces that are one
+    word go straight to the library's model, the others through all of its steps.
     """
 
     def __init__(self, path: str):
@@ -184,6 +214,16 @@ class Encoder:
         self.known: dict[str, bytes] = {}
 
     def _encode(self, pieces: list[str]) -> None:
+        if self.cut is leading_space_pieces:
+            tokenize, rest = self.model.model.tokenize, []
+            for piece in pieces:
+                if one_word(piece):
+                    letters = piece.encode().decode("latin-1").translate(BYTE_LETTERS)
+                    ids = array("I", [token.id for token in tokenize(letters)])
+                    self.known[piece] = ids.tobytes()
+                else:
+                    rest.append(piece)
+            pieces = rest
         for batch in byte_batches(pieces):
             made = self.model.encode_batch_fast(batch, add_special_tokens=False)
             for piece, ids in zip(batch, made):
