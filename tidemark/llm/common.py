@@ -7,6 +7,7 @@ from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.session import new_folder
@@ -56,6 +57,19 @@ def byte_blocks(sizes: Iterable[int], limit: int = BLOCK_BYTES) -> Iterator[slic
         yield slice(start, count)
 
 
+def text_blocks(
+    batch: pa.RecordBatch, at: int, limit: int = BLOCK_BYTES
+) -> Iterator[tuple[pa.RecordBatch, list[bytes | None]]]:
+    """Slices of a batch of about ``limit`` bytes of text in column ``at``, with the texts.
+
+    Only the texts of one slice are Python objects at a time, however long a batch is.
+    """
+    sizes = pc.binary_length(batch.column(at)).fill_null(0).to_pylist()
+    for block in byte_blocks(sizes, limit):
+        part = batch.slice(block.start, block.stop - block.start)
+        yield part, text_bytes(part.column(at))
+
+
 def map_texts(
     df: DataFrame,
     id_col: str,
@@ -73,11 +87,8 @@ def map_texts(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, texts = batch.column(0), text_bytes(batch.column(1))
-            for block in byte_blocks(len(t or b"") for t in texts):
-                made = work(texts[block])
-                columns = {id_col: ids[block.start : block.stop]}
-                yield pa.RecordBatch.from_pydict(columns | made)
+            for part, texts in text_blocks(batch, 1):
+                yield pa.RecordBatch.from_pydict({id_col: part.column(0)} | work(texts))
 
     return source.mapInArrow(run, f"`{id_col}` {id_type}, {fields}")
 

@@ -17,7 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from tidemark.llm.common import byte_blocks, map_texts, text_bytes
+from tidemark.llm.common import map_texts, text_blocks
 
 KINDS = ("email", "ip", "card", "phone")
 
@@ -495,12 +495,9 @@ def redact(
             memo.append(_Emissions(model))
         for batch in batches:
             at = batch.schema.get_field_index(text_col)
-            texts = text_bytes(batch.column(at))
-            for block in byte_blocks(len(t or b"") for t in texts):
-                own = texts[block]
+            for part, own in text_blocks(batch, at):
                 found = find_spans([t or b"" for t in own], memo[0])
                 new = [None if t is None else replaced(t, every) for t, (_, every) in zip(own, found)]
-                part = batch.slice(block.start, block.stop - block.start)
                 yield part.set_column(at, text_col, pa.array(new, pa.string()))
 
     return documents.mapInArrow(run, documents.schema)

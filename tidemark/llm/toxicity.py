@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import map_texts, shared_table, text_bytes
+from tidemark.llm.common import map_texts, shared_table, text_blocks, text_bytes
 
 MAX_EXAMPLES = 20_000  # labelled rows the model is fitted on, those with the least hash
 MAX_TERMS = 4096
@@ -320,7 +320,8 @@ def reject_toxic(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keep = [model.score(text)[0] < threshold for text in text_bytes(batch.column(at))]
-            yield batch.filter(pa.array(keep, pa.bool_()))
+            for part, texts in text_blocks(batch, at):
+                keep = [model.score(text)[0] < threshold for text in texts]
+                yield part.filter(pa.array(keep, pa.bool_()))
 
     return documents.mapInArrow(run, documents.schema)
