@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import byte_blocks, map_texts, mix64, shared_table, text_bytes
+from tidemark.llm.common import byte_blocks, map_texts, mix64, release_shuffles, shared_table, text_bytes
 
 SHINGLE = 5
 SKETCH = 64
@@ -145,34 +145,45 @@ def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return joined.filter(alike(F.size("_set_a"), F.size("_set_b"), both)).select("_a", "_b")
 
 
+def hooked(edges: DataFrame) -> DataFrame:
+    """``(_node, _label)``: each node of ``edges`` with the least one next to it or, if
+    that hooks onto a lesser one itself, with that one: in the same component."""
+    both = edges.select("_a", "_b").union(edges.select("_b", "_a"))
+    hooks = both.groupBy(F.col("_a").alias("_node")).agg(F.min("_b").alias("_label"))
+    hooks = hooks.withColumn("_label", F.least("_node", "_label"))
+    ahead = hooks.select(F.col("_node").alias("_label"), F.col("_label").alias("_next"))
+    return hooks.join(ahead, "_label", "left").select(
+        "_node", F.coalesce("_next", "_label").alias("_label")
+    )
+
+
+def contracted(edges: DataFrame, labels: DataFrame) -> DataFrame:
+    """The edges between the labels of their ends, those inside one label left out."""
+    for end in ("_a", "_b"):
+        named = labels.select(F.col("_node").alias(end), F.col("_label").alias("_to"))
+        edges = edges.join(named, end, "left").withColumn(end, F.coalesce("_to", end)).drop("_to")
+    return edges.filter("_a <> _b").select("_a", "_b").distinct()
+
+
 def components(links: DataFrame) -> DataFrame:
     """``(_node, _label)``: the least node reachable over ``links`` ``(_a, _b)``.
 
-    Each round every label hooks onto the least label next to it, paths are
-    halved, and links inside one label go. Labels at least halve in number per round.
+    Each round every label hooks onto the least label next to it, and links inside one
+    label go; what is left is shorter each time, half the labels at most.
     """
     edges = shared_table(links.filter("_a <> _b").select("_a", "_b").distinct(), "edges")
-    nodes = edges.select(F.col("_a").alias("_node")).union(edges.select("_b")).distinct()
-    labels = nodes.withColumn("_label", F.col("_node"))
-    while not edges.isEmpty():
-        both = edges.union(edges.select("_b", "_a"))
-        hooks = both.groupBy(F.col("_a").alias("_from")).agg(F.min("_b").alias("_to"))
-        hooks = hooks.withColumn("_to", F.least("_from", "_to"))
-        for _ in range(2):
-            ahead = hooks.select(F.col("_from").alias("_to"), F.col("_to").alias("_next"))
-            hooks = hooks.join(ahead, "_to", "left").select(
-                "_from", F.coalesce("_next", "_to").alias("_to")
-            )
-        hooks = shared_table(hooks, "hooks")
-        labels = labels.join(hooks, F.col("_label") == F.col("_from"), "left").select(
+    labels = shared_table(hooked(edges), "labels")
+    hooks = labels
+    while True:
+        edges = shared_table(contracted(edges, hooks), "edges")
+        if edges.isEmpty():
+            return labels
+        hooks = shared_table(hooked(edges), "hooks")
+        moved = hooks.select(F.col("_node").alias("_label"), F.col("_label").alias("_to"))
+        labels = labels.join(moved, "_label", "left").select(
             "_node", F.coalesce("_to", "_label").alias("_label")
         )
         labels = shared_table(labels, "labels")
-        for end in ("_a", "_b"):
-            renamed = hooks.select(F.col("_from").alias(end), F.col("_to").alias("_new"))
-            edges = edges.join(renamed, end, "left").withColumn(end, F.coalesce("_new", end)).drop("_new")
-        edges = shared_table(edges.filter("_a <> _b").distinct(), "edges")
-    return labels
 
 
 def labelled(df: DataFrame, labels: DataFrame) -> DataFrame:
@@ -200,16 +211,13 @@ def star_pairs(members: DataFrame, key: str, order: Column) -> DataFrame:
     return pairs.groupBy(a.alias("_a"), b.alias("_b")).agg(F.count("*").alias("_overlap"))
 
 
-def joined_labels(labels: DataFrame, links: DataFrame) -> DataFrame:
-    """Components after further links between nodes."""
-    for end in ("_a", "_b"):
-        links = labelled(links.withColumnRenamed(end, "_node"), labels)
-        links = links.drop("_node").withColumnRenamed("_label", end)
-    merged = components(links)
-    moved = labelled(labels.withColumnRenamed("_node", "_own").withColumnRenamed("_label", "_node"), merged)
-    moved = moved.select(F.col("_own").alias("_node"), "_label")
-    fresh = merged.join(labels.select("_node"), "_node", "left_anti")
-    return shared_table(moved.unionByName(fresh), "labels")
+def moved_labels(labels: DataFrame, merged: DataFrame) -> DataFrame:
+    """``labels`` after ``merged`` ``(_node, _label)`` has joined some of them."""
+    onto = merged.select(F.col("_node").alias("_label"), F.col("_label").alias("_to"))
+    moved = labels.join(onto, "_label", "left").select(
+        "_node", F.coalesce("_to", "_label").alias("_label")
+    )
+    return moved.unionByName(merged.join(labels.select("_node"), "_node", "left_anti"))
 
 
 def rarest(members: DataFrame, sets: DataFrame) -> DataFrame:
@@ -219,6 +227,7 @@ def rarest(members: DataFrame, sets: DataFrame) -> DataFrame:
     first ``n - ceil(3n/4) + 1`` of the larger set and the first
     ``n - ceil(6n/7) + 1`` of the smaller one; ``_probe`` is true for those of the
     larger set's part only. Shingles of a single member come first and meet nobody.
+    ``_after`` counts the shingles from this one on.
     """
     own = sets.join(members.select("_node", "_label").distinct(), "_node")
     own = own.select("_node", "_label", F.size("_set").alias("_n"), F.explode("_set").alias("_token"))
@@ -231,9 +240,13 @@ def rarest(members: DataFrame, sets: DataFrame) -> DataFrame:
     large = n - F.ceil(n * SIMILARITY / 100) + 1 - alone
     small = n - F.ceil(n * (2 * SIMILARITY) / (100 + SIMILARITY)) + 1 - alone
     first = F.slice("_tokens", F.lit(1), F.greatest(large, F.lit(0)).cast("int"))
-    out = ranked.select("_node", "_label", "_n", small.alias("_small"), F.posexplode(first))
+    many = F.size("_tokens").alias("_many")
+    out = ranked.select("_node", "_label", "_n", small.alias("_small"), many, F.posexplode(first))
     out = out.withColumn("_probe", F.col("pos") >= F.col("_small"))
-    return out.select(F.col("col._token").alias("_token"), "_node", "_n", "_label", "_probe")
+    after = F.col("_many") - F.col("pos")
+    return out.select(
+        F.col("col._token").alias("_token"), "_node", "_n", "_label", "_probe", after.alias("_after")
+    )
 
 
 def near_duplicates(
@@ -266,6 +279,7 @@ def without_near_duplicates(
 
 
 def _near_duplicates(documents: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    spark = documents.sparkSession
     own = shared_table(sketches(documents, id_col, text_col), "sketches")
     nodes = own.filter("_node IS NOT NULL").groupBy("_node").agg(
         F.min(id_col).alias("_rep"),
@@ -280,8 +294,10 @@ def _near_duplicates(documents: DataFrame, id_col: str, text_col: str) -> DataFr
     # Members with many shared keys are near the middle of their group: they lead.
     weight = members.groupBy("_node").agg(F.count("*").alias("_weight"))
     members = shared_table(members.join(weight, "_node").withColumn("_label", F.col("_node")), "members")
+    release_shuffles(spark)
     taking_part = members.select("_node").distinct().join(nodes.select("_node", "_rep"), "_node")
     sets = shared_table(full_sets(documents, taking_part, id_col, text_col), "sets")
+    release_shuffles(spark)
 
     pairs = star_pairs(members, "_key", F.col("_weight"))
     for end in ("_a", "_b"):
@@ -289,20 +305,29 @@ def _near_duplicates(documents: DataFrame, id_col: str, text_col: str) -> DataFr
         pairs = pairs.join(named, end)
     pairs = pairs.filter(estimate(F.col("_sketch_a"), F.col("_sketch_b")) >= LEAST_ESTIMATE)
     labels = components(confirmed(pairs.select("_a", "_b"), sets))
+    release_shuffles(spark)
 
     open_lists = undecided(labelled(members.drop("_label"), labels), "_key")
     tokens = shared_table(rarest(open_lists, sets), "tokens")
-    last = undecided(tokens, "_token")
-    star = star_pairs(last, "_token", F.xxhash64("_node"))
-    labels = joined_labels(labels, confirmed(star.select("_a", "_b"), sets))
-
-    rest = shared_table(undecided(labelled(tokens.drop("_label"), labels), "_token"), "rest")
-    one = rest.filter(~F.col("_probe")).select("_token", *[F.col(c).alias(c + "1") for c in ("_node", "_n", "_label")])
+    star = star_pairs(undecided(tokens, "_token"), "_token", F.xxhash64("_node"))
+    star = shared_table(contracted(confirmed(star.select("_a", "_b"), sets), labels), "links")
+    now = moved_labels(labels, hooked(star))
+    release_shuffles(spark)
+
+    rest = undecided(labelled(tokens.drop("_label"), now), "_token")
+    rest = shared_table(rest, "rest")
+    renamed = [F.col(c).alias(c + "1") for c in ("_node", "_n", "_label", "_after")]
+    one = rest.filter(~F.col("_probe")).select("_token", *renamed)
     pairs = rest.join(one, "_token").filter(F.col("_label") != F.col("_label1"))
     pairs = pairs.filter((F.col("_n") >= F.col("_n1")) & near_sizes(F.col("_n"), F.col("_n1")))
+    # If this is the first shingle they share, no more than these are shared in all.
+    most = F.least("_after", "_after1")
+    pairs = pairs.filter(alike(F.col("_n"), F.col("_n1"), most))
     a, b = F.least("_node", "_node1"), F.greatest("_node", "_node1")
     pairs = pairs.select(a.alias("_a"), b.alias("_b")).distinct()
-    labels = joined_labels(labels, confirmed(pairs, sets))
+    last = contracted(confirmed(pairs, sets), labels)
+    labels = moved_labels(labels, components(star.unionByName(last)))
+    release_shuffles(spark)
 
     named = nodes.select("_node", "_rep")
     groups = labels.join(named, "_node")
