@@ -49,7 +49,7 @@ def mixture(seed, n=60):
 @pytest.mark.parametrize("hot", [False, True])
 def test_equals_all_strings(spark, seed, hot, monkeypatch):
     if hot:
-        monkeypatch.setattr(substrings, "GROUP_CONTEXTS", 2)
+        monkeypatch.setattr(substrings, "CHUNK", 700)
     if seed == 3:
         monkeypatch.setattr(substrings, "PIECE", 300)
     texts = mixture(seed)

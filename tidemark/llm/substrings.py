@@ -19,15 +19,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import mix64, release_shuffles, shared_table, text_bytes
+from tidemark.llm.common import mix64, release_shuffles, shared_table, text_blocks
 
 WINDOW = 200
 GRAM = 32
 PIECE = 1_000_000  # longer texts are cut here; the strings of a cut stay whole
+# Bytes of contexts that a task sorts at a time. Groups of one q-gram above that are not
+# sorted: their strings meet by digest, as rows that are counted before they move.
 CHUNK = 4_000_000
-# Contexts of one q-gram that a task sorts; the strings of larger groups meet by digest,
-# as rows that are counted before they move.
-GROUP_CONTEXTS = 2048
 
 _BASE = 0x9E6C63D0876A9A47
 _BYTE = mix64(np.arange(256)) | np.uint64(1)
@@ -54,13 +53,14 @@ def gram_hashes(data: np.ndarray) -> np.ndarray:
     return mix64((sums[GRAM:] - sums[:-GRAM]) * inverse[:count])
 
 
-def pieces(texts: list[bytes]) -> Iterator[tuple[list[tuple[int, int, int]], np.ndarray]]:
+def pieces(texts: list[bytes | None]) -> Iterator[tuple[list[tuple[int, int, int]], np.ndarray]]:
     """Blocks of pieces ``(text, offset in it, size)`` and their bytes one after another.
     Pieces of a text overlap by ``WINDOW - 1`` bytes: each string is in one of them."""
     held: list[tuple[int, int, int]] = []
     parts: list[bytes] = []
     size = 0
     for number, text in enumerate(texts):
+        text = text or b""
         for offset in range(0, max(len(text) - WINDOW + 1, 0), PIECE):
             part = text[offset : offset + PIECE + WINDOW - 1]
             held.append((number, offset, len(part)))
@@ -102,9 +102,8 @@ def anchor_rows(documents: DataFrame) -> DataFrame:
     """``(h, row, pos)`` for the anchors of ``(_row, _text)``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows = batch.column(0).to_numpy()
-            texts = [text or b"" for text in text_bytes(batch.column(1))]
+        for part, texts in (block for batch in batches for block in text_blocks(batch, 1)):
+            rows = part.column(0).to_numpy()
             for held, data in pieces(texts):
                 piece, at, hashes, _, _ = anchors(held, data)
                 number, offset, size = (np.array(x) for x in zip(*held))
@@ -122,10 +121,9 @@ def context_rows(documents: DataFrame, id_type: str) -> DataFrame:
     of the anchor's place in them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ids, text_hashes = batch.column(0), batch.column(1).to_numpy()
-            texts = [text or b"" for text in text_bytes(batch.column(2))]
-            wanted = batch.column(3)
+        for part, texts in (block for batch in batches for block in text_blocks(batch, 2)):
+            ids, text_hashes = part.column(0), part.column(1).to_numpy()
+            wanted = part.column(3)
             for held, data in pieces(texts):
                 piece, at, hashes, first, last = anchors(held, data)
                 number, offset, size = (np.array(x) for x in zip(*held))
@@ -307,18 +305,21 @@ def repeated_spans(documents: DataFrame) -> DataFrame:
     contexts = shared_table(context_rows(texts, id_type), "substrings-contexts")
     release_shuffles(spark)
     one = F.min(F.struct("_id", "_hash", "start")).alias("_one")
-    distinct = contexts.groupBy("h", "d").agg(F.count("*").alias("n"), one)
+    size = F.max("size").alias("_size")
+    distinct = contexts.groupBy("h", "d").agg(F.count("*").alias("n"), size, one)
     distinct = shared_table(distinct, "substrings-distinct")
-    groups = distinct.groupBy("h").agg(F.count("*").alias("_many"), F.min("n").alias("_least"))
-    mixed = groups.filter("_many > 1 AND _least = 1").select("h", "_many")
-    mixed = distinct.join(mixed, "h").select("d", "n", "_one", "_many")
+    groups = distinct.groupBy("h").agg(
+        F.count("*").alias("_many"), F.min("n").alias("_least"), F.sum("_size").alias("_whole")
+    )
+    mixed = groups.filter("_many > 1 AND _least = 1").select("h", "_whole")
+    mixed = distinct.join(mixed, "h").select("d", "n", "_one", "_whole")
     bodies = contexts.select("h", "d", "_id", "_hash", "start", "bytes").join(mixed, "d")
     bodies = bodies.filter(F.struct("_id", "_hash", "start").eqNullSafe(F.col("_one")))
     bodies = shared_table(bodies.drop("d", "_one"), "substrings-mixed")
     release_shuffles(spark)
 
-    small = bodies.filter(F.col("_many") <= GROUP_CONTEXTS).repartition("h").sortWithinPartitions("h")
-    large = bodies.filter(F.col("_many") > GROUP_CONTEXTS)
+    small = bodies.filter(F.col("_whole") <= CHUNK).repartition("h").sortWithinPartitions("h")
+    large = bodies.filter(F.col("_whole") > CHUNK)
     whole = contexts.select("d", "_id", "_hash", "start", (F.col("start") + F.col("size")).alias("end"))
     whole = whole.join(distinct.filter("n > 1").select("d"), "d").drop("d")
     spans = whole.unionByName(sorted_contexts(small, id_type)).unionByName(counted_strings(large, id_type))
@@ -349,10 +350,10 @@ def without_repeats(documents: DataFrame, id_col: str = "doc_id", text_col: str
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = [text or b"" for text in text_bytes(batch.column(1))]
+        for part, texts in (block for batch in batches for block in text_blocks(batch, 1)):
+            texts = [text or b"" for text in texts]
             removed, runs, kept = [], [], []
-            for text, starts, ends in zip(texts, batch.column(2), batch.column(3)):
+            for text, starts, ends in zip(texts, part.column(2), part.column(3)):
                 parts, done, count = [], 0, 0
                 if starts.is_valid:
                     starts, ends = starts.values.to_numpy(), ends.values.to_numpy()
@@ -369,7 +370,7 @@ def without_repeats(documents: DataFrame, id_col: str = "doc_id", text_col: str
                 runs.append(count)
             yield pa.RecordBatch.from_pydict(
                 {
-                    id_col: batch.column(0),
+                    id_col: part.column(0),
                     "n_bytes": [len(text) for text in texts],
                     "n_removed": removed,
                     "n_spans": runs,
