@@ -69,6 +69,40 @@ def test_ties_and_copies_go_to_the_smaller_id(spark):
     assert {i: len(x) for i, x in results(nearest_neighbours(few, few)).items()} == dict.fromkeys(range(4), 3)
 
 
+def test_no_query_is_left_short_of_candidates(spark):
+    rng = np.random.default_rng(4)
+    few = list(enumerate(rng.normal(size=(10, 16)).tolist()))
+    df = frame(spark, few)
+    got = results(nearest_neighbours(df, df))
+    assert {i: [j for j, _ in own] for i, own in got.items()} == {
+        i: [j for j, _ in own] for i, own in brute(few, lambda i: True).items()
+    }
+
+
+@pytest.mark.parametrize("spread", [0.0, 0.05])
+def test_scattered_vectors_beside_copies(spark, spread, monkeypatch):
+    monkeypatch.setattr(neighbours, "POINT_ROWS", 3000)
+    rng = np.random.default_rng(6)
+    groups = rng.normal(size=(40, 32))[rng.integers(0, 40, 4850)]
+    groups /= np.linalg.norm(groups, axis=1, keepdims=True)
+    vectors = np.vstack([groups + spread * rng.normal(size=groups.shape), rng.normal(size=(150, 32))])
+    vectors /= np.linalg.norm(vectors, axis=1, keepdims=True)
+    rows = list(enumerate(vectors.tolist()))
+    df = frame(spark, rows)
+    got = results(nearest_neighbours(df, df.filter("vec_id >= 4850")))
+    expected = brute(rows, lambda i: i >= 4850)
+    assert got.keys() == expected.keys() and all(len(own) == 20 for own in got.values())
+    hits = [sum(s >= own[-1][1] - 1e-9 for _, s in got[i]) for i, own in expected.items()]
+    assert sum(hits) >= 0.9 * 20 * len(expected)
+
+
+def test_copies_of_an_id_leave_room_for_others(spark):
+    rows = [(1, [3.0, 1.0])] * 30 + [(i, [1.0, i / 100]) for i in range(2, 40)]
+    df = frame(spark, rows)
+    own = results(nearest_neighbours(df, df.filter("vec_id = 39")))[39]
+    assert [j for j, _ in own] == [1, *range(38, 19, -1)]
+
+
 def test_unusable_vectors_take_no_part(spark):
     bad = [None, [], [0, 0], [1, None], [1, math.nan], [math.inf, 1], [1, 2, 3]]
     rows = [(i, v) for i, v in enumerate(bad)] + [(20, [1, 1]), (21, [2, 1]), (None, [5, 5]), (21, [2, 1])]

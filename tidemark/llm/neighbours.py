@@ -3,7 +3,10 @@
 A hash function cuts the line of a random (Gaussian) projection into slots; a table joins
 ``functions`` of them into buckets. A query visits buckets in the order of their
 estimated success, the distance of its projections to their slots, up to a limit learned
-on a bounded sample. What its tables give together is ranked by exact products.
+on a bounded sample. The k-th candidate so found says how far its neighbours lie, and the
+query goes on to the limit learned for that distance; if it has fewer than k, or lies
+farther off than any of the sample, it visits the whole block. What its tables give
+together is ranked by exact products.
 
 Vectors are dealt into blocks by a hash of their id, so that no bucket, however full, is
 one task's work; every block is visited by all queries, a block of queries at a time.
@@ -26,6 +29,8 @@ RECALL = 0.96  # of the neighbours in the sample that the limit must reach
 POINT_ROWS = 16_384
 QUERY_ROWS = 8_192
 CHUNK = 512
+POOL = 20  # queries of the sample a limit by distance is learned on
+EDGE_ROWS = 100_000  # products added up at a time
 
 
 class Hashing(NamedTuple):
@@ -34,6 +39,12 @@ class Hashing(NamedTuple):
     width: float
     limit: float
     norm: float
+    reach: np.ndarray  # ascending squared distances of the k-th neighbour
+    limits: np.ndarray  # up to each of these
+
+    def limit_at(self, square: np.ndarray) -> np.ndarray:
+        at = np.searchsorted(self.reach, square + 1e-9, side="right")
+        return np.append(self.limits, np.inf)[at]
 
 
 def augmented(vectors: np.ndarray, norm: float, query: bool) -> np.ndarray:
@@ -66,7 +77,9 @@ def fit(sample: np.ndarray, total: int, norm: float, k: int, seed: int = 5) -> H
 
     ``total`` vectors hold ``k`` neighbours of a query, so the sample holds its share of
     them, one at least; the limit is the distance within which ``RECALL`` of these
-    are met in the nearer of the tables.
+    are met in the nearer of the tables. As a few scattered vectors do not show in it
+    beside many copies, limits are also learned on pools of queries by the distance of
+    their farthest neighbour.
     """
     rng = np.random.default_rng(seed)
     dimension = sample.shape[1] + 1
@@ -74,7 +87,7 @@ def fit(sample: np.ndarray, total: int, norm: float, k: int, seed: int = 5) -> H
     own = augmented(sample, norm, query=False)
     width = WIDTH * float(np.std(own @ projections[0])) or 1.0
     offsets = rng.uniform(0, width, size=(TABLES, FUNCTIONS))
-    hashing = Hashing(projections, offsets, width, np.inf, norm)
+    hashing = Hashing(projections, offsets, width, np.inf, norm, np.zeros(0), np.zeros(0))
     if len(sample) < 2:
         return hashing
     queries = np.arange(0, len(sample), max(1, len(sample) // 500))
@@ -89,7 +102,28 @@ def fit(sample: np.ndarray, total: int, norm: float, k: int, seed: int = 5) -> H
         slots = np.floor(places(hashing, own, table))[near]
         gaps = np.maximum(np.maximum(slots - at, at - slots - 1), 0.0)
         least = np.minimum(least, np.square(gaps).sum(axis=2))
-    return hashing._replace(limit=float(np.quantile(least, RECALL)))
+    last = scores[np.arange(len(queries)), near[:, -1]]
+    square = squares(last, sample[queries], norm)
+    pools = np.array_split(np.argsort(square, kind="stable"), max(1, len(queries) // POOL))
+    limits = np.maximum.accumulate([np.quantile(least[pool], RECALL) for pool in pools])
+    reach = np.array([square[pool].max() for pool in pools])
+    return hashing._replace(limit=float(np.quantile(least, RECALL)), reach=reach, limits=limits)
+
+
+def squares(scores: np.ndarray, queries: np.ndarray, norm: float) -> np.ndarray:
+    """Squared distances, as of ``augmented`` vectors, of candidates with these products."""
+    lengths = np.linalg.norm(queries, axis=1)
+    return 2 - 2 * scores / (norm * np.where(lengths > 0, lengths, 1))
+
+
+def kth_best(scores: np.ndarray, starts: np.ndarray, k: int) -> np.ndarray:
+    """The k-th best score of each row. The columns from each of ``starts`` on are copies
+    of one id: one candidate, with the best of their scores."""
+    if len(starts) < scores.shape[1]:
+        scores = np.maximum.reduceat(scores, starts, axis=1)
+    if scores.shape[1] < k:
+        return np.full(len(scores), -np.inf)
+    return np.partition(scores, scores.shape[1] - k, axis=1)[:, scores.shape[1] - k]
 
 
 def visit(
@@ -98,6 +132,7 @@ def visit(
     """The k best points of a block for each query, as (query id, id, score) columns."""
     order = np.argsort(ids, kind="stable")
     points, ids = points[order], ids[order]
+    starts, number = np.unique(ids, return_index=True, return_inverse=True)[1:]
     hashed = augmented(points, hashing.norm, query=False)
     asked = augmented(queries, hashing.norm, query=True)
     buckets = []
@@ -107,26 +142,29 @@ def visit(
     found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
     for start in range(0, len(queries), CHUNK):
         part = slice(start, start + CHUNK)
-        met = np.zeros((len(queries[part]), len(points)), dtype=bool)
+        gaps = np.full((len(queries[part]), len(points)), np.inf)
         for table, (slots, bucket) in enumerate(buckets):
-            probed = distances(places(hashing, asked[part], table), slots) <= hashing.limit
-            met |= probed[:, bucket.ravel()]
-        met &= query_ids[part][:, None] != ids[None, :]
-        seen = np.flatnonzero(met.any(axis=0))
-        if not len(seen):
-            continue
-        scores = np.where(met[:, seen], queries[part] @ points[seen].T, -np.inf)
-        if len(seen) > k:
-            least = np.partition(scores, len(seen) - k, axis=1)[:, len(seen) - k]
-        else:
-            least = np.full(len(scores), -np.inf)
+            near = distances(places(hashing, asked[part], table), slots)
+            np.minimum(gaps, near[:, bucket.ravel()], out=gaps)
+        gaps[query_ids[part][:, None] == ids[None, :]] = np.nan
+        products = queries[part] @ points.T
+        first = np.where(gaps <= hashing.limit, products, -np.inf)
+        square = squares(kth_best(first, starts, k), queries[part], hashing.norm)
+        limit = np.maximum(hashing.limit, hashing.limit_at(square))
+        scores = np.where(gaps <= limit[:, None], products, -np.inf)
+        least = kth_best(scores, starts, k)
         # Products of equal vectors may differ in the last place here; those at the
         # edge are all kept and ranked by products added up in one order.
         row, column = np.nonzero((scores >= (least - 1e-9)[:, None]) & np.isfinite(scores))
-        column = seen[column]
-        exact = (queries[part][row] * points[column]).sum(axis=1)
+        exact = np.zeros(len(row))
+        for low in range(0, len(row), EDGE_ROWS):
+            own = slice(low, low + EDGE_ROWS)
+            exact[own] = (queries[part][row[own]] * points[column[own]]).sum(axis=1)
         rank = np.lexsort((column, -exact, row))
         row, column, exact = row[rank], column[rank], exact[rank]
+        if len(starts) < len(ids):
+            one = np.sort(np.unique(row * len(starts) + number[column], return_index=True)[1])
+            row, column, exact = row[one], column[one], exact[one]
         first = np.searchsorted(row, row)
         top = np.arange(len(row)) - first < k
         found.append((query_ids[part][row[top]], ids[column[top]], exact[top]))
