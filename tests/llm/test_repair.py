@@ -43,6 +43,38 @@ def test_round_trip_and_random_access(top):
         assert read_ids(data, i, a, b).tolist() == doc[a:b]
 
 
+def test_pairs_are_replaced_until_none_is_frequent():
+    rng = np.random.default_rng(3)
+    one = rng.integers(0, 50_000, 900)
+    shards = {
+        "copies": (np.tile(one, 300), np.full(300, 900)),
+        "run": (np.full(4096, 7), np.array([4096])),
+        "many pairs": (np.tile(np.arange(50_000), 5), np.full(5, 50_000)),
+        "ends": (np.tile([1, 2, 3], 40), np.full(40, 3)),
+    }
+    size = {}
+    for name, (ids, sizes) in shards.items():
+        grammar = build_grammar(ids.astype(np.uint32), sizes)
+        size[name] = len(grammar.symbols)
+        data = pack_grammar(grammar)
+        back = read_grammar(data)
+        assert (expand(back, back.symbols) == ids).all()
+        last = np.zeros(len(back.symbols) + 1, dtype=bool)
+        last[back.starts] = True
+        pairs = [p for p, end in zip(zip(back.symbols, back.symbols[1:]), last[1:]) if not end]
+        counts = {}
+        before = None
+        for pair in pairs:
+            if pair[0] != pair[1] or before != pair:
+                counts[pair] = counts.get(pair, 0) + 1
+                before = pair
+            else:
+                before = None
+        assert max(counts.values(), default=0) < 4
+    assert size["copies"] == 300 and size["many pairs"] == 5 and size["ends"] == 40
+    assert size["run"] <= 4
+
+
 def test_shards_without_ids():
     for sizes in ([], [0], [0, 0]):
         grammar = read_grammar(pack_grammar(build_grammar(np.zeros(0, np.uint32), np.array(sizes, dtype=np.int64))))

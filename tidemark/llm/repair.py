@@ -20,7 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import text_bytes
+from tidemark.llm.common import mix64, text_bytes
 from tidemark.llm.token_counts import (
     MEMO_CHARS,
     MEMO_PIECES,
@@ -34,9 +34,9 @@ from tidemark.session import new_folder
 
 SHARD_IDS = 1_000_000
 LEAST_USES = 4  # a rule pays for its two symbols and its length from here on
-ROUNDS = 3
-MAGIC = b"TMRP"
-_HEAD = struct.Struct("<4sBxxxIIII")  # magic, symbol bytes, terminals, rules, documents, symbols
+MAGIC = b"TMR2"
+# magic, bytes of a symbol and of a length, terminals, token ids in use, rules, documents, symbols
+_HEAD = struct.Struct("<4sBBxxIIIII")
 
 
 class Grammar(NamedTuple):
@@ -48,118 +48,150 @@ class Grammar(NamedTuple):
     symbols: np.ndarray
 
 
-def build_grammar(
-    ids: np.ndarray, sizes: np.ndarray, rounds: int = ROUNDS, least: int = LEAST_USES
-) -> Grammar:
-    """Replace frequent pairs round by round, the most frequent first.
+def build_grammar(ids: np.ndarray, sizes: np.ndarray, least: int = LEAST_USES) -> Grammar:
+    """Replace frequent pairs round by round until none is found ``least`` times.
 
-    In a round the most frequent pairs, of those found ``least`` times, get ranks by
-    their counts; the rounds share the symbols that are left to name. A place is replaced
-    if no overlapping pair has a better rank, so that replaced places never touch. Pairs
-    do not cross documents. Symbols stay within two bytes as long as the token ids do.
+    In a round the pairs found ``least`` times get ranks by their counts, equal ones by a
+    hash, as chains of rising ranks would be replaced one place a round; in a run of one
+    symbol every second pair counts. A place is replaced if no overlapping pair has a
+    better rank, so that replaced places never touch, and the best pair is replaced
+    wherever it counts: each round goes forward. Pairs do not cross documents. A pair
+    that was rare stays so until one of its places is next to a new symbol, so only the
+    other places are counted again.
     """
     terminals = int(ids.max(initial=0)) + 1
-    short = terminals < 2**16 - 256
-    limit, shift, kind = (2**16, 16, np.uint32) if short else (2**31, 32, np.uint64)
-    symbols = ids.astype(kind)
+    symbols = ids.astype(np.int64)
     last = np.zeros(len(ids), dtype=bool)
     ends = np.cumsum(sizes)
     last[ends[sizes > 0] - 1] = True
     left, right, lengths = [], [], []
     size_of = np.ones(terminals, dtype=np.int64)
-    for turn in range(rounds):
+    live = ~last
+    while live.any():
         base = len(size_of)
-        share = (limit - base) // (rounds - turn)
-        if len(symbols) < 2 or share < 1:
-            break
-        pairs = (symbols[:-1] << kind(shift)) | symbols[1:]
-        ranked = np.sort(pairs[~last[:-1]])
+        at = np.flatnonzero(live)
+        keys = (symbols[at] << 32) | symbols[at + 1]
+        same = np.concatenate([[False], (keys[1:] == keys[:-1]) & (at[1:] == at[:-1] + 1)])
+        place = np.arange(len(at))
+        odd = (place - np.maximum.accumulate(np.where(same, 0, place))) % 2 == 1
+        ranked = np.sort(keys[~odd])
         edges = np.flatnonzero(np.concatenate([[True], ranked[1:] != ranked[:-1]]))
         counts = np.diff(np.append(edges, len(ranked)))
         frequent = np.flatnonzero(counts >= least)
-        best = frequent[np.argsort(-counts[frequent], kind="stable")[:share]]
-        if not len(best):
+        if not len(frequent):
             break
+        best = frequent[np.lexsort((mix64(ranked[edges[frequent]]), -counts[frequent]))]
         none = len(best)
         by_key = np.argsort(best)
         known = ranked[edges[best[by_key]]]
-        place = np.minimum(np.searchsorted(known, pairs), none - 1)
-        here = np.where((known[place] == pairs) & ~last[:-1], by_key[place], none)
-        beside = np.concatenate([[none], here, [none]])
-        chosen = (here < none) & (here < beside[:-2]) & (here <= beside[2:])
-        uses = np.bincount(here[chosen], minlength=none + 1)
+        found = np.minimum(np.searchsorted(known, keys), none - 1)
+        rank = np.where(known[found] == keys, by_key[found], none)
+        here = np.full(len(symbols) + 2, none)
+        here[at + 1] = rank
+        ahead, behind = here[at], here[at + 2]
+        chosen = (rank < none) & ~odd & ((rank < ahead) | same) & (rank <= behind)
+        uses = np.bincount(rank[chosen], minlength=none + 1)
         good = np.flatnonzero(uses[:none] >= least)
-        if not len(good):
-            break
         name = np.full(none + 1, -1, dtype=np.int64)
         name[good] = base + np.arange(len(good))
-        names = name[here]
-        at = np.flatnonzero(chosen & (names >= 0))
-        rules = ranked[edges[best[good]]].astype(np.int64)
-        left.append(rules >> shift)
-        right.append(rules & ((1 << shift) - 1))
+        taken = chosen & (name[rank] >= 0)
+        new = at[taken]
+        rules = ranked[edges[best[good]]]
+        left.append(rules >> 32)
+        right.append(rules & 0xFFFFFFFF)
         size_of = np.concatenate([size_of, size_of[left[-1]] + size_of[right[-1]]])
         lengths.append(size_of[base:])
-        symbols[at] = names[at].astype(kind)
-        last[at] = last[at + 1]
+        symbols[new] = name[rank[taken]]
+        last[new] = last[new + 1]
+        live[at[rank == none]] = False
+        live[new] = True
+        live[new[new > 0] - 1] = True
         keep = np.ones(len(symbols), dtype=bool)
-        keep[at + 1] = False
-        symbols, last = symbols[keep], last[keep]
-        if len(at) * 50 < len(symbols):
-            break
+        keep[new + 1] = False
+        symbols, last, live = symbols[keep], last[keep], live[keep]
+        live &= ~last
     none_yet = [np.zeros(0, dtype=np.int64)]
     per_document = np.zeros(len(sizes), dtype=np.int64)
     stops = np.flatnonzero(last) + 1
     per_document[sizes > 0] = np.diff(stops, prepend=0)
     starts = np.concatenate([[0], np.cumsum(per_document)])
     joined = [np.concatenate(x or none_yet) for x in (left, right, lengths)]
-    return Grammar(terminals, *joined, starts, symbols.astype(np.int64))
+    return Grammar(terminals, *joined, starts, symbols)
+
+
+def _narrow(values: np.ndarray, width: int) -> bytes:
+    return values.astype("<u4").view(np.uint8).reshape(-1, 4)[:, :width].tobytes()
+
+
+def _wide(data: bytes, count: int, width: int, at: int) -> np.ndarray:
+    out = np.zeros((count, 4), dtype=np.uint8)
+    out[:, :width] = np.frombuffer(data, np.uint8, count * width, at).reshape(count, width)
+    return out.view("<u4").ravel().astype(np.int64)
+
+
+def _width(count: int) -> int:
+    return 2 if count <= 2**16 else 3 if count <= 2**24 else 4
 
 
 def pack_grammar(grammar: Grammar) -> bytes:
-    """The file format: a head, rules and symbols in two or four bytes each, lengths of
-    expansions and starts of documents in four, all little-endian."""
-    kind = "<u2" if grammar.terminals + len(grammar.left) <= 2**16 else "<u4"
+    """The file format: a head, the token ids in use and starts of documents in four bytes
+    each, lengths of expansions, rules and symbols in as few as they need, all
+    little-endian. A symbol is the place of a token id among those in use, or a rule
+    counted on from there, so that most shards get by with two bytes."""
+    used = np.zeros(grammar.terminals, dtype=bool)
+    for own in (grammar.left, grammar.right, grammar.symbols):
+        used[own[own < grammar.terminals]] = True
+    table = np.flatnonzero(used)
+    place = np.concatenate([np.cumsum(used) - 1, len(table) + np.arange(len(grammar.left))])
+    width = _width(len(place) - grammar.terminals + len(table))
+    long = _width(int(grammar.lengths.max(initial=0)) + 1)
     head = _HEAD.pack(
         MAGIC,
-        int(kind[-1]),
+        width,
+        long,
         grammar.terminals,
+        len(table),
         len(grammar.left),
         len(grammar.starts) - 1,
         len(grammar.symbols),
     )
-    wide = (grammar.lengths.astype("<u4"), grammar.starts.astype("<u4"))
-    narrow = (a.astype(kind) for a in (grammar.left, grammar.right, grammar.symbols))
-    return head + b"".join(a.tobytes() for a in (*wide, *narrow))
+    wide = [_narrow(table, 4), _narrow(grammar.starts, 4), _narrow(grammar.lengths, long)]
+    return head + b"".join(
+        wide + [_narrow(place[own], width) for own in (grammar.left, grammar.right, grammar.symbols)]
+    )
 
 
 def read_grammar(data: bytes) -> Grammar:
-    magic, width, terminals, rules, documents, symbols = _HEAD.unpack_from(data)
+    magic, width, long, terminals, used, rules, documents, symbols = _HEAD.unpack_from(data)
     if magic != MAGIC:
         raise ValueError("not a shard of token ids")
     at = _HEAD.size
     arrays = []
-    for count, size in ((rules, 4), (documents + 1, 4), (rules, width), (rules, width), (symbols, width)):
-        arrays.append(np.frombuffer(data, f"<u{size}", count, at).astype(np.int64))
+    for count, size in (
+        (used, 4), (documents + 1, 4), (rules, long), (rules, width), (rules, width), (symbols, width)
+    ):
+        arrays.append(_wide(data, count, size, at))
         at += count * size
-    lengths, starts, left, right, sequence = arrays
+    table, starts, lengths = arrays[:3]
+    names = np.concatenate([table, terminals + np.arange(rules)])
+    left, right, sequence = (names[own] for own in arrays[3:])
     return Grammar(terminals, left, right, lengths, starts, sequence)
 
 
 def expand(grammar: Grammar, symbols: np.ndarray) -> np.ndarray:
-    """The token ids of symbols: nonterminals are opened, the newest first."""
+    """The token ids of symbols: each nonterminal is opened once, at its place."""
     symbols = symbols.astype(np.int64)
-    while True:
-        rule = symbols - grammar.terminals
-        nested = rule >= 0
-        if not nested.any():
-            return symbols
-        size = 1 + nested.astype(np.int64)
-        place = np.cumsum(size) - size
-        out = np.empty(int(size.sum()), dtype=np.int64)
-        out[place] = np.where(nested, grammar.left[np.where(nested, rule, 0)], symbols)
-        out[place[nested] + 1] = grammar.right[rule[nested]]
-        symbols = out
+    sizes = symbol_lengths(grammar, symbols)
+    place = np.cumsum(sizes) - sizes
+    out = np.empty(int(sizes.sum()), dtype=np.int64)
+    while len(symbols):
+        nested = symbols >= grammar.terminals
+        out[place[~nested]] = symbols[~nested]
+        rule, place = symbols[nested] - grammar.terminals, place[nested]
+        first, second = grammar.left[rule], grammar.right[rule]
+        place = np.concatenate([place, place + symbol_lengths(grammar, first)])
+        symbols = np.concatenate([first, second])
+    return out
 
 
 def symbol_lengths(grammar: Grammar, symbols: np.ndarray) -> np.ndarray:
