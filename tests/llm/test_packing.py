@@ -117,3 +117,24 @@ def test_query_places_all_words_and_fills_its_bins(spark, sf_dir):
     words = read_table(spark, sf_dir, "documents").agg(F.sum(word_count(F.col("text")))).first()[0]
     assert sum(r["size"] for r in rows) == words
     assert words / (2048 * len(bins)) > 0.6
+
+
+def test_query_keeps_near_copies_apart(spark, folder):
+    rng = random.Random(1)
+    first = [f"w{rng.randrange(10_000)}" for _ in range(80)]
+    texts = [" ".join([*first[:i], "changed", *first[i + 1 :]]) for i in range(0, 12, 2)]
+    texts += [" ".join(f"v{rng.randrange(10_000)}" for _ in range(20)) for _ in range(6)]
+    texts += [None] * 4 + ["", ""]
+    rows = [(i, text, f"src{i}") for i, text in enumerate(texts)] + [(None, texts[0], "none")]
+    spark.createDataFrame(rows, "doc_id bigint, text string, source string").write.parquet(
+        f"{folder}/documents.parquet"
+    )
+    packed = queries.op6_packing(spark, folder).collect()
+    assert len(packed) == len(rows)
+    bins = {}
+    for r in packed:
+        bins.setdefault(r["doc_id"], (r["shard"], r["bin"]))
+    alike = [bins[i] for i in [*range(6), None]]
+    assert len(set(alike)) == 7
+    assert len({bins[i] for i in range(12, 16)}) == 1
+    assert bins[16] != bins[17]

@@ -278,6 +278,27 @@ def without_near_duplicates(
     return documents.join(gone, same, "left_anti")
 
 
+def with_duplicate_cluster(
+    documents: DataFrame, cluster_col: str, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """``documents`` with a column that near-duplicates have in common, a string.
+
+    Texts without a component, such as those without words, share it with equal texts
+    only; it is null for null texts.
+    """
+    found = _near_duplicates(documents, id_col, text_col).filter("n_shingles > 0")
+    found = found.groupBy(F.col(id_col).alias("_own"), F.col("_hash").alias("_own_hash")).agg(
+        F.min("component_id").alias("_component")
+    )
+    own_hash = F.xxhash64(documents[text_col])
+    same = documents[id_col].eqNullSafe(F.col("_own")) & (own_hash == F.col("_own_hash"))
+    component = F.concat(F.lit("near "), F.col("_component").cast("string"))
+    equal = F.concat(F.lit("equal "), own_hash.cast("string"))
+    cluster = F.when(documents[text_col].isNotNull(), F.coalesce(component, equal))
+    others = [documents[c] for c in documents.columns if c != cluster_col]
+    return documents.join(found, same, "left").select(*others, cluster.alias(cluster_col))
+
+
 def _near_duplicates(documents: DataFrame, id_col: str, text_col: str) -> DataFrame:
     spark = documents.sparkSession
     own = shared_table(sketches(documents, id_col, text_col), "sketches")

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from tidemark.llm.common import read_table
 from tidemark.llm.mixing import mix_sources, word_count
-from tidemark.llm.neardup import near_duplicates
+from tidemark.llm.neardup import near_duplicates, with_duplicate_cluster
 from tidemark.llm.neighbours import nearest_neighbours
 from tidemark.llm.packing import pack
 from tidemark.llm.pii import personal_data
@@ -52,8 +52,8 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    documents = read_table(spark, sf_dir, "documents")
-    return pack(documents, word_count(F.col("text")), F.xxhash64("text"))
+    documents = with_duplicate_cluster(read_table(spark, sf_dir, "documents"), "_duplicates")
+    return pack(documents, word_count(F.col("text")), F.col("_duplicates"))
 
 
 def op7_repeated_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
