@@ -13,6 +13,7 @@ from tidemark.llm.common import read_table
 from tidemark.llm.mixing import mix_sources, word_count
 from tidemark.llm.neardup import near_duplicates, with_duplicate_cluster
 from tidemark.llm.neighbours import nearest_neighbours
+from tidemark.llm.ngramjoin import ngram_join
 from tidemark.llm.packing import pack
 from tidemark.llm.pii import personal_data
 from tidemark.llm.repair import token_files
@@ -74,6 +75,10 @@ def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return personal_data(read_table(spark, sf_dir, "documents"))
 
 
+def op13_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join(read_table(spark, sf_dir, "documents"))
+
+
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "pipeline": corpus_pipeline.run,
     "op1_repetition": op1_repetition,
@@ -86,6 +91,7 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_token_counts": op8_token_counts,
     "op9_near_duplicates": op9_near_duplicates,
     "op10_personal_data": op10_personal_data,
+    "op13_ngram_join": op13_ngram_join,
 }
 
 
@@ -181,4 +187,33 @@ SELECT doc_id, size, source_size, target, CAST(repeats * size AS BIGINT) AS take
 FROM taken
 """
 
-LLM_ORACLE_SQL: dict[str, str] = {"op1_repetition": OP1_SQL, "op3_mixing": OP3_SQL}
+OP13_SQL = """
+WITH RECURSIVE texts AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS w
+    FROM documents),
+shingles AS (
+    SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) BETWEEN 1 AND 2 THEN [array_to_string(w, ' ')]
+        ELSE list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]) END) AS gram
+    FROM texts),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+links AS (
+    SELECT a.doc_id AS a, b.doc_id AS b
+    FROM shingles a JOIN shingles b USING (gram) JOIN sizes s ON a.doc_id = s.doc_id
+        JOIN sizes t ON b.doc_id = t.doc_id
+    WHERE a.doc_id <> b.doc_id AND 100 * least(s.n, t.n) >= 90 * greatest(s.n, t.n)
+    GROUP BY a.doc_id, b.doc_id, s.n, t.n HAVING 190 * count(*) >= 90 * (s.n + t.n)),
+reach AS (
+    SELECT a, b FROM links
+    UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a),
+least_of AS (SELECT a AS doc_id, min(b) AS low FROM reach GROUP BY a)
+SELECT doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles,
+    least(doc_id, coalesce(low, doc_id)) AS component_id
+FROM documents LEFT JOIN sizes USING (doc_id) LEFT JOIN least_of USING (doc_id)
+"""
+
+LLM_ORACLE_SQL: dict[str, str] = {
+    "op1_repetition": OP1_SQL,
+    "op3_mixing": OP3_SQL,
+    "op13_ngram_join": OP13_SQL,
+}
