@@ -23,9 +23,11 @@ from tidemark.llm.repetition import (
     NGRAM_LIMITS,
     repetition_signals,
 )
+from tidemark.llm.spelling import spelling_groups
 from tidemark.llm.substrings import without_repeats
 from tidemark.llm.token_counts import token_counts
 from tidemark.llm.toxicity import fit, toxicity_scores
+from tidemark.llm.whitening import whiten
 
 
 def op1_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -75,6 +77,14 @@ def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return personal_data(read_table(spark, sf_dir, "documents"))
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_groups(read_table(spark, sf_dir, "documents"))
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten(read_table(spark, sf_dir, "embeddings"))
+
+
 def op13_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join(read_table(spark, sf_dir, "documents"))
 
@@ -91,6 +101,8 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_token_counts": op8_token_counts,
     "op9_near_duplicates": op9_near_duplicates,
     "op10_personal_data": op10_personal_data,
+    "op11_spelling_variants": op11_spelling_variants,
+    "op12_whitening": op12_whitening,
     "op13_ngram_join": op13_ngram_join,
 }
 
@@ -187,6 +199,53 @@ SELECT doc_id, size, source_size, target, CAST(repeats * size AS BIGINT) AS take
 FROM taken
 """
 
+OP11_SQL = """
+WITH RECURSIVE crc_table AS (
+    SELECT list_transform(range(256), lambda n: list_reduce(range(8), lambda c, i:
+        CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, n)) AS t),
+runs AS (
+    SELECT key || run AS named, run, count(*) AS times FROM (
+        SELECT coalesce(CAST(doc_id AS VARCHAR), '') || ':' AS key,
+            unnest(regexp_extract_all(translate(coalesce(text, ''),
+                'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-z\\x{C0}-\\x{FF}]+')) AS run
+        FROM documents) WHERE length(run) >= 6 GROUP BY ALL),
+bytes AS (
+    SELECT run, times, list_transform(range(1, 2 * strlen(named), 2),
+        lambda i: CAST('0x' || substr(hex(encode(named)), i, 2) AS BIGINT)) AS b FROM runs),
+checked AS (
+    SELECT run, times, xor(list_reduce(b, lambda c, x: xor(t[(xor(c, x) & 255) + 1], c >> 8), 4294967295),
+        4294967295) AS h FROM bytes, crc_table),
+spelled AS (
+    SELECT times, CASE WHEN h % 199 = 0
+        THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word
+    FROM checked),
+words AS (
+    SELECT word, CAST(sum(times) AS BIGINT) AS n FROM spelled WHERE length(word) >= 6
+    GROUP BY word HAVING sum(times) >= 5),
+shorter AS (
+    SELECT word, n, i, substr(word, 1, i - 1) || substr(word, i + 1) AS rest
+    FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM words)),
+pairs AS (
+    SELECT a.word, a.n, b.word AS near, b.n AS near_n
+    FROM shorter a JOIN shorter b USING (i, rest) WHERE a.word <> b.word
+    UNION SELECT w.word, w.n, s.word, s.n FROM words w JOIN shorter s ON w.word = s.rest
+    UNION SELECT s.word, s.n, w.word, w.n FROM words w JOIN shorter s ON w.word = s.rest),
+ranked AS (
+    SELECT *, count(*) OVER (PARTITION BY word) AS n_near,
+        row_number() OVER (PARTITION BY word ORDER BY near_n DESC, near) AS place FROM pairs),
+forms AS (
+    SELECT words.word, words.n, coalesce(n_near, 0) AS n_near,
+        CASE WHEN near_n >= 5 * words.n THEN near END AS form,
+        CASE WHEN near_n >= 5 * words.n THEN near_n END AS form_n
+    FROM words LEFT JOIN ranked ON words.word = ranked.word AND place = 1),
+chain AS (
+    SELECT word, word AS stop, 0 AS steps FROM forms
+    UNION ALL SELECT chain.word, forms.form, steps + 1 FROM chain JOIN forms ON chain.stop = forms.word
+    WHERE forms.form IS NOT NULL),
+roots AS (SELECT word, arg_max(stop, steps) AS root FROM chain GROUP BY word)
+SELECT word, form, root, n, n_near, form_n FROM forms JOIN roots USING (word)
+"""
+
 OP13_SQL = """
 WITH RECURSIVE texts AS (
     SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''),
@@ -215,5 +274,6 @@ FROM documents LEFT JOIN sizes USING (doc_id) LEFT JOIN least_of USING (doc_id)
 LLM_ORACLE_SQL: dict[str, str] = {
     "op1_repetition": OP1_SQL,
     "op3_mixing": OP3_SQL,
+    "op11_spelling_variants": OP11_SQL,
     "op13_ngram_join": OP13_SQL,
 }
