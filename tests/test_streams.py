@@ -1,10 +1,12 @@
 """Streams: repeated batches, buckets, late rows, refreshed lookups, options."""
 
-from datetime import datetime
+import random
+from datetime import datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
 
+from tidemark.operators.changelog import apply_changelog
 from tidemark.operators.latest import latest_states
 from tidemark.session import list_names, session_conf, shared_base, stream_settings
 from tidemark.sinks import upsert
@@ -12,15 +14,17 @@ from tidemark.sinks.jdbc import duplicate_key_statement, merge_statement
 from tidemark.sinks.upsert import KEPT_VERSIONS, keyed_table, read_latest, state_table
 from tidemark.sources.jdbc import jdbc_read_options
 from tidemark.sources.lines import read_lines
-from tidemark.streaming.asof import AsofStream
+from tidemark.streaming.asof import asof_join_stream
+from tidemark.streaming.changelog import retract_stream
 from tidemark.streaming.keyed import keyed_map_stream
 from tidemark.streaming.lookup import lookup_sink
-from tidemark.streaming.membership import MembershipStream
+from tidemark.streaming.membership import MembershipStream, membership_windowed_stream
 from tidemark.streaming.performance import (
     first_sightings,
+    recent_performance_stream,
     streaming_performance_approximate,
 )
-from tidemark.streaming.run import Feed, batch_writer, run_available
+from tidemark.streaming.run import Feed, batch_writer, run_available, with_watermark
 
 
 def tuples(df, *names):
@@ -120,12 +124,30 @@ def test_approximate_counts_run_on_a_stream(spark, folder):
     assert tuples(table.read(), "user_id", "task_count") == [("u", 1)]
 
 
-def test_asof_stream_waits_for_rates_and_keeps_old_ones(spark, folder):
-    def at(minute):
-        return datetime(2024, 1, 1, 0, minute)
+def at(minute):
+    return datetime(2024, 1, 1, 0, minute)
 
-    orders = Feed(spark, f"{folder}/o", spark.createDataFrame([], "c STRING, ot TIMESTAMP, o INT").schema)
-    rates = Feed(spark, f"{folder}/r", spark.createDataFrame([], "c STRING, rt TIMESTAMP, r BIGINT").schema)
+
+LEFT, RIGHT = "c STRING, ot TIMESTAMP, o INT", "c STRING, rt TIMESTAMP, r BIGINT"
+
+
+def asof_steps(spark, folder, steps, **options):
+    """The stream's rows after each step, restarted from its checkpoint in between."""
+    orders = Feed(spark, f"{folder}/o", spark.createDataFrame([], LEFT).schema)
+    rates = Feed(spark, f"{folder}/r", spark.createDataFrame([], RIGHT).schema)
+    out = []
+    with session_conf(spark, stream_settings()):
+        for some_orders, some_rates in steps:
+            orders.add(spark.createDataFrame(some_orders, LEFT))
+            rates.add(spark.createDataFrame(some_rates, RIGHT))
+            result = asof_join_stream(orders.stream(), rates.stream(), ["c"], "ot", "rt", "r", **options)
+            run_available(result, batch_writer(f"{folder}/out"), f"{folder}/checkpoint")
+            out.append(tuples(spark.read.schema(result.schema).parquet(f"{folder}/out"), "o", "r"))
+    return out
+
+
+@pytest.mark.parametrize("splits", [1, 3])
+def test_asof_stream_waits_for_rates_and_keeps_old_ones(spark, folder, splits):
     steps = [
         # The first order is before any rate; the second waits for the next step.
         ([("x", at(1), 1), ("x", at(10), 2)], [("x", at(5), 50)]),
@@ -133,42 +155,162 @@ def test_asof_stream_waits_for_rates_and_keeps_old_ones(spark, folder):
         # No newer rate: the one of an earlier step still holds. The last rows close.
         ([("x", at(30), 4), ("end", at(50), 9)], [("end2", at(50), 0)]),
     ]
-    state = AsofStream(
-        spark, f"{folder}/state", orders.schema, rates.schema, ["c"], "ot", "rt", "r", batch_writer(f"{folder}/out")
-    )
-    lines = state.lines(orders.stream(), rates.stream())
-    for some_orders, some_rates in steps:
-        orders.add(spark.createDataFrame(some_orders, orders.schema))
-        rates.add(spark.createDataFrame(some_rates, rates.schema))
-        run_available(lines, state.on_batch, f"{folder}/checkpoint")
-    out = spark.read.parquet(f"{folder}/out")
-    assert tuples(out, "o", "r") == [(2, 90), (3, 201), (4, 201)]
-
-
-def test_asof_stream_with_rows_out_of_order_late_and_repeated(spark, folder):
-    def at(minute):
-        return datetime(2024, 1, 1, 0, minute)
-
-    left = spark.createDataFrame([], "c STRING, ot TIMESTAMP, o INT").schema
-    right = spark.createDataFrame([], "c STRING, rt TIMESTAMP, r BIGINT").schema
-    state = AsofStream(
-        spark, f"{folder}/state", left, right, ["c"], "ot", "rt", "r", batch_writer(f"{folder}/out"), buckets=4
+    out = asof_steps(spark, folder, steps, splits=splits)
+    assert out == [[], [(2, 90), (3, 201)], [(2, 90), (3, 201), (4, 201)]]
+
+
+def test_asof_stream_with_rows_out_of_order_late_and_without_key(spark, folder):
+    steps = [
+        (
+            [("x", at(20), 1), ("x", at(4), 2), (None, at(1), 0), ("x", None, 8)],
+            [("x", at(9), 9), ("x", at(2), 2), ("y", None, 1)],
+        ),
+        ([("x", at(35), 3), ("y", at(40), 4)], [("x", at(18), 18), ("x", at(31), 31)]),
+        # Late: the version of 9 is gone. That of 31 is the watermark's own, so that of 18
+        # is the newest before it and serves the order of 19.
+        ([("x", at(10), 5), ("x", at(19), 6)], []),
+        ([("z", at(59), 7)], [("z", at(59), 60)]),
+    ]
+    out = asof_steps(spark, folder, steps)
+    assert out[2] == [(1, 18), (2, 2), (6, 18)]
+    assert out[3] == [(1, 18), (2, 2), (3, 31), (6, 18), (7, 60)]
+
+
+def test_asof_stream_keeps_rows_without_a_version(spark, folder):
+    steps = [([("x", at(1), 1), ("x", at(9), 2)], [("x", at(5), 50)]), ([("e", at(59), 9)], [("e2", at(59), 0)])]
+    out = asof_steps(spark, folder, steps, how="left")
+    assert out[-1] == sorted([(1, None), (2, 50), (9, None)], key=str)
+
+
+def test_asof_stream_drops_superseded_versions(spark, folder):
+    versions = [("x", at(m), m) for m in range(20)]
+    asof_steps(spark, folder, [([("x", at(19), 1)], versions), ([("x", at(30), 2)], [("x", at(30), 30)])])
+    kept = spark.read.format("statestore").option("stateVarName", "versions").load(f"{folder}/checkpoint")
+    # Those of the watermark, and the newest before it.
+    assert kept.count() == 2
+    waiting = spark.read.format("statestore").option("stateVarName", "waiting").load(f"{folder}/checkpoint")
+    assert waiting.count() == 0
+
+
+def test_asof_stream_refuses_what_it_cannot_join(spark):
+    left, right = spark.createDataFrame([], LEFT), spark.createDataFrame([], RIGHT)
+    for bad in ({"how": "right"}, {"splits": 0}):
+        with pytest.raises(ValueError):
+            asof_join_stream(left, right, ["c"], "ot", "rt", "r", **bad)
+    with pytest.raises(ValueError, match="o"):
+        asof_join_stream(left, right.withColumnRenamed("r", "o"), ["c"], "ot", "rt", "o")
+
+
+def test_retracts_come_for_each_record(spark, folder):
+    schema = "k STRING, v STRING, n INT, o INT"
+    feed = Feed(spark, f"{folder}/in", spark.createDataFrame([], schema).schema)
+    with session_conf(spark, stream_settings()):
+        result = retract_stream(feed.stream(), ["k"], ["v", "n"], ["o"])
+        parts = [
+            # Two changes of a key in one micro-batch give both.
+            [("a", "one", None, 1), ("a", "two", 5, 2), ("b", None, None, 1)],
+            # NULL changes nothing, nor does the same value.
+            [("a", None, None, 3), ("a", "two", 5, 4), ("a", "three", 6, 5), (None, "x", 1, 1)],
+        ]
+        for part in parts:
+            feed.add(spark.createDataFrame(part, schema))
+            run_available(result, batch_writer(f"{folder}/out"), f"{folder}/checkpoint")
+    changes = spark.read.parquet(f"{folder}/out")
+    assert tuples(changes.filter("k = 'a'"), "o", "is_add", "v", "n") == [
+        (1, True, "one", None),
+        (2, False, "one", None),
+        (2, True, "two", 5),
+        (5, False, "two", 5),
+        (5, True, "three", 6),
+    ]
+    nothing = spark.createDataFrame([], "k STRING, v STRING, n INT")
+    folded = apply_changelog(nothing, changes.drop("batch_id", "o"))
+    assert tuples(folded) == sorted([("a", "three", 6), ("b", None, None), (None, "x", 1)], key=str)
+
+
+class TestPanes:
+    SCHEMA = (
+        "user_id STRING, task_id BIGINT, course_id BIGINT, task_type INT, creteria_type INT,"
+        " c_time BIGINT, op STRING, proctime TIMESTAMP"
     )
 
-    def batch(number, some_orders, some_rates):
-        lines = state.lines(spark.createDataFrame(some_orders, left), spark.createDataFrame(some_rates, right))
-        state.on_batch(lines, number)
-
-    batch(0, [("x", at(20), 1), ("x", at(4), 2), (None, at(1), 0)], [("x", at(9), 9), ("x", at(2), 2), ("y", None, 1)])
-    for _ in range(2):  # a micro-batch that is run again has one effect
-        batch(1, [("x", at(30), 3), ("y", at(40), 4)], [("x", at(18), 18), ("x", at(31), 31)])
-    # Late: the version of 9 is gone, that of 18 is the newest before the watermark of 31.
-    batch(2, [("x", at(10), 5), ("x", at(19), 6), ("z", at(59), 7)], [("z", at(59), 60)])
-    out = tuples(spark.read.parquet(f"{folder}/out"), "o", "r")
-    assert out == [(1, 18), (2, 2), (3, 18), (6, 18), (7, 60)]
-    untouched = state.tables["right"].version(before=2)
-    now = state.tables["right"].version()
-    assert any(now[b] == folder_ for b, folder_ in untouched.items())
+    def event(self, second, task, course=1):
+        return ("u", task, course, 1, 2, 3, "c", datetime(2024, 1, 1, 0, 0, 0) + timedelta(seconds=second))
+
+    def windows(self, spark, folder, parts, slide, panes):
+        feed = Feed(spark, f"{folder}/in", spark.createDataFrame([], self.SCHEMA).schema)
+        with session_conf(spark, stream_settings()):
+            result = recent_performance_stream(with_watermark(feed.stream(), "proctime"), slide, panes)
+            for part in parts:
+                feed.add(spark.createDataFrame(part, self.SCHEMA))
+                run_available(result, batch_writer(f"{folder}/out"), f"{folder}/checkpoint")
+        found = spark.read.parquet(f"{folder}/out").filter("user_id = 'u'")
+        start = datetime(2024, 1, 1)
+        return result, {
+            int((r["until"] - start).total_seconds()): (r["task_count"], r["course_count"], r["sum_create"])
+            for r in found.collect()
+        }
+
+    def expected(self, events, slide, panes):
+        out = {}
+        last = max(int((e[-1] - datetime(2024, 1, 1)).total_seconds()) for e in events)
+        for end in range(slide, last + slide * panes + 1, slide):
+            held = [
+                e for e in events
+                if end - slide * panes <= (e[-1] - datetime(2024, 1, 1)).total_seconds() < end
+            ]
+            if held:
+                tasks = {e[1] for e in held} - {None}
+                out[end] = (len(tasks), len({e[2] for e in held}), len(held))
+        return out
+
+    def test_sixty_panes_a_window(self, spark, folder):
+        rng = random.Random(4)
+        seconds = sorted(rng.randrange(300) for _ in range(40))
+        events = [self.event(s, rng.choice([1, 2, 3, None]), rng.randrange(3)) for s in seconds]
+        closing = [("end", None, None, 1, 1, 1, "c", datetime(2030, 1, 1))]
+        _, found = self.windows(spark, folder, [events[:15], events[15:], closing], 1, 60)
+        assert found == self.expected(events, 1, 60)
+
+    def test_events_are_not_copied_before_they_are_summed(self, spark, folder):
+        events = [self.event(s, 1) for s in range(10)]
+        result, _ = self.windows(spark, folder, [events], 5, 12)
+        plan = result._jdf.queryExecution().analyzed().toString().splitlines()
+        depth = lambda line: len(line) - len(line.lstrip(" :+-~"))
+        expands = [i for i, line in enumerate(plan) if "Expand" in line]
+        assert expands
+        for i in expands:  # what is copied has been summed: an aggregate is below
+            below = [line for line in plan[i + 1 :] if depth(line) > depth(plan[i])]
+            assert any("Aggregate" in line for line in below)
+        sources = sum("StreamingRelation" in line for line in plan)
+        assert sum("Aggregate" in line for line in plan) == sources + 1
+
+
+def test_membership_windows_come_with_the_watermark(spark, folder):
+    users = Feed(spark, f"{folder}/u", spark.createDataFrame([], "uid BIGINT, name STRING, age INT, position STRING").schema)
+    classes = Feed(spark, f"{folder}/c", spark.createDataFrame([], "cid BIGINT, cname STRING, position STRING").schema)
+    links = Feed(
+        spark, f"{folder}/l", spark.createDataFrame([], "uid BIGINT, cid BIGINT, utype STRING, c_time TIMESTAMP, position STRING").schema
+    )
+    users.add(spark.createDataFrame([(1, "ann", 20, "1"), (1, "anna", None, "2")], users.schema))
+    classes.add(spark.createDataFrame([(5, "math", "1")], classes.schema))
+    seen = []
+    with session_conf(spark, stream_settings()):
+        result = membership_windowed_stream(
+            users.stream(), classes.stream(), with_watermark(links.stream(), "c_time"), size="10 minutes"
+        )
+        parts = [
+            [(1, 5, "s", at(1), "1"), (1, 5, "t", at(9), "2"), (2, 5, "x", at(3), "3")],
+            [(1, 5, "late", at(2), "4"), (1, 5, "v", at(15), "5")],
+            [(1, 6, "none", at(50), "6")],
+        ]
+        for part in parts:
+            links.add(spark.createDataFrame(part, links.schema))
+            run_available(result, batch_writer(f"{folder}/out"), f"{folder}/checkpoint")
+            written = spark.read.schema(result.schema).parquet(f"{folder}/out")
+            seen.append(tuples(written, "name", "age", "utype"))
+    # The link of minute 2 came after that of minute 9.
+    assert seen == [[], [("anna", 20, "t")], [("anna", 20, "t"), ("anna", 20, "v")]]
 
 
 def test_keyed_map_returns_a_row_for_each_row(spark, folder):

@@ -118,7 +118,7 @@ def route_counts(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def _measured_events(spark: SparkSession, sf: str) -> DataFrame:
+def measured_events(spark: SparkSession, sf: str) -> DataFrame:
     """Events whose ``k`` is missing now and then, to see that NULLs are skipped."""
     df = inputs.events(spark, sf)
     return df.withColumn("k", F.when(F.col("k") % 7 != 0, F.col("k")))
@@ -126,7 +126,7 @@ def _measured_events(spark: SparkSession, sf: str) -> DataFrame:
 
 def latest_by_user(spark: SparkSession, sf: str) -> DataFrame:
     latest = latest_by_key(
-        _measured_events(spark, sf),
+        measured_events(spark, sf),
         ["user_id"],
         ["event_type", "k"],
         ["ts", "event_id"],
@@ -136,7 +136,7 @@ def latest_by_user(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def latest_row_by_user(spark: SparkSession, sf: str) -> DataFrame:
-    rows = _measured_events(spark, sf).select("user_id", "event_id", "event_type", "k", "ts")
+    rows = measured_events(spark, sf).select("user_id", "event_id", "event_type", "k", "ts")
     return inputs.naive(latest_rows(rows, ["user_id"], ["ts", "event_id"]), "ts")
 
 

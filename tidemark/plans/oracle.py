@@ -345,6 +345,27 @@ placed AS (
 SELECT user_id, until, {_PERFORMANCE_COLUMNS}
 FROM placed GROUP BY user_id, until""",
         "asof_replay": _ASOF,
+        "retract_stream_replay": f"""
+WITH {_EVENTS},
+folded AS (
+  SELECT event_id, user_id,
+         last_value(event_type IGNORE NULLS) OVER w AS event_type,
+         last_value(CASE WHEN k % 7 <> 0 THEN k END IGNORE NULLS) OVER w AS k,
+         ts
+  FROM e WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING)
+),
+steps AS (
+  SELECT *, lag(event_type) OVER u AS old_type, lag(k) OVER u AS old_k,
+         row_number() OVER u AS place
+  FROM folded WINDOW u AS (PARTITION BY user_id ORDER BY ts, event_id)
+),
+moves AS (
+  SELECT * FROM steps
+  WHERE place = 1 OR event_type IS DISTINCT FROM old_type OR k IS DISTINCT FROM old_k
+)
+SELECT true AS is_add, user_id, event_type, k, event_id FROM moves
+UNION ALL SELECT false, user_id, old_type, old_k, event_id FROM moves WHERE place > 1""",
+        "membership_windowed_replay": ORACLE_SQL["membership_latest_windowed"],
         "membership_replay": _MEMBERSHIP,
         "membership_changelog_replay": _MEMBERSHIP,
         "tumbling_sum_replay": ORACLE_SQL["tumbling_sum"],

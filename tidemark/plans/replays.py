@@ -21,10 +21,11 @@ from tidemark.operators.windows import tumbling_sum_with_start
 from tidemark.plans import batch, inputs
 from tidemark.session import new_folder, session_conf, stream_settings
 from tidemark.sinks.upsert import keyed_table, read_latest, state_table
-from tidemark.sources.topics import parse_json
-from tidemark.streaming.asof import AsofStream
+from tidemark.sources.topics import as_message, parse_json
+from tidemark.streaming.asof import asof_join_stream
+from tidemark.streaming.changelog import retract_stream
 from tidemark.streaming.lookup import latest_sink, lookup_sink
-from tidemark.streaming.membership import MembershipStream
+from tidemark.streaming.membership import MembershipStream, membership_windowed_stream
 from tidemark.streaming.performance import recent_performance_stream, streaming_performance
 from tidemark.streaming.run import Feed, batch_writer, run_available, stretches, with_watermark
 
@@ -60,13 +61,17 @@ def recent_performance_replay(spark: SparkSession, sf: str) -> DataFrame:
     feed = Feed(spark, f"{folder}/topic", messages.schema)
     arrived = with_watermark(feed.stream(), "proctime")
     parsed = parse_json(arrived, schemas.CHANGE_EVENT, keep=("proctime",))
-    result = recent_performance_stream(flatten_changes(parsed), batch.DAY, "12 hours")
-    schema = f"until TIMESTAMP, {schemas.TASK_PERFORMANCE.replace(' INT', ' BIGINT')}"
-    target = keyed_table(spark, f"{folder}/result", schema, ["user_id", "until"])
-    for part in stretches(messages, "proctime", CUTS):
+    result = recent_performance_stream(flatten_changes(parsed), 12 * 3600, panes=2)
+    write = batch_writer(f"{folder}/result")
+    # A message without a user moves the watermark, no more.
+    closing = _closing_row(spark).select(
+        "event_id", F.lit("{}").alias("value"), F.col("ts").alias("proctime")
+    )
+    for part in [*stretches(messages, "proctime", CUTS), closing]:
         feed.add(part)
-        run_available(result, target.put, f"{folder}/checkpoint", "update")
-    rows = align_to(target.read(), f"until TIMESTAMP, {schemas.TASK_PERFORMANCE}")
+        run_available(result, write, f"{folder}/checkpoint")
+    rows = _written(spark, f"{folder}/result", result)
+    rows = align_to(rows, f"until TIMESTAMP, {schemas.TASK_PERFORMANCE}")
     return inputs.naive(rows, "until", "max_proctime")
 
 
@@ -82,29 +87,64 @@ def asof_replay(spark: SparkSession, sf: str) -> DataFrame:
         (order_feed, "2100-01-01 08:00:00,0,end of orders"),
         (rate_feed, "2100-01-01 08:00:00,end of rates,1"),
     ]
-    write = batch_writer(f"{folder}/result")
-    state = AsofStream(
-        spark,
-        f"{folder}/state",
-        left.schema,
-        right.schema,
-        ["currency"],
-        "o_rowtime",
-        "r_rowtime",
-        "rate_id",
-        lambda found, batch_id: write(batch.amounts(found), batch_id),
+    found = asof_join_stream(
+        left, right, ["currency"], "o_rowtime", "r_rowtime", "rate_id", splits=2
     )
-    lines = state.lines(left, right)
+    result, write = batch.amounts(found), batch_writer(f"{folder}/result")
     for some_orders, some_rates in zip(
         stretches(orders, "ts", CUTS), stretches(rates, "ts", CUTS)
     ):
         order_feed.add(some_orders)
         rate_feed.add(some_rates)
-        run_available(lines, state.on_batch, f"{folder}/checkpoint")
+        run_available(result, write, f"{folder}/checkpoint")
     for feed, line in closing:
         feed.add(_closing_row(spark).withColumn("value", F.lit(line)))
-    run_available(lines, state.on_batch, f"{folder}/checkpoint")
-    return spark.read.parquet(f"{folder}/result").select("event_id", "r_currency", "amount")
+    run_available(result, write, f"{folder}/checkpoint")
+    return _written(spark, f"{folder}/result", result)
+
+
+def retract_stream_replay(spark: SparkSession, sf: str) -> DataFrame:
+    """What each event changes in its user's latest type and ``k``."""
+    folder = new_folder(spark, "retract")
+    rows = batch.measured_events(spark, sf).select("user_id", "event_type", "k", "ts", "event_id")
+    feed = Feed(spark, f"{folder}/topic", rows.schema)
+    result = retract_stream(feed.stream(), ["user_id"], ["event_type", "k"], ["ts", "event_id"])
+    write = batch_writer(f"{folder}/result")
+    for part in stretches(rows, "ts", CUTS):
+        feed.add(part)
+        run_available(result, write, f"{folder}/checkpoint")
+    return _written(spark, f"{folder}/result", result).drop("ts")
+
+
+def membership_windowed_replay(spark: SparkSession, sf: str) -> DataFrame:
+    """Users and classes come first, then the links by their time."""
+    folder = new_folder(spark, "membership-windowed")
+    topics = {
+        "users": (inputs.user_messages(spark, sf), schemas.USER),
+        "classes": (inputs.class_messages(spark, sf), schemas.CLAZZ),
+        "links": (inputs.link_messages(spark, sf), f"{schemas.CLAZZ_USER}, c_time TIMESTAMP"),
+    }
+    feeds, rows = {}, {}
+    for name, (messages, schema) in topics.items():
+        feeds[name] = Feed(spark, f"{folder}/{name}", messages.schema)
+        rows[name] = parse_json(feeds[name].stream(), schema, keep=("position",), lenient=True)
+    rows["links"] = with_watermark(rows["links"], "c_time")
+    result = membership_windowed_stream(**rows, size=batch.WEEK)
+    links = topics["links"][0]
+    # Positions start with the link's date; those without one come with the last part.
+    early = F.coalesce(F.col("position") < "1995-06-17", F.lit(False))
+    # A link of nobody to nothing: one without ids would not get as far as the watermark.
+    nobody = [F.lit(-1).alias("uid"), F.lit(-1).alias("cid"), F.lit(END).alias("c_time")]
+    closing = spark.range(1).select(
+        *as_message("test_class_user", *nobody), F.lit("2100").alias("position")
+    )
+    write = batch_writer(f"{folder}/result")
+    feeds["users"].add(topics["users"][0])
+    feeds["classes"].add(topics["classes"][0])
+    for part in (links.filter(early), links.filter(~early), closing):
+        feeds["links"].add(part)
+        run_available(result, write, f"{folder}/checkpoint")
+    return _written(spark, f"{folder}/result", result)
 
 
 def _closing_row(spark: SparkSession) -> DataFrame:
@@ -279,6 +319,8 @@ REPLAY_QUERIES = {
     "task_performance_replay": _as_stream(task_performance_replay),
     "recent_performance_replay": _as_stream(recent_performance_replay),
     "asof_replay": _as_stream(asof_replay),
+    "retract_stream_replay": _as_stream(retract_stream_replay),
+    "membership_windowed_replay": _as_stream(membership_windowed_replay),
     "membership_replay": _as_stream(membership_replay),
     "membership_changelog_replay": _as_stream(membership_changelog_replay),
     "tumbling_sum_replay": _as_stream(tumbling_sum_replay),

@@ -1,137 +1,185 @@
-"""The event-time as-of join on streams.
+"""The event-time as-of join on streams, on Spark's own keyed state.
 
-Left rows wait until the watermark has passed their time, when every version that can
-apply has arrived. Both sides are kept in hash buckets of the key; a micro-batch reads
-the buckets of its keys and those with rows that have become due, joins the due rows
-like a batch, and rewrites these buckets.
+Left rows wait in the state of their key until the watermark has passed their time, when
+every version that can apply has arrived; a timer then joins them. Versions that a newer one
+below the watermark supersedes leave the state.
 """
 
 from __future__ import annotations
 
-import json
-from collections.abc import Sequence
+from bisect import bisect_right
+from collections.abc import Iterator, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from tidemark.operators.asof import asof_join
-from tidemark.operators.latest import latest_rows
-from tidemark.session import list_names, read_text, write_text
-from tidemark.sinks.upsert import BUCKETS, BucketTable
-from tidemark.streaming.run import BatchSink
+# Left rows go into the state this many at a time.
+CHUNK = 1000
+_NONE = -(2**63)
 
 
-class AsofStream:
-    """State of the join under one folder; ``on_batch`` is a ``foreachBatch`` sink.
+def _timer_of(time: int) -> int:
+    """The first millisecond, as watermarks count, that is not before a microsecond."""
+    return -(-time // 1000)
 
-    The stream is :meth:`lines` of both sides. Matches, with the columns of
-    :func:`operators.asof.asof_join`, go to ``then``. The watermark is the lesser of the
-    newest times of the two sides, this micro-batch included, less ``delay_seconds``. A
-    left row that comes later is joined at once, to the versions still held: those above
-    the watermark and the newest of each key below it. Of two versions of one key and
-    time the one with the larger ``arrival`` wins. Rows without key or time are dropped.
+
+class AsofProcessor(StatefulProcessor):
+    """State of one key: waiting left rows, versions by time, and the time of its timer.
+
+    A watermark says that everything up to it has arrived. A left row that comes later is
+    joined at once, to the versions still held: those from the watermark on and the newest
+    one before it.
     """
 
-    def __init__(
-        self,
-        spark: SparkSession,
-        folder: str,
-        left: StructType,
-        right: StructType,
-        keys: Sequence[str],
-        left_time: str,
-        right_time: str,
-        arrival: str,
-        then: BatchSink,
-        delay_seconds: int = 0,
-        buckets: int = BUCKETS,
-    ):
-        self.spark, self.folder, self.then = spark, folder, then
-        self.keys, self.arrival = list(keys), arrival
-        self.times = {"left": left_time, "right": right_time}
-        self.columns = {"left": left.names, "right": right.names}
-        self.delay = delay_seconds * 1_000_000
-        self.tables = {
-            side: BucketTable(
-                spark,
-                f"{folder}/{side}",
-                ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema),
-                lambda rows: rows,
-                keys,
-                buckets,
-            )
-            for side, schema in (("left", left), ("right", right))
-        }
-
-    def lines(self, left: DataFrame, right: DataFrame) -> DataFrame:
-        """Both sides as one stream, each row with its ``_side``."""
-        left = left.withColumn("_side", F.lit("left"))
-        right = right.withColumn("_side", F.lit("right"))
-        return left.unionByName(right, allowMissingColumns=True)
-
-    def on_batch(self, lines: DataFrame, batch_id: int) -> None:
-        lines = lines.persist()
-        try:
-            self._join(lines, batch_id)
-        finally:
-            lines.unpersist()
-
-    def _join(self, lines: DataFrame, batch_id: int) -> None:
-        progress = self._progress(batch_id)
-        new = {side: self._own(lines, side) for side in self.tables}
-        newest = dict(progress["newest"])
-        for side, rows in new.items():
-            top = rows.agg(F.max(F.unix_micros(self.times[side]))).first()[0]
-            newest[side] = max((t for t in (newest.get(side), top) if t is not None), default=None)
-        known = [time for time in newest.values() if time is not None]
-        # Until both sides have come, nothing is due.
-        mark = min(known) - self.delay if len(known) == 2 else -(2**62)
-        waiting, versions = self.tables["left"], self.tables["right"]
-        touched = set(waiting.buckets_of(new["left"])) | set(versions.buckets_of(new["right"]))
-        touched |= {int(b) for b, time in progress["waiting"].items() if time <= mark}
-
-        held = {
-            side: table.rows(touched, before=batch_id).unionByName(
-                new[side].withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-            )
-            for side, table in self.tables.items()
-        }
-        passed = {side: F.unix_micros(self.times[side]) <= mark for side in held}
-        due = held["left"].filter(passed["left"]).drop("batch_id")
-        times = self.times["left"], self.times["right"]
-        found = asof_join(due, held["right"].drop("batch_id"), self.keys, *times, [self.arrival])
-        self.then(found, batch_id)
-
-        rest = held["left"].filter(~passed["left"])
-        waiting.switch(rest, touched, batch_id)
-        order = [self.times["right"], self.arrival, "batch_id"]
-        last = latest_rows(held["right"].filter(passed["right"]), self.keys, order)
-        last = last.select(*held["right"].columns)
-        versions.switch(last.unionByName(held["right"].filter(~passed["right"])), touched, batch_id)
-
-        # At most a time for each bucket.
-        first = F.min(F.unix_micros(self.times["left"])).alias("first")
-        rows = waiting.rows(touched).groupBy(waiting.bucket().alias("bucket")).agg(first).collect()
-        left_over = {b: t for b, t in progress["waiting"].items() if int(b) not in touched}
-        left_over |= {str(row["bucket"]): row["first"] for row in rows}
-        self._keep({"newest": newest, "waiting": left_over}, batch_id)
-
-    def _own(self, lines: DataFrame, side: str) -> DataFrame:
-        known = F.col(self.times[side]).isNotNull()
-        for key in self.keys:
-            known = known & F.col(key).isNotNull()
-        return lines.filter((F.col("_side") == side) & known).select(*self.columns[side])
-
-    def _progress(self, batch_id: int) -> dict:
-        """What the last micro-batch before this one left behind."""
-        names = sorted(list_names(self.spark, f"{self.folder}/progress"))
-        names = [name for name in names if int(name) < batch_id]
-        if not names:
-            return {"newest": {}, "waiting": {}}
-        return json.loads(read_text(self.spark, f"{self.folder}/progress/{names[-1]}"))
-
-    def _keep(self, progress: dict, batch_id: int) -> None:
-        name = f"{batch_id:020d}"
-        if name not in list_names(self.spark, f"{self.folder}/progress"):
-            write_text(self.spark, f"{self.folder}/progress/{name}", json.dumps(progress))
+    def __init__(self, left: StructType, right: StructType, arrival: str, keep_alone: bool):
+        self.left, self.right, self.arrival, self.keep_alone = left, right, arrival, keep_alone
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        time = StructType([StructField("_time", LongType())])
+        self.waiting = handle.getListState("waiting", StructType([*time, *self.left]))
+        self.versions = handle.getMapState("versions", time, self.right)
+        self.due = handle.getValueState("due", time)
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        newest: dict[int, tuple] = {}
+        first, chunk, place = None, [], self.right.names.index(self.arrival)
+        for row in rows:
+            if row["_side"] == "left":
+                chunk.append((row["_time"], *row["_left"].values()))
+                first = row["_time"] if first is None else min(first, row["_time"])
+                if len(chunk) == CHUNK:
+                    self.waiting.appendList(chunk)
+                    chunk = []
+            else:
+                version, time = tuple(row["_right"].values()), row["_time"]
+                if time not in newest or _later(version[place], newest[time][place]):
+                    newest[time] = version
+        if chunk:
+            self.waiting.appendList(chunk)
+        for time, version in newest.items():
+            held = self.versions.getValue((time,))
+            if held is None or _later(version[place], held[place]):
+                self.versions.updateValue((time,), version)
+        if newest:
+            self._forget(timerValues.getCurrentWatermarkInMs())
+        if first is not None:
+            self._wake(first)
+        return iter(())
+
+    def _wake(self, time: int) -> None:
+        """One timer a key: the one of its first waiting row."""
+        at, held = _timer_of(time), self.due.get()
+        if held is not None and held[0] <= at:
+            return
+        if held is not None:
+            self.handle.deleteTimer(held[0])
+        self.handle.registerTimer(at)
+        self.due.update((at,))
+
+    def _forget(self, watermark: int) -> None:
+        """Drop the versions that a newer one before the watermark supersedes."""
+        passed = sorted(time for (time,) in self.versions.keys() if time < watermark * 1000)
+        for time in passed[:-1]:
+            self.versions.removeKey((time,))
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        watermark = timerValues.getCurrentWatermarkInMs()
+        held = sorted((time, tuple(version)) for (time,), version in self.versions.iterator())
+        times = [time for time, _ in held]
+        rest, found = [], []
+        for time, *left in self.waiting.get():
+            if _timer_of(time) > watermark:
+                rest.append((time, *left))
+                continue
+            at = bisect_right(times, time)
+            if at or self.keep_alone:
+                version = held[at - 1][1] if at else (None,) * len(self.right)
+                found.append(Row(**dict(zip([*self.left.names, *self.right.names], [*left, *version]))))
+        self.due.clear()
+        if rest:
+            self.waiting.put(rest)
+            self._wake(min(row[0] for row in rest))
+        else:
+            self.waiting.clear()
+        self._forget(watermark)
+        return iter(found)
+
+    def close(self) -> None:
+        pass
+
+
+def _later(one, other) -> bool:
+    return other is None or (one is not None and one >= other)
+
+
+def asof_join_stream(
+    left: DataFrame,
+    right: DataFrame,
+    keys: Sequence[str],
+    left_time: str,
+    right_time: str,
+    arrival: str,
+    how: str = "inner",
+    delay: str = "0 seconds",
+    splits: int = 1,
+) -> DataFrame:
+    """Left columns and the right columns of the version in force, in append mode.
+
+    The watermark is the lesser of the newest times of the two sides, less ``delay``; rows
+    that it has passed come out. Of two versions of one key and time the one with the larger
+    ``arrival`` wins. Rows without key or time are dropped. ``left`` also keeps rows before
+    the first version. Left rows of a key are dealt out to ``splits`` groups, each of which
+    holds the key's versions: what a hot key needs, as a key's group is one task's work.
+    """
+    if how not in ("inner", "left") or splits < 1:
+        raise ValueError("how is inner or left, and splits at least 1")
+    names = {"left": left.columns, "right": [c for c in right.columns if c not in keys]}
+    clash = set(names["left"]).intersection(names["right"])
+    if clash:
+        raise ValueError(f"both sides have {sorted(clash)}")
+    times = {"left": left_time, "right": right_time}
+    kinds = {
+        "left": StructType([left.schema[c] for c in names["left"]]),
+        "right": StructType([right.schema[c] for c in names["right"]]),
+    }
+    # Times travel as microseconds: a column that carries the watermark would make Spark
+    # drop late rows before they get here.
+    state = {
+        side: StructType([StructField(f.name, LongType()) if f.name == times[side] else f for f in kind])
+        for side, kind in kinds.items()
+    }
+
+    def side(name: str, df: DataFrame, group: Column) -> DataFrame:
+        micros = F.unix_micros(F.col(times[name]).cast("timestamp"))
+        df = df.withColumn(times[name], F.col(times[name]).cast("timestamp"))
+        df = df.withWatermark(times[name], delay)
+        row = F.struct(*[micros.alias(c) if c == times[name] else F.col(f"`{c}`") for c in names[name]])
+        other = "right" if name == "left" else "left"
+        rows = df.select(
+            *[F.col(k).alias(f"_key{i}") for i, k in enumerate(keys)],
+            group.alias("_group"),
+            F.lit(name).alias("_side"),
+            micros.alias("_time"),
+            row.alias(f"_{name}"),
+            F.lit(None).cast(state[other].simpleString()).alias(f"_{other}"),
+        )
+        known = F.col("_time").isNotNull()
+        for i in range(len(keys)):
+            known &= F.col(f"_key{i}").isNotNull()
+        return rows.filter(known)
+
+    dealt = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in left.columns]), F.lit(splits)).cast("int")
+    copied = F.explode(F.sequence(F.lit(0), F.lit(splits - 1)))
+    lines = side("left", left, dealt).unionByName(side("right", right, copied))
+    by = [*[f"_key{i}" for i in range(len(keys))], "_group"]
+    out = StructType([*state["left"], *state["right"]])
+    found = lines.groupBy(*by).transformWithState(
+        AsofProcessor(state["left"], state["right"], arrival, how == "left"), out, "Append", "EventTime"
+    )
+    for name in ("left", "right"):
+        kind = kinds[name][times[name]].dataType
+        found = found.withColumn(times[name], F.timestamp_micros(times[name]).cast(kind))
+    return found.select(*names["left"], *names["right"])

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark import schemas
+from tidemark.functions.times import epoch_ms_text
 from tidemark.operators.changelog import changelog_diff
 from tidemark.operators.latest import finish_states, latest_states
 from tidemark.operators.routing import parse_branch
@@ -128,3 +129,32 @@ def _three_way(plain: dict[str, DataFrame]) -> DataFrame:
         .join(plain[CLASSES], "cid")
         .select("uid", "cid", "name", "age", "cname", "utype")
     )
+
+
+def membership_windowed_stream(
+    users: DataFrame, classes: DataFrame, links: DataFrame, time: str = "c_time", size: str = "10 minutes"
+) -> DataFrame:
+    """The columns of ``operators.membership.latest_membership_windowed``, in append mode.
+
+    Two stream-stream joins feed one windowed aggregate in a single query. The watermark of
+    the links' ``time`` passes through the joins, so that a window comes out once it is
+    complete; what users and classes say later does not change it. The joins drop links
+    that the watermark has passed. Each input has its order
+    of arrival in ``position``. The joins keep the rows of all three inputs.
+    """
+
+    def ordered(df: DataFrame, place: str) -> DataFrame:
+        return df.withColumnRenamed("position", place)
+
+    def latest(value: str, place: str):
+        known = F.struct(F.col(place).alias("place"), F.col(value).alias("value"))
+        return F.max(F.when(F.col(value).isNotNull(), known)).alias(value)
+
+    joined = ordered(links, "_link").join(ordered(users, "_user"), "uid")
+    joined = joined.join(ordered(classes, "_class"), "cid")
+    places = {"name": "_user", "age": "_user", "cname": "_class", "utype": "_link"}
+    rows = joined.groupBy("uid", "cid", F.window(time, size).alias("_window")).agg(
+        *[latest(value, place) for value, place in places.items()]
+    )
+    start = epoch_ms_text(F.col("_window.start")).alias("window_start")
+    return rows.select("uid", "cid", start, *[F.col(f"{v}.value").alias(v) for v in places])

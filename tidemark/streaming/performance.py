@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators.performance import measures
+from tidemark.streaming.panes import entries, in_windows
 
 
 def first_sightings(
@@ -49,24 +50,28 @@ def streaming_performance(events: DataFrame) -> DataFrame:
 
 
 def recent_performance_stream(
-    events: DataFrame, size: str = "5 minutes", slide: str = "1 minute"
+    events: DataFrame, slide_seconds: int = 60, panes: int = 5
 ) -> DataFrame:
-    """The same for the last ``size`` of arrivals, brought up to date every ``slide``.
+    """The same for the last ``panes`` slides of arrivals, brought up to date every slide.
 
-    One row per user and sliding window of ``proctime``, whose end is ``until``. With a
-    watermark on ``proctime``, windows that it has passed leave the state.
+    One row per user and sliding window of ``proctime``, whose end is ``until``, in append
+    mode: a window comes out when the watermark, which ``proctime`` must carry, has passed
+    it. Each event goes into one pane; see ``streaming.panes``.
     """
-    measured = ["task_type", "creteria_type", "c_time", "op", "proctime"]
-    placed = events.withColumn("window", F.window("proctime", size, slide))
-    rows = first_sightings(
-        placed, ["user_id", "window"], {"task_id": "new_task", "course_id": "new_course"}, measured
-    )
-    totals = rows.groupBy("user_id", "window").agg(
-        F.sum("new_task").alias("task_count"),
-        F.sum("new_course").alias("course_count"),
-        *measures(),
+    placed = events.withColumn("_pane", F.window("proctime", f"{slide_seconds} seconds"))
+    summed = placed.groupBy("user_id", "_pane").agg(*measures())
+    rows = in_windows(summed, slide_seconds, panes)
+    counters = {"task_id": "task_count", "course_id": "course_count"}
+    entered = entries(placed, ["user_id"], counters, slide_seconds, panes)
+    for name in counters.values():
+        rows = rows.withColumn(name, F.lit(0).cast("bigint"))
+        entered = entered.withColumn(name, (F.col("_counter") == name).cast("bigint"))
+    rows = rows.unionByName(entered.drop("_counter"), allowMissingColumns=True)
+    totals = rows.groupBy("user_id", F.window("_time", f"{slide_seconds} seconds").alias("_window")).agg(
+        *[F.sum(c).alias(c) for c in rows.columns if c not in ("user_id", "_time", "max_proctime")],
+        F.max("max_proctime").alias("max_proctime"),
     )
-    return totals.select(F.col("window.end").alias("until"), *totals.columns).drop("window")
+    return totals.select(F.col("_window.end").alias("until"), *totals.columns).drop("_window")
 
 
 def streaming_performance_approximate(events: DataFrame) -> DataFrame:
