@@ -75,6 +75,14 @@ def test_split_hubs_and_small_tables_of_counts_change_nothing(spark, monkeypatch
     assert found == expected
 
 
+def test_filter_keeps_all_that_is_asked_for_and_little_else(spark):
+    rows = spark.range(20_000).withColumnRenamed("id", "_rep")
+    wanted = rows.filter("_rep % 10 = 3").union(rows.limit(0))
+    kept = {r["_rep"] for r in ngramjoin.asked_for(rows, wanted, "_rep").collect()}
+    assert kept >= set(range(3, 20_000, 10)) and len(kept) < 2100
+    assert ngramjoin.asked_for(rows, wanted.limit(0), "_rep").count() == 0
+
+
 def test_prefixes_of_linked_sets_meet():
     rng = random.Random(3)
     for _ in range(300):

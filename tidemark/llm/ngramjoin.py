@@ -36,6 +36,8 @@ _CHUNKS = 64
 CLASSES = 64
 # Sets that a hub is compared with by one task at least; a bigger hub is split.
 HUB = 512
+# Bits of the filter that keeps texts from moving whose sets nobody asks for (1 MB).
+FILTER_BITS = 1 << 23
 
 
 def least_overlap(n: Column, m: Column, overlap: Column) -> Column:
@@ -202,6 +204,23 @@ def suffix_filtered(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     return pairs.mapInArrow(run, "_a bigint, _b bigint")
 
 
+def asked_for(rows: DataFrame, wanted: DataFrame, name: str) -> DataFrame:
+    """``rows`` less most of those whose ``name`` is not in ``wanted``.
+
+    Values of ``wanted`` set bits of a map of fixed size, by hash; it keeps every row that
+    is asked for, and others where bits collide. So it only saves moving rows to a join.
+    """
+    bit = F.pmod(F.xxhash64(name), F.lit(FILTER_BITS)) + 1
+    bits = wanted.select(bit.alias("_bit")).groupBy(F.bitmap_bucket_number("_bit").alias("_bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("_bit")).alias("_bits")
+    )
+    place = F.bitmap_bit_position(bit)
+    rows = rows.withColumn("_bucket", F.bitmap_bucket_number(bit)).join(F.broadcast(bits), "_bucket")
+    byte = F.expr("CAST(conv(hex(substring(_bits, CAST(_place DIV 8 AS INT) + 1, 1)), 16, 10) AS INT)")
+    held = rows.withColumn("_place", place).filter(byte.bitwiseAND(F.expr("shiftleft(1, CAST(_place % 8 AS INT))")) != 0)
+    return held.drop("_bucket", "_bits", "_place")
+
+
 def verified(
     pairs: DataFrame, nodes: DataFrame, documents: DataFrame, id_col: str, text_col: str, width: int
 ) -> DataFrame:
@@ -221,6 +240,7 @@ def verified(
     wanted = partners.union(own).join(nodes.select("_k", "_rep", "_digest"), "_k")
     wanted = shared_table(wanted, "wanted")
     rows = documents.select(documents[id_col].alias("_rep"), documents[text_col].alias("_text"))
+    rows = asked_for(rows, wanted, "_rep")
     rows = rows.join(wanted, "_rep").select("_text", "_digest", "_k", "_b", "_part", "_role")
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
