@@ -40,8 +40,8 @@ def recall(got, expected):
 
 @pytest.mark.parametrize("lengths", [False, True])
 def test_recall_and_exact_scores(spark, lengths, monkeypatch):
-    monkeypatch.setattr(neighbours, "POINT_ROWS", 700)
-    monkeypatch.setattr(neighbours, "QUERY_ROWS", 40)
+    monkeypatch.setattr(neighbours, "PART_ROWS", 70)
+    monkeypatch.setattr(neighbours, "CHUNK", 16)
     rng = np.random.default_rng(2)
     vectors = rng.normal(size=(2000, 32))
     if lengths:
@@ -81,7 +81,7 @@ def test_no_query_is_left_short_of_candidates(spark):
 
 @pytest.mark.parametrize("spread", [0.0, 0.05])
 def test_scattered_vectors_beside_copies(spark, spread, monkeypatch):
-    monkeypatch.setattr(neighbours, "POINT_ROWS", 3000)
+    monkeypatch.setattr(neighbours, "HELD_ROWS", 3000)
     rng = np.random.default_rng(6)
     groups = rng.normal(size=(40, 32))[rng.integers(0, 40, 4850)]
     groups /= np.linalg.norm(groups, axis=1, keepdims=True)
@@ -96,6 +96,49 @@ def test_scattered_vectors_beside_copies(spark, spread, monkeypatch):
     assert sum(hits) >= 0.9 * 20 * len(expected)
 
 
+def test_few_products_on_clustered_vectors(spark):
+    rng = np.random.default_rng(8)
+    groups = rng.normal(size=(60, 24))[rng.integers(0, 60, 6000)]
+    vectors = groups + 0.05 * rng.normal(size=groups.shape)
+    rows = list(enumerate((vectors / np.linalg.norm(vectors, axis=1, keepdims=True)).tolist()))
+    df = frame(spark, rows)
+    found = nearest_neighbours(df, df.filter("vec_id % 20 = 0"))
+    expected = brute(rows, lambda i: i % 20 == 0)
+    assert recall(results(found), expected) >= 0.9
+    visited = found.select("query_id", "visited").distinct().toPandas()["visited"]
+    assert len(visited) == 300 and visited.mean() < 0.25 * 6000
+
+
+def test_probes_come_in_order_of_their_scores():
+    rng = np.random.default_rng(3)
+    for limit in (0.0, 0.5, 2.3):
+        at = rng.normal(size=4) * 3
+        slots, scores = neighbours.probes(at, -1.0, limit)
+        assert (np.diff(scores) >= 0).all() and scores.max() <= limit
+        assert (slots[0] == np.floor(at)).all() and scores[0] == 0
+        grid = np.stack(np.meshgrid(*[np.floor(x) + np.arange(-3, 4) for x in at]), -1).reshape(-1, 4)
+        gaps = np.maximum(np.maximum(grid - at, at - grid - 1), 0)
+        assert len(slots) == (np.square(gaps).sum(axis=1) <= limit).sum()
+        later = neighbours.probes(at, 0.2, limit)[1]
+        assert len(later) == (scores > 0.2).sum()
+
+
+def test_buckets_meet_by_join_and_not_by_blocks(spark, sf_dir):
+    from tidemark.llm.common import shared_table
+
+    rows = read_table(spark, sf_dir, "embeddings").selectExpr("vec_id AS _id", "CAST(embedding AS array<double>) AS _v")
+    vectors = np.array([r["_v"] for r in rows.collect()])
+    hashing = neighbours.fit(vectors, len(vectors), float(np.linalg.norm(vectors, axis=1).max()), 20)
+    index = neighbours.indexed(rows, hashing, vectors.shape[1])
+    buckets = index.groupBy("_table", "_key").count().collect()
+    assert 8 * neighbours.TABLES <= len(buckets) < 0.5 * len(vectors) * neighbours.TABLES
+    asked = rows.filter("_id % 20 = 0").selectExpr("*", "-1.0D AS _above", f"{hashing.limit}D AS _limit")
+    met = neighbours.probing(asked, hashing, vectors.shape[1]).join(
+        shared_table(index.select("_table", "_key").distinct(), "buckets"), ["_table", "_key"]
+    )
+    assert met.count() < asked.count() * len(buckets)
+
+
 def test_copies_of_an_id_leave_room_for_others(spark):
     rows = [(1, [3.0, 1.0])] * 30 + [(i, [1.0, i / 100]) for i in range(2, 40)]
     df = frame(spark, rows)
