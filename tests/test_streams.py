@@ -1,6 +1,7 @@
 """Streams: repeated batches, buckets, late rows, refreshed lookups, options."""
 
 import random
+import time
 from datetime import datetime, timedelta
 
 import pytest
@@ -8,14 +9,16 @@ from pyspark.sql import functions as F
 
 from tidemark.operators.changelog import apply_changelog
 from tidemark.operators.latest import latest_states
-from tidemark.session import list_names, session_conf, shared_base, stream_settings
+from tidemark.session import list_names, session_conf, shared_base, stream_settings, write_text
 from tidemark.sinks import upsert
 from tidemark.sinks.jdbc import duplicate_key_statement, merge_statement
 from tidemark.sinks.upsert import KEPT_VERSIONS, keyed_table, read_latest, state_table
 from tidemark.sources.jdbc import jdbc_read_options
 from tidemark.sources.lines import read_lines
+from tidemark.sources.topics import parse_json_checked
 from tidemark.streaming.asof import asof_join_stream
 from tidemark.streaming.changelog import retract_stream
+from tidemark.streaming.jobs import JobCounts, JobSettings, counted, read_settings, start_job
 from tidemark.streaming.keyed import keyed_map_stream
 from tidemark.streaming.lookup import lookup_sink
 from tidemark.streaming.membership import MembershipStream, membership_windowed_stream
@@ -24,6 +27,7 @@ from tidemark.streaming.performance import (
     recent_performance_stream,
     streaming_performance_approximate,
 )
+from tidemark.streaming.routing import Branch, route_sink
 from tidemark.streaming.run import Feed, batch_writer, run_available, with_watermark
 
 
@@ -328,6 +332,115 @@ def test_keyed_map_returns_a_row_for_each_row(spark, folder):
     assert tuples(spark.read.parquet(f"{folder}/out"), "k", "total") == [("a", 1), ("a", 3), ("a", 5), ("b", 5)]
 
 
+def test_keyed_map_starts_from_a_table_once(spark, folder):
+    feed = Feed(spark, f"{folder}/in", spark.createDataFrame([], "k STRING, v INT").schema)
+    start = spark.createDataFrame([("a", 10), ("c", 7)], "k STRING, total BIGINT")
+
+    def running(state, chunk):
+        total = (state or (0,))[0] + chunk["v"].cumsum()
+        return (int(total.iloc[-1]),), chunk.assign(total=total)[["k", "v", "total"]]
+
+    with session_conf(spark, stream_settings()):
+        result = keyed_map_stream(feed.stream(), "k", running, "total LONG", "k STRING, v INT, total LONG", start)
+        for part in ([("a", 1), ("b", 5)], [("a", 2)]):
+            feed.add(spark.createDataFrame(part, feed.schema))
+            run_available(result, batch_writer(f"{folder}/out"), f"{folder}/checkpoint")
+    assert tuples(spark.read.parquet(f"{folder}/out"), "k", "total") == [("a", 11), ("a", 13), ("b", 5)]
+    # The state as Spark's own reader gives it, also for a key without rows.
+    held = spark.read.format("statestore").option("stateVarName", "state").load(f"{folder}/checkpoint")
+    assert sorted((r["key"][0], r["value"][0]) for r in held.collect()) == [("a", 13), ("b", 5), ("c", 7)]
+
+
+class TestRouteSink:
+    def feed(self, spark, folder):
+        return Feed(spark, f"{folder}/in", spark.createDataFrame([], "t STRING, v INT").schema)
+
+    def test_a_failing_sink_repeats_the_others_in_effect_only(self, spark, folder):
+        feed, calls = self.feed(spark, folder), []
+
+        def fragile(rows, batch_id):
+            calls.append(batch_id)
+            if len(calls) == 2:
+                raise OSError("lost")
+            batch_writer(f"{folder}/b")(rows, batch_id)
+
+        first = []
+
+        def noted(rows, batch_id):
+            first.append(batch_id)
+            batch_writer(f"{folder}/a")(rows, batch_id)
+
+        sink = route_sink([Branch("a", F.col("t") == "a", noted), Branch("b", F.col("t") != "a", fragile), Branch("all", None, batch_writer(f"{folder}/all"))])
+        feed.add(spark.createDataFrame([("a", 1), ("b", 2), (None, 3)], feed.schema))
+        run_available(feed.stream(), sink, f"{folder}/checkpoint")
+        feed.add(spark.createDataFrame([("a", 4), ("b", 5)], feed.schema))
+        with pytest.raises(Exception, match="lost"):
+            run_available(feed.stream(), sink, f"{folder}/checkpoint")
+        run_available(feed.stream(), sink, f"{folder}/checkpoint")
+        assert first == [0, 1, 1] and calls == [0, 1, 1]
+        values = {name: [v for (v,) in tuples(spark.read.parquet(f"{folder}/{name}"), "v")] for name in ("a", "b", "all")}
+        assert values == {"a": [1, 4], "b": [2, 5], "all": [1, 2, 3, 4, 5]}
+
+    def test_a_micro_batch_is_read_once(self, spark, folder):
+        rows = spark.createDataFrame([("a", 1)], "t STRING, v INT")
+        plans = []
+        sink = route_sink([Branch(n, None, lambda df, _: plans.append(df._jdf.queryExecution().toString())) for n in "xy"])
+        sink(rows, 0)
+        assert all("InMemoryRelation" in plan for plan in plans)
+        assert not rows.is_cached
+
+    def test_names_are_checked(self):
+        for bad in ([], [Branch("x", None, print), Branch("x", None, print)]):
+            with pytest.raises(ValueError):
+                route_sink(bad)
+
+
+class TestJobs:
+    def test_settings_come_from_a_file(self, spark, folder):
+        write_text(spark, f"{folder}/conf/a", "# comment\n\ncheckpoint.dir = /x=y \ncheckpoint.interval=250\n!no\nother=1\n")
+        assert read_settings(spark, f"{folder}/conf/a") == JobSettings("/x=y", 250)
+        write_text(spark, f"{folder}/conf/b", "checkpoint.dir=/x")
+        assert read_settings(spark, f"{folder}/conf/b").trigger_millis == 5000
+        for text in ("checkpoint.interval=5", "checkpoint.dir=/x\ncheckpoint.interval=0", "nothing"):
+            name = f"{folder}/conf/{len(text)}-bad"
+            write_text(spark, name, text)
+            with pytest.raises(ValueError):
+                read_settings(spark, name)
+
+    def test_a_stopped_job_goes_on_and_counts_late_and_corrupt_rows(self, spark, folder):
+        schema = spark.createDataFrame([], "value STRING, ts TIMESTAMP").schema
+        feed = Feed(spark, f"{folder}/in", schema)
+        counts = JobCounts("job")
+        spark.streams.addListener(counts)
+        try:
+            parts = [
+                [('{"k": 1}', at(1)), ("broken", at(2)), ('{"k": 2}', at(30))],
+                # Late by half an hour, and one that moves the watermark.
+                [('{"k": 3}', at(0)), ('{"k": "x"}', at(31)), ('{"k": 4}', at(59))],
+                [],
+            ]
+            for part in parts:
+                if part:
+                    feed.add(spark.createDataFrame(part, schema))
+                rows = parse_json_checked(with_watermark(feed.stream(), "ts"), "k INT", keep=("ts",), mode="marked")
+                rows = counted(rows, "parsed", corrupt=F.col("_corrupt").isNotNull()).filter("_corrupt IS NULL")
+                result = rows.groupBy(F.window("ts", "10 minutes")).agg(F.sum("k").alias("k"))
+                job = start_job(result, batch_writer(f"{folder}/out"), JobSettings(f"{folder}/checkpoint", 100), "job")
+                try:
+                    job.processAllAvailable()
+                finally:
+                    job.stop()
+        finally:
+            deadline = time.time() + 20
+            while counts.counts["input"] < 6 and time.time() < deadline:
+                time.sleep(0.2)
+            spark.streams.removeListener(counts)
+        assert counts.counts["input"] == counts.counts["parsed.rows"] == 6
+        assert counts.counts["parsed.corrupt"] == 2
+        assert counts.counts["late"] == 1
+        assert tuples(spark.read.parquet(f"{folder}/out"), "k") == [(1,), (2,)]
+
+
 def test_lookup_sees_the_table_of_the_moment(spark, folder):
     feed = Feed(spark, f"{folder}/in", spark.createDataFrame([], "id INT, ref INT").schema)
     dim = {"rows": [(7, "old")]}

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tidemark.operators.latest import latest_by_key
+from tidemark.sources.ranges import RangedCells, asked_cells
 from tidemark.sources.widecolumn import read_rows, row_layout
 
 
@@ -78,6 +79,22 @@ def lookup_in_cells(
     return lookup_by_row_key(rows, table, row_key, [declared_key], fields, how)
 
 
+def lookup_in_ranges(
+    rows: DataFrame,
+    table: RangedCells,
+    schema: StructType | str,
+    row_key: str,
+    fields: dict[str, str],
+    families: Sequence[str] | None = None,
+    how: str = "inner",
+) -> DataFrame:
+    """:func:`lookup_in_cells` in a table kept in ranges of the row key, of which only
+    those are read that hold a key of the rows."""
+    declared_key, _ = row_layout(schema)
+    found = read_rows(asked_cells(rows, table, row_key), schema, families)
+    return lookup_by_row_key(rows, found, row_key, [declared_key], fields, how)
+
+
 def asked_rows(rows: DataFrame, table: DataFrame, row_key: str, table_key: str) -> DataFrame:
     """The rows of the table that the distinct keys of ``rows`` ask for."""
     asked = rows.select(F.col(row_key).alias("_asked")).distinct()

@@ -5,7 +5,7 @@ from __future__ import annotations
 import zlib
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark import schemas
@@ -28,6 +28,7 @@ from tidemark.operators.latest import latest_by_key, latest_rows
 from tidemark.operators.lookup import (
     latest_enriched,
     lookup_in_cells,
+    lookup_in_ranges,
     lookup_join,
     performance_by_ref,
 )
@@ -48,6 +49,7 @@ from tidemark.sinks.upsert import keyed_table
 from tidemark.sinks.widecolumn import apply_to_cells, to_cells
 from tidemark.sources.catalog import read_table, register_parquet
 from tidemark.sources.lines import ParsedLines, parse_lines, read_lines
+from tidemark.sources.ranges import read_ranges, write_ranges
 from tidemark.sources.topics import (
     parse_json,
     parse_json_checked,
@@ -104,20 +106,27 @@ def json_schema_projection(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def route_counts(spark: SparkSession, sf: str) -> DataFrame:
-    messages = unwrap_topic_envelope(inputs.activity_topics(spark, sf))
-    edges = {
+def activity_edges() -> dict[str, Column | None]:
+    return {
         "clicks": F.col("topic") == "click",
         "views": F.col("topic") == "view",
         "no_signups": F.col("topic") != "signup",
         "all": None,
     }
-    rows = parse_branch(messages, "event_id BIGINT, user_id BIGINT, k INT", keep=("topic",))
-    return route_labelled(rows, edges).groupBy("branch").agg(
+
+
+def branch_totals(rows: DataFrame) -> DataFrame:
+    return rows.groupBy("branch").agg(
         F.count("*").alias("n"), F.sum("k").alias("sum_k"), F.max("user_id").alias("max_user")
     )
 
 
+def route_counts(spark: SparkSession, sf: str) -> DataFrame:
+    messages = unwrap_topic_envelope(inputs.activity_topics(spark, sf))
+    rows = parse_branch(messages, "event_id BIGINT, user_id BIGINT, k INT", keep=("topic",))
+    return branch_totals(route_labelled(rows, activity_edges()))
+
+
 def measured_events(spark: SparkSession, sf: str) -> DataFrame:
     """Events whose ``k`` is missing now and then, to see that NULLs are skipped."""
     df = inputs.events(spark, sf)
@@ -336,6 +345,23 @@ def lookup_inner(spark: SparkSession, sf: str) -> DataFrame:
     return joined.select("event_id", "jid", "name")
 
 
+def lookup_ranged(spark: SparkSession, sf: str) -> DataFrame:
+    """The visits of the last day against a table in ranges of the row key."""
+    folder = new_folder(spark, "ranged-cells")
+    write_ranges(to_cells(inputs.customer_rows(spark, sf), F.lit(1)), folder, 16)
+    visits = _visits(spark, sf).withColumn("user_key", suffixed_key(F.col("rrr"), "_key"))
+    recent = visits.filter(F.col("ts") >= "2024-01-30")
+    joined = lookup_in_ranges(
+        recent,
+        read_ranges(spark, folder),
+        f"{schemas.WIDE_WRITE}, market STRUCT<segment: STRING>",
+        "user_key",
+        {"jid": "info.uid", "name": "info.name"},
+        ["info"],
+    )
+    return joined.select("event_id", "jid", "name")
+
+
 def visitors(spark: SparkSession, sf: str) -> DataFrame:
     kind = F.when(F.col("k") % 7 != 0, F.col("event_type"))
     return _visits(spark, sf).select("event_id", "rrr", kind.alias("type"), "ts")
@@ -528,6 +554,7 @@ BATCH_QUERIES = {
     "cogroup_apply": cogroup_apply,
     "lookup_left": lookup_left,
     "lookup_inner": lookup_inner,
+    "lookup_ranged": lookup_ranged,
     "lookup_enrich": lookup_enrich,
     "enrich_aggregate": enrich_aggregate,
     "wide_rows": wide_rows,

@@ -277,6 +277,10 @@ FROM p""",
 WITH {_EVENTS}
 SELECT event_id, CAST(c_custkey AS VARCHAR) AS jid, c_name AS name
 FROM e JOIN customer ON user_id * 20 = c_custkey""",
+    "lookup_ranged": f"""
+WITH {_EVENTS}
+SELECT event_id, CAST(c_custkey AS VARCHAR) AS jid, c_name AS name
+FROM e JOIN customer ON user_id * 20 = c_custkey WHERE ts >= TIMESTAMP '2024-01-30 00:00:00'""",
     "lookup_enrich": _LOOKUP_ENRICH,
     "enrich_aggregate": f"""
 WITH p AS ({_PERFORMANCE})
@@ -374,5 +378,8 @@ UNION ALL SELECT false, user_id, old_type, old_k, event_id FROM moves WHERE plac
         "lookup_replay": _LOOKUP_LEFT,
         "lookup_enrich_replay": _LOOKUP_ENRICH,
         "running_state_replay": _TOTALS,
+        "keyed_map_replay": _TOTALS,
+        "routed_sinks_replay": ORACLE_SQL["route_counts"],
+        "timed_job_replay": ORACLE_SQL["whole_messages"],
     }
 )

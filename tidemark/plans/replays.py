@@ -8,6 +8,8 @@ from __future__ import annotations
 
 import functools
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,17 +18,27 @@ from tidemark.functions.cdc import flatten_changes
 from tidemark.functions.shape import align_to
 from tidemark.operators.changelog import apply_changelog
 from tidemark.operators.keyed import keyed_totals, parse_keyed
+from tidemark.operators.latest import latest_rows
+from tidemark.operators.routing import parse_branch
 from tidemark.operators.windowjoin import window_join
 from tidemark.operators.windows import tumbling_sum_with_start
 from tidemark.plans import batch, inputs
-from tidemark.session import new_folder, session_conf, stream_settings
+from tidemark.session import new_folder, session_conf, stream_settings, write_text
 from tidemark.sinks.upsert import keyed_table, read_latest, state_table
-from tidemark.sources.topics import as_message, parse_json
+from tidemark.sources.topics import (
+    as_message,
+    parse_json,
+    parse_json_checked,
+    unwrap_topic_envelope,
+)
 from tidemark.streaming.asof import asof_join_stream
 from tidemark.streaming.changelog import retract_stream
+from tidemark.streaming.jobs import counted, read_settings, start_job
+from tidemark.streaming.keyed import keyed_map_stream
 from tidemark.streaming.lookup import latest_sink, lookup_sink
 from tidemark.streaming.membership import MembershipStream, membership_windowed_stream
 from tidemark.streaming.performance import recent_performance_stream, streaming_performance
+from tidemark.streaming.routing import Branch, route_sink
 from tidemark.streaming.run import Feed, batch_writer, run_available, stretches, with_watermark
 
 # The events span January 2024.
@@ -304,6 +316,83 @@ def running_state_replay(spark: SparkSession, sf: str) -> DataFrame:
     return target.read()
 
 
+def _running_totals(state: tuple | None, chunk: pd.DataFrame) -> tuple[tuple, pd.DataFrame]:
+    count, total = state or (0, 0)
+    out = chunk[["key", "event_id"]].copy()
+    out["running_count"] = count + np.arange(1, len(chunk) + 1)
+    out["running_sum"] = total + chunk["value"].fillna(0).astype("int64").cumsum()
+    last = out.iloc[-1]
+    return (int(last["running_count"]), int(last["running_sum"])), out
+
+
+def keyed_map_replay(spark: SparkSession, sf: str) -> DataFrame:
+    """Running totals by a caller's function, from the totals of the days before on."""
+    folder = new_folder(spark, "keyed-map")
+    lines = inputs.key_value_lines(spark, sf)
+    early, *later = stretches(lines, "ts", CUTS)
+    feed = Feed(spark, f"{folder}/topic", lines.schema)
+    state = "running_count BIGINT, running_sum BIGINT"
+    start = keyed_totals(parse_keyed(early), "key", "value")
+    result = keyed_map_stream(
+        parse_keyed(feed.stream(), keep=("event_id",)),
+        "key",
+        _running_totals,
+        state,
+        f"key STRING, event_id BIGINT, {state}",
+        start,
+    )
+    write = batch_writer(f"{folder}/result")
+    for part in later:
+        feed.add(part)
+        run_available(result, write, f"{folder}/checkpoint")
+    rows = _written(spark, f"{folder}/result", result).drop("event_id")
+    return latest_rows(rows.unionByName(start), ["key"], ["running_count"])
+
+
+def routed_sinks_replay(spark: SparkSession, sf: str) -> DataFrame:
+    """A stream to several sinks, each with its own files."""
+    folder = new_folder(spark, "routed")
+    messages = inputs.activity_topics(spark, sf)
+    feed = Feed(spark, f"{folder}/topic", messages.schema)
+    schema = "event_id BIGINT, user_id BIGINT, k INT"
+    rows = parse_branch(unwrap_topic_envelope(feed.stream()), schema, keep=("topic",))
+    sink = route_sink(
+        [
+            Branch(name, condition, batch_writer(f"{folder}/{name}"))
+            for name, condition in batch.activity_edges().items()
+        ]
+    )
+    for i in range(3):
+        feed.add(messages.filter(F.pmod(F.xxhash64("value"), F.lit(3)) == i))
+        run_available(rows, sink, f"{folder}/checkpoint")
+    written = None
+    for name in batch.activity_edges():
+        own = spark.read.schema(rows.schema).parquet(f"{folder}/{name}").withColumn("branch", F.lit(name))
+        written = own if written is None else written.unionByName(own)
+    return batch.branch_totals(written)
+
+
+def timed_job_replay(spark: SparkSession, sf: str) -> DataFrame:
+    """A job by its settings file, stopped after each stretch and started again."""
+    folder = new_folder(spark, "timed-job")
+    text = f"checkpoint.dir={folder}/checkpoint\ncheckpoint.interval=200\n"
+    write_text(spark, f"{folder}/conf/job.properties", text)
+    settings = read_settings(spark, f"{folder}/conf/job.properties")
+    messages = inputs.change_messages(spark, sf, broken=True)
+    feed = Feed(spark, f"{folder}/topic", messages.schema)
+    parsed = parse_json_checked(feed.stream(), schemas.CHANGE_EVENT, keep=("event_id",), mode="marked")
+    parsed = counted(parsed, "parsed", corrupt=F.col("_corrupt").isNotNull())
+    result = parsed.filter("_corrupt IS NULL").select("event_id", "op", "ts_ms")
+    for part in stretches(messages, "proctime", CUTS):
+        feed.add(part)
+        query = start_job(result, batch_writer(f"{folder}/result"), settings, "timed-job")
+        try:
+            query.processAllAvailable()
+        finally:
+            query.stop()
+    return _written(spark, f"{folder}/result", result)
+
+
 def _as_stream(query):
     """The query under the settings that its streams should start with."""
 
@@ -329,4 +418,7 @@ REPLAY_QUERIES = {
     "lookup_replay": _as_stream(lookup_replay),
     "lookup_enrich_replay": _as_stream(lookup_enrich_replay),
     "running_state_replay": _as_stream(running_state_replay),
+    "keyed_map_replay": _as_stream(keyed_map_replay),
+    "routed_sinks_replay": _as_stream(routed_sinks_replay),
+    "timed_job_replay": _as_stream(timed_job_replay),
 }

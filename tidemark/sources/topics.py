@@ -103,15 +103,19 @@ def parse_json_checked(
     A message is broken if it is no JSON object, or if a field holds another type than
     declared; a field it lacks is NULL. ``split`` returns good rows and, with ``keep``,
     the text of broken ones in ``_corrupt``: each message is in one of them.
-    ``failfast`` returns the rows alone and fails the job on a broken message.
+    ``marked`` returns all rows, the text of broken ones in ``_corrupt`` and nothing in
+    their other columns. ``failfast`` returns the rows alone and fails the job on a broken
+    message.
     """
-    if mode not in ("split", "failfast"):
-        raise ValueError("mode must be split or failfast")
+    if mode not in ("split", "marked", "failfast"):
+        raise ValueError("mode must be split, marked or failfast")
     declared = parse_ddl(schema) if isinstance(schema, str) else schema
     marked = StructType([*declared.fields, StructField("_broken", StringType())])
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_broken"}
-    parsed = once(F.from_json(F.col(value), marked, options))
-    rows = df.select(*keep, F.col(value).alias("_text"), parsed.alias("_m"))
+    # The text as well: a filter on it would otherwise have it made again for itself.
+    texts = df.select(*keep, once(F.col(value)).alias("_text"))
+    parsed = once(F.from_json(F.col("_text"), marked, options))
+    rows = texts.select(*keep, "_text", parsed.alias("_m"))
     # An empty text gives no row at all, and no text for the broken one.
     blank = F.col("_text").isNull() | (F.trim("_text") == "")
     broken = blank | F.col("_m").isNull() | F.col("_m._broken").isNotNull()
@@ -120,6 +124,10 @@ def parse_json_checked(
         message = F.concat(F.lit("bad message: "), F.coalesce("_text", F.lit("NULL")))
         checked = F.when(broken, F.raise_error(message)).otherwise(F.col("_m"))
         return rows.select(*keep, checked.alias("_m")).select(*keep, *names)
+    if mode == "marked":
+        whole = F.when(~broken, F.col("_m")).alias("_m")
+        marked_rows = rows.select(*keep, F.when(broken, F.coalesce("_text", F.lit(""))).alias("_corrupt"), whole)
+        return marked_rows.select(*keep, "_corrupt", *names)
     return ParsedMessages(
         rows=rows.filter(~broken).select(*keep, *names),
         corrupt=rows.filter(broken).select(*keep, F.col("_text").alias("_corrupt")),
