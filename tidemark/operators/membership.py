@@ -22,16 +22,20 @@ def latest_membership(
     Each input is reduced to its latest values before the joins. Joining first would
     pair every version of a user with every version of a class, with the same result.
     """
-    user = latest_by_key(users, ["uid"], ["name", "age"], order)
-    clazz = latest_by_key(classes, ["cid"], ["cname"], order)
-    link = latest_by_key(links, ["uid", "cid"], ["utype"], order)
-    return (
-        link.join(user, "uid")
-        .join(clazz, "cid")
-        .select("uid", "cid", "name", "age", "cname", "utype")
+    return joined_membership(
+        latest_by_key(users, ["uid"], ["name", "age"], order),
+        latest_by_key(classes, ["cid"], ["cname"], order),
+        latest_by_key(links, ["uid", "cid"], ["utype"], order),
     )
 
 
+def joined_membership(user: DataFrame, clazz: DataFrame, link: DataFrame) -> DataFrame:
+    """The join of latest values, a row a key each. Saved in the same buckets of ``uid``,
+    links and users meet without a shuffle."""
+    joined = link.join(user, "uid").join(clazz, "cid")
+    return joined.select("uid", "cid", "name", "age", "cname", "utype")
+
+
 def latest_membership_windowed(
     users: DataFrame,
     classes: DataFrame,

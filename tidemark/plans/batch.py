@@ -32,9 +32,14 @@ from tidemark.operators.lookup import (
     lookup_join,
     performance_by_ref,
 )
-from tidemark.operators.membership import latest_membership, latest_membership_windowed
+from tidemark.operators.membership import (
+    joined_membership,
+    latest_membership,
+    latest_membership_windowed,
+)
 from tidemark.operators.performance import task_performance, task_performance_recent
 from tidemark.operators.routing import parse_branch, route_labelled
+from tidemark.operators.sketches import daily_sketches, distinct_in_span
 from tidemark.operators.windowjoin import co_group_apply, window_join
 from tidemark.operators.windows import (
     tumbling_average,
@@ -44,10 +49,11 @@ from tidemark.operators.windows import (
 )
 from tidemark.plans import inputs
 from tidemark.session import new_folder
+from tidemark.sinks.cells import cell_sink, read_cells
 from tidemark.sinks.search import documents
 from tidemark.sinks.upsert import keyed_table
-from tidemark.sinks.widecolumn import apply_to_cells, to_cells
-from tidemark.sources.catalog import read_table, register_parquet
+from tidemark.sinks.widecolumn import WriteOptions, apply_to_cells, to_cells
+from tidemark.sources.catalog import read_table, register_parquet, save_bucketed
 from tidemark.sources.lines import ParsedLines, parse_lines, read_lines
 from tidemark.sources.ranges import read_ranges, write_ranges
 from tidemark.sources.topics import (
@@ -175,6 +181,21 @@ def membership_latest_windowed(spark: SparkSession, sf: str) -> DataFrame:
     return latest_membership_windowed(*_branches(spark, sf), order=["position"], size=WEEK)
 
 
+def membership_bucketed(spark: SparkSession, sf: str) -> DataFrame:
+    """The latest values as saved tables, users and links in the same buckets."""
+    users, classes, links = _branches(spark, sf)
+    latest = {
+        "users": (latest_by_key(users, ["uid"], ["name", "age"], ["position"]), ["uid"]),
+        "classes": (latest_by_key(classes, ["cid"], ["cname"], ["position"]), ["cid"]),
+        "links": (latest_by_key(links, ["uid", "cid"], ["utype"], ["position"]), ["uid"]),
+    }
+    saved = {}
+    for name, (rows, by) in latest.items():
+        table = f"tidemark_{name}_{zlib.crc32(sf.encode())}"
+        saved[name] = save_bucketed(rows, table, by, 8, new_folder(spark, f"saved-{name}"))
+    return joined_membership(saved["users"], saved["classes"], saved["links"])
+
+
 def parsed_orders(lines: DataFrame) -> ParsedLines:
     zones = {"o_time": LINE_ZONE}
     return parse_lines(lines, schemas.ORDER_LINE, keep=("event_id",), zones=zones)
@@ -421,6 +442,17 @@ def wide_cells(spark: SparkSession, sf: str) -> DataFrame:
     return to_cells(inputs.customer_rows(spark, sf), F.lit(1))
 
 
+def wide_cells_sink(spark: SparkSession, sf: str) -> DataFrame:
+    """Cells through the buffering sink in two batches, the second one delivered twice."""
+    folder = new_folder(spark, "cells-sink")
+    cells = wide_cells(spark, sf)
+    sink = cell_sink(folder, WriteOptions("customer", "store", flush_rows=1000))
+    named = F.col("qualifier") == "name"
+    for batch_id, part in ((0, ~named), (1, named), (1, named)):
+        sink(cells.filter(part), batch_id)
+    return read_cells(spark, folder)
+
+
 def wide_cells_applied(spark: SparkSession, sf: str) -> DataFrame:
     rows = inputs.customer_rows(spark, sf)
     left = F.col("market.segment") == "MACHINERY"
@@ -495,6 +527,14 @@ def catalog_select(spark: SparkSession, sf: str) -> DataFrame:
     return align_to(name_by_position(chosen.select("uid", "name", "age"), "uid", "name", "age"), schemas.USER)
 
 
+def distinct_by_span(spark: SparkSession, sf: str) -> DataFrame:
+    """Distinct values of a span of days, out of sketches of each day."""
+    rows = measured_events(spark, sf)
+    sketches = daily_sketches(rows, ["user_id"], "ts", ["k", "event_type"])
+    counts = {"k": "values", "event_type": "types"}
+    return distinct_in_span(sketches, ["user_id"], counts, "2024-01-05", "2024-01-24")
+
+
 def running(spark: SparkSession, sf: str) -> DataFrame:
     lines = _keyed_lines(spark, sf).select("key", "value", "ts", "event_id")
     return running_state(lines, "key", "value", ["ts", "event_id"]).drop("ts")
@@ -541,6 +581,7 @@ BATCH_QUERIES = {
     "accumulator_merge": accumulator_merge,
     "membership_latest": membership_latest,
     "membership_latest_windowed": membership_latest_windowed,
+    "membership_bucketed": membership_bucketed,
     "asof_amount": asof_amount,
     "asof_amount_bucketed": asof_amount_bucketed,
     "local_time_parse": local_time_parse,
@@ -560,6 +601,7 @@ BATCH_QUERIES = {
     "wide_rows": wide_rows,
     "wide_cells": wide_cells,
     "wide_cells_applied": wide_cells_applied,
+    "wide_cells_sink": wide_cells_sink,
     "changelog": changelog,
     "changelog_roundtrip": changelog_roundtrip,
     "append_changelog": append_changelog,
@@ -570,6 +612,7 @@ BATCH_QUERIES = {
     "corrupt_rows": corrupt_rows,
     "text_lines": text_lines,
     "catalog_select": catalog_select,
+    "distinct_by_span": distinct_by_span,
     "running_state": running,
     "keyed_totals": totals,
     "search_documents": search_documents,

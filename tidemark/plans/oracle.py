@@ -225,6 +225,7 @@ SELECT user_id, event_id, event_type, CASE WHEN k % 7 <> 0 THEN k END AS k, ts F
 WITH {_EVENTS}
 SELECT user_id, CAST(SUM(k) AS DOUBLE) / COUNT(k) AS average FROM e GROUP BY user_id""",
     "membership_latest": _MEMBERSHIP,
+    "membership_bucketed": _MEMBERSHIP,
     "membership_latest_windowed": f"""
 WITH {_LINKS},
 latest AS (
@@ -297,6 +298,9 @@ SELECT c_custkey || '_key' AS rowkey, CAST(c_custkey AS VARCHAR) AS uid, c_name
 FROM customer""",
     "wide_cells": f"""
 WITH {_CELLS}
+SELECT rowkey, c.family, c.qualifier, c.value, CAST(1 AS BIGINT) AS version FROM cells""",
+    "wide_cells_sink": f"""
+WITH {_CELLS}
 SELECT rowkey, c.family, c.qualifier, c.value, CAST(1 AS BIGINT) AS version FROM cells""",
     "wide_cells_applied": f"""
 WITH {_CELLS}
@@ -323,6 +327,12 @@ SELECT value AS _corrupt FROM lines WHERE c_custkey % 10 = 0 OR c_custkey % 11 =
     "catalog_select": """
 SELECT c_custkey AS uid, c_name AS name, c_nationkey AS age
 FROM customer WHERE c_mktsegment = 'MACHINERY'""",
+    "distinct_by_span": f"""
+WITH {_EVENTS}
+SELECT user_id, COUNT(DISTINCT CASE WHEN k % 7 <> 0 THEN k END) AS values,
+       COUNT(DISTINCT event_type) AS types
+FROM e WHERE CAST(ts AS DATE) BETWEEN DATE '2024-01-05' AND DATE '2024-01-24'
+GROUP BY user_id""",
     "running_state": _RUNNING,
     "keyed_totals": _TOTALS,
     "search_documents": f"""
