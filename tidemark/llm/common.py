@@ -10,7 +10,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.session import new_folder
+from tidemark.session import delete_path, new_folder
 
 # A word, in the regular expressions of Java and Python alike.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -24,14 +24,21 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def shared_table(df: DataFrame, purpose: str) -> DataFrame:
+def shared_table(df: DataFrame, purpose: str, compression: str = "snappy") -> DataFrame:
     """Write ``df`` to the shared folder and read it back: lineage ends here, and what
     a lost executor held is read again instead of being made again."""
     path = new_folder(df.sparkSession, purpose)
-    df.write.parquet(path)
+    df.write.option("compression", compression).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def drop_tables(*tables: DataFrame) -> None:
+    """Delete tables of ``shared_table`` once all that is made of them is written."""
+    for table in tables:
+        for folder in {name.rsplit("/", 1)[0] for name in table.inputFiles()}:
+            delete_path(table.sparkSession, folder)
+
+
 def release_shuffles(spark: SparkSession) -> None:
     """Let Spark delete the shuffle files of steps whose results are written: it does so
     when the driver's garbage collector finds that nothing refers to them."""

@@ -20,7 +20,15 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import byte_blocks, map_texts, mix64, release_shuffles, shared_table, text_bytes
+from tidemark.llm.common import (
+    byte_blocks,
+    drop_tables,
+    map_texts,
+    mix64,
+    release_shuffles,
+    shared_table,
+    text_bytes,
+)
 
 SHINGLE = 5
 SKETCH = 64
@@ -220,8 +228,15 @@ def moved_labels(labels: DataFrame, merged: DataFrame) -> DataFrame:
     return moved.unionByName(merged.join(labels.select("_node"), "_node", "left_anti"))
 
 
-def rarest(members: DataFrame, sets: DataFrame) -> DataFrame:
-    """``(_token, _node, _n, _label, _probe)``: the shingles by which ``members`` meet.
+def shingles_of(members: DataFrame, sets: DataFrame) -> DataFrame:
+    """``(_node, _label, _n, _token)``: the sets of ``members`` as rows."""
+    own = sets.join(members.select("_node", "_label").distinct(), "_node")
+    return own.select("_node", "_label", F.size("_set").alias("_n"), F.explode("_set").alias("_token"))
+
+
+def rarest(own: DataFrame) -> DataFrame:
+    """``(_token, _node, _n, _label, _probe)``: the rows of ``shingles_of`` by which
+    members meet.
 
     With shingles ordered from rare to frequent, two linked sets share one among the
     first ``n - ceil(3n/4) + 1`` of the larger set and the first
@@ -229,9 +244,6 @@ def rarest(members: DataFrame, sets: DataFrame) -> DataFrame:
     larger set's part only. Shingles of a single member come first and meet nobody.
     ``_after`` counts the shingles from this one on.
     """
-    own = sets.join(members.select("_node", "_label").distinct(), "_node")
-    own = own.select("_node", "_label", F.size("_set").alias("_n"), F.explode("_set").alias("_token"))
-    own = shared_table(own, "shingles")
     held = own.groupBy("_token").agg(F.count("*").alias("_held")).filter("_held > 1")
     ranked = own.join(held, "_token").groupBy("_node", "_label", "_n").agg(
         F.sort_array(F.collect_list(F.struct("_held", "_token"))).alias("_tokens")
@@ -279,9 +291,14 @@ def without_near_duplicates(
 
 
 def with_duplicate_cluster(
-    documents: DataFrame, cluster_col: str, id_col: str = "doc_id", text_col: str = "text"
+    documents: DataFrame,
+    cluster_col: str,
+    columns: list[Column],
+    id_col: str = "doc_id",
+    text_col: str = "text",
 ) -> DataFrame:
-    """``documents`` with a column that near-duplicates have in common, a string.
+    """The id and ``columns`` of ``documents`` with one that near-duplicates have in common,
+    a string. Texts are not moved to it: what is wanted of them is in ``columns``.
 
     Texts without a component, such as those without words, share it with equal texts
     only; it is null for null texts.
@@ -290,13 +307,13 @@ def with_duplicate_cluster(
     found = found.groupBy(F.col(id_col).alias("_own"), F.col("_hash").alias("_own_hash")).agg(
         F.min("component_id").alias("_component")
     )
-    own_hash = F.xxhash64(documents[text_col])
-    same = documents[id_col].eqNullSafe(F.col("_own")) & (own_hash == F.col("_own_hash"))
+    own_hash = F.when(documents[text_col].isNotNull(), F.xxhash64(documents[text_col]))
+    rows = documents.select(documents[id_col], *columns, own_hash.alias("_text_hash"))
+    same = rows[id_col].eqNullSafe(F.col("_own")) & (F.col("_text_hash") == F.col("_own_hash"))
     component = F.concat(F.lit("near "), F.col("_component").cast("string"))
-    equal = F.concat(F.lit("equal "), own_hash.cast("string"))
-    cluster = F.when(documents[text_col].isNotNull(), F.coalesce(component, equal))
-    others = [documents[c] for c in documents.columns if c != cluster_col]
-    return documents.join(found, same, "left").select(*others, cluster.alias(cluster_col))
+    equal = F.concat(F.lit("equal "), F.col("_text_hash").cast("string"))
+    rows = rows.join(found, same, "left").withColumn(cluster_col, F.coalesce(component, equal))
+    return rows.drop("_text_hash", *found.columns)
 
 
 def _near_duplicates(documents: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -314,7 +331,10 @@ def _near_duplicates(documents: DataFrame, id_col: str, text_col: str) -> DataFr
     members = shared_table(keys.join(shared.select("_key"), "_key"), "members")
     # Members with many shared keys are near the middle of their group: they lead.
     weight = members.groupBy("_node").agg(F.count("*").alias("_weight"))
-    members = shared_table(members.join(weight, "_node").withColumn("_label", F.col("_node")), "members")
+    lists = members.join(weight, "_node").withColumn("_label", F.col("_node"))
+    lists = shared_table(lists, "members")
+    drop_tables(members)
+    members = lists
     release_shuffles(spark)
     taking_part = members.select("_node").distinct().join(nodes.select("_node", "_rep"), "_node")
     sets = shared_table(full_sets(documents, taking_part, id_col, text_col), "sets")
@@ -329,7 +349,10 @@ def _near_duplicates(documents: DataFrame, id_col: str, text_col: str) -> DataFr
     release_shuffles(spark)
 
     open_lists = undecided(labelled(members.drop("_label"), labels), "_key")
-    tokens = shared_table(rarest(open_lists, sets), "tokens")
+    shingles = shared_table(shingles_of(open_lists, sets), "shingles")
+    drop_tables(members)
+    tokens = shared_table(rarest(shingles), "tokens")
+    drop_tables(shingles)
     star = star_pairs(undecided(tokens, "_token"), "_token", F.xxhash64("_node"))
     star = shared_table(contracted(confirmed(star.select("_a", "_b"), sets), labels), "links")
     now = moved_labels(labels, hooked(star))
@@ -348,6 +371,7 @@ def _near_duplicates(documents: DataFrame, id_col: str, text_col: str) -> DataFr
     pairs = pairs.select(a.alias("_a"), b.alias("_b")).distinct()
     last = contracted(confirmed(pairs, sets), labels)
     labels = moved_labels(labels, components(star.unionByName(last)))
+    drop_tables(sets, tokens, rest, star)
     release_shuffles(spark)
 
     named = nodes.select("_node", "_rep")

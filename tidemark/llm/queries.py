@@ -55,8 +55,9 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    documents = with_duplicate_cluster(read_table(spark, sf_dir, "documents"), "_duplicates")
-    return pack(documents, word_count(F.col("text")), F.col("_duplicates"))
+    columns = [F.col("source"), word_count(F.col("text")).alias("_words")]
+    rows = with_duplicate_cluster(read_table(spark, sf_dir, "documents"), "_duplicates", columns)
+    return pack(rows, F.col("_words"), F.col("_duplicates"))
 
 
 def op7_repeated_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
