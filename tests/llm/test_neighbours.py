@@ -132,7 +132,7 @@ def test_buckets_meet_by_join_and_not_by_blocks(spark, sf_dir):
     index = neighbours.indexed(rows, hashing, vectors.shape[1])
     buckets = index.groupBy("_table", "_key").count().collect()
     assert 8 * neighbours.TABLES <= len(buckets) < 0.5 * len(vectors) * neighbours.TABLES
-    asked = rows.filter("_id % 20 = 0").selectExpr("*", "-1.0D AS _above", f"{hashing.limit}D AS _limit")
+    asked = rows.filter("_id % 20 = 0").selectExpr("*", "-1.0D AS _above", f"{hashing.limit}D AS _limit", "0.0D AS _least")
     met = neighbours.probing(asked, hashing, vectors.shape[1]).join(
         shared_table(index.select("_table", "_key").distinct(), "buckets"), ["_table", "_key"]
     )

@@ -7,7 +7,9 @@ distance of its projections to their slots, and is joined with those of them tha
 buckets that are too full for a task are cut into parts. What the tables give together is
 ranked by exact products.
 
-A query stops at a limit learned on a bounded sample. The k-th candidate so found says how
+The first buckets, where near vectors are likeliest, are visited before the others: from
+then on only candidates that reach the k-th best of a query's so far leave a task. A query
+stops at a limit learned on a bounded sample. The k-th candidate so found says how
 far its neighbours lie: if that asks for more, it goes on in a second round to the limit
 learned for that distance. Queries that have fewer than k candidates then, or lie farther
 off than any of the sample, are held against all rows, block by block.
@@ -32,6 +34,7 @@ MOST_FUNCTIONS = 24
 RECALL = 0.96  # of the neighbours in the sample that the limit must reach
 BUCKET_ROWS = 512  # vectors of a bucket that the number of functions aims at
 PART_ROWS = 4096  # of a bucket that one task holds at a time
+FIRST = 8  # buckets of a table that are visited before the others
 CHUNK = 512  # queries multiplied at a time
 POOL = 20  # queries of the sample a limit by distance is learned on
 EDGE_ROWS = 100_000  # products added up at a time
@@ -182,8 +185,11 @@ def k_best(found: Found, k: int) -> Found:
     return query[top], ids[top], scores[top]
 
 
-def visit(points: np.ndarray, ids: np.ndarray, queries: np.ndarray, query_ids: np.ndarray, k: int) -> Found:
-    """The k best points of a bucket for each query, as (query id, id, score) columns."""
+def visit(
+    points: np.ndarray, ids: np.ndarray, queries: np.ndarray, query_ids: np.ndarray, bounds: np.ndarray, k: int
+) -> Found:
+    """The k best points of a bucket for each query that reach the query's bound, as
+    (query id, id, score) columns."""
     order = np.argsort(ids, kind="stable")
     points, ids = points[order], ids[order]
     starts = np.unique(ids, return_index=True)[1]
@@ -192,7 +198,7 @@ def visit(points: np.ndarray, ids: np.ndarray, queries: np.ndarray, query_ids: n
         part = slice(start, start + CHUNK)
         scores = queries[part] @ points.T
         scores[query_ids[part][:, None] == ids[None, :]] = -np.inf
-        least = kth_best(scores, starts, k)
+        least = np.maximum(kth_best(scores, starts, k), bounds[part])
         # Products of equal vectors may differ in the last place here; those at the
         # edge are all kept and ranked by products added up in one order.
         slack = 1e-9 * np.maximum(1, np.abs(np.where(np.isfinite(least), least, 0)))
@@ -212,13 +218,15 @@ def _matrix(column: pa.Array, dimension: int) -> np.ndarray:
 
 def met_in_buckets(points: DataFrame, asked: DataFrame, dimension: int, k: int) -> DataFrame:
     """``(query_id, vec_id, score, visited)`` for rows ``(_table, _key, _part, _id, _v)`` of
-    both sides that meet. Rows with a null ``vec_id`` count the products of a query.
+    both sides that meet; queries also have ``_least``, the score that candidates must
+    reach. Rows with a null ``vec_id`` count the products of a query.
 
     A task holds the points of one part of a bucket and one batch of its queries.
     """
     by = ["_table", "_key", "_part"]
-    rows = points.withColumn("_role", F.lit(0)).unionByName(asked.withColumn("_role", F.lit(1)))
-    rows = rows.select(*by, "_role", "_id", "_v").repartition(*by).sortWithinPartitions(*by, "_role")
+    points = points.withColumns({"_role": F.lit(0), "_least": F.lit(None).cast("double")})
+    rows = points.unionByName(asked.withColumn("_role", F.lit(1)))
+    rows = rows.select(*by, "_role", "_id", "_v", "_least").repartition(*by).sortWithinPartitions(*by, "_role")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, held, bucket, found, products, size = None, [], None, [], {}, 0
@@ -235,7 +243,8 @@ def met_in_buckets(points: DataFrame, asked: DataFrame, dimension: int, k: int)
                 elif key == at:
                     if bucket is None:
                         bucket = [np.concatenate(columns) for columns in zip(*held)]
-                    found.append(visit(bucket[1], bucket[0], own[1], own[0], k))
+                    bounds = part["_least"].to_numpy()
+                    found.append(visit(bucket[1], bucket[0], own[1], own[0], bounds, k))
                     size += len(found[-1][0])
                     for query in own[0].tolist():
                         products[query] = products.get(query, 0) + len(bucket[0])
@@ -275,9 +284,9 @@ def indexed(points: DataFrame, hashing: Hashing, dimension: int) -> DataFrame:
     return points.mapInArrow(run, "_table int, _key bigint, _id bigint, _v array<double>")
 
 
-def probing(asked: DataFrame, hashing: Hashing, dimension: int) -> DataFrame:
-    """``(_table, _key, _id, _v)``: each query with the buckets between ``_above`` and
-    ``_limit``, which come in the order of their scores."""
+def probing(asked: DataFrame, hashing: Hashing, dimension: int, places_: slice = slice(None)) -> DataFrame:
+    """``(_table, _key, _id, _v, _least)``: each query with its buckets between ``_above``
+    and ``_limit``, those at ``places_`` in the order of their scores."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -286,32 +295,38 @@ def probing(asked: DataFrame, hashing: Hashing, dimension: int) -> DataFrame:
             for table in range(TABLES):
                 at = places(hashing, vectors, table)
                 for row, (above, limit) in enumerate(bounds):
-                    keys = np.unique(bucket_keys(probes(at[row], above, limit)[0], table))
+                    slots = probes(at[row], above, limit)[0][places_]
+                    keys = np.unique(bucket_keys(slots, table))
                     own = pa.array(np.full(len(keys), row), pa.int64())
                     columns = [pa.array(np.full(len(keys), table), pa.int32()), pa.array(keys)]
-                    columns += [batch["_id"].take(own), batch["_v"].take(own)]
-                    yield pa.RecordBatch.from_arrays(columns, ["_table", "_key", "_id", "_v"])
+                    columns += [batch[c].take(own) for c in ("_id", "_v", "_least")]
+                    yield pa.RecordBatch.from_arrays(columns, ["_table", "_key", "_id", "_v", "_least"])
 
-    return asked.mapInArrow(run, "_table int, _key bigint, _id bigint, _v array<double>")
+    return asked.mapInArrow(run, "_table int, _key bigint, _id bigint, _v array<double>, _least double")
 
 
-def going_on(asked: DataFrame, found: DataFrame, hashing: Hashing, dimension: int, k: int) -> DataFrame:
-    """The queries that need more buckets, with ``_above`` and the ``_limit`` to go to."""
-    last = found.groupBy("query_id").agg(F.count("*").alias("_many"), F.min("score").alias("_last"))
-    rows = asked.join(last, asked["_id"] == last["query_id"], "left").select(
-        "_id", "_v", F.when(F.col("_many") >= k, F.col("_last")).alias("_last")
-    )
+def with_least(asked: DataFrame, best: DataFrame, k: int) -> DataFrame:
+    """``(_id, _v, _least)``: the k-th best score of each query so far, or minus infinity."""
+    last = best.groupBy("query_id").agg(F.count("*").alias("_many"), F.min("score").alias("_last"))
+    least = F.when(F.col("_many") >= k, F.col("_last")).otherwise(F.lit(float("-inf"))).alias("_least")
+    return asked.join(last, asked["_id"] == last["query_id"], "left").select("_id", "_v", least)
+
+
+def going_on(asked: DataFrame, hashing: Hashing, dimension: int) -> DataFrame:
+    """The queries ``(_id, _v, _least)`` that need more buckets, with ``_above`` and the
+    ``_limit`` to go to, infinite where only all rows will do."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            last = batch["_last"].to_numpy(zero_copy_only=False).astype(np.float64)
-            square = squares(last, _matrix(batch["_v"], dimension), hashing.norm)
-            limit = np.where(np.isnan(last), np.inf, hashing.limit_at(square))
-            columns = [batch["_id"], batch["_v"], pa.array(np.full(len(limit), hashing.limit)), pa.array(limit)]
-            rows = pa.RecordBatch.from_arrays(columns, ["_id", "_v", "_above", "_limit"])
+            least = batch["_least"].to_numpy()
+            square = squares(least, _matrix(batch["_v"], dimension), hashing.norm)
+            limit = np.where(np.isinf(least), np.inf, hashing.limit_at(square))
+            columns = [*batch.columns, pa.array(np.full(len(limit), hashing.limit)), pa.array(limit)]
+            rows = pa.RecordBatch.from_arrays(columns, ["_id", "_v", "_least", "_above", "_limit"])
             yield rows.filter(pa.array(limit > hashing.limit))
 
-    return rows.mapInArrow(run, "_id bigint, _v array<double>, _above double, _limit double")
+    fields = "_id bigint, _v array<double>, _least double, _above double, _limit double"
+    return asked.mapInArrow(run, fields)
 
 
 def best_of(found: DataFrame, k: int) -> DataFrame:
@@ -369,14 +384,17 @@ def nearest_neighbours(
     points = index.join(full, ["_table", "_key"], "left").select("_table", "_key", part, "_id", "_v")
     every = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_parts") - 1)).alias("_part")
 
-    def probed(rows: DataFrame) -> DataFrame:
-        met = probing(rows, hashing, dimension).join(sizes, ["_table", "_key"])
-        met = met.select("_table", "_key", every, "_id", "_v")
+    def probed(rows: DataFrame, places_: slice = slice(None)) -> DataFrame:
+        met = probing(rows, hashing, dimension, places_).join(sizes, ["_table", "_key"])
+        met = met.select("_table", "_key", every, "_id", "_v", "_least")
         return shared_table(met_in_buckets(points, met, dimension, k), "candidates")
 
-    first = asked.withColumn("_above", F.lit(-1.0)).withColumn("_limit", F.lit(hashing.limit))
-    found = probed(first)
-    more = shared_table(going_on(asked, best_of(found, k), hashing, dimension, k), "more")
+    bounds = {"_above": F.lit(-1.0), "_limit": F.lit(hashing.limit)}
+    found = probed(asked.withColumns({**bounds, "_least": F.lit(float("-inf"))}), slice(FIRST))
+    later = with_least(asked, best_of(found, k), k).withColumns(bounds)
+    found = found.unionByName(probed(later, slice(FIRST, None)))
+    more = going_on(with_least(asked, best_of(found, k), k), hashing, dimension)
+    more = shared_table(more, "more")
     finite = F.col("_limit") < float("inf")
     found = found.unionByName(probed(more.filter(finite)))
 
@@ -384,7 +402,7 @@ def nearest_neighbours(
     block = F.pmod(F.xxhash64("_id"), blocks).alias("_key")
     each = F.explode(F.sequence(F.lit(0).cast("bigint"), blocks - 1)).alias("_key")
     one = [F.lit(0).alias("_table"), F.lit(0).cast("bigint").alias("_part")]
-    rest = more.filter(~finite).select("_id", "_v", each, *one)
+    rest = more.filter(~finite).select("_id", "_v", "_least", each, *one)
     scanned = met_in_buckets(known.select("_id", "_v", block, *one), rest, dimension, k)
     found = found.unionByName(shared_table(scanned, "candidates"))
     visited = found.groupBy("query_id").agg(F.sum("visited").alias("visited"))
