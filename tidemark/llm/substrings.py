@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import mix64, release_shuffles, shared_table, text_blocks
+from tidemark.llm.common import drop_tables, mix64, release_shuffles, shared_table, text_blocks
 
 WINDOW = 200
 GRAM = 32
@@ -299,10 +299,12 @@ def repeated_spans(documents: DataFrame) -> DataFrame:
     twice = found.groupBy("h").agg(F.count("*").alias("_times")).filter("_times > 1").select("h")
     places = found.join(twice, "h").groupBy("row").agg(F.collect_list("pos").alias("_places"))
     places = shared_table(places.withColumnRenamed("row", "_row"), "substrings-places")
+    drop_tables(found)
     release_shuffles(spark)
 
     texts = documents.join(places, "_row").select("_id", "_hash", "_text", "_places")
-    contexts = shared_table(context_rows(texts, id_type), "substrings-contexts")
+    contexts = shared_table(context_rows(texts, id_type), "substrings-contexts", "zstd")
+    drop_tables(places)
     release_shuffles(spark)
     one = F.min(F.struct("_id", "_hash", "start")).alias("_one")
     size = F.max("size").alias("_size")
@@ -315,7 +317,7 @@ def repeated_spans(documents: DataFrame) -> DataFrame:
     mixed = distinct.join(mixed, "h").select("d", "n", "_one", "_whole")
     bodies = contexts.select("h", "d", "_id", "_hash", "start", "bytes").join(mixed, "d")
     bodies = bodies.filter(F.struct("_id", "_hash", "start").eqNullSafe(F.col("_one")))
-    bodies = shared_table(bodies.drop("d", "_one"), "substrings-mixed")
+    bodies = shared_table(bodies.drop("d", "_one"), "substrings-mixed", "zstd")
     release_shuffles(spark)
 
     small = bodies.filter(F.col("_whole") <= CHUNK).repartition("h").sortWithinPartitions("h")
@@ -325,6 +327,7 @@ def repeated_spans(documents: DataFrame) -> DataFrame:
     spans = whole.unionByName(sorted_contexts(small, id_type)).unionByName(counted_strings(large, id_type))
     spans = spans.groupBy("_id", "_hash").agg(F.collect_list(F.struct("start", "end")).alias("_spans"))
     spans = shared_table(spans, "substrings-spans")
+    drop_tables(contexts, distinct, bodies)
     release_shuffles(spark)
     return spans
 
