@@ -289,6 +289,13 @@ class TestPanes:
         sources = sum("StreamingRelation" in line for line in plan)
         assert sum("Aggregate" in line for line in plan) == sources + 1
 
+    def test_values_are_counted_without_a_python_process_per_key(self, spark, folder):
+        events = [self.event(s, task) for s, task in ((1, 7), (6, 7), (7, None), (12, 8))]
+        closing = [("end", None, None, 1, 1, 1, "c", datetime(2030, 1, 1))]
+        result, found = self.windows(spark, folder, [events[:2], events[2:], closing], 5, 2)
+        assert "TransformWithState" not in result._jdf.queryExecution().analyzed().toString()
+        assert found == self.expected(events, 5, 2)
+
 
 def test_membership_windows_come_with_the_watermark(spark, folder):
     users = Feed(spark, f"{folder}/u", spark.createDataFrame([], "uid BIGINT, name STRING, age INT, position STRING").schema)

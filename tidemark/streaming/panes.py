@@ -1,64 +1,15 @@
 """Sliding windows on streams, put together from panes.
 
 A pane is as long as the slide. Events are summed into their pane first, a row each, and
-only the panes are copied to the windows that they are part of. Distinct values come by
-their last sighting: a pane that holds a value again adds it to those windows only that the
-pane before did not reach.
+only the panes are copied to the windows that they are part of. Distinct values go the same
+way: once a pane, then once a window, by Spark's own aggregate and deduplication, whose
+state goes with the watermark.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from datetime import datetime, timedelta, timezone
-
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
-from pyspark.sql.types import LongType, StructField, StructType, TimestampType
-
-_EPOCH = datetime(1970, 1, 1, tzinfo=timezone.utc)
-_PANE = StructType([StructField("pane", LongType())])
-
-
-class LastSighting(StatefulProcessor):
-    """The pane in which a value was last seen; out come the windows that it newly enters.
-
-    Panes are numbers. A value of pane ``p`` is in the windows that end with the panes ``p``
-    to ``p + width - 1``; those up to ``last + width - 1`` have it already.
-    """
-
-    def __init__(self, keys: StructType, width: int, slide_us: int):
-        self.names, self.width, self.slide = keys.names, width, slide_us
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.last = handle.getValueState("last", _PANE)
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        held = self.last.get()
-        last = held[0] if held else None
-        for pane in sorted({row["_pane"] for row in rows}):
-            first = pane if last is None else max(pane, last + self.width)
-            for window in range(first, pane + self.width):
-                end = (window + 1) * self.slide - 1
-                yield Row(**dict(zip(self.names, key)), _time=_EPOCH + timedelta(microseconds=end))
-            last = pane if last is None else max(last, pane)
-        self.last.update((last,))
-        self._wake(held[0] if held else None, last)
-
-    def _wake(self, before: int | None, last: int) -> None:
-        """The state goes when no window that is still to come can hold the sighting."""
-        at = lambda pane: (pane + self.width) * self.slide // 1000
-        if before is not None and before != last:
-            self.handle.deleteTimer(at(before))
-        self.handle.registerTimer(at(last))
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        self.last.clear()
-        return iter(())
-
-    def close(self) -> None:
-        pass
 
 
 def in_windows(summed: DataFrame, slide_seconds: int, panes: int) -> DataFrame:
@@ -76,18 +27,20 @@ def entries(
     """``(keys, _time, _counter)``: a row for each window and each distinct value in it.
 
     ``counters`` maps columns to the names under which their values are counted; NULL is no
-    value. A value's panes come first, however often it is in them.
+    value. A value's panes come first, however often it is in them. The state is spread over
+    (keys, value), not over keys.
     """
-    slide = slide_seconds * 1_000_000
-    pane = F.floor(F.unix_micros(F.col("_pane.start")) / slide).cast("bigint").alias("_pane")
-    seen = None
-    for value, counter in counters.items():
-        own = placed.filter(F.col(value).isNotNull()).groupBy(*keys, value, "_pane").agg(F.count("*"))
-        own = own.select(*keys, F.lit(counter).alias("_counter"), F.col(value).cast("string").alias("_value"), pane)
-        seen = own if seen is None else seen.unionByName(own)
-    kinds = StructType([seen.schema[k] for k in [*keys, "_counter", "_value"]])
-    out = StructType([*kinds, StructField("_time", TimestampType())])
-    found = seen.groupBy(*kinds.names).transformWithState(
-        LastSighting(kinds, panes, slide), out, "Append", "EventTime", eventTimeColumnName="_time"
-    )
-    return found.select(*keys, "_time", "_counter")
+    values = [
+        F.when(
+            F.col(value).isNotNull(),
+            F.struct(F.lit(counter).alias("counter"), F.col(value).cast("string").alias("value")),
+        )
+        for value, counter in counters.items()
+    ]
+    seen = placed.select(*keys, "_pane", F.explode(F.array_compact(F.array(*values))).alias("_seen"))
+    seen = seen.select(*keys, "_pane", F.col("_seen.counter").alias("_counter"), F.col("_seen.value").alias("_value"))
+    seen = seen.groupBy(*keys, "_counter", "_value", "_pane").agg(F.count("*").alias("_n")).drop("_n")
+    entered = in_windows(seen, slide_seconds, panes)
+    if panes > 1:
+        entered = entered.dropDuplicates([*keys, "_counter", "_value", "_time"])
+    return entered.select(*keys, "_time", "_counter")
