@@ -21,7 +21,13 @@ from tidemark.streaming.changelog import retract_stream
 from tidemark.streaming.jobs import JobCounts, JobSettings, counted, read_settings, start_job
 from tidemark.streaming.keyed import keyed_map_stream
 from tidemark.streaming.lookup import lookup_sink
-from tidemark.streaming.membership import MembershipStream, membership_windowed_stream
+from tidemark.streaming.membership import (
+    CLASSES,
+    USERS,
+    MembershipStream,
+    MembershipWindows,
+    membership_windowed_stream,
+)
 from tidemark.streaming.performance import (
     first_sightings,
     recent_performance_stream,
@@ -324,6 +330,36 @@ def test_membership_windows_come_with_the_watermark(spark, folder):
     assert seen == [[], [("anna", 20, "t")], [("anna", 20, "t"), ("anna", 20, "v")]]
 
 
+def test_closed_windows_look_users_and_classes_up(spark, folder):
+    state = MembershipWindows(spark, f"{folder}/state")
+    users, classes = "uid BIGINT, name STRING, age INT, position STRING", "cid BIGINT, cname STRING, position STRING"
+    known = [(1, "ann", 20, "1"), (1, "anna", None, "2"), (None, "nobody", 1, "3")]
+    state.put(USERS)(spark.createDataFrame(known, users), 0)
+    state.put(CLASSES)(spark.createDataFrame([(5, "math", "1")], classes), 0)
+    schema = "uid BIGINT, cid BIGINT, utype STRING, c_time TIMESTAMP, position STRING"
+    feed = Feed(spark, f"{folder}/l", spark.createDataFrame([], schema).schema)
+    steps = [
+        [(1, 5, "s", at(1), "1"), (1, 5, "t", at(9), "2"), (2, 5, "x", at(3), "3"), (None, 5, "n", at(4), "4")],
+        # The watermark has passed minute 2, but its window is still open.
+        [(1, 5, "w", at(2), "4"), (1, 5, "v", at(15), "5")],
+        [(1, 6, "none", at(50), "6"), (1, 5, "late", at(3), "7")],
+    ]
+    staged = [(*row, part) for part, step in enumerate(steps) for row in step]
+    feed.stage(spark.createDataFrame(staged, f"{schema}, part INT"), F.col("part"))
+    seen = []
+    with session_conf(spark, stream_settings()):
+        result = state.windows(with_watermark(feed.stream(), "c_time"), size="10 minutes")
+        plan = result._jdf.queryExecution().analyzed().toString()
+        assert "Join" not in plan and plan.count("Aggregate") == 1
+        for part in (0, 1, 7, 2):  # there is no stretch 7
+            feed.release(part)
+            run_available(result, state.sink(batch_writer(f"{folder}/out")), f"{folder}/checkpoint")
+            seen.append(tuples(spark.read.parquet(f"{folder}/out"), "name", "age", "utype") if part else [])
+            if part == 1:  # too late for the first window, in time for the second
+                state.put(USERS)(spark.createDataFrame([(1, "annie", 21, "3")], users), 1)
+    assert seen == [[], [("anna", 20, "w")], [("anna", 20, "w")], [("anna", 20, "w"), ("annie", 21, "v")]]
+
+
 def test_keyed_map_returns_a_row_for_each_row(spark, folder):
     feed = Feed(spark, f"{folder}/in", spark.createDataFrame([], "k STRING, v INT").schema)
 

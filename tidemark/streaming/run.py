@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.session import make_folder
+from tidemark.session import file_system, make_folder, session_conf
 
 BatchSink = Callable[[DataFrame, int], None]
 
@@ -68,8 +68,24 @@ class Feed:
     def add(self, rows: DataFrame) -> None:
         rows.select(*[f.name for f in self.schema]).write.mode("append").parquet(self.path)
 
+    def stage(self, rows: DataFrame, part: Column) -> None:
+        """Write rows beside the folder, once, by the number ``part`` of the stretch in which
+        they are to arrive."""
+        placed = rows.select(*[f.name for f in self.schema], part.cast("int").alias("_part"))
+        # Files of a few stretches are open at a time, so that rows need not be sorted.
+        with session_conf(self.spark, {"spark.sql.maxConcurrentOutputFileWriters": "8"}):
+            placed.write.partitionBy("_part").parquet(f"{self.path}-staged")
+
+    def release(self, part: int) -> None:
+        """The staged rows of a stretch arrive; one without rows brings nothing."""
+        fs, staged = file_system(self.spark, f"{self.path}-staged/_part={part}")
+        _, arrived = file_system(self.spark, f"{self.path}/stretch-{part}")
+        if fs.exists(staged) and not fs.rename(staged, arrived):
+            raise OSError(f"stretch {part} is in {self.path} already")
+
     def stream(self) -> DataFrame:
-        return self.spark.readStream.schema(self.schema).parquet(self.path)
+        reader = self.spark.readStream.schema(self.schema).option("recursiveFileLookup", "true")
+        return reader.parquet(self.path)
 
 
 def stretches(df: DataFrame, time: str, cuts: Sequence[str]) -> list[DataFrame]:
