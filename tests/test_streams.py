@@ -1,5 +1,6 @@
 """Streams: repeated batches, buckets, late rows, refreshed lookups, options."""
 
+import json
 import random
 import time
 from datetime import datetime, timedelta
@@ -529,6 +530,34 @@ def test_membership_changes_per_batch_and_repeated_batch(spark, folder):
     assert tuples(state.current()) == [(1, 5, "anna", 20, "math", "s")]
 
 
+def test_membership_keeps_links_once_and_finds_those_of_a_changed_class(spark, folder):
+    state = MembershipStream(spark, folder, buckets=4)
+
+    def message(topic, position, **fields):
+        return (topic, json.dumps(fields), position)
+
+    users = [message("test_user", "1", uid=u, name=f"u{u}", age=u) for u in range(12)]
+    links = [message("test_class_user", "1", uid=u, cid=u % 2, utype="s") for u in range(12)]
+    classes = [message("test_class", "1", cid=str(c), cname=f"c{c}") for c in range(2)]
+    batches = [
+        [*users, *classes, *links[:10], ("test_class_user", "broken", "1"), ("other", "{}", "9")],
+        # A class of users in all buckets; a field that its topic does not have.
+        [message("test_class", "2", cid="1", cname="one", name="no"), *links[10:11]],
+        # Nothing new, an older value, a known link without a value, and a new name.
+        [message("test_user", "2", uid=3, name="u3"), message("test_user", "0", uid=4, name="old")],
+        [message("test_class_user", "2", uid=5, cid=1), message("test_user", "3", uid=6, name="six"), *links[11:]],
+    ]
+    counts = []
+    for i, batch in enumerate(batches):
+        state.on_batch(spark.createDataFrame(batch, "topic STRING, value STRING, position STRING"), i)
+        changes = spark.read.parquet(state.changes_path)
+        counts.append((changes.filter("NOT is_add").count(), changes.count()))
+        nothing = state.current().limit(0)
+        assert tuples(apply_changelog(nothing, changes.drop("batch_id"))) == tuples(state.current())
+    assert counts == [(0, 10), (5, 21), (5, 21), (6, 24)]
+    assert sorted(list_names(spark, folder)) == ["changes", "test_class", "test_class_user", "test_user"]
+
+
 def test_text_lines_stream(spark, folder):
     spark.createDataFrame([("a,1",), ("b,2",)], "value STRING").write.text(f"{folder}/in")
     run_available(

@@ -21,6 +21,11 @@ def changelog_diff(before: DataFrame, after: DataFrame, keys: Sequence[str]) ->
     for i in range(len(keys)):
         same_key = same_key & F.col(f"_a{i}").eqNullSafe(F.col(f"_b{i}"))
     both = old.join(new, same_key, "full")
+    return changes_between(both)
+
+
+def changes_between(both: DataFrame) -> DataFrame:
+    """The add and retract rows of pairs ``_old`` and ``_new``, each of which may be NULL."""
     retract = F.struct(F.lit(False).alias("is_add"), F.col("_old").alias("row"))
     add = F.struct(F.lit(True).alias("is_add"), F.col("_new").alias("row"))
     changes = F.array_compact(

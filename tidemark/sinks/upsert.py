@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators.latest import finish_states, latest_rows, merge_states
 from tidemark.schemas import parse_ddl
-from tidemark.session import delete_path, list_names, read_text, write_text
+from tidemark.session import delete_path, list_names, read_text, session_conf, write_text
 
 Combine = Callable[[DataFrame], DataFrame]
 BUCKETS = 16
@@ -29,8 +29,8 @@ class BucketTable:
 
     ``combine`` must give the same result however its input was combined before, and
     keep the columns. It may use ``batch_id`` as the order of arrival. The number of
-    buckets is part of the table: one bucket is what a task rewrites, so it grows with
-    the keys that the table is to hold.
+    buckets is part of the table: one bucket is the least that a batch rewrites, by as
+    many tasks as the combined rows have partitions.
     """
 
     def __init__(
@@ -61,18 +61,22 @@ class BucketTable:
         found = rows.select(self.bucket().alias("bucket")).distinct().collect()
         return sorted(row["bucket"] for row in found)
 
-    def put(self, rows: DataFrame, batch_id: int) -> None:
-        """Combine the rows of one micro-batch into the buckets of their keys."""
+    def put(self, rows: DataFrame, batch_id: int, kept: bool = False) -> None:
+        """Combine the rows of one micro-batch into the buckets of their keys. The caller
+        says whether it keeps the rows persisted itself."""
         if self.version(batch_id) is not None:
             return
         arrived = rows.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-        arrived = arrived.select(*self.schema.names).persist()
+        arrived = arrived.select(*self.schema.names)
+        if not kept:
+            arrived = arrived.persist()
         try:
             touched = self.buckets_of(arrived)
             old = self.rows(touched, before=batch_id)
             self.switch(self.combine(old.unionByName(arrived)), touched, batch_id)
         finally:
-            arrived.unpersist()
+            if not kept:
+                arrived.unpersist()
 
     def switch(self, rows: DataFrame, touched: Iterable[int], batch_id: int) -> None:
         """Make ``rows`` the content of the touched buckets, as of ``batch_id``."""
@@ -82,8 +86,10 @@ class BucketTable:
         folder = f"batch-{batch_id}-{uuid.uuid4().hex}"
         if touched:
             placed = rows.select(*self.schema.names, self.bucket().alias("bucket"))
-            placed = placed.repartition(len(touched), "bucket")
-            placed.write.partitionBy("bucket").parquet(f"{self.path}/{folder}")
+            # Each task writes to all its buckets at a time: rows neither move nor are sorted.
+            writers = {"spark.sql.maxConcurrentOutputFileWriters": str(self.buckets)}
+            with session_conf(placed.sparkSession, writers):
+                placed.write.partitionBy("bucket").parquet(f"{self.path}/{folder}")
         held = self.version(before=batch_id) or {}
         held = {**held, **{str(number): folder for number in touched}}
         write_text(self.spark, f"{self.path}/versions/{batch_id:020d}", json.dumps(held))
