@@ -203,6 +203,20 @@ def test_asof_stream_drops_superseded_versions(spark, folder):
     assert waiting.count() == 0
 
 
+def test_asof_stream_keeps_what_waits_in_chunks(spark, folder):
+    orders = [("x", at(i % 50 + 5), None if i == 7 else i) for i in range(2500)]
+    rates = [("x", at(2), 2), ("x", at(4), None), ("x", at(30), 30), ("x", at(30), 29)]
+    steps = [(orders, rates), ([("e", at(20), 0)], [("e", at(20), 0)]), ([("e", at(59), 0)], [("e2", at(59), 0)])]
+    before = asof_steps(spark, folder, steps[:1])[-1]
+    waiting = spark.read.format("statestore").option("stateVarName", "waiting").load(f"{folder}/checkpoint")
+    # Rows later than the watermark, minute 30, are held as elements of up to a thousand.
+    assert 0 < waiting.count() <= 3
+    assert len(before) == 50 * 26
+    out = asof_steps(spark, folder, steps[1:])[-1]
+    expected = [(o, 30 if t.minute >= 30 else None) for _, t, o in orders]
+    assert [row for row in out if row != (0, 0)] == sorted(expected, key=str)
+
+
 def test_asof_stream_refuses_what_it_cannot_join(spark):
     left, right = spark.createDataFrame([], LEFT), spark.createDataFrame([], RIGHT)
     for bad in ({"how": "right"}, {"splits": 0}):

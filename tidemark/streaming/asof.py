@@ -2,20 +2,23 @@
 
 Left rows wait in the state of their key until the watermark has passed their time, when
 every version that can apply has arrived; a timer then joins them. Versions that a newer one
-below the watermark supersedes leave the state.
+below the watermark supersedes leave the state with that.
+
+A call to the state, and each element that goes into it, costs far more than a row. So what a
+micro-batch brings is appended in chunks, an array a column, and a timer puts it in order.
 """
 
 from __future__ import annotations
 
-from bisect import bisect_right
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator, Sequence
 
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
-from pyspark.sql.types import LongType, StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, LongType, StructField, StructType
 
-# Left rows go into the state this many at a time.
+# Rows go into the state this many at a time, as one element.
 CHUNK = 1000
 _NONE = -(2**63)
 
@@ -26,11 +29,12 @@ def _timer_of(time: int) -> int:
 
 
 class AsofProcessor(StatefulProcessor):
-    """State of one key: waiting left rows, versions by time, and the time of its timer.
+    """State of one key: waiting left rows, versions as they arrived, and the versions that
+    were held when a timer last put them in order.
 
     A watermark says that everything up to it has arrived. A left row that comes later is
-    joined at once, to the versions still held: those from the watermark on and the newest
-    one before it.
+    joined at once, to the versions still held: at least those from the watermark on and the
+    newest one before it.
     """
 
     def __init__(self, left: StructType, right: StructType, arrival: str, keep_alone: bool):
@@ -38,79 +42,98 @@ class AsofProcessor(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        time = StructType([StructField("_time", LongType())])
-        self.waiting = handle.getListState("waiting", StructType([*time, *self.left]))
-        self.versions = handle.getMapState("versions", time, self.right)
-        self.due = handle.getValueState("due", time)
+        time = StructField("_time", LongType())
+        self.waiting = handle.getListState("waiting", _columns(StructType([time, *self.left])))
+        self.arrived = handle.getListState("arrived", _columns(StructType([time, *self.right])))
+        self.versions = handle.getListState("versions", StructType([time, *self.right]))
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        newest: dict[int, tuple] = {}
-        first, chunk, place = None, [], self.right.names.index(self.arrival)
+        lefts, rights, first, last = [], [], None, None
         for row in rows:
+            time = row["_time"]
             if row["_side"] == "left":
-                chunk.append((row["_time"], *row["_left"].values()))
-                first = row["_time"] if first is None else min(first, row["_time"])
-                if len(chunk) == CHUNK:
-                    self.waiting.appendList(chunk)
-                    chunk = []
+                lefts.append((time, *row["_left"].values()))
+                first = time if first is None else min(first, time)
+                if len(lefts) == CHUNK:
+                    self.waiting.appendList(_chunks(lefts))
+                    lefts = []
             else:
-                version, time = tuple(row["_right"].values()), row["_time"]
-                if time not in newest or _later(version[place], newest[time][place]):
-                    newest[time] = version
-        if chunk:
-            self.waiting.appendList(chunk)
-        for time, version in newest.items():
-            held = self.versions.getValue((time,))
-            if held is None or _later(version[place], held[place]):
-                self.versions.updateValue((time,), version)
-        if newest:
-            self._forget(timerValues.getCurrentWatermarkInMs())
-        if first is not None:
-            self._wake(first)
+                rights.append((time, *row["_right"].values()))
+                last = time if last is None else max(last, time)
+                if len(rights) == CHUNK:
+                    self.arrived.appendList(_chunks(rights))
+                    rights = []
+        if lefts:
+            self.waiting.appendList(_chunks(lefts))
+        if rights:
+            self.arrived.appendList(_chunks(rights))
+        # A timer for the first row that waits; without one, for the versions to be cleared.
+        self.handle.registerTimer(_timer_of(last if first is None else first))
         return iter(())
 
-    def _wake(self, time: int) -> None:
-        """One timer a key: the one of its first waiting row."""
-        at, held = _timer_of(time), self.due.get()
-        if held is not None and held[0] <= at:
-            return
-        if held is not None:
-            self.handle.deleteTimer(held[0])
-        self.handle.registerTimer(at)
-        self.due.update((at,))
-
-    def _forget(self, watermark: int) -> None:
+    def _held(self) -> tuple[list[tuple], bool]:
+        """The versions by time, one each, and whether some have newly arrived."""
+        place, held, came = self.right.names.index(self.arrival), {}, False
+        for time, *version in self.versions.get():
+            held[time] = version
+        for time, *version in _rows(self.arrived.get()):
+            came = True
+            if time not in held or _later(version[place], held[time][place]):
+                held[time] = version
+        return [(time, *held[time]) for time in sorted(held)], came
+
+    def _forget(self, held: list[tuple], came: bool, watermark: int) -> None:
         """Drop the versions that a newer one before the watermark supersedes."""
-        passed = sorted(time for (time,) in self.versions.keys() if time < watermark * 1000)
-        for time in passed[:-1]:
-            self.versions.removeKey((time,))
+        passed = bisect_left([time for time, *_ in held], watermark * 1000)
+        if came or passed > 1:
+            self.versions.put(held[max(passed - 1, 0) :])
+        if came:
+            self.arrived.clear()
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         watermark = timerValues.getCurrentWatermarkInMs()
-        held = sorted((time, tuple(version)) for (time,), version in self.versions.iterator())
-        times = [time for time, _ in held]
-        rest, found = [], []
-        for time, *left in self.waiting.get():
+        held, came = self._held()
+        times = [time for time, *_ in held]
+        names = [*self.left.names, *self.right.names]
+        rest, found, waited = [], [], False
+        for time, *left in _rows(self.waiting.get()):
+            waited = True
             if _timer_of(time) > watermark:
                 rest.append((time, *left))
                 continue
             at = bisect_right(times, time)
             if at or self.keep_alone:
-                version = held[at - 1][1] if at else (None,) * len(self.right)
-                found.append(Row(**dict(zip([*self.left.names, *self.right.names], [*left, *version]))))
-        self.due.clear()
+                version = held[at - 1][1:] if at else (None,) * len(self.right)
+                found.append(Row(**dict(zip(names, [*left, *version]))))
         if rest:
-            self.waiting.put(rest)
-            self._wake(min(row[0] for row in rest))
-        else:
+            self.waiting.put(_chunks(rest))
+            self.handle.registerTimer(_timer_of(min(row[0] for row in rest)))
+        elif waited:
             self.waiting.clear()
-        self._forget(watermark)
+        self._forget(held, came, watermark)
         return iter(found)
 
     def close(self) -> None:
         pass
 
 
+def _columns(row: StructType) -> StructType:
+    """A chunk of such rows: an array for each column."""
+    return StructType([StructField(field.name, ArrayType(field.dataType)) for field in row])
+
+
+def _chunks(rows: list[tuple]) -> list[tuple]:
+    return [
+        tuple(list(column) for column in zip(*rows[at : at + CHUNK]))
+        for at in range(0, len(rows), CHUNK)
+    ]
+
+
+def _rows(chunks: Iterator) -> Iterator[tuple]:
+    for chunk in chunks:
+        yield from zip(*chunk)
+
+
 def _later(one, other) -> bool:
     return other is None or (one is not None and one >= other)
 
