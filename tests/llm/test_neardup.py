@@ -7,7 +7,18 @@ from pyspark.sql import functions as F
 
 from tidemark.llm import queries
 from tidemark.llm.common import read_table
-from tidemark.llm.neardup import components, estimate, near_duplicates, run_keys, shingle_sets
+from tidemark.llm.neardup import (
+    components,
+    estimate,
+    key_rows,
+    near_duplicates,
+    run_keys,
+    shingle_sets,
+    undecided,
+    with_duplicate_cluster,
+    without_leaders,
+    word_hashes,
+)
 
 
 def plain(texts):
@@ -111,3 +122,41 @@ def test_query_equals_all_pairs(spark, sf_dir):
                     least[i] = least[j] = min(least[i], least[j])
     for i, row in enumerate(rows):
         assert got[row["doc_id"]]["component_id"] == rows[least[i]]["doc_id"]
+
+
+def test_words_of_many_texts_are_hashed_at_once():
+    rng = random.Random(4)
+    pieces = ["a", "B", "b", "\u00e9", " ", "  ", "\n", "\t", "\x0b", "\r", "\x1c", "\x85", "\xa0", "word" * 20, "\0"]
+    texts = [None, b"", b" \xff\xfe ", b"x" * 64, b"x" * 65]
+    texts += ["".join(rng.choices(pieces, k=rng.choice([1, 3, 30]))).encode() for _ in range(300)]
+    words = [(text or b"").lower().split() for text in texts]
+    hashes, counts = word_hashes(texts)
+    assert counts.tolist() == [len(own) for own in words]
+    flat = sum(words, [])
+    assert len(set(zip(flat, hashes.tolist()))) == len(set(flat)) == len(set(hashes.tolist()))
+
+
+def test_rows_of_keys_are_the_runs(spark):
+    rows = [(i, n, list(range(i, i + n))) for i, n in enumerate([1, 2, 3, 8, 9, 64])]
+    df = spark.createDataFrame(rows, "_node int, _n bigint, _sketch array<bigint>")
+    plain = df.select("_node", F.explode(run_keys(F.col("_sketch"), F.col("_n"))))
+    got = key_rows(df).select("_node", "_key")
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, plain.collect()))
+
+
+def test_lists_of_a_leader_and_one_other_are_decided(spark):
+    rows = [(1, "a", "a", 2), (1, "b", "b", 1), (2, "a", "a", 2), (2, "b", "b", 1), (2, "c", "c", 1)]
+    rows += [(3, "d", "d", 1), (3, "e", "d", 1), (3, "f", "d", 1)]
+    df = spark.createDataFrame(rows, "_key int, _node string, _label string, _weight int")
+    rest = undecided(without_leaders(df, "_key", F.col("_weight")), "_key")
+    assert sorted((r["_key"], r["_node"]) for r in rest.collect()) == [(2, "b"), (2, "c")]
+
+
+def test_clusters_come_with_words_and_other_columns(spark):
+    rows = [(1, "a b  c", "s"), (2, "A b c", None), (3, None, "t"), (4, " ", "u"), (None, "x y", "v")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    got = with_duplicate_cluster(df, "cluster", "words", ["source"]).collect()
+    found = {r["source"]: (r["doc_id"], r["words"], r["cluster"]) for r in got}
+    assert found["s"] == (1, 3, "near 1") and found[None] == (2, 3, "near 1")
+    assert found["t"] == (3, 0, None) and found["u"][:2] == (4, 0) and found["v"][:2] == (None, 2)
+    assert found["u"][2].startswith("equal ") and found["v"][2].startswith("equal ")

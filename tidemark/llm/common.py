@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import gc
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -83,21 +83,24 @@ def map_texts(
     text_col: str,
     fields: str,
     work: Callable[[list[bytes | None]], dict[str, list]],
+    keep: Sequence[str] = (),
 ) -> DataFrame:
-    """One output row per input row: the id and the columns ``work`` makes of the texts.
+    """One output row per input row: the id, the columns ``keep`` as they are and those
+    that ``work`` makes of the texts.
 
     ``work`` gets the texts of a block as bytes, None for null, and returns a list per
     column of ``fields`` (a DDL string). Other columns of ``df`` are not read.
     """
-    source = df.select(df[id_col], df[text_col])
-    id_type = source.schema[id_col].dataType.simpleString()
+    source = df.select(df[id_col], df[text_col], *(df[name] for name in keep))
+    own = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema if f.name != text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part, texts in text_blocks(batch, 1):
-                yield pa.RecordBatch.from_pydict({id_col: part.column(0)} | work(texts))
+                kept = {name: part.column(at) for at, name in enumerate(keep, 2)}
+                yield pa.RecordBatch.from_pydict({id_col: part.column(0)} | kept | work(texts))
 
-    return source.mapInArrow(run, f"`{id_col}` {id_type}, {fields}")
+    return source.mapInArrow(run, f"{own}, {fields}")
 
 
 def mix64(values: np.ndarray) -> np.ndarray:

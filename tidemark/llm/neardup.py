@@ -12,12 +12,12 @@ which linked sets must share one, and there every pair of components is compared
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import (
@@ -44,26 +44,63 @@ SIMILARITY = 75  # percent
 LEAST_ESTIMATE = 0.42
 
 _BASE = np.uint64(0x9E6C63D0876A9A47)
+WORD_BYTES = 64  # longer words are hashed whole
+_SPACE = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
+_MASKS = np.array([(1 << 8 * n) - 1 for n in range(9)], dtype=np.uint64)
 
 
-def shingle_sets(texts: list[bytes | None], width: int = SHINGLE) -> list[np.ndarray]:
-    """The sorted distinct shingle hashes of each text, as signed 64-bit integers."""
-    known: dict[bytes, int] = {}
-    out = []
-    for text in texts:
-        words = (text or b"").lower().split()
-        for word in set(words).difference(known):
-            known[word] = xxhash.xxh3_64_intdigest(word)
-        ids = np.fromiter(map(known.__getitem__, words), dtype=np.uint64, count=len(words))
-        if len(ids) < width:
-            hashes = np.full(min(1, len(ids)), len(ids) + 1, dtype=np.uint64)
-            for i in range(len(ids)):
-                hashes = mix64(hashes * _BASE + ids[i])
-        else:
-            hashes = np.zeros(len(ids) - width + 1, dtype=np.uint64)
-            for i in range(width):
-                hashes = mix64(hashes * _BASE + ids[i : len(hashes) + i])
-        out.append(np.unique(hashes.view(np.int64)))
+def word_hashes(texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
+    """The hashes of all words, A-Z in lower case, and the number of words in each text.
+
+    Eight bytes of every word are mixed in at a time; long words are hashed one by one.
+    """
+    data = b" ".join([b"", *(text or b"" for text in texts), bytes(8)]).lower()
+    space = _SPACE[np.frombuffer(data, dtype=np.uint8)][:-8]
+    edges = np.flatnonzero(space[1:] != space[:-1]) + 1
+    starts, sizes = edges[::2], edges[1::2] - edges[::2]
+    bounds = np.cumsum([1, *(len(text or b"") + 1 for text in texts)])
+    counts = np.diff(np.searchsorted(starts, bounds))
+    eight = np.ndarray(len(data) - 7, dtype="<u8", buffer=data, strides=(1,))
+    hashes = sizes.astype(np.uint64)
+    for at in range(0, WORD_BYTES, 8):
+        live = np.flatnonzero(sizes > at) if at else slice(None)
+        part = eight[starts[live] + at] & _MASKS[np.minimum(sizes[live] - at, 8)]
+        hashes[live] = mix64(hashes[live] * _BASE + part)
+    for word in np.flatnonzero(sizes > WORD_BYTES):
+        whole = data[starts[word] : starts[word] + sizes[word]]
+        hashes[word] = xxhash.xxh3_64_intdigest(whole)
+    return hashes, counts
+
+
+def shingle_sets(
+    texts: list[bytes | None], width: int = SHINGLE, counts: list[int] | None = None
+) -> list[np.ndarray]:
+    """The sorted distinct shingle hashes of each text, as signed 64-bit integers.
+
+    The words of all texts are hashed in one go. ``counts`` gets their numbers of words.
+    """
+    ids, n = word_hashes(texts)
+    if counts is not None:
+        counts += n.tolist()
+    ends = np.cumsum(n)
+    hashes = np.zeros(max(0, len(ids) - width + 1), dtype=np.uint64)
+    for i in range(width):
+        hashes = mix64(hashes * _BASE + ids[i : len(hashes) + i])
+    inside = np.arange(len(hashes)) + width <= np.repeat(ends, n)[: len(hashes)]
+    hashes = hashes[inside].view(np.int64)
+    stops = np.cumsum(np.maximum(n - width + 1, 0))
+    new = np.ones(len(hashes), dtype=bool)
+    for start, stop in zip(stops - np.maximum(n - width + 1, 0), stops):
+        hashes[start:stop].sort()
+    new[1:] = hashes[1:] != hashes[:-1]
+    new[stops[:-1][stops[:-1] < len(hashes)]] = True
+    kept = np.concatenate([[0], np.cumsum(new)])[np.concatenate([[0], stops])]
+    out = np.split(hashes[new], kept[1:-1]) if len(texts) else []
+    for at in np.flatnonzero((n > 0) & (n < width)):
+        short = np.full(1, n[at] + 1, dtype=np.uint64)
+        for i in range(ends[at] - n[at], ends[at]):
+            short = mix64(short * _BASE + ids[i])
+        out[at] = short.view(np.int64)
     return out
 
 
@@ -82,21 +119,29 @@ def _text_hash(text: bytes | None) -> int:
     return 42 if text is None else xxhash.xxh64_intdigest(text, seed=42)
 
 
-def sketches(documents: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """``(id, n_shingles, _hash, _node, _sketch)``: the least ``SKETCH`` hashes of each
-    set; ``_hash`` is Spark's xxhash64 of the text."""
+def sketches(
+    documents: DataFrame, id_col: str, text_col: str, keep: Sequence[str] = ()
+) -> DataFrame:
+    """``(id, keep, n_shingles, _words, _null, _hash, _node, _sketch)``: the least ``SKETCH``
+    hashes of each set; ``_hash`` is Spark's xxhash64 of the text."""
 
     def work(texts: list[bytes | None]) -> dict[str, list]:
-        sets = shingle_sets(texts)
+        words: list[int] = []
+        sets = shingle_sets(texts, counts=words)
         return {
             "n_shingles": list(map(len, sets)),
+            "_words": words,
+            "_null": [text is None for text in texts],
             "_hash": np.array(list(map(_text_hash, texts)), dtype=np.uint64).view(np.int64),
             "_node": pa.array(list(map(_node, sets)), pa.binary()),
             "_sketch": _lists([s[:SKETCH] for s in sets]),
         }
 
-    fields = "n_shingles bigint, _hash bigint, _node binary, _sketch array<bigint>"
-    return map_texts(documents, id_col, text_col, fields, work)
+    fields = (
+        "n_shingles bigint, _words bigint, _null boolean, _hash bigint, _node binary, "
+        "_sketch array<bigint>"
+    )
+    return map_texts(documents, id_col, text_col, fields, work, keep)
 
 
 def full_sets(documents: DataFrame, nodes: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -128,9 +173,31 @@ def run_keys(sketch: Column, n: Column) -> Column:
     return F.when(n <= SMALL, F.concat(runs(RUN), runs(2))).otherwise(runs(RUN))
 
 
+def key_rows(nodes: DataFrame) -> DataFrame:
+    """``(_node, _n, _key)``: the values of ``run_keys`` as rows.
+
+    The places are unfolded first, negative ones for runs of two, and hashed row by row in
+    Spark's generated code, which does not reach into functions of arrays.
+    """
+    sketch, last = F.col("_sketch"), F.size("_sketch")
+
+    def places(width: int) -> Column:
+        made = F.sequence(F.lit(1), F.greatest(last - width + 1, F.lit(1)))
+        return F.when(last >= width, made).otherwise(F.array().cast("array<int>"))
+
+    twos = F.when(F.col("_n") <= SMALL, F.transform(places(2), F.negative))
+    both = F.concat(places(RUN), F.coalesce(twos, F.array().cast("array<int>")))
+    rows = nodes.select("_node", "_n", "_sketch", F.explode(both).alias("_at"))
+    at = F.abs("_at")
+    two, three = (
+        F.xxhash64(*[F.element_at(sketch, at + j) for j in range(width)]) for width in (2, RUN)
+    )
+    return rows.select("_node", "_n", F.when(F.col("_at") > 0, three).otherwise(two).alias("_key"))
+
+
 def estimate(a: Column, b: Column) -> Column:
     """Jaccard similarity by the bottom-k sketch of the union of two sketches."""
-    union = F.slice(F.array_sort(F.array_union(a, b)), 1, SKETCH)
+    union = F.slice(F.sort_array(F.array_union(a, b)), 1, SKETCH)
     both = F.size(F.array_intersect(union, F.array_intersect(a, b)))
     return both / F.size(union)
 
@@ -207,6 +274,18 @@ def undecided(members: DataFrame, key: str) -> DataFrame:
     return members.join(spread.filter("_low <> _high").select(key), key, "left_semi")
 
 
+def without_leaders(members: DataFrame, key: str, order: Column) -> DataFrame:
+    """The rows of ``undecided`` but the leaders of ``star_pairs`` by the same order: they
+    have been compared with all of their list, so what is open is between the others."""
+    lists = members.groupBy(key).agg(
+        F.min("_label").alias("_low"),
+        F.max("_label").alias("_high"),
+        F.max(F.struct(order.alias("_order"), "_node")).alias("_lead"),
+    )
+    lists = lists.filter("_low <> _high").select(key, F.col("_lead._node").alias("_leader"))
+    return members.join(lists, key).filter("_node <> _leader").drop("_leader")
+
+
 def star_pairs(members: DataFrame, key: str, order: Column) -> DataFrame:
     """Each member of a list with the list's leader, the one of greatest ``order``, if
     their sizes allow a link and no component holds both. At most a pair a row."""
@@ -275,7 +354,8 @@ def near_duplicates(
     equal texts with an id, or null, and then they are kept. Ids may repeat, each row
     follows its own text. Other columns are ignored.
     """
-    return _near_duplicates(documents, id_col, text_col).drop("_hash")
+    out = _near_duplicates(documents, id_col, text_col)
+    return out.select(id_col, "n_shingles", "component_id", "kept")
 
 
 def without_near_duplicates(
@@ -293,32 +373,30 @@ def without_near_duplicates(
 def with_duplicate_cluster(
     documents: DataFrame,
     cluster_col: str,
-    columns: list[Column],
+    words_col: str,
+    keep: Sequence[str],
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> DataFrame:
-    """The id and ``columns`` of ``documents`` with one that near-duplicates have in common,
-    a string. Texts are not moved to it: what is wanted of them is in ``columns``.
+    """The id and the columns ``keep`` of ``documents`` with the number of words of each text
+    and one that near-duplicates have in common, a string. Texts are read, not moved.
 
     Texts without a component, such as those without words, share it with equal texts
     only; it is null for null texts.
     """
-    found = _near_duplicates(documents, id_col, text_col).filter("n_shingles > 0")
-    found = found.groupBy(F.col(id_col).alias("_own"), F.col("_hash").alias("_own_hash")).agg(
-        F.min("component_id").alias("_component")
-    )
-    own_hash = F.when(documents[text_col].isNotNull(), F.xxhash64(documents[text_col]))
-    rows = documents.select(documents[id_col], *columns, own_hash.alias("_text_hash"))
-    same = rows[id_col].eqNullSafe(F.col("_own")) & (F.col("_text_hash") == F.col("_own_hash"))
-    component = F.concat(F.lit("near "), F.col("_component").cast("string"))
-    equal = F.concat(F.lit("equal "), F.col("_text_hash").cast("string"))
-    rows = rows.join(found, same, "left").withColumn(cluster_col, F.coalesce(component, equal))
-    return rows.drop("_text_hash", *found.columns)
+    rows = _near_duplicates(documents, id_col, text_col, keep)
+    component = F.concat(F.lit("near "), F.col("component_id").cast("string"))
+    component = F.when(F.col("n_shingles") > 0, component)
+    equal = F.when(~F.col("_null"), F.concat(F.lit("equal "), F.col("_hash").cast("string")))
+    cluster = F.coalesce(component, equal).alias(cluster_col)
+    return rows.select(id_col, *keep, F.col("_words").alias(words_col), cluster)
 
 
-def _near_duplicates(documents: DataFrame, id_col: str, text_col: str) -> DataFrame:
+def _near_duplicates(
+    documents: DataFrame, id_col: str, text_col: str, keep: Sequence[str] = ()
+) -> DataFrame:
     spark = documents.sparkSession
-    own = shared_table(sketches(documents, id_col, text_col), "sketches")
+    own = shared_table(sketches(documents, id_col, text_col, keep), "sketches")
     nodes = own.filter("_node IS NOT NULL").groupBy("_node").agg(
         F.min(id_col).alias("_rep"),
         F.max("n_shingles").alias("_n"),
@@ -326,9 +404,10 @@ def _near_duplicates(documents: DataFrame, id_col: str, text_col: str) -> DataFr
     )
     nodes = shared_table(nodes.filter("_rep IS NOT NULL"), "nodes")
 
-    keys = nodes.select("_node", "_n", F.explode(run_keys(F.col("_sketch"), F.col("_n"))).alias("_key"))
-    shared = keys.groupBy("_key").agg(F.count("*").alias("_held")).filter("_held > 1")
-    members = shared_table(keys.join(shared.select("_key"), "_key"), "members")
+    # Most keys have one row: counting beside the rows moves them once, without a join.
+    held = F.count("*").over(Window.partitionBy("_key"))
+    shared = key_rows(nodes).withColumn("_held", held).filter("_held > 1").drop("_held")
+    members = shared_table(shared, "members")
     # Members with many shared keys are near the middle of their group: they lead.
     weight = members.groupBy("_node").agg(F.count("*").alias("_weight"))
     lists = members.join(weight, "_node").withColumn("_label", F.col("_node"))
@@ -348,7 +427,8 @@ def _near_duplicates(documents: DataFrame, id_col: str, text_col: str) -> DataFr
     labels = components(confirmed(pairs.select("_a", "_b"), sets))
     release_shuffles(spark)
 
-    open_lists = undecided(labelled(members.drop("_label"), labels), "_key")
+    open_lists = without_leaders(labelled(members.drop("_label"), labels), "_key", F.col("_weight"))
+    open_lists = undecided(open_lists, "_key")
     shingles = shared_table(shingles_of(open_lists, sets), "shingles")
     drop_tables(members)
     tokens = shared_table(rarest(shingles), "tokens")
@@ -385,4 +465,4 @@ def _near_duplicates(documents: DataFrame, id_col: str, text_col: str) -> DataFr
     component = F.coalesce("component_id", F.col(id_col))
     out = out.withColumn("component_id", component)
     kept = F.coalesce(F.col(id_col) == F.col("component_id"), F.col("component_id").isNull())
-    return out.select(id_col, "n_shingles", "component_id", kept.alias("kept"), "_hash")
+    return out.withColumn("kept", kept).drop("_node")

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tidemark.llm.common import read_table
-from tidemark.llm.mixing import mix_sources, word_count
+from tidemark.llm.mixing import mix_sources
 from tidemark.llm.neardup import near_duplicates, with_duplicate_cluster
 from tidemark.llm.neighbours import nearest_neighbours
 from tidemark.llm.ngramjoin import ngram_join
@@ -55,8 +55,8 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    columns = [F.col("source"), word_count(F.col("text")).alias("_words")]
-    rows = with_duplicate_cluster(read_table(spark, sf_dir, "documents"), "_duplicates", columns)
+    documents = read_table(spark, sf_dir, "documents")
+    rows = with_duplicate_cluster(documents, "_duplicates", "_words", ["source"])
     return pack(rows, F.col("_words"), F.col("_duplicates"))
 
 
