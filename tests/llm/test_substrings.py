@@ -1,13 +1,15 @@
 import hashlib
 import random
+import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from fixtures import awkward_texts, documents, empty
 
 from tidemark.llm import queries, substrings
 from tidemark.llm.common import read_table
-from tidemark.llm.substrings import repeated_places, without_repeats
+from tidemark.llm.substrings import repeated_places, whole_groups, without_repeats
 
 
 def plain(texts):
@@ -83,6 +85,41 @@ def test_places_equal_brute_force():
         assert repeated_places(data, ends, window).tolist() == expected
 
 
+def test_a_sort_takes_little_memory():
+    rng = np.random.default_rng(1)
+    data = rng.integers(97, 101, 500_000).astype(np.uint8)
+    data[300_000:400_000] = data[:100_000]
+    ends = np.full(len(data), len(data), dtype=np.int32)
+    tracemalloc.start()
+    found = repeated_places(data, ends)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(found) == 2 * (100_000 - 199)
+    assert most < 60 * len(data)
+
+
+def test_groups_are_sorted_together_up_to_a_limit():
+    rng = random.Random(5)
+    groups = sorted(rng.choice(range(60)) for _ in range(400)) + [60] * 100
+    rows = [(h, bytes(rng.randint(1, 30))) for h in groups]
+    fields = pa.schema({"h": pa.int64(), "bytes": pa.binary()})
+    cuts = [0, 0, 7, 20, 21, 250, 460, 500]
+    batches = [
+        pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*part), fields)], schema=fields)
+        if part
+        else pa.RecordBatch.from_pylist([], fields)
+        for part in (rows[a:b] for a, b in zip(cuts, cuts[1:]))
+    ]
+    runs = [pa.Table.from_batches(own).to_pylist() for own in whole_groups(iter(batches), 300)]
+    assert [tuple(row.values()) for own in runs for row in own] == rows
+    held = [{row["h"] for row in own} for own in runs]
+    assert sum(map(len, held)) == len(set(groups))
+    sizes = [sum(len(row["bytes"]) for row in own) for own in runs]
+    assert all(size <= 300 or len(own) == 1 for size, own in zip(sizes, held))
+    assert len(runs) < len(set(groups)) and max(sizes) > 300
+    assert list(whole_groups(iter([]), 300)) == []
+
+
 def test_query_equals_all_strings(spark, sf_dir):
     rows = read_table(spark, sf_dir, "documents").collect()
     got = {r["doc_id"]: tuple(r)[1:] for r in queries.op7_repeated_substrings(spark, sf_dir).collect()}

@@ -16,6 +16,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -24,9 +25,12 @@ from tidemark.llm.common import drop_tables, mix64, release_shuffles, shared_tab
 WINDOW = 200
 GRAM = 32
 PIECE = 1_000_000  # longer texts are cut here; the strings of a cut stay whole
-# Bytes of contexts that a task sorts at a time. Groups of one q-gram above that are not
-# sorted: their strings meet by digest, as rows that are counted before they move.
+# Groups of one q-gram with more bytes of contexts than that are not sorted: their strings
+# meet by digest, as rows that are counted before they move.
 CHUNK = 4_000_000
+# Smaller groups are sorted together, up to that many bytes at a time: a sort takes some
+# 40 bytes of memory for each.
+TOGETHER = 1_000_000
 
 _BASE = 0x9E6C63D0876A9A47
 _BYTE = mix64(np.arange(256)) | np.uint64(1)
@@ -162,9 +166,17 @@ def context_rows(documents: DataFrame, id_type: str) -> DataFrame:
 
 def _buckets(keys: np.ndarray) -> np.ndarray:
     """Numbers of the distinct keys, -1 for a key that is there once."""
-    _, number, times = np.unique(keys, return_inverse=True, return_counts=True)
-    names = np.where(times > 1, np.cumsum(times > 1) - 1, -1)
-    return names[number]
+    order = np.argsort(keys)
+    ranked = keys[order]
+    edge = np.ones(len(keys) + 1, dtype=bool)
+    edge[1:-1] = ranked[1:] != ranked[:-1]
+    del ranked
+    new, alone = edge[:-1], edge[:-1] & edge[1:]
+    names = np.cumsum(new & ~alone, dtype=np.int32) - np.int32(1)
+    names[alone] = -1
+    out = np.empty(len(keys), dtype=np.int32)
+    out[order] = names
+    return out
 
 
 def repeated_places(data: np.ndarray, ends: np.ndarray, window: int = WINDOW) -> np.ndarray:
@@ -173,27 +185,32 @@ def repeated_places(data: np.ndarray, ends: np.ndarray, window: int = WINDOW) ->
     ``ends`` gives for each place the end of the stretch that it may use. Places are put
     into buckets by eight bytes; buckets of 2m bytes come from pairs of buckets of m
     bytes, m apart, and the last ones overlap. Places alone in their bucket drop out.
+    Places and buckets are 32-bit numbers.
     """
-    places = np.arange(len(data))
+    size = len(data)
     reach = 8
-    padded = np.concatenate([data, np.zeros(8, np.uint8)]).astype(np.uint64)
-    first = np.zeros(len(data), dtype=np.uint64)
-    for i in range(reach):
-        first = (first << np.uint64(8)) | padded[i : i + len(data)]
-    bucket = np.full(len(data), -1, dtype=np.int64)
-    live = places[ends - places >= reach]
-    bucket[live] = _buckets(first[live])
+    room = ends.astype(np.int32) - np.arange(size, dtype=np.int32)
+    live = np.flatnonzero(room >= reach).astype(np.int32)
+    first = np.zeros(size, dtype=np.uint64)
+    for i in range(min(reach, size)):
+        first <<= np.uint64(8)
+        first[: size - i] |= data[i:]
+    keys = first[live]
+    del first
+    bucket = np.full(size, -1, dtype=np.int32)
+    bucket[live] = _buckets(keys)
     while reach < window:
         step = min(reach, window - reach)
         live = live[bucket[live] >= 0]
-        live = live[ends[live] - live >= reach + step]
+        live = live[room[live] >= reach + step]
         later = bucket[live + step]
         live, later = live[later >= 0], later[later >= 0]
-        new = np.full(len(data), -1, dtype=np.int64)
-        new[live] = _buckets((bucket[live] << 32) | later)
-        bucket = new
+        keys = (bucket[live].astype(np.int64) << 32) | later
+        del later
+        bucket.fill(-1)
+        bucket[live] = _buckets(keys)
         reach += step
-    return live[bucket[live] >= 0] if len(live) else live
+    return live[bucket[live] >= 0].astype(np.int64)
 
 
 def _intervals(places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -204,11 +221,36 @@ def _intervals(places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return places[np.concatenate([[0], cut + 1])], places[np.append(cut, len(places) - 1)] + WINDOW
 
 
+def whole_groups(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[list[pa.RecordBatch]]:
+    """Runs of rows with up to ``limit`` bytes in the last column, or one group with more;
+    the rows of a group have equal first columns and follow one another."""
+    held: list[pa.RecordBatch] = []
+    size, last = 0, None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        groups = batch.column(0).to_numpy()
+        ends = np.cumsum(pc.binary_length(batch.column(batch.num_columns - 1)).to_numpy(), dtype=np.int64)
+        begins = np.flatnonzero(np.concatenate([[True], groups[1:] != groups[:-1]]))
+        parts = np.diff(ends[np.append(begins[1:], len(groups)) - 1], prepend=0)
+        low = 0
+        for begin, part in zip(begins.tolist(), parts.tolist()):
+            # A group that went on from the batch before is not cut.
+            if size and size + part > limit and (begin or groups[0] != last):
+                yield [*held, batch.slice(low, begin - low)]
+                held, size, low = [], 0, begin
+            size += part
+        held.append(batch.slice(low))
+        last = groups[-1]
+    if held:
+        yield held
+
+
 def sorted_contexts(contexts: DataFrame, id_type: str) -> DataFrame:
     """``(_id, _hash, start, end)``: repeated stretches of contexts that occur once.
 
     ``contexts`` ``(h, n, _id, _hash, start, bytes)`` are distinct, grouped by ``h`` in
-    partitions. A task sorts whole groups, some megabytes at a time.
+    partitions. A task sorts whole groups, about ``TOGETHER`` bytes at a time.
     """
 
     def work(rows: list[pa.RecordBatch]) -> pa.RecordBatch:
@@ -217,7 +259,8 @@ def sorted_contexts(contexts: DataFrame, id_type: str) -> DataFrame:
         data = np.frombuffer(b"".join(bodies), dtype=np.uint8)
         sizes = np.array([len(body) for body in bodies])
         ends = np.cumsum(sizes)
-        found = repeated_places(data, np.repeat(ends, sizes))
+        del bodies
+        found = repeated_places(data, np.repeat(ends.astype(np.int32), sizes))
         owner = np.searchsorted(ends, found, side="right")
         once = table["n"].to_numpy() == 1
         start = table["start"].to_numpy()
@@ -241,22 +284,8 @@ def sorted_contexts(contexts: DataFrame, id_type: str) -> DataFrame:
         )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.RecordBatch] = []
-        size = 0
-        for batch in batches:
-            groups = batch.column(0).to_numpy()
-            lengths = np.array([len(body) for body in batch.column(5).to_pylist()])
-            low = 0
-            for edge in [*(np.flatnonzero(groups[1:] != groups[:-1]) + 1).tolist(), len(groups)]:
-                # A group that went on from the batch before is not cut.
-                if size >= CHUNK and held[-1].column(0)[-1].as_py() != groups[low]:
-                    yield work(held)
-                    held, size = [], 0
-                held.append(batch.slice(low, edge - low))
-                size += int(lengths[low:edge].sum())
-                low = edge
-        if held:
-            yield work(held)
+        for rows in whole_groups(batches, TOGETHER):
+            yield work(rows)
 
     fields = f"_id {id_type}, _hash bigint, start bigint, end bigint"
     return contexts.select("h", "n", "_id", "_hash", "start", "bytes").mapInArrow(run, fields)
