@@ -11,6 +11,8 @@ from tokenizers import Tokenizer
 from tidemark.llm import queries
 from tidemark.llm.common import read_table
 from tidemark.llm.repair import (
+    Encoder,
+    _sorted_pairs,
     build_grammar,
     expand,
     pack_grammar,
@@ -75,6 +77,50 @@ def test_pairs_are_replaced_until_none_is_frequent():
     assert size["run"] <= 4
 
 
+@pytest.mark.parametrize("bound", [40, 2**31])
+def test_pairs_and_places_are_sorted_alike_in_one_number_or_two(bound):
+    rng = np.random.default_rng(bound)
+    first, second = rng.integers(0, 40, (2, 5000)).astype(np.int32)
+    left_out = np.flatnonzero(rng.random(5000) < 0.1)
+    for out in (left_out, left_out[:0]):
+        order, edges = _sorted_pairs(first, second, out, bound)
+        places = sorted(set(range(5000)) - set(out.tolist()), key=lambda i: (first[i], second[i], i))
+        assert order.tolist() == places
+        pairs = [(first[i], second[i]) for i in places]
+        assert edges.tolist() == [i for i, pair in enumerate(pairs) if i == 0 or pairs[i - 1] != pair]
+
+
+def test_new_pieces_are_encoded_in_a_row():
+    model, encode = Tokenizer.from_file(PATH), Encoder(PATH)
+    rng = random.Random(11)
+    parts = ["a", "B", "é", "ß", "日", "7", "٣", ".", ",", "'s", "'", "$", "x.y", "e\u0301", "\u200b", "\ufeff"]
+    parts += [*"     \n\n\t\x1c\x85\xa0\u2028\u3000\u2009\x01\x00", "\r\n", "<|endoftext|>", "😀"]
+    texts = ["".join(rng.choice(parts) for _ in range(rng.randint(0, 30))) for _ in range(4000)]
+    texts += ["", " ", "word. word, word.\nword .word", *(t or "" for t in awkward_texts())]
+    made = [ids.ids for ids in model.encode_batch(texts, add_special_tokens=False)]
+    calls = []
+    library = encode.model
+    encode.model = type("Model", (), {})()
+    encode.model.encode_batch_fast = lambda batch, **rest: (
+        calls.append(len(batch)) or library.encode_batch_fast(batch, **rest)
+    )
+    for _ in range(2):
+        got = encode([text.encode() for text in texts])
+        assert [np.frombuffer(ids, "<u4").tolist() for ids in got] == made
+    calls.clear()
+    words = [f"new{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(500)]
+    text = ". ".join(words) + " " + ", ".join(words)
+    assert np.frombuffer(encode([text.encode()])[0], "<u4").tolist() == library.encode(text).ids
+    # One text for all that is new, in which words are without the stops behind them.
+    assert calls == [1] and sum(b"new" in piece for piece in encode.known) <= len(words) + 1
+    # A vocabulary that has no tokens for some bytes: each piece is encoded by itself.
+    encode.known.clear()
+    encode.sizes = encode.sizes * 2
+    assert [np.frombuffer(ids, "<u4").tolist() for ids in encode([b"one two", b"two. three"])] == [
+        library.encode(text).ids for text in ("one two", "two. three")
+    ]
+
+
 def test_shards_without_ids():
     for sizes in ([], [0], [0, 0]):
         grammar = read_grammar(pack_grammar(build_grammar(np.zeros(0, np.uint32), np.array(sizes, dtype=np.int64))))

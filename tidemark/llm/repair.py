@@ -8,9 +8,9 @@ the rest.
 
 from __future__ import annotations
 
+import re
 import struct
 import zlib
-from array import array
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -20,15 +20,15 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import mix64, text_bytes
+from tidemark.llm.common import byte_blocks, mix64, text_bytes
 from tidemark.llm.token_counts import (
+    ENCODE_BYTES,
     MEMO_CHARS,
     MEMO_PIECES,
     byte_batches,
     leading_space_pieces,
     load_tokenizer,
     pieces_of,
-    whole,
 )
 from tidemark.session import new_folder
 
@@ -48,6 +48,51 @@ class Grammar(NamedTuple):
     symbols: np.ndarray
 
 
+def _runs(at: np.ndarray, first: np.ndarray, second: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For pairs at the places ``at``: whether one equals the pair before and overlaps it,
+    and the numbers of those that are second, fourth and so on in such a run."""
+    same = np.zeros(len(at), dtype=bool)
+    twins = np.flatnonzero(first == second)
+    # Pairs of one symbol at neighbouring places are of the same symbol.
+    again = np.zeros(len(twins), dtype=bool)
+    again[1:] = at[twins[1:]] == at[twins[:-1]] + 1
+    same[twins[again]] = True
+    place = np.arange(len(twins))
+    return same, twins[(place - np.maximum.accumulate(np.where(again, 0, place))) % 2 == 1]
+
+
+def _sorted_pairs(
+    first: np.ndarray, second: np.ndarray, left_out: np.ndarray, bound: int
+) -> tuple[np.ndarray, np.ndarray]:
+    """Places of pairs of symbols below ``bound`` in the order of the pairs, without those
+    left out, and where each pair begins. Pair and place are sorted as one number if they
+    fit into it."""
+    width, spare = (bound - 1).bit_length(), len(first).bit_length()
+    together = 2 * width + spare < 64
+    keys = first.astype(np.int64)
+    keys <<= width if together else 32
+    keys |= second
+    if together:
+        keys <<= spare
+        keys |= np.arange(len(first))
+    if len(left_out):
+        counted = np.ones(len(first), dtype=bool)
+        counted[left_out] = False
+        counted = np.flatnonzero(counted)
+        keys = keys[counted]
+    if together:
+        keys.sort()
+        order = keys & ((1 << spare) - 1)
+        keys >>= spare
+    else:
+        order = np.argsort(keys, kind="stable")
+        keys = keys[order]
+        order = counted[order] if len(left_out) else order
+    new = np.ones(len(keys), dtype=bool)
+    np.not_equal(keys[1:], keys[:-1], out=new[1:])
+    return order, np.flatnonzero(new)
+
+
 def build_grammar(ids: np.ndarray, sizes: np.ndarray, least: int = LEAST_USES) -> Grammar:
     """Replace frequent pairs round by round until none is found ``least`` times.
 
@@ -60,7 +105,7 @@ def build_grammar(ids: np.ndarray, sizes: np.ndarray, least: int = LEAST_USES) -
     other places are counted again.
     """
     terminals = int(ids.max(initial=0)) + 1
-    symbols = ids.astype(np.int64)
+    symbols = ids.astype(np.int64 if terminals + len(ids) >= 2**31 else np.int32)
     last = np.zeros(len(ids), dtype=bool)
     ends = np.cumsum(sizes)
     last[ends[sizes > 0] - 1] = True
@@ -70,40 +115,42 @@ def build_grammar(ids: np.ndarray, sizes: np.ndarray, least: int = LEAST_USES) -
     while live.any():
         base = len(size_of)
         at = np.flatnonzero(live)
-        keys = (symbols[at] << 32) | symbols[at + 1]
-        same = np.concatenate([[False], (keys[1:] == keys[:-1]) & (at[1:] == at[:-1] + 1)])
-        place = np.arange(len(at))
-        odd = (place - np.maximum.accumulate(np.where(same, 0, place))) % 2 == 1
-        ranked = np.sort(keys[~odd])
-        edges = np.flatnonzero(np.concatenate([[True], ranked[1:] != ranked[:-1]]))
-        counts = np.diff(np.append(edges, len(ranked)))
+        first, second = symbols[at], symbols[at + 1]
+        same, odd = _runs(at, first, second)
+        order, edges = _sorted_pairs(first, second, odd, base)
+        counts = np.diff(edges, append=len(order))
         frequent = np.flatnonzero(counts >= least)
         if not len(frequent):
             break
-        best = frequent[np.lexsort((mix64(ranked[edges[frequent]]), -counts[frequent]))]
-        none = len(best)
-        by_key = np.argsort(best)
-        known = ranked[edges[best[by_key]]]
-        found = np.minimum(np.searchsorted(known, keys), none - 1)
-        rank = np.where(known[found] == keys, by_key[found], none)
-        here = np.full(len(symbols) + 2, none)
+        example = order[edges[frequent]]
+        pairs = (first[example].astype(np.int64) << 32) | second[example]
+        by_rank = np.lexsort((mix64(pairs), -counts[frequent]))
+        pairs, none = pairs[by_rank], len(by_rank)
+        rank_of = np.full(len(counts), none, dtype=np.int32)
+        rank_of[frequent[by_rank]] = np.arange(none, dtype=np.int32)
+        rank = np.empty(len(at), dtype=np.int32)
+        rank[order] = np.repeat(rank_of, counts)
+        rank[odd] = rank[odd - 1]
+        here = np.full(len(symbols) + 2, none, dtype=np.int32)
         here[at + 1] = rank
-        ahead, behind = here[at], here[at + 2]
-        chosen = (rank < none) & ~odd & ((rank < ahead) | same) & (rank <= behind)
-        uses = np.bincount(rank[chosen], minlength=none + 1)
-        good = np.flatnonzero(uses[:none] >= least)
-        name = np.full(none + 1, -1, dtype=np.int64)
+        live[at[rank == none]] = False
+        rank[odd] = none
+        some = np.flatnonzero(rank < none)
+        place, own = at[some], rank[some]
+        chosen = ((own < here[place]) | same[some]) & (own <= here[place + 2])
+        place, own = place[chosen], own[chosen]
+        good = np.flatnonzero(np.bincount(own, minlength=none) >= least)
+        name = np.full(none, -1, dtype=symbols.dtype)
         name[good] = base + np.arange(len(good))
-        taken = chosen & (name[rank] >= 0)
-        new = at[taken]
-        rules = ranked[edges[best[good]]]
+        name = name[own]
+        new = place[name >= 0]
+        rules = pairs[good]
         left.append(rules >> 32)
         right.append(rules & 0xFFFFFFFF)
         size_of = np.concatenate([size_of, size_of[left[-1]] + size_of[right[-1]]])
         lengths.append(size_of[base:])
-        symbols[new] = name[rank[taken]]
+        symbols[new] = name[name >= 0]
         last[new] = last[new + 1]
-        live[at[rank == none]] = False
         live[new] = True
         live[new[new > 0] - 1] = True
         keep = np.ones(len(symbols), dtype=bool)
@@ -215,27 +262,53 @@ def read_ids(data: bytes, document: int, start: int = 0, stop: int | None = None
     return expand(grammar, symbols[first : last + 1])[start - before : stop - before]
 
 
-# The characters by which byte-level tokenizers write bytes: printable ones stand for
-# themselves, the others follow from 256 on.
-_PRINTABLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
-_OTHERS = [byte for byte in range(256) if byte not in _PRINTABLE]
-BYTE_LETTERS = {byte: byte for byte in _PRINTABLE} | {
-    byte: 256 + place for place, byte in enumerate(_OTHERS)
-}
-
-
-def one_word(piece: str) -> bool:
-    """Whether a piece is a run of Latin letters, with a blank before it or not: one
-    word for the byte-level rules, whatever their version of Unicode."""
-    body = piece[1:] if piece[:1] == " " else piece
-    return body.isalpha() and max(body) < "\u0250"
+# White space beyond ASCII, in UTF-8.
+_WIDE_SPACES = [chr(c).encode() for c in (0x85, 0xA0, 0x1680, *range(0x2000, 0x200B))]
+_WIDE_SPACES += [chr(c).encode() for c in (0x2028, 0x2029, 0x202F, 0x205F, 0x3000)]
+_SPACE = np.array([chr(byte).isspace() and byte < 128 for byte in range(256)])
+_LETTER = np.array([chr(byte).isalpha() and byte < 128 for byte in range(256)])
+_STOP = np.isin(np.arange(256), [ord("."), ord(",")])
+
+
+def _spaces(data: np.ndarray) -> np.ndarray:
+    """Which bytes of UTF-8 are white space, in either view, Python's or the tokenizers'."""
+    space = _SPACE[data]
+    leads = np.flatnonzero(np.isin(data, list({own[0] for own in _WIDE_SPACES}))) if data.max() > 127 else []
+    if len(leads):
+        padded = np.concatenate([data, np.zeros(2, np.uint8)])
+        for own in _WIDE_SPACES:
+            hits = leads[np.all([padded[leads + i] == byte for i, byte in enumerate(own)], axis=0)]
+            for i in range(len(own)):
+                space[hits + i] = True
+    return space
+
+
+def byte_level_cuts(data: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Where to cut texts, one after another in ``data``, so that a byte-level tokenizer
+    gives the ids of the pieces: at their starts, before a single blank and around a
+    single line end between other characters, and between an ASCII letter and a full
+    stop or comma."""
+    space = _spaces(data)
+    begins = np.zeros(len(data) + 1, dtype=bool)
+    begins[starts] = True
+    begins[-1] = True
+    cut = begins.copy()
+    alone = (data == 32) | (data == 10)
+    alone[1:] &= ~space[:-1]
+    alone[:-1] &= ~space[1:]
+    alone &= ~(begins[:-1] | begins[1:])
+    cut[:-1] |= alone
+    cut[1:] |= alone & (data == 10)
+    cut[1:-1] |= _LETTER[data[:-1]] & _STOP[data[1:]]
+    return np.flatnonzero(cut)
 
 
 class Encoder:
     """Token ids of texts as little-endian 32-bit integers, by a tokenizers file.
 
-    Texts are cut where it is safe; pieces met before are looked up. Pieces that are one
-    word go straight to the library's model, the others through all of its steps.
+    Texts are cut where it is safe; pieces met before are looked up, once a block. New
+    pieces for a byte-level tokenizer are encoded in a row, as a text: the bytes that
+    each token stands for tell where a piece ends.
     """
 
     def __init__(self, path: str):
@@ -243,44 +316,112 @@ class Encoder:
         self.model.no_truncation()
         self.model.no_padding()
         self.cut = pieces_of(path)
-        self.known: dict[str, bytes] = {}
-
-    def _encode(self, pieces: list[str]) -> None:
-        if self.cut is leading_space_pieces:
-            tokenize, rest = self.model.model.tokenize, []
-            for piece in pieces:
-                if one_word(piece):
-                    letters = piece.encode().decode("latin-1").translate(BYTE_LETTERS)
-                    ids = array("I", [token.id for token in tokenize(letters)])
-                    self.known[piece] = ids.tobytes()
-                else:
-                    rest.append(piece)
-            pieces = rest
-        for batch in byte_batches(pieces):
-            made = self.model.encode_batch_fast(batch, add_special_tokens=False)
-            for piece, ids in zip(batch, made):
-                self.known[piece] = np.array(ids.ids, dtype="<u4").tobytes()
-
-    def __call__(self, texts: list[str]) -> list[bytes]:
+        self.known: dict = {}
+        added = {n: token.content for n, token in self.model.get_added_tokens_decoder().items()}
+        names = {n: name for name, n in self.model.get_vocab().items()} | added
+        # A byte-level token has a character a byte; an added one is matched as it is.
+        self.sizes = np.zeros(max(names, default=0) + 1, dtype=np.int64)
+        for n, name in names.items():
+            self.sizes[n] = len(name.encode() if n in added else name)
+        self.byte_level = self.cut is leading_space_pieces
+        if any(re.search(r"\s|[A-Za-z][.,]", content) for content in added.values()):
+            self.byte_level = False
+
+    def _each(self, pieces: list[str]) -> list[bytes]:
+        return [
+            np.array(ids.ids, dtype="<u4").tobytes()
+            for batch in byte_batches(pieces)
+            for ids in self.model.encode_batch_fast(batch, add_special_tokens=False)
+        ]
+
+    def _in_a_row(self, data: np.ndarray, sizes: np.ndarray) -> list[bytes]:
+        """Ids of pieces, one after another in ``data``, without white space but for one
+        blank in front."""
+        # A line end before other characters is a token of its own, whatever is around it.
+        apart = data[np.cumsum(sizes) - sizes] != 32
+        stops = np.cumsum(sizes + apart)
+        starts = stops - sizes
+        row = np.full(stops[-1], 10, dtype=np.uint8)
+        row[np.arange(len(data)) + np.repeat(np.cumsum(apart), sizes)] = data
+        text = row.tobytes().decode()
+        ids = np.array(self.model.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype="<u4")
+        ends = np.concatenate([[0], np.cumsum(self.sizes[ids])])
+        first, last = np.searchsorted(ends, starts), np.searchsorted(ends, stops)
+        # A byte that the vocabulary lacks has no token: then there is no telling.
+        if ends[-1] != stops[-1] or (ends[first] != starts).any() or (ends[last] != stops).any():
+            return self._each([row[a:b].tobytes().decode() for a, b in zip(starts, stops)])
+        made = ids.tobytes()
+        return [made[a:b] for a, b in zip((4 * first).tolist(), (4 * last).tolist())]
+
+    def _learn(self, new: list[bytes]) -> list[bytes]:
+        sizes = np.fromiter(map(len, new), np.int64, len(new))
+        data = np.frombuffer(b"".join(new), np.uint8)
+        stops = np.cumsum(sizes)
+        starts = stops - sizes
+        blanks = np.concatenate([[0], np.cumsum(_spaces(data))])
+        blanks = blanks[stops] - blanks[starts]
+        ahead = data[starts] == 32
+        plain = (blanks == ahead) & (sizes > ahead)
+        others = [new[i].decode() for i in np.flatnonzero(~plain).tolist()]
+        data, sizes = data[np.repeat(plain, sizes)], sizes[plain]
+        stops = np.cumsum(sizes)
+        made: list[bytes] = []
+        for block in byte_blocks(sizes.tolist(), ENCODE_BYTES):
+            own = data[stops[block.start] - sizes[block.start] : stops[block.stop - 1]]
+            made += self._in_a_row(own, sizes[block])
+        if not others:
+            return made
+        row, each = iter(made), iter(self._each(others))
+        return [next(row) if own else next(each) for own in plain.tolist()]
+
+    def _bytes(self, texts: list[bytes]) -> list[bytes]:
+        sizes = np.array([len(text) for text in texts], dtype=np.int64)
+        if not sizes.any():
+            return [b""] * len(texts)
+        ends = np.cumsum(sizes)
+        raw = b"".join(texts)
+        cuts = byte_level_cuts(np.frombuffer(raw, np.uint8), ends - sizes)
+        offsets = pa.py_buffer(cuts.astype(np.int64))
+        pieces = pa.LargeBinaryArray.from_buffers(
+            pa.large_binary(), len(cuts) - 1, [None, offsets, pa.py_buffer(raw)]
+        ).dictionary_encode()
+        number = pieces.indices.to_numpy()
+        _, offsets, body = pieces.dictionary.buffers()
+        offsets = np.frombuffer(offsets, np.int64, len(pieces.dictionary) + 1).tolist()
+        body = body.to_pybytes()
+        distinct = [body[a:b] for a, b in zip(offsets, offsets[1:])]
+        found = list(map(self.known.get, distinct))
+        places = [i for i, ids in enumerate(found) if ids is None]
+        if places:
+            new = [distinct[i] for i in places]
+            if len(self.known) + len(new) > MEMO_PIECES:
+                self.known.clear()
+            for i, piece, ids in zip(places, new, self._learn(new)):
+                found[i] = ids
+                if len(piece) <= MEMO_CHARS:
+                    self.known[piece] = ids
+        counts = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        first = np.cumsum(counts) - counts
+        tokens = np.frombuffer(b"".join(found), dtype="<u4")
+        own = counts[number]
+        stops = np.cumsum(own)
+        at = np.repeat(first[number] - (stops - own), own)
+        at += np.arange(len(at))
+        data = tokens[at].tobytes()
+        edges = 4 * np.concatenate([[0], stops])[np.searchsorted(cuts, np.concatenate([[0], ends]))]
+        return [data[a:b] for a, b in zip(edges[:-1].tolist(), edges[1:].tolist())]
+
+    def __call__(self, texts: list[bytes]) -> list[bytes]:
+        if self.byte_level:
+            return self._bytes(texts)
         known = self.known
-        cut = [self.cut(text) for text in texts]
-        new = set().union(*cut).difference(known)
-        # Full stops and commas after a letter are words of their own.
-        split = []
-        if self.cut is not whole:
-            for piece in new:
-                stem = piece.rstrip(".,")
-                if len(stem) < len(piece) and stem[-1:].isalpha():
-                    split.append((piece, stem, piece[len(stem) :]))
-        parts = {part for _, stem, tail in split for part in (stem, tail)}
-        plain = new.difference(piece for piece, _, _ in split)
-        self._encode(list((plain | parts).difference(known)))
-        for piece, stem, tail in split:
-            known[piece] = known[stem] + known[tail]
+        cut = [self.cut(text.decode()) for text in texts]
+        new = list(set().union(*cut).difference(known))
+        known.update(zip(new, self._each(new)))
         out = [b"".join(map(known.__getitem__, pieces)) for pieces in cut]
-        for piece in new | parts:
+        for piece in new:
             if len(piece) > MEMO_CHARS:
-                known.pop(piece, None)
+                del known[piece]
         if len(known) > MEMO_PIECES:
             known.clear()
         return out
@@ -335,9 +476,9 @@ def write_token_files(
         for batch in batches:
             id_arrow = batch.schema.field(0).type
             names, texts = batch.column(0).to_pylist(), text_bytes(batch.column(1))
-            for at in range(0, len(texts), 256):
-                own = [(text or b"").decode() for text in texts[at : at + 256]]
-                for name, tokens in zip(names[at : at + 256], encode(own)):
+            texts = [text or b"" for text in texts]
+            for block in byte_blocks(map(len, texts)):
+                for name, tokens in zip(names[block], encode(texts[block])):
                     ids.append(name)
                     held.append(tokens + end)
                     size += len(held[-1]) // 4
