@@ -267,7 +267,13 @@ _WIDE_SPACES = [chr(c).encode() for c in (0x85, 0xA0, 0x1680, *range(0x2000, 0x2
 _WIDE_SPACES += [chr(c).encode() for c in (0x2028, 0x2029, 0x202F, 0x205F, 0x3000)]
 _SPACE = np.array([chr(byte).isspace() and byte < 128 for byte in range(256)])
 _LETTER = np.array([chr(byte).isalpha() and byte < 128 for byte in range(256)])
-_STOP = np.isin(np.arange(256), [ord("."), ord(",")])
+_STOPS = '.,;:!?"$%&*#)'
+_STOP = np.isin(np.arange(256), list(_STOPS.encode()))
+# The characters by which byte-level tokenizers write bytes: printable ones stand for
+# themselves, the others follow from 256 on.
+_PRINTABLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
+_LETTERS_OF_BYTES = np.arange(256, dtype="<u2")
+_LETTERS_OF_BYTES[np.setdiff1d(np.arange(256), _PRINTABLE)] = 256 + np.arange(256 - len(_PRINTABLE))
 
 
 def _spaces(data: np.ndarray) -> np.ndarray:
@@ -283,11 +289,22 @@ def _spaces(data: np.ndarray) -> np.ndarray:
     return space
 
 
+def _word_bytes(data: np.ndarray) -> np.ndarray:
+    """Which bytes of UTF-8 belong to Latin letters up to U+017F."""
+    inside = _LETTER[data]
+    lead = (data >= 0xC3) & (data <= 0xC5)
+    if lead.any():
+        at = np.flatnonzero(lead[:-1])
+        at = at[~((data[at] == 0xC3) & ((data[at + 1] == 0x97) | (data[at + 1] == 0xB7)))]
+        inside[at] = inside[at + 1] = True
+    return inside
+
+
 def byte_level_cuts(data: np.ndarray, starts: np.ndarray) -> np.ndarray:
     """Where to cut texts, one after another in ``data``, so that a byte-level tokenizer
     gives the ids of the pieces: at their starts, before a single blank and around a
-    single line end between other characters, and between an ASCII letter and a full
-    stop or comma."""
+    single line end between other characters, and between a Latin letter and one of
+    ``_STOPS``."""
     space = _spaces(data)
     begins = np.zeros(len(data) + 1, dtype=bool)
     begins[starts] = True
@@ -299,7 +316,7 @@ def byte_level_cuts(data: np.ndarray, starts: np.ndarray) -> np.ndarray:
     alone &= ~(begins[:-1] | begins[1:])
     cut[:-1] |= alone
     cut[1:] |= alone & (data == 10)
-    cut[1:-1] |= _LETTER[data[:-1]] & _STOP[data[1:]]
+    cut[1:-1] |= _word_bytes(data)[:-1] & _STOP[data[1:]]
     return np.flatnonzero(cut)
 
 
@@ -307,11 +324,15 @@ class Encoder:
     """Token ids of texts as little-endian 32-bit integers, by a tokenizers file.
 
     Texts are cut where it is safe; pieces met before are looked up, once a block. New
-    pieces for a byte-level tokenizer are encoded in a row, as a text: the bytes that
-    each token stands for tell where a piece ends.
+    pieces for a byte-level tokenizer that are one word, whatever the version of Unicode,
+    go to the library's model in a row, the others through all of its steps. The bytes
+    that each token stands for tell where a word ends.
     """
 
     def __init__(self, path: str):
+        from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import CharDelimiterSplit
+
         self.model = load_tokenizer(path)
         self.model.no_truncation()
         self.model.no_padding()
@@ -324,8 +345,11 @@ class Encoder:
         for n, name in names.items():
             self.sizes[n] = len(name.encode() if n in added else name)
         self.byte_level = self.cut is leading_space_pieces
-        if any(re.search(r"\s|[A-Za-z][.,]", content) for content in added.values()):
+        inside = rf"\s|[^\W\d_][{re.escape(_STOPS)}]|^[^\W\d_]+$"
+        if any(re.search(inside, content) for content in added.values()):
             self.byte_level = False
+        self.words = Tokenizer(self.model.model)
+        self.words.pre_tokenizer = CharDelimiterSplit("\n")
 
     def _each(self, pieces: list[str]) -> list[bytes]:
         return [
@@ -335,35 +359,30 @@ class Encoder:
         ]
 
     def _in_a_row(self, data: np.ndarray, sizes: np.ndarray) -> list[bytes]:
-        """Ids of pieces, one after another in ``data``, without white space but for one
-        blank in front."""
-        # A line end before other characters is a token of its own, whatever is around it.
-        apart = data[np.cumsum(sizes) - sizes] != 32
-        stops = np.cumsum(sizes + apart)
-        starts = stops - sizes
-        row = np.full(stops[-1], 10, dtype=np.uint8)
-        row[np.arange(len(data)) + np.repeat(np.cumsum(apart), sizes)] = data
-        text = row.tobytes().decode()
-        ids = np.array(self.model.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype="<u4")
+        """Ids of words, one after another in ``data``."""
+        row = np.full(len(data) + len(sizes), 10, dtype="<u2")
+        row[np.arange(len(data)) + np.repeat(np.arange(len(sizes)), sizes)] = _LETTERS_OF_BYTES[data]
+        made = self.words.encode_batch_fast([row.tobytes().decode("utf-16-le")], add_special_tokens=False)
+        ids = np.array(made[0].ids, dtype="<u4")
+        stops = np.cumsum(sizes)
         ends = np.concatenate([[0], np.cumsum(self.sizes[ids])])
-        first, last = np.searchsorted(ends, starts), np.searchsorted(ends, stops)
+        last = np.minimum(np.searchsorted(ends, stops), len(ids))
         # A byte that the vocabulary lacks has no token: then there is no telling.
-        if ends[-1] != stops[-1] or (ends[first] != starts).any() or (ends[last] != stops).any():
-            return self._each([row[a:b].tobytes().decode() for a, b in zip(starts, stops)])
-        made = ids.tobytes()
-        return [made[a:b] for a, b in zip((4 * first).tolist(), (4 * last).tolist())]
+        if ends[-1] != stops[-1] or (ends[last] != stops).any():
+            return self._each([data[a:b].tobytes().decode() for a, b in zip(stops - sizes, stops)])
+        tokens, edges = ids.tobytes(), [0, *(4 * last).tolist()]
+        return [tokens[a:b] for a, b in zip(edges, edges[1:])]
 
     def _learn(self, new: list[bytes]) -> list[bytes]:
         sizes = np.fromiter(map(len, new), np.int64, len(new))
         data = np.frombuffer(b"".join(new), np.uint8)
         stops = np.cumsum(sizes)
         starts = stops - sizes
-        blanks = np.concatenate([[0], np.cumsum(_spaces(data))])
-        blanks = blanks[stops] - blanks[starts]
-        ahead = data[starts] == 32
-        plain = (blanks == ahead) & (sizes > ahead)
-        others = [new[i].decode() for i in np.flatnonzero(~plain).tolist()]
-        data, sizes = data[np.repeat(plain, sizes)], sizes[plain]
+        letters = np.concatenate([[0], np.cumsum(_word_bytes(data))])
+        letters = letters[stops] - letters[starts]
+        word = (letters + (data[starts] == 32) == sizes) & (letters > 0)
+        others = [new[i].decode() for i in np.flatnonzero(~word).tolist()]
+        data, sizes = data[np.repeat(word, sizes)], sizes[word]
         stops = np.cumsum(sizes)
         made: list[bytes] = []
         for block in byte_blocks(sizes.tolist(), ENCODE_BYTES):
@@ -372,7 +391,7 @@ class Encoder:
         if not others:
             return made
         row, each = iter(made), iter(self._each(others))
-        return [next(row) if own else next(each) for own in plain.tolist()]
+        return [next(row) if own else next(each) for own in word.tolist()]
 
     def _bytes(self, texts: list[bytes]) -> list[bytes]:
         sizes = np.array([len(text) for text in texts], dtype=np.int64)
