@@ -8,7 +8,7 @@ import pytest
 from fixtures import awkward_texts, documents, empty
 from tokenizers import Tokenizer
 
-from tidemark.llm import queries
+from tidemark.llm import queries, repair
 from tidemark.llm.common import read_table
 from tidemark.llm.repair import (
     Encoder,
@@ -119,6 +119,19 @@ def test_new_pieces_are_encoded_in_a_row():
     ]
 
 
+def test_rules_are_opened_once_where_that_is_less(monkeypatch):
+    opened = []
+    plain = repair._open
+    monkeypatch.setattr(repair, "_open", lambda g, own, sizes: opened.append(len(own)) or plain(g, own, sizes))
+    rng = np.random.default_rng(2)
+    words = rng.integers(0, 50, (30, 3))
+    ids = words[rng.integers(0, 30, 5000)].ravel()
+    grammar = build_grammar(ids.astype(np.uint32), np.array([9000, 0, 6000]))
+    assert (expand(grammar, grammar.symbols) == ids).all()
+    assert opened == [len(grammar.lengths)] and opened[0] < len(grammar.symbols)
+    assert (expand(grammar, grammar.symbols[:2]) == ids[: len(expand(grammar, grammar.symbols[:2]))]).all()
+
+
 def test_shards_without_ids():
     for sizes in ([], [0], [0, 0]):
         grammar = read_grammar(pack_grammar(build_grammar(np.zeros(0, np.uint32), np.array(sizes, dtype=np.int64))))

@@ -226,9 +226,23 @@ def read_grammar(data: bytes) -> Grammar:
 
 
 def expand(grammar: Grammar, symbols: np.ndarray) -> np.ndarray:
-    """The token ids of symbols: each nonterminal is opened once, at its place."""
-    symbols = symbols.astype(np.int64)
+    """The token ids of symbols. Where those of all rules are fewer, each rule is opened
+    once and copied to its places."""
     sizes = symbol_lengths(grammar, symbols)
+    total = int(sizes.sum())
+    if grammar.terminals + int(grammar.lengths.sum()) >= total:
+        return _open(grammar, symbols.astype(np.int64), sizes)
+    rules = grammar.terminals + np.arange(len(grammar.lengths))
+    table = np.concatenate([np.arange(grammar.terminals), _open(grammar, rules, grammar.lengths)])
+    first = np.arange(grammar.terminals + len(rules))
+    first[grammar.terminals :] = grammar.terminals + np.cumsum(grammar.lengths) - grammar.lengths
+    at = np.repeat(first[symbols] - (np.cumsum(sizes) - sizes), sizes)
+    at += np.arange(total)
+    return table[at]
+
+
+def _open(grammar: Grammar, symbols: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The token ids of symbols, each nonterminal opened at its place."""
     place = np.cumsum(sizes) - sizes
     out = np.empty(int(sizes.sum()), dtype=np.int64)
     while len(symbols):
@@ -265,6 +279,7 @@ def read_ids(data: bytes, document: int, start: int = 0, stop: int | None = None
 # White space beyond ASCII, in UTF-8.
 _WIDE_SPACES = [chr(c).encode() for c in (0x85, 0xA0, 0x1680, *range(0x2000, 0x200B))]
 _WIDE_SPACES += [chr(c).encode() for c in (0x2028, 0x2029, 0x202F, 0x205F, 0x3000)]
+_WIDE_LEAD = np.isin(np.arange(256), [own[0] for own in _WIDE_SPACES])
 _SPACE = np.array([chr(byte).isspace() and byte < 128 for byte in range(256)])
 _LETTER = np.array([chr(byte).isalpha() and byte < 128 for byte in range(256)])
 _STOPS = '.,;:!?"$%&*#)'
@@ -279,7 +294,7 @@ _LETTERS_OF_BYTES[np.setdiff1d(np.arange(256), _PRINTABLE)] = 256 + np.arange(25
 def _spaces(data: np.ndarray) -> np.ndarray:
     """Which bytes of UTF-8 are white space, in either view, Python's or the tokenizers'."""
     space = _SPACE[data]
-    leads = np.flatnonzero(np.isin(data, list({own[0] for own in _WIDE_SPACES}))) if data.max() > 127 else []
+    leads = np.flatnonzero(_WIDE_LEAD[data])
     if len(leads):
         padded = np.concatenate([data, np.zeros(2, np.uint8)])
         for own in _WIDE_SPACES:
