@@ -375,6 +375,40 @@ def test_closed_windows_look_users_and_classes_up(spark, folder):
     assert seen == [[], [("anna", 20, "w")], [("anna", 20, "w")], [("anna", 20, "w"), ("annie", 21, "v")]]
 
 
+def test_closed_windows_are_joined_by_measure_and_not_sent_to_the_driver(spark, folder):
+    state = MembershipWindows(spark, f"{folder}/state")
+    users, classes = "uid BIGINT, name STRING, age INT, position STRING", "cid BIGINT, cname STRING, position STRING"
+    state.put(USERS)(spark.createDataFrame([(u, f"u{u}", u, "1") for u in range(20)], users), 0)
+    state.put(CLASSES)(spark.createDataFrame([(5, "math", "1")], classes), 0)
+    schema = "uid BIGINT, cid BIGINT, utype STRING, c_time TIMESTAMP, position STRING"
+    feed = Feed(spark, f"{folder}/l", spark.createDataFrame([], schema).schema)
+    plans, limits, write = [], [], batch_writer(f"{folder}/out")
+
+    def record(found, batch_id):
+        plans.append(found._jdf.queryExecution().executedPlan().toString())
+        write(found, batch_id)
+
+    sink = state.sink(record)
+
+    def on_batch(closed, batch_id):
+        limit = "spark.sql.autoBroadcastJoinThreshold"
+        before = closed.sparkSession.conf.get(limit)
+        sink(closed, batch_id)
+        limits.append((before, closed.sparkSession.conf.get(limit)))
+
+    links = [(u % 21, 5, f"t{u}", at(1), str(u).zfill(4)) for u in range(1000)]
+    with session_conf(spark, stream_settings()):
+        result = state.windows(with_watermark(feed.stream(), "c_time"), size="10 minutes")
+        for part in (links, [(1, 6, "none", at(50), "6")]):
+            feed.add(spark.createDataFrame(part, schema))
+            run_available(result, on_batch, f"{folder}/checkpoint")
+    # A micro-batch without input brings the windows: its estimated size says nothing of them.
+    assert plans and all("AdaptiveSparkPlan" in plan and "Broadcast" not in plan for plan in plans)
+    assert all(before == after for before, after in limits)
+    expected = [(u, f"u{u}", f"t{max(n for n in range(1000) if n % 21 == u)}") for u in range(20)]
+    assert tuples(spark.read.parquet(f"{folder}/out"), "uid", "name", "utype") == sorted(expected, key=str)
+
+
 def test_keyed_map_returns_a_row_for_each_row(spark, folder):
     feed = Feed(spark, f"{folder}/in", spark.createDataFrame([], "k STRING, v INT").schema)
 

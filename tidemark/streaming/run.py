@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -56,6 +57,26 @@ def batch_writer(path: str) -> BatchSink:
     return write
 
 
+@contextmanager
+def joins_by_measure(spark: SparkSession, rows: DataFrame) -> Iterator[None]:
+    """Inside a sink, joins of ``rows`` broadcast what has been measured as small, if anything.
+
+    Spark takes the size of a micro-batch from the input that it reads. What comes out of the
+    state may be any number of rows, and would go through the driver whole. Here all sides are
+    shuffled first; then the settings of ``spark``, the caller's session, say what is small
+    and whether there is measuring at all, which streams with state are planned without.
+    """
+    adaptive, limit = "spark.sql.adaptive", "autoBroadcastJoinThreshold"
+    small = spark.conf.get(f"{adaptive}.{limit}", None) or spark.conf.get(f"spark.sql.{limit}")
+    settings = {
+        f"spark.sql.{limit}": "-1",
+        f"{adaptive}.{limit}": small,
+        f"{adaptive}.enabled": spark.conf.get(f"{adaptive}.enabled"),
+    }
+    with session_conf(rows.sparkSession, settings):
+        yield
+
+
 class Feed:
     """A folder that stands in for a topic: rows are added, a stream reads them."""
 
