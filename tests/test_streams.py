@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators.changelog import apply_changelog
 from tidemark.operators.latest import latest_states
+from tidemark.plans.replays import REPLAY_QUERIES
 from tidemark.session import list_names, session_conf, shared_base, stream_settings, write_text
 from tidemark.sinks import upsert
 from tidemark.sinks.jdbc import duplicate_key_statement, merge_statement
@@ -318,6 +319,21 @@ class TestPanes:
         assert found == self.expected(events, 5, 2)
 
 
+def test_recent_performance_leaves_no_store_open(spark, folder):
+    # "props" holds the task and the course, "k" and "k" % 10.
+    events = [(e, datetime(2024, 1, 1 + e % 28), e % 3, "signup", f'{{"k": {e % 5}}}') for e in range(60)]
+    schema = "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, props STRING"
+    spark.createDataFrame(events, schema).write.parquet(f"{folder}/events.parquet")
+    memory = spark._jvm.org.apache.spark.sql.execution.streaming.state.RocksDBMemoryManager
+    before = memory.getNumRocksDBInstances(False)
+    found = REPLAY_QUERIES["recent_performance_replay"](spark, folder)
+    # Stores of earlier streams may go meanwhile.
+    assert memory.getNumRocksDBInstances(False) <= before
+    assert memory.getNumRocksDBInstances(True) == 0
+    # Every event is in two windows of a day.
+    assert found.agg(F.sum("sum_create")).first()[0] == 2 * len(events)
+
+
 def test_membership_windows_come_with_the_watermark(spark, folder):
     users = Feed(spark, f"{folder}/u", spark.createDataFrame([], "uid BIGINT, name STRING, age INT, position STRING").schema)
     classes = Feed(spark, f"{folder}/c", spark.createDataFrame([], "cid BIGINT, cname STRING, position STRING").schema)

@@ -19,6 +19,12 @@ ROCKSDB = {
     # Counting the rows of a store costs a look-up for each row that is written.
     "spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows": "false",
 }
+# A store is open while a task uses it, and all that are open share one limit of memory. A
+# limit alone would not do: stores at rest keep it filled, and the others write small files.
+UNLOADED = {
+    "spark.sql.streaming.stateStore.unloadOnCommit": "true",
+    "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
+}
 
 _local_base: str | None = None
 
@@ -105,13 +111,16 @@ def delete_path(spark: SparkSession, path: str) -> None:
     fs.delete(hadoop_path, True)
 
 
-def stream_settings() -> dict[str, str]:
+def stream_settings(unload: bool = False) -> dict[str, str]:
     """Options for streams with state: the RocksDB store.
 
     The partitions of the state are the session's ``spark.sql.shuffle.partitions`` when
-    the stream first starts; its checkpoint keeps that number.
+    the stream first starts; its checkpoint keeps that number. Each store, one a partition
+    and stateful operator, holds memory outside the heap until its stream has long ended.
+    With ``unload`` it is closed after each micro-batch and read again for the next one:
+    memory goes by running tasks, not by stores, for more time a store and micro-batch.
     """
-    return dict(ROCKSDB)
+    return {**ROCKSDB, **UNLOADED} if unload else dict(ROCKSDB)
 
 
 @contextmanager
